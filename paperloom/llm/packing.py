@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,26 +27,32 @@ SHARE = 16_384
 
 #: A mark at a word's end; the vocabulary's own split keeps a run of marks apart from letters and digits before it.
 _MARKS = ".,!?;:"
-#: Word stems in each generation of a worker's memory.
-REMEMBERED = 250_000
-
-
-def _stem_ids(path: str, stems: list[str]) -> list[bytes]:
-    """The ids of each stem as little-endian 32-bit numbers; stems seen before in this worker are not encoded again."""
-    young, old = _memory.setdefault(path, [{}, {}])
-    new = []
-    for s in stems:
-        if s not in young:
-            if s in old:
-                young[s] = old[s]
-            else:
-                new.append(s)
-    coded = _tokenizer(path).encode_batch_fast(new, add_special_tokens=False)
-    young.update((s, np.array(x.ids, "<u4").tobytes()) for s, x in zip(new, coded))
-    out = [young[s] for s in stems]
-    if len(young) > REMEMBERED:
-        _memory[path] = [{}, young]
-    return out
+#: Word stems that a worker remembers; beyond, it starts anew.
+REMEMBERED = 800_000
+
+
+class Stems:
+    """The ids of the word stems that this worker has met, in one array."""
+
+    def __init__(self, path: str):
+        self.path, self.index, self.ids, self.ends = path, {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def codes(self, stems: list[str]) -> np.ndarray:
+        """Places in ``ends`` of the stems, which are distinct; new ones are encoded."""
+        if len(self.index) + len(stems) > REMEMBERED:
+            self.__init__(self.path)
+        get = self.index.get
+        out = np.fromiter((get(s, -1) for s in stems), np.int64, len(stems))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            texts = [stems[i] for i in new.tolist()]
+            coded = [x.ids for x in _tokenizer(self.path).encode_batch_fast(texts, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, coded), np.int64, len(coded))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), np.uint32, sizes.sum())])
+            out[new] = np.arange(len(self.ends) - 1, len(self.ends) - 1 + len(new))
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self.index.update(zip(texts, out[new].tolist()))
+        return out
 
 
 def token_ids(path: str, batch: pa.RecordBatch, end_id: int = 0):
@@ -60,20 +67,17 @@ def token_ids(path: str, batch: pa.RecordBatch, end_id: int = 0):
     sound = pc.match_substring_regex(bare, r"[\pL\pN]$")
     marks = pc.if_else(sound, _tail(lower, bare), pa.scalar("", lower.type))
     parts = pa.concat_arrays([pc.if_else(sound, bare, lower), marks]).dictionary_encode()
-    coded = _stem_ids(path, parts.dictionary.to_pylist())
-    ends = np.zeros(len(coded) + 1, np.int64)
-    np.cumsum([len(x) // 4 for x in coded], out=ends[1:])
-    flat = np.frombuffer(b"".join(coded), "<u4")
-    index = parts.indices.to_numpy(zero_copy_only=False)
-    flat, ends = gather(flat, ends, np.stack([index[: len(words)], index[len(words) :]], 1).ravel())
+    store = _memory.setdefault(path, Stems(path))
+    index = store.codes(parts.dictionary.to_pylist())[parts.indices.to_numpy(zero_copy_only=False)]
+    flat, ends = gather(store.ids, store.ends, np.stack([index[: len(words)], index[len(words) :]], 1).ravel())
     ends = ends[::2]
-    keys, row, n = batch.column(0).to_pylist(), 0, batch.num_rows
+    last, keys, row, n = np.uint32(end_id), batch.column(0).to_pylist(), 0, batch.num_rows
     while row < n:  # some texts at a time, so that the arrays stay small
         to = max(row + 1, min(n, int(np.searchsorted(first, first[row] + 400_000, "right")) - 1))
         every, begin = gather(flat, ends, codes[first[row] : first[to]])
         at = begin[first[row : to + 1] - first[row]]
         for k in range(row, to):
-            yield keys[k], np.append(every[at[k - row] : at[k - row + 1]], np.uint32(end_id)).astype("<u4")
+            yield keys[k], np.append(every[at[k - row] : at[k - row + 1]], last)
         row = to
 
 

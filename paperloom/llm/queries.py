@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sentencepieces
+from . import packing, rules, sentencepieces
 from .common import table
 
 
@@ -19,10 +19,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), length=2048)
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentencepieces.encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return found.select("doc_id", "n_tokens", F.sha2(F.encode("ids", "utf-8"), 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op8_quality_rules, op10_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {}
