@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, rules, sentencepieces
-from .common import table
+from . import lattice, neighbours, packing, quality, rules, sentencepieces, toxicity
+from .common import hash_mod, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -15,6 +15,30 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, key = table(spark, sf_dir, "documents"), F.col("doc_id")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"), hash_mod(key, 5) != 0)
+    held_out, predicted = (hash_mod(key, 5) == 0).alias("held_out"), (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return toxicity.score(docs, index).select("doc_id", held_out, "score", predicted, "neighbours")
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, key = table(spark, sf_dir, "documents"), F.col("doc_id")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), hash_mod(key, 5) != 0)
+    held_out, predicted = (hash_mod(key, 5) == 0).alias("held_out"), (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return quality.score(docs, model).select("doc_id", held_out, "score", predicted, "text_score", "meta_score")
+
+
+def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, key = table(spark, sf_dir, "documents"), F.col("doc_id")
+    found = lattice.score(docs, hash_mod(key, 7) != 2, tokenizer_file("piece_bpe_32k.model"))
+    return found.withColumn("held_out", hash_mod(key, 7) == 2)
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), length=2048)
 
@@ -28,5 +52,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2(F.encode("ids", "utf-8"), 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op8_quality_rules, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_lattice_score, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op10_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {}
