@@ -20,7 +20,7 @@ from .common import documents, steps
 BLANK = "▁"
 ENCODED = "doc_id long, n_tokens long, ids string, decoded string"
 #: Chunks in each generation of a worker's memory.
-REMEMBERED = 200_000
+REMEMBERED = 450_000
 #: ASCII marks (and the carriage return); where no entry joins one to another character, chunks also end between them.
 MARKS = "\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _COARSE = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
@@ -129,7 +129,7 @@ class Merger:
         return [(",".join(map(str, ids)), t) for ids, t in zip(mine, texts)], wrong
 
 
-_mergers: dict[str, tuple[Merger, list[dict]]] = {}
+_mergers: dict[str, tuple[Merger, list[dict], dict]] = {}
 
 
 def encode(docs: DataFrame, model: str) -> DataFrame:
@@ -137,8 +137,8 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]):
         if model not in _mergers:
-            _mergers[model] = Merger(model), [{}, {}]
-        merger, memory = _mergers[model]
+            _mergers[model] = Merger(model), [{}, {}], {}
+        merger, memory, odd = _mergers[model]  # odd: chunks that don't decode to themselves, which merge types hardly have
         for batch in steps(batches):
             texts = [merger.chunks(t) for t in batch.column(1).to_pylist()]
             young, old = memory
@@ -149,14 +149,17 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                         young[c] = old[c]
                     else:
                         new.append(c)
-            young.update(zip(new, merger.checked(new)[0]))
-            ids, back = [], []
-            for parts in texts:
-                found = [young[c] for c in parts]
-                ids.append(",".join([x for x, _ in found]))
-                back.append("".join([x for _, x in found])[1:])
+            for c, (found, back) in zip(new, merger.checked(new)[0]):
+                young[c] = found
+                if back != c.replace(BLANK, " "):
+                    odd[c] = back
+            ids = [",".join([young[c] for c in parts]) for parts in texts]
+            back = [("".join(parts) if not odd else "".join([odd.get(c, c) for c in parts])).replace(BLANK, " ")[1:] for parts in texts]
             if len(young) > REMEMBERED:
                 memory[:] = [{}, young]
+            if len(odd) > REMEMBERED:
+                memory[:] = [{}, {}]
+                odd.clear()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.count(",") + 1 if x else 0 for x in ids], pa.int64()), pa.array(ids), pa.array(back)], ["doc_id", "n_tokens", "ids", "decoded"])
 
     return documents(docs).mapInArrow(run, ENCODED)
