@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lattice, neighbours, packing, quality, rules, sentencepieces, toxicity
+from . import lattice, neardup, neighbours, packing, quality, rules, sentencepieces, toxicity
 from .common import hash_mod, table
 
 
@@ -35,6 +35,10 @@ def op3_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", hash_mod(key, 7) == 2)
 
 
+def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
+
+
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
@@ -52,5 +56,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2(F.encode("ids", "utf-8"), 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_lattice_score, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_lattice_score, op4_minhash_neardup, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op10_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {}
