@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lattice, neardup, neighbours, packing, quality, rules, sentencepieces, toxicity
+from . import factors, lattice, neardup, neighbours, packing, quality, rules, sentencepieces, suffixes, toxicity
 from .common import hash_mod, table
 
 
@@ -39,6 +39,12 @@ def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.suffix_dedup(table(spark, sf_dir, "documents"), window=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
@@ -51,10 +57,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = factors.factor_dedup(table(spark, sf_dir, "documents"), window=50)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sentencepieces.encode(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
     return found.select("doc_id", "n_tokens", F.sha2(F.encode("ids", "utf-8"), 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_lattice_score, op4_minhash_neardup, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op10_sentencepiece)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_lattice_score, op4_minhash_neardup, op5_suffix_dedup, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op9_substring_dedup, op10_sentencepiece)}
 ORACLE_SQL: dict[str, str] = {}
