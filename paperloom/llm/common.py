@@ -11,9 +11,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text that one numpy step handles; larger Arrow batches are cut, single longer texts are not.
 STEP_BYTES = 4_000_000
+_TEXT = "_paperloom_text"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +49,21 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *keep)
 
 
+def carry(docs: DataFrame, add, schema: StructType) -> DataFrame:
+    """All rows and columns of ``docs`` with more: ``add`` gives the arrays of ``schema`` for a record batch."""
+    names = docs.columns
+    # A text column that numpy steps can measure, whatever the table holds.
+    texts = docs.withColumn(_TEXT, F.coalesce(F.col("text").cast("string"), F.lit("")))
+    at = len(names)
+
+    def run(batches):
+        for batch in steps(batches, _TEXT):
+            rest = [batch.column(i) for i in range(at)]
+            yield pa.RecordBatch.from_arrays(rest + add(batch, batch.column(at)), [*names, *schema.names])
+
+    return texts.mapInArrow(run, StructType([*docs.schema.fields, *schema.fields]))
+
+
 def steps(batches, column: str = "text", limit: int = STEP_BYTES):
     """The record batches, cut so that ``column`` holds about ``limit`` bytes in each."""
     for batch in batches:

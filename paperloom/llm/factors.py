@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import mix, word_codes
 from .neardup import word_hashes
@@ -110,17 +111,31 @@ def factor_kernel(window: int):
 
 def _words(texts: pa.Array):
     words, codes, first = word_codes(texts)
-    return words.take(pa.array(codes)), word_hashes(words)[codes] if len(codes) else np.zeros(0, np.uint64), first
+    return (words.take(pa.array(codes)), texts), word_hashes(words)[codes] if len(codes) else np.zeros(0, np.uint64), first
 
 
-def _emit_words(flat, first, removed):
-    keep = ~removed
+def _emit_words(read, first, removed):
+    flat, keep = read[0], ~removed
     at = np.concatenate([np.zeros(1, np.int64), np.cumsum(keep)])[first]
     kept = pa.LargeListArray.from_arrays(pa.array(at, pa.int64()), flat.filter(pa.array(keep)))
     return [pa.array(np.diff(first), pa.int64()), spans(first, removed), pc.binary_join(kept, pa.scalar(" ", flat.type)).cast(pa.string())]
 
 
-def factor_dedup(docs: DataFrame, window: int = 50) -> DataFrame:
+def _emit_whole(read, first, removed):
+    """As ``_emit_words``, but texts that lose nothing stay as they are."""
+    n, runs, kept = _emit_words(read, first, removed)
+    return [n, runs, pc.if_else(pc.equal(pc.list_value_length(runs), 0), read[1].cast(pa.string()), kept)]
+
+
+def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
+    """The rows of ``docs``, all columns, with repeated words gone from the texts; n_chars, where it is, is their new length. Null texts become empty."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    found = factor_dedup(docs, window, rest, True)
+    new = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("_kept"), "n_chars": F.length("_kept").cast(docs.schema["n_chars"].dataType) if "n_chars" in rest else None}
+    return found.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
+
+
+def factor_dedup(docs: DataFrame, window: int = 50, rest: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
     """doc_id, n_words, spans (removed runs, as word places) and kept (the other words, joined by blanks) of each document.
 
     A word goes if a window of ``window`` words over it also starts in a document with a smaller doc_id. Words are what
@@ -129,5 +144,7 @@ def factor_dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     if window < 16:
         raise ValueError("anchors need windows of 16 words or more")
-    kind = Kind(window, 8, "u4", _words, word_grams, factor_kernel(window), _emit_words, "n_words long, spans array<struct<start: long, end: long>>, kept string", ("n_words", "spans", "kept"))
-    return find(docs, kind)
+    names = ("_n_words", "_spans", "_kept") if rest else ("n_words", "spans", "kept")
+    schema = ", ".join(f"{n} {t}" for n, t in zip(names, ("long", "array<struct<start: long, end: long>>", "string")))
+    kind = Kind(window, 8, "u4", _words, word_grams, factor_kernel(window), _emit_whole if whole else _emit_words, schema, names)
+    return find(docs, kind, rest=rest)

@@ -209,3 +209,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     out = found.select("doc_id", "n_shingles").join(torn.select("doc_id", F.col("lo").alias("component_id")), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, of one document of each component (that with the smallest doc_id)."""
+    gone = near_duplicates(docs, size, percent).filter("not kept").select(F.col("doc_id").alias("_paperloom_id")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_paperloom_id"), "left_anti")

@@ -16,8 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import documents, steps, word_codes
+from .common import carry, documents, steps, word_codes
 
 SCORED = "doc_id long, text_score double, meta_score double, score double"
 #: Bounds of the samples: labelled rows, and rows of the unlabelled pool.
@@ -205,3 +206,19 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.float64()) for x in found)], ["doc_id", "text_score", "meta_score", "score"])
 
     return _columns(docs).mapInArrow(run, SCORED)
+
+
+def without_poor(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is ``least`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = {c: docs.columns.index(c) for c in ("lang", "source", "n_chars") if c in docs.columns}
+
+    def add(batch: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+        if shared.value is None:
+            return [pa.array(np.full(batch.num_rows, 0.5))]
+        meta = [batch.column(place[c]).to_pylist() if c in place else [None] * batch.num_rows for c in ("lang", "source", "n_chars")]
+        meta[2] = [None if x is None else float(x) for x in meta[2]]
+        return [pa.array(shared.value.score(text_view(texts), meta_view(*meta))[2], pa.float64())]
+
+    kept = carry(docs, add, StructType().add("_paperloom_score", "double"))
+    return kept.filter(F.col("_paperloom_score") >= least).drop("_paperloom_score")

@@ -22,8 +22,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
-from .common import documents, materialise, mix, steps
+from .common import materialise, mix, steps
 
 #: Bytes of text in a block, and bytes of text for each bucket of anchors.
 BLOCK_BYTES = 2_000_000
@@ -52,8 +54,9 @@ class Kind:
     names: tuple = ()
 
 
-def blocks_of(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
-    """One row per block: number, ids, text lengths and the compressed texts; written once, so numbers stay."""
+def blocks_of(docs: DataFrame, size: int = BLOCK_BYTES, rest: tuple[str, ...] = ()) -> DataFrame:
+    """One row per block: number, ids, text lengths, the compressed texts and the other columns; written once, so numbers stay."""
+    chosen = docs.select(F.col("doc_id").cast("long").alias("_paperloom_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *(F.col(c).alias(f"_paperloom_{i}") for i, c in enumerate(rest)))
 
     def run(batches: Iterator[pa.RecordBatch]):
         from pyspark import TaskContext
@@ -63,11 +66,16 @@ def blocks_of(docs: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
             texts = [t.encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
             ids = batch.column(0).fill_null(NO_ID).to_numpy(zero_copy_only=False).astype(np.int64)
             sizes = np.array([len(t) for t in texts], np.int64)
-            cols = [pa.array([number], pa.int64())] + [pa.array([x], pa.binary()) for x in (ids.tobytes(), sizes.tobytes(), pack.compress(b"".join(texts)))]
-            yield pa.RecordBatch.from_arrays(cols, ["block", "ids", "sizes", "body"])
+            sink = pa.BufferOutputStream()
+            others = pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in batch.columns[2:]], [str(i) for i in range(batch.num_columns - 2)])
+            if rest:
+                with pa.ipc.new_stream(sink, others.schema) as to:
+                    to.write_batch(others)
+            cols = [pa.array([number], pa.int64())] + [pa.array([x], pa.binary()) for x in (ids.tobytes(), sizes.tobytes(), pack.compress(b"".join(texts)), pack.compress(sink.getvalue().to_pybytes()))]
+            yield pa.RecordBatch.from_arrays(cols, ["block", "ids", "sizes", "body", "rest"])
             number += 1
 
-    return materialise(documents(docs).mapInArrow(run, "block long, ids binary, sizes binary, body binary"), "none")
+    return materialise(chosen.mapInArrow(run, "block long, ids binary, sizes binary, body binary, rest binary"), "none")
 
 
 def _opened(table: pa.Table | pa.RecordBatch, row: int = 0):
@@ -189,12 +197,12 @@ def _bits(told: pa.Table, block: Block, n: int) -> np.ndarray:
     return twice
 
 
-def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """What ``kind.emit`` gives for each document, and its doc_id; see the module's text.
+def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES, rest: tuple[str, ...] = ()) -> DataFrame:
+    """What ``kind.emit`` gives for each document, after its doc_id and the columns ``rest``; see the module's text.
 
     Null texts are empty. Rows without a doc_id lose nothing. Rows of one doc_id take nothing from each other.
     """
-    blocks = blocks_of(docs, block_bytes)
+    blocks = blocks_of(docs, block_bytes, rest)
     total = blocks.agg(F.coalesce(F.sum(F.length("body")), F.lit(0)).alias("n")).collect()[0]["n"]
     n = max(8, min(1 << 20, 3 * total // BUCKET_BYTES))
 
@@ -293,7 +301,8 @@ def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES) -> DataFra
                 edge -= np.bincount(gone + kind.window, minlength=len(edge)).astype(np.int32)
                 cols = kind.emit(b.kept, b.first, np.cumsum(edge)[:-1] > 0)
                 ids = pa.array(b.ids, mask=b.ids == NO_ID)
-                out.append(pa.RecordBatch.from_arrays([ids, *cols], ["doc_id", *names]))
+                others = pa.ipc.open_stream(zstandard.decompress(left.column("rest")[row].as_py())).read_next_batch().columns if rest else []
+                out.append(pa.RecordBatch.from_arrays([ids, *others, *cols], ["doc_id", *rest, *names]))
         return pa.Table.from_batches(out)
 
     names = kind.names
@@ -301,7 +310,11 @@ def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES) -> DataFra
     sent = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(send, _SENT)
     answers = materialise(sent.groupBy("bucket").applyInArrow(answer, _TOLD))
     both = told.unionByName(answers)
-    schema = f"doc_id long, {kind.schema}"
+    schema = StructType().add("doc_id", "long")
+    for c in rest:
+        schema = schema.add(docs.schema[c])
+    for f in T._parse_datatype_string(kind.schema).fields:
+        schema = schema.add(f)
     return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(strike, schema)
 
 

@@ -17,8 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import documents, steps, word_codes
+from .common import carry, documents, steps, word_codes
 
 SCORED = "doc_id long, score double, raw double, neighbours array<long>, cosines array<double>"
 #: Labelled examples of each label at most; those with the smallest hashes of their ids.
@@ -221,22 +222,30 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     return build(np.array([r["doc_id"] for r in rows], np.int64), [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64), natural, k)
 
 
+def votes(index: Index, texts: pa.Array, k: int = NEIGHBOURS) -> list[pa.Array]:
+    """score, raw, neighbours and cosines of each text."""
+    raw, near, cosines = [], [], []
+    for terms, q in index.vectors(texts):
+        top, cos = index.nearest(terms, q, k) if len(terms) else (np.zeros(0, np.int64), np.zeros(0))
+        raw.append(index.vote(top, cos))
+        near.append(index.ids[top].tolist())
+        cosines.append(cos.tolist())
+    return [pa.array([index.score(x) for x in raw], pa.float64()), pa.array(raw, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))]
+
+
 def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     """One row per document; null, empty and wholly unknown texts have no neighbours, and the score of no toxic votes."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # at most 2 * EXAMPLES vectors of at most TERMS weights
 
     def run(batches: Iterator[pa.RecordBatch]):
-        ix = shared.value
         for batch in steps(batches):
-            raw, near, cosines = [], [], []
-            for terms, q in ix.vectors(batch.column(1)):
-                top, cos = ix.nearest(terms, q, k) if len(terms) else (np.zeros(0, np.int64), np.zeros(0))
-                raw.append(ix.vote(top, cos))
-                near.append(ix.ids[top].tolist())
-                cosines.append(cos.tolist())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([ix.score(x) for x in raw], pa.float64()), pa.array(raw, pa.float64()), pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],
-                ["doc_id", "score", "raw", "neighbours", "cosines"],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), *votes(shared.value, batch.column(1), k)], ["doc_id", "score", "raw", "neighbours", "cosines"])
 
     return documents(docs).mapInArrow(run, SCORED)
+
+
+def without_toxic(docs: DataFrame, index: Index, most: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score is below ``most``."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+    kept = carry(docs, lambda batch, texts: votes(shared.value, texts)[:1], StructType().add("_paperloom_score", "double"))
+    return kept.filter(F.col("_paperloom_score") < most).drop("_paperloom_score")
