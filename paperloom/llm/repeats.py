@@ -29,9 +29,9 @@ from .common import materialise, mix, steps
 
 #: Bytes of text in a block, and bytes of text for each bucket of anchors.
 BLOCK_BYTES = 2_000_000
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 2_000_000
 #: Units that a kernel handles at a time, but for a single anchor's segments.
-SLICE = 1_500_000
+SLICE = 800_000
 #: Stands in for a null doc_id: never smaller than another, and such rows lose nothing.
 NO_ID = np.iinfo(np.int64).max
 _STEP = 1 << 22
@@ -204,7 +204,7 @@ def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES, rest: tupl
     """
     blocks = blocks_of(docs, block_bytes, rest)
     total = blocks.agg(F.coalesce(F.sum(F.length("body")), F.lit(0)).alias("n")).collect()[0]["n"]
-    n = max(8, min(1 << 20, 3 * total // BUCKET_BYTES))
+    n = max(64, min(1 << 20, 3 * total // BUCKET_BYTES))
 
     def list_anchors(batches: Iterator[pa.RecordBatch]):
         with np.errstate(over="ignore"):
