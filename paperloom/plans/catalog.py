@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import scalars  # noqa: F401  registers
+from . import relations, scalars  # noqa: F401  register
 from .registry import QUERIES, Query
 
 

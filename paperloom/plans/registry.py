@@ -29,7 +29,8 @@ class Query:
         """Lambdas are written x -> ... above; DuckDB wants them spelled out."""
         if self.oracle is None:
             return None
-        return "WITH t AS (" + re.sub(r"{(\w+)}", r"\1", self.source) + ") " + re.sub(r"\b([a-z]) -> ", r"lambda \1: ", self.oracle)
+        rule = re.sub(r"\b([a-z]) -> ", r"lambda \1: ", self.oracle)
+        return "WITH t AS (" + re.sub(r"{(\w+)}", r"\1", self.source) + ")" + re.sub(r"^\s*WITH (?!RECURSIVE)", ", ", " " + rule)
 
 
 def rendered(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
