@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import relations, scalars  # noqa: F401  register
+from . import pipelines, relations, scalars  # noqa: F401  register
 from .registry import QUERIES, Query
 
 

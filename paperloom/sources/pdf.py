@@ -1,0 +1,56 @@
+"""PDF pages as a data source, for where a PDF engine is installed; none is needed by the rest of the package."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+#: Pages in a task's share, at least.
+PAGES_PER_TASK = 25
+
+
+class PageRange(InputPartition):
+    def __init__(self, path: str, first: int, last: int):
+        self.path, self.first, self.last = path, first, last
+
+
+class PdfSource(DataSource):
+    """doc_id, page, width, height, rotation, text. Option path: a file, a folder or a pattern (case of .pdf doesn't matter)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "pdf_pages"
+
+    def schema(self) -> str:
+        return "doc_id string, page int, width double, height double, rotation int, text string"
+
+    def reader(self, schema):
+        return PdfReader(self.options["path"], int(self.options.get("maxPages", 0)))
+
+
+class PdfReader(DataSourceReader):
+    def __init__(self, path: str, most: int):
+        self.path, self.most = path, most
+
+    def partitions(self):
+        import pypdf  # raises where no engine is installed
+
+        files = sorted(f for f in (glob.glob(os.path.join(self.path, "*")) if os.path.isdir(self.path) else glob.glob(self.path)) if f.lower().endswith(".pdf"))
+        if not files:
+            raise FileNotFoundError(self.path)
+        out = []
+        for f in files:
+            n = len(pypdf.PdfReader(f).pages)
+            n = min(n, self.most) if self.most else n
+            out += [PageRange(f, a, min(a + PAGES_PER_TASK, n)) for a in range(0, n, PAGES_PER_TASK)]
+        return out
+
+    def read(self, part: PageRange):
+        import pypdf
+
+        reader, stem = pypdf.PdfReader(part.path), os.path.splitext(os.path.basename(part.path))[0]
+        for i in range(part.first, part.last):
+            page = reader.pages[i]
+            yield (stem, i + 1, float(page.mediabox.width), float(page.mediabox.height), int(page.rotation or 0), page.extract_text() or "")
