@@ -127,6 +127,32 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _sharing(rows: DataFrame, sets: DataFrame, percent: int, rounds: int = 3) -> DataFrame:
+    """The rows (k, doc_id, root) of documents that can have a link among them, with n, the set's size, and shared.
+
+    ``shared`` counts the shingles that another of the documents has too. Less than ``percent`` of a set, and no link is
+    possible; without such documents the others share less, so it is counted again.
+    """
+    ids = rows.select("doc_id").distinct()
+    for _ in range(rounds):
+
+        def run(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    h = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                    size = np.array([len(x) for x in h])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.concatenate(h))], ["doc_id", "h"])
+
+        own = sets.join(ids, "doc_id").select("doc_id", "shingles")
+        alone = own.mapInArrow(run, "doc_id long, h long").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("m")).filter("m = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
+        size = own.select("doc_id", (F.length("shingles") / 8).cast("long").alias("n"))
+        fit = size.join(alone, "doc_id", "left").select("doc_id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+        kept = materialise(fit.filter(f"100 * shared >= {percent} * n"))
+        ids = kept.select("doc_id")
+    return rows.join(kept, "doc_id")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (its component's smallest node) for all nodes of the edges (a, b).
 
@@ -182,8 +208,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         spans = at.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("k")
         open_ = materialise(at.join(spans, "k"))
         if last:
-            x, y = (open_.select("k", F.col("doc_id").alias(n), F.col("root").alias(f"r{n}")) for n in "ab")
-            more = x.join(y, "k").filter("a < b and ra <> rb")
+            # Shingles that no other of these documents has can't be shared, which bounds every union from below.
+            near = _sharing(open_, sets, percent)
+            x, y = (near.select("k", F.col("doc_id").alias(n), F.col("root").alias(f"r{n}"), F.col("n").alias(f"n{n}"), F.col("shared").alias(f"s{n}")) for n in "ab")
+            more = x.join(y, (x["k"] == y["k"]) & F.expr(f"a < b and ra <> rb and (100 + {percent}) * least(sa, sb) >= {percent} * (na + nb)"))
         else:
             centre = open_.filter("a = doc_id").select("k", F.col("root").alias("ra"))
             more = open_.join(centre, "k").filter("root <> ra").select("a", F.col("doc_id").alias("b"))
