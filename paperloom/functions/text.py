@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Look-alike letters and the digits they stand for, quotes and dashes that are folded, safe words, stop words.
 LOOKALIKE_FROM = "OoQDIli|ZzSsGbTBgq"
@@ -66,7 +67,7 @@ def fold(c: Column) -> Column:
     return strip(F.regexp_replace(folded, "[ \\t]+", " "))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
 
