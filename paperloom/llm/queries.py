@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import factors, lattice, neardup, neighbours, packing, quality, rules, sentencepieces, suffixes, toxicity
 from .common import hash_mod, table
+from .oracles import ORACLE_SQL  # noqa: F401  part of what this module offers
 
 
 def tokenizer_file(name: str) -> str:
@@ -69,4 +70,3 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_lattice_score, op4_minhash_neardup, op5_suffix_dedup, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op9_substring_dedup, op10_sentencepiece)}
-ORACLE_SQL: dict[str, str] = {}
