@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import documents, materialise, steps, word_codes
 
 BLANK = "▁"
-#: Words whose training counts every task knows; the rest is joined by word.
-HEAD = 50_000
+#: Every task knows the training counts of words that are a ``HEAD``-th of all tokens or more, of which there are ``HEAD``
+#: at most; the rest is joined by word.
+HEAD = 400_000
 #: Times the weights are re-estimated.
 ROUNDS = 2
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -194,8 +195,8 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each document.
 
     ``training`` is over doc_id. Null and empty texts are the end alone. Rows with the same doc_id are scored apart.
-    Training counts of the ``head`` commonest words go to every task; other words are joined by word, each once for a
-    batch of documents.
+    Training counts of words that are a ``head``-th of the tokens or more go to every task (``head`` words at most); other
+    words are joined by word.
     """
     every = documents(docs)
     chosen = every.filter(training)
@@ -204,7 +205,7 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()[0]
     n, v = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     model = learn(counts, ends, load(vocabulary), rounds)
-    top = counts.orderBy(F.desc("c"), "word").limit(head).collect()  # at most ``head`` rows
+    top = counts.filter(F.col("c") * head >= n).collect()  # at most ``head`` rows, as their counts add up to n
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((model, {r["word"]: r["c"] for r in top}))
     floor = float(np.log10(n + 1 * (v + 1)))
