@@ -20,7 +20,7 @@ from .common import documents, steps
 BLANK = "▁"
 ENCODED = "doc_id long, n_tokens long, ids string, decoded string"
 #: Chunks in each generation of a worker's memory.
-REMEMBERED = 450_000
+REMEMBERED = 600_000
 #: ASCII marks (and the carriage return); where no entry joins one to another character, chunks also end between them.
 MARKS = "\r!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _COARSE = re.compile("▁+[^▁\n]*|[^▁\n]+|\n")
