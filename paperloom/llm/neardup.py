@@ -127,7 +127,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def _sharing(rows: DataFrame, sets: DataFrame, percent: int, rounds: int = 3) -> DataFrame:
+def _sharing(rows: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
     """The rows (k, doc_id, root) of documents that can have a link among them, with n, the set's size, and shared.
 
     ``shared`` counts the shingles that another of the documents has too. Less than ``percent`` of a set, and no link is
@@ -192,7 +192,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     key = ["s1", "s2", "n_shingles"]
     nodes = materialise(full.groupBy(*key).agg(F.min(F.struct("doc_id", "sketch")).alias("x")).select("x.doc_id", "x.sketch", *key))
     pairs = [F.xxhash64(F.lit(i * SIDE + j), F.col("sketch")[i], F.col("sketch")[SIDE + j]) for i in range(SIDE) for j in range(SIDE)]
-    keys = nodes.select("doc_id", F.explode(F.array(*pairs)).alias("k"))
+    keys = nodes.select("doc_id", F.posexplode(F.array(*pairs)).alias("p", "k"))
     least = keys.groupBy("k").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).filter("m > 1").drop("m")
     # Buckets of two documents or more, with their smallest one.
     bucket = materialise(keys.join(least, "k"))
@@ -202,23 +202,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     tested = first.select("a", "b")
     edges = materialise(linked(tested, sets, percent))
     roots = components(edges)
-    for last in (False, True):
+    for turn in (1, 2, 3, None):
         # What is left of buckets that span components: a component holds its documents, so links inside it are settled.
         at = bucket.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
         spans = at.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("k")
         open_ = materialise(at.join(spans, "k"))
-        if last:
-            # Shingles that no other of these documents has can't be shared, which bounds every union from below.
-            near = _sharing(open_, sets, percent)
-            x, y = (near.select("k", F.col("doc_id").alias(n), F.col("root").alias(f"r{n}"), F.col("n").alias(f"n{n}"), F.col("shared").alias(f"s{n}")) for n in "ab")
-            more = x.join(y, (x["k"] == y["k"]) & F.expr(f"a < b and ra <> rb and (100 + {percent}) * least(sa, sb) >= {percent} * (na + nb)"))
+        if open_.isEmpty():
+            break
+        if turn:
+            # Each bucket draws a centre; a document is held against up to four centres of other components.
+            centre = open_.groupBy("k").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "root")).alias("c"))
+            met = open_.join(centre, "k").filter("root <> c.root").groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_set(F.struct("c.root", "c.h", F.col("c.doc_id").alias("to")))), 1, 4).alias("c"))
+            more = met.select("doc_id", F.explode("c.to").alias("to")).select(F.least("doc_id", "to").alias("a"), F.greatest("doc_id", "to").alias("b"))
         else:
-            centre = open_.filter("a = doc_id").select("k", F.col("root").alias("ra"))
-            more = open_.join(centre, "k").filter("root <> ra").select("a", F.col("doc_id").alias("b"))
+            # Shingles that no other of these documents has can't be shared, which bounds every union from below. A pair
+            # counts in the first table that it shares alone.
+            near = _sharing(open_, sets, percent).join(nodes.select("doc_id", "sketch"), "doc_id")
+            x, y = (near.select("k", "p", F.col("doc_id").alias(n), F.col("root").alias(f"r{n}"), F.col("n").alias(f"n{n}"), F.col("shared").alias(f"s{n}"), F.col("sketch").alias(f"k{n}")) for n in "ab")
+            y = y.drop("p")
+            same = [f"array_position(zip_with(slice(ka, {at_}, {SIDE}), slice(kb, {at_}, {SIDE}), (u, v) -> u = v), true)" for at_ in (1, SIDE + 1)]
+            more = x.join(y, (x["k"] == y["k"]) & F.expr(f"a < b and ra <> rb and (100 + {percent}) * least(sa, sb) >= {percent} * (na + nb) and {same[0]} = p div {SIDE} + 1 and {same[1]} = p % {SIDE} + 1"))
         more = materialise(more.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
         if more.isEmpty():
-            if open_.isEmpty():
-                break
             continue
         tested = tested.unionByName(more)
         new = materialise(linked(more, sets, percent))
