@@ -1,7 +1,8 @@
 """Toxicity from the nearest labelled examples.
 
-A bounded sample of labelled documents becomes TF-IDF vectors of unit length. An inverted index keeps, for each term, the
-postings by block of examples and the largest weight in each block. For a document, block maxima bound the cosine of every
+A bounded sample of labelled documents becomes TF-IDF vectors of unit length over all their terms; a term's chi-square to
+the label raises its weight, and leaves no term out. An inverted index keeps, for each term, the postings by block of
+examples and the largest weight in each block. For a document, block maxima bound the cosine of every
 example in a block; blocks are opened by falling bound until no closed block can hold one of the k nearest, so the
 neighbours are exact. Votes weighted by distance give a raw score; a logistic curve, fitted on the examples' own
 leave-one-out votes, calibrates it. The neighbours' ids are the evidence.
@@ -25,41 +26,27 @@ SCORED = "doc_id long, score double, raw double, neighbours array<long>, cosines
 #: Labelled examples of each label at most; those with the smallest hashes of their ids.
 EXAMPLES = 1500
 NEIGHBOURS = 24
-#: Terms kept at most, and the chi-square between a term and the label from which it is kept.
-TERMS = 512
-LEAST_CHI = 15
 BLOCK = 64
 _TRIM = ".,;:!?\"'()[]{}<>«»“”‘’¡¿*-_"
 
 
-def term_counts(texts: pa.Array, known: dict[str, int] | None = None):
-    """(text, term, count) in three arrays, after the list of terms: lower-cased words without the marks around them.
-
-    With ``known``, only its terms count, under its numbers.
-    """
+def term_counts(texts: pa.Array):
+    """(text, term, count) in three arrays, after the list of terms: lower-cased words without the marks around them."""
     words, codes, offsets = word_codes(texts)
-    terms = pc.utf8_trim(pc.utf8_lower(words), _TRIM)
-    if known is None:
-        coded = terms.dictionary_encode()
-        names, of = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    else:
-        names, get = [], known.get
-        of = np.fromiter((get(w, -1) for w in terms.to_pylist()), np.int64, len(terms))
-    each = of[codes]
+    terms = pc.utf8_trim(pc.utf8_lower(words), _TRIM).dictionary_encode()
+    names, of = terms.dictionary.to_pylist(), terms.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(offsets) - 1, dtype=np.int64), np.diff(offsets))
-    if known is not None:
-        row, each = row[each >= 0], each[each >= 0]
-    n = max(len(names) if known is None else len(known), 1)
-    key, count = np.unique(row * n + each, return_counts=True)
+    n = max(len(names), 1)
+    key, count = np.unique(row * n + of[codes], return_counts=True)
     return names, key // n, key % n, count
 
 
 @dataclass
 class Index:
-    """Postings sorted by (term, block); ``place`` has where each (term, block) pair begins, ``peak`` its largest weight."""
+    """Postings sorted by (term, block), and the largest weight of each (term, block) pair."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    factor: np.ndarray  # of each term; the last is that of terms which no example has
     pair_start: np.ndarray  # first pair of each term
     pair_block: np.ndarray
     peak: np.ndarray
@@ -76,11 +63,14 @@ class Index:
         return -(-self.n // BLOCK)
 
     def vectors(self, texts: pa.Array):
-        """For each text: known terms and unit-length TF-IDF weights."""
-        _, row, known, count = term_counts(texts, self.terms)
-        w = (1 + np.log(count)) * self.idf[known]
+        """For each text: known terms and their TF-IDF weights in a vector of unit length over all terms of the text."""
+        names, row, term, count = term_counts(texts)
+        get, unknown = self.terms.get, len(self.terms)
+        known = np.fromiter((get(w, unknown) for w in names), np.int64, len(names))[term]
+        w = (1 + np.log(count)) * self.factor[known]
         norm = np.sqrt(np.bincount(row, w * w, minlength=len(texts)))
         w = w / np.maximum(norm[row], 1e-12)
+        row, known, w = (x[known < unknown] for x in (row, known, w))
         at = np.searchsorted(row, np.arange(len(texts) + 1))
         return [(known[at[i] : at[i + 1]], w[at[i] : at[i + 1]]) for i in range(len(texts))]
 
@@ -140,17 +130,12 @@ def build(ids: np.ndarray, texts: list[str], toxic: np.ndarray, natural: float,
     words, row, term, count = term_counts(pa.array(texts, pa.string()))
     n = len(texts)
     df = np.bincount(term, minlength=len(words))
-    keep = np.sort(informative(df, np.bincount(term, toxic[row], minlength=len(words)), n, float(toxic.sum())))
-    new = np.full(len(words), -1)
-    new[keep] = np.arange(len(keep))
-    idf = np.log((1 + n) / (1 + df[keep]))
-    ok = new[term] >= 0
-    row, term, count = row[ok], new[term[ok]], count[ok]
-    w = (1 + np.log(count)) * idf[term]
+    factor = factors(df, np.bincount(term, toxic[row], minlength=len(words)), n, float(toxic.sum()))
+    w = (1 + np.log(count)) * factor[term]
     norm = np.sqrt(np.bincount(row, w * w, minlength=n))
     w = w / np.maximum(norm[row], 1e-12)
     heavy = np.zeros(n, np.int64)
-    order = np.argsort(w, kind="stable")
+    order = np.argsort(w * (df[term] >= BLOCK // 4), kind="stable")
     heavy[row[order]] = term[order]
     place = np.empty(n, np.int64)
     place[np.lexsort((ids, heavy))] = np.arange(n)
@@ -161,8 +146,8 @@ def build(ids: np.ndarray, texts: list[str], toxic: np.ndarray, natural: float,
     begin = np.flatnonzero(np.diff(pair, prepend=-1)) if len(pair) else np.zeros(0, np.int64)
     back = np.argsort(place)
     index = Index(
-        {words[t]: i for i, t in enumerate(keep.tolist())}, idf,
-        np.searchsorted(term[begin], np.arange(len(keep) + 1)), (row // BLOCK)[begin],
+        {t: i for i, t in enumerate(words)}, factor,
+        np.searchsorted(term[begin], np.arange(len(words) + 1)), (row // BLOCK)[begin],
         np.maximum.reduceat(w, begin) if len(begin) else np.zeros(0), np.append(begin, len(w)), row, w, n, ids[back], toxic[back].astype(float),
     )
     vectors = index.vectors(pa.array([texts[i] for i in back], pa.string()))
@@ -173,13 +158,15 @@ def build(ids: np.ndarray, texts: list[str], toxic: np.ndarray, natural: float,
     return index
 
 
-def informative(df: np.ndarray, with_label: np.ndarray, n: int, labelled: float, most: int = TERMS) -> np.ndarray:
-    """The ``most`` terms whose presence and label depend most on each other (chi-square), of those in three texts or more."""
+def factors(df: np.ndarray, with_label: np.ndarray, n: int, labelled: float) -> np.ndarray:
+    """IDF times 1 + chi-square (how much a term's presence and the label depend on each other), never 0.
+
+    One more at the end, for terms that no example has: that of a term in one example, without chi-square.
+    """
     share, a = labelled / max(n, 1), with_label
     spread = df * share * (1 - share) * (1 - df / max(n, 1))
-    chi = (a - df * share) ** 2 / np.maximum(spread, 1e-9)
-    found = np.flatnonzero((df >= min(3, max(1, n // 10))) & (chi >= LEAST_CHI))
-    return found[np.lexsort((found, -chi[found]))[:most]]
+    chi = np.where(spread > 0, (a - df * share) ** 2 / np.maximum(spread, 1e-9), 0)
+    return np.append(np.log(1 + n / np.maximum(df, 1)) * (1 + chi), np.log(1 + n))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, each: np.ndarray, ridge: float = 0.01) -> tuple[float, float]:
@@ -235,7 +222,7 @@ def votes(index: Index, texts: pa.Array, k: int = NEIGHBOURS) -> list[pa.Array]:
 
 def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     """One row per document; null, empty and wholly unknown texts have no neighbours, and the score of no toxic votes."""
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # at most 2 * EXAMPLES vectors of at most TERMS weights
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # at most 2 * EXAMPLES vectors
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in steps(batches):
