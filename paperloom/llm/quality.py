@@ -1,14 +1,14 @@
 """Quality classification by co-training two views of a document.
 
 One logistic model sees the text (statistics and hashed words), another the metadata (language, source, length). Both
-start from the same bounded sample of labelled rows; in each round each labels the rows of a bounded unlabelled pool of
-which it is surest, and hands them to the other. Both are then calibrated on labelled rows kept apart, and a third
+start from the same bounded sample of labelled rows; in each round each scores all unlabelled rows in a distributed pass and
+hands those of which it is surest, and that it hasn't given yet, to the other. Both are then calibrated on labelled rows kept apart, and a third
 logistic model on the two calibrated logits scores all documents.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import carry, documents, steps, word_codes
+from .common import carry, documents, materialise, steps, word_codes
 
 SCORED = "doc_id long, text_score double, meta_score double, score double"
-#: Bounds of the samples: labelled rows, and rows of the unlabelled pool.
-LABELLED, POOL = 3000, 3000
+#: Labelled rows at most.
+LABELLED = 3000
 ROUNDS = 4
-#: Pseudo-labels that a view gives in a round at most, and how sure it has to be of them.
+#: Pseudo-labels that a view gives in a round at most, dealt to the classes by their shares, and how sure it has to be of them.
 GIVEN, SURE = 200, 0.95
 _BUCKETS, _META = 128, 64
 
@@ -124,21 +124,29 @@ class Model:
         return chance(a), chance(b), chance(self.both.logit(np.stack([a, b], 1)))
 
 
-def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, free_text: np.ndarray, free_meta: np.ndarray, apart: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """``apart``: rows of the labelled ones that calibrate and are not trained on. ``free_*``: the unlabelled pool."""
-    views, free = {"text": text, "meta": meta}, {"text": free_text, "meta": free_meta}
-    given: dict[str, dict[int, int]] = {"text": {}, "meta": {}}  # pseudo-labels that a view has got from the other
+def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, surest: Callable, apart: np.ndarray, rounds: int = ROUNDS) -> Model:
+    """``apart``: rows of the labelled ones that calibrate and are not trained on.
+
+    ``surest(models, given, most)`` gives, for each view, at most ``most[c]`` unlabelled rows of each class c whose keys
+    aren't in ``given[view]``: key, class, and the features of both views.
+    """
+    views = {"text": text, "meta": meta}
+    given: dict[str, set[int]] = {v: set() for v in views}  # keys of the rows that a view has labelled for the other
+    got: dict[str, list] = {v: [] for v in views}  # class and features of the rows that a view has got
     train, models = ~apart, {}
-    for _ in range(rounds + 1):
+    ones = round(GIVEN * float(y[train].mean())) if train.any() else GIVEN // 2
+    most = (GIVEN - ones, ones)
+    for turn in range(rounds + 1):
         for v in views:
-            rows, marks = list(given[v]), np.array(list(given[v].values()), float)
-            models[v] = Logistic(ridge=2.0).fit(np.concatenate([views[v][train], free[v][rows]]), np.r_[y[train], marks], np.r_[np.ones(train.sum()), np.full(len(rows), 0.5)])
-        for v, other in (("text", "meta"), ("meta", "text")):
-            if len(free[v]):
-                p = chance(models[v].logit(free[v]))
-                for i in np.argsort(-np.abs(p - 0.5), kind="stable")[:GIVEN]:
-                    if abs(p[i] - 0.5) >= SURE - 0.5:
-                        given[other].setdefault(int(i), int(p[i] > 0.5))
+            marks = np.array([c for c, _ in got[v]], float)
+            models[v] = Logistic(ridge=2.0).fit(np.stack([*views[v][train], *(x for _, x in got[v])]), np.r_[y[train], marks], np.r_[np.ones(train.sum()), np.full(len(marks), 0.5)])
+        if turn == rounds:
+            break
+        for v, rows in surest(models, given, most).items():
+            other = "meta" if v == "text" else "text"
+            for key, c, features in rows:
+                given[v].add(key)
+                got[other].append((c, features[other]))
     hold = apart if len(set(y[apart].tolist())) == 2 else np.ones(len(y), bool)
     one = np.ones(hold.sum())
     curves = {v: Logistic(ridge=0.1).fit(models[v].logit(views[v][hold])[:, None], y[hold], one) for v in views}
@@ -147,6 +155,66 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, free_text: np.nd
 
 
 _FEATURES = "doc_id long, text_view binary, meta_view binary"
+_VIEWS = ("text", "meta")
+
+
+def _dense(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(len(column), -1)
+
+
+def _first(found: list[np.ndarray], most: int) -> list[np.ndarray]:
+    """Of keys and logits, the ``most`` surest ones, each key once."""
+    key, at = np.unique(found[0], return_index=True)
+    logit = found[1][at]
+    order = np.lexsort((key, -np.abs(logit)))[:most]
+    return [key[order], logit[order]]
+
+
+def surest_of(free: DataFrame) -> Callable:
+    """What ``co_train`` asks for, over all rows of ``free`` (key, text_view, meta_view); ties go to the smaller key.
+
+    Tasks keep the surest rows of each view and class, which are merged in two steps; at most GIVEN rows of each view reach
+    the driver.
+    """
+    spark = free.sparkSession
+
+    def surest(models: dict[str, Logistic], given: dict[str, set[int]], most: tuple[int, int]) -> dict[str, list]:
+        shared = spark.sparkContext.broadcast((dict(models), {v: np.array(sorted(given[v]), np.int64) for v in _VIEWS}))
+        limit = float(np.log(SURE / (1 - SURE)))
+
+        def run(batches: Iterator[pa.RecordBatch]):
+            fitted, known = shared.value
+            best = {(i, c): [np.zeros(0, np.int64), np.zeros(0)] for i in (0, 1) for c in (0, 1)}
+            for b in batches:
+                keys = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                for i, v in enumerate(_VIEWS):
+                    logit = fitted[v].logit(_dense(b.column(1 + i))) if len(keys) else np.zeros(0)
+                    fresh = (np.abs(logit) >= limit) & ~np.isin(keys, known[v])
+                    for c in (0, 1):
+                        own = fresh & ((logit > 0) == c)
+                        if own.any():
+                            best[i, c] = _first([np.append(best[i, c][0], keys[own]), np.append(best[i, c][1], logit[own])], most[c])
+            for (i, c), (key, logit) in best.items():
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), i, np.int32)), pa.array(np.full(len(key), c, np.int32)), pa.array(-np.abs(logit)), pa.array(key)], ["view", "y", "d", "key"])
+
+        found = free.mapInArrow(run, "view int, y int, d double, key long").withColumn("part", F.pmod("key", F.lit(32)))
+        some = found.groupBy("view", "y", "part").agg(F.collect_set(F.struct("d", "key")).alias("x")).select("view", "y", F.explode(_slice("x", most)).alias("x"))
+        rows = some.groupBy("view", "y").agg(F.collect_set("x").alias("x")).select("view", "y", F.explode(_slice("x", most)).alias("x")).select("view", "y", "x.key").collect()
+        out: dict[str, list] = {v: [] for v in _VIEWS}
+        if rows:
+            small = spark.createDataFrame([(k,) for k in sorted({r["key"] for r in rows})], "key long")
+            features = {r["key"]: {"text": np.frombuffer(r["text_view"], np.float32), "meta": np.frombuffer(r["meta_view"], np.float32)} for r in free.join(F.broadcast(small), "key").dropDuplicates(["key"]).collect()}
+            for r in sorted(rows):
+                out[_VIEWS[r["view"]]].append((r["key"], r["y"], features[r["key"]]))
+        shared.destroy()
+        return out
+
+    return surest
+
+
+def _slice(column: str, most: tuple[int, int]) -> Column:
+    """The first most[y] of the sorted array."""
+    return F.filter(F.array_sort(column), lambda _, i: i < F.when(F.col("y") == 1, most[1]).otherwise(most[0]))
 
 
 def _views(docs: DataFrame) -> DataFrame:
@@ -167,8 +235,11 @@ def _columns(docs: DataFrame) -> DataFrame:
     return d.select("doc_id", "text", F.col("lang").cast("string"), F.col("source").cast("string"), F.col("n_chars").cast("double"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label: str = "quality", labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> Model | None:
-    """None if no label can be used. Null labels don't count; of several labels of a document the largest counts."""
+def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label: str = "quality", labelled: int = LABELLED, rounds: int = ROUNDS) -> Model | None:
+    """None if no label can be used. Null labels don't count; of several labels of a document the largest counts.
+
+    Unlabelled are all rows with a doc_id that ``labels`` doesn't have; rows that are equal in doc_id and features count once.
+    """
     found = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).dropna()
     if allowed is not None:
         found = found.filter(allowed)
@@ -177,19 +248,17 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     if not keys:
         return None
     spark, every = docs.sparkSession, _columns(docs)
-    free = every.select("doc_id").filter("doc_id is not null").join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti")
-    unlabelled = [r["doc_id"] for r in free.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).collect()]  # at most ``pool`` rows
-    small = spark.createDataFrame([(i,) for i in {*keys, *unlabelled}], "doc_id long")
+    small = spark.createDataFrame([(i,) for i in keys], "doc_id long")
     rows = {r["doc_id"]: r for r in _views(every.join(F.broadcast(small), "doc_id")).collect()}
     ids = sorted(k for k in keys if k in rows)
     if not ids:
         return None
-    rest = sorted({i for i in unlabelled if i in rows})
-    stack = lambda which, of, width: np.stack([np.frombuffer(rows[i][which], np.float32) for i in of]) if of else np.zeros((0, width), np.float32)
-    text, meta = stack("text_view", ids, 0), stack("meta_view", ids, 0)
+    text, meta = (np.stack([np.frombuffer(rows[i][c], np.float32) for i in ids]) for c in ("text_view", "meta_view"))
     y = np.array([keys[i] for i in ids], float)
     apart = np.arange(len(ids)) % 4 == 0
-    return co_train(text, meta, y, stack("text_view", rest, text.shape[1]), stack("meta_view", rest, meta.shape[1]), apart if (~apart).any() else np.zeros(len(ids), bool), rounds)
+    free = _views(every.filter("doc_id is not null")).join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti")
+    free = materialise(free.select(F.xxhash64("doc_id", "text_view", "meta_view").alias("key"), "text_view", "meta_view"))
+    return co_train(text, meta, y, surest_of(free), apart if (~apart).any() else np.zeros(len(ids), bool), rounds)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:

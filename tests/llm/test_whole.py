@@ -7,9 +7,9 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from paperloom.llm import toxicity
+from paperloom.llm import quality, toxicity
 
-from .data import prose
+from .data import COLUMNS, prose
 
 
 def test_nearest_examples_over_the_whole_vocabulary():
@@ -43,3 +43,37 @@ def test_nearest_examples_over_the_whole_vocabulary():
         top, found = ix.nearest(terms, q, k)
         assert len(top) == k and found == pytest.approx(sorted(cos.values(), reverse=True)[:k])
         assert [cos[i] for i in ix.ids[top].tolist()] == pytest.approx(found.tolist())
+
+
+def test_co_training_reaches_all_unlabelled_rows_and_gives_each_once(spark, monkeypatch):
+    docs = [(i, prose(30, i) if i % 3 else "BUY!! NOW!! " * (9 + i % 7), "en", f"s{i % 3}", 100, None, None, None) for i in range(5000)]
+    df = spark.createDataFrame(docs, COLUMNS).repartition(5)
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(240)], "doc_id long, quality int, toxic int")
+    seen, rounds = [], []
+    make = quality.surest_of
+
+    def watched(free):
+        seen.append(free.count())
+        ask = make(free)
+
+        def surest(models, given, most):
+            rows = free.collect()
+            found = ask(models, given, most)
+            for v in ("text", "meta"):
+                p = {r.key: float(models[v].logit(np.frombuffer(r[f"{v}_view"], np.float32)[None])[0]) for r in rows if r.key not in given[v]}
+                for c in (0, 1):
+                    sure = sorted((-abs(x), k) for k, x in p.items() if abs(x) >= math.log(19) and (x > 0) == c)[: most[c]]
+                    mine = [(-abs(p[k]), k) for k, y, _ in found[v] if y == c]
+                    assert [d for d, _ in sorted(mine)] == pytest.approx([d for d, _ in sure])
+            rounds.append({v: [k for k, _, _ in found[v]] for v in found})
+            return found
+
+        return surest
+
+    monkeypatch.setattr(quality, "surest_of", watched)
+    assert quality.fit(df, labels, rounds=3) is not None
+    assert seen == [4760] and len(rounds) == 3
+    for v in ("text", "meta"):
+        assert len(rounds[0][v]) == quality.GIVEN == len(rounds[2][v])  # later rounds pass as many new rows
+        every = [k for r in rounds for k in r[v]]
+        assert len(every) == len(set(every))
