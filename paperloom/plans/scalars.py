@@ -8,10 +8,10 @@ from ..functions import names as N
 from ..functions import predicates as P
 from ..functions import text as T
 from ..functions import values as V
+from ..sources.lines import layout_lines
 from .registry import query, scalar
 
 DOCS = "SELECT doc_id AS k, text AS s FROM {documents}"
-LINES = "SELECT doc_id AS k, substr(text, 1, 200) AS s FROM {documents}"
 CHATS = "SELECT conv_id * 100 + turn AS k, text AS s FROM {conversations}"
 LAST = "CASE c_custkey % 6 WHEN 0 THEN 'Smith' WHEN 1 THEN 'O''Brien' WHEN 2 THEN 'de la Cruz' WHEN 3 THEN 'Smith-Jones' WHEN 4 THEN 'VALENCIA' ELSE 'Strunk' END"
 FIRST = "CASE c_custkey % 7 WHEN 0 THEN 'Jonathan' WHEN 1 THEN 'Efrain' WHEN 2 THEN 'Mary Ann' WHEN 3 THEN 'Antione D.' WHEN 4 THEN 'William James Robert' WHEN 5 THEN 'anna' ELSE 'Lee' END"
@@ -34,6 +34,18 @@ def _list(values) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
+def by_line(name: str, out: dict, oracle: dict[str, str]) -> None:
+    """Registers functions of s, every line of the whole texts, beside the document k and line_no."""
+
+    def run(df):
+        lines = layout_lines(df).withColumnsRenamed({"doc_id": "k", "text": "s"})
+        return lines.select("k", "line_no", *[f(F.col("s")).alias(c) for c, f in out.items()])
+
+    cols = ", ".join(f"{e} AS {c}" for c, e in oracle.items())
+    lines = "SELECT doc_id AS k, CAST(i AS BIGINT) AS line_no, rtrim(l[i]) AS s FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM t)"
+    query(name, "SELECT doc_id, text FROM {documents}", f"SELECT k, line_no, {cols} FROM ({lines})")(run)
+
+
 _CLEAN = r"trim(regexp_replace(s, '\s+', ' ', 'g'))"
 _STRIP = r"regexp_replace(s, '^\s+|\s+$', '', 'g')"
 _TOKENS = rf"list_filter(string_split({_CLEAN}, ' '), w -> w <> '')"
@@ -181,7 +193,7 @@ scalar("flt_02", CHATS, {"v": lambda s: F.length(T.strip(s)) > 0}, {"v": f"lengt
 scalar("flt_04", DOCS, {"v": P.garbled}, {"v": r"""regexp_replace(s, '^\s+|\s+$', '', 'g') <> '' AND (length(regexp_replace(s, '[^\x{E000}-\x{F8FF}\x00-\x08\x0b\x0c\x0e-\x1f]', '', 'g')) > 0.3 * length(s)
     OR len(list_filter(string_split(s, chr(10)), l -> len(list_filter(string_split_regex(l, '\s+'), w -> regexp_full_match(w, '\p{L}+'))) >= 6 AND len(list_filter(string_split_regex(l, '\s+'), w -> regexp_full_match(w, '\p{L}') AND lower(w) NOT IN ('a', 'i'))) > 0.4 * len(list_filter(string_split_regex(l, '\s+'), w -> regexp_full_match(w, '\p{L}+'))))) > 0)"""})
 _N = lambda p, e="s": rf"length(regexp_replace({e}, '[^{p}]', '', 'g'))"
-scalar("flt_05", LINES, {"v": P.letterish}, {"v": rf"{_N(chr(92) + 'p{L}')} >= 3 AND {_N(chr(92) + 'p{L}')} > {_N(chr(92) + 'p{Nd}')}"})
+by_line("flt_05", {"v": P.letterish}, {"v": rf"{_N(chr(92) + 'p{L}')} >= 3 AND {_N(chr(92) + 'p{L}')} > {_N(chr(92) + 'p{Nd}')}"})
 scalar("flt_06", PLANS, {"v": P.claims_readable}, {"v": r"regexp_matches(s, 'Health\s*Plan\s*ID\s*:|Pat\.?\s*Acct\s*#|Patient\s+Acct\.?\s*#|Member Totals\s*[:;]')"})
 CHROME = "SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'Page ' || CAST(o_orderkey AS STRING) || ' of 9' WHEN 1 THEN ' Payroll Changes' WHEN 2 THEN 'Changed Field Changed From Changed To' WHEN 3 THEN 'Smith, Jo  Associate ID: 4' ELSE 'Smith, Jo' || CAST(o_custkey AS STRING) END AS s FROM {orders}"
 scalar("flt_08", CHROME, {"v": P.page_chrome}, {"v": r"regexp_matches(lower(s), '^page\s+\d+\s+of\s+\d+') OR trim(lower(s)) IN ('employee payroll changes', 'payroll changes')"})
@@ -191,7 +203,7 @@ query("flt_10", f"SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'E-' |
 )
 scalar("flt_11", "SELECT s_suppkey AS k, CASE s_suppkey % 4 WHEN 0 THEN 'Inc.' WHEN 1 THEN '' WHEN 2 THEN ' LLC' ELSE 'Ann' END AS s FROM {supplier}", {"v": N.is_person}, {"v": "lower(trim(s)) NOT IN ('', 'inc', 'inc.', 'llc', 'llc.')"})
 query("flt_12", f"SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN {FIRST} ELSE '' END AS f, CASE WHEN c_custkey % 3 = 0 THEN {LAST} ELSE '' END AS l, CASE WHEN c_custkey % 5 = 0 THEN {SERIAL} ELSE '' END AS s FROM {{customer}}", "SELECT k FROM t WHERE f <> '' OR l <> '' OR s <> ''")(lambda df: df.filter("f <> '' or l <> '' or s <> ''").select("k"))
-scalar("flt_14", LINES.replace("200", "30"), {"v": P.looks_like_label, "u": P.mostly_upper}, {"v": rf"""len(list_filter(string_split_regex(rtrim({_STRIP}, ':'), '\s+'), w -> w <> '')) <= 8 AND (({_STRIP}) LIKE '%:' OR (length(regexp_replace(s, '\P{{L}}', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{{Lu}}]', '', 'g')) >= 0.75 * length(regexp_replace(s, '\P{{L}}', '', 'g')) AND len(list_filter(string_split_regex(rtrim({_STRIP}, ':'), '\s+'), w -> w <> '')) <= 5))""", "u": r"length(regexp_replace(s, '\P{L}', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{Lu}]', '', 'g')) >= 0.75 * length(regexp_replace(s, '\P{L}', '', 'g'))"})
+by_line("flt_14", {"v": P.looks_like_label, "u": P.mostly_upper}, {"v": rf"""len(list_filter(string_split_regex(rtrim({_STRIP}, ':'), '\s+'), w -> w <> '')) <= 8 AND (({_STRIP}) LIKE '%:' OR (length(regexp_replace(s, '\P{{L}}', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{{Lu}}]', '', 'g')) >= 0.75 * length(regexp_replace(s, '\P{{L}}', '', 'g')) AND len(list_filter(string_split_regex(rtrim({_STRIP}, ':'), '\s+'), w -> w <> '')) <= 5))""", "u": r"length(regexp_replace(s, '\P{L}', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{Lu}]', '', 'g')) >= 0.75 * length(regexp_replace(s, '\P{L}', '', 'g'))"})
 scalar("flt_16", TEXT_NAMES, {"v": P.form_label}, {"v": rf"list_has_any(string_split_regex(upper(s), '\s+'), {_list(P.LABEL_WORDS)})"})
 scalar("flt_17", PLAIN_NAMES, {"v": lambda s: (F.size(T.tokens(s)) >= 2) & ~s.rlike(r"\d")}, {"v": rf"len({_TOKENS}) >= 2 AND NOT regexp_matches(s, '\d')"})
 SURNAMES = "SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'Medi-Cal VILLA, Daniel' WHEN 1 THEN 'VILLA, Daniel' WHEN 2 THEN 'Medicare Commercial ROE, Jane' ELSE 'no name' END AS s FROM {orders}"
