@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query_id long, query binary, vec_id long, score double"
 #: Queries in a tile; the query blocks each task reads one by one.
 QUERY_BLOCK = 1024
 #: Candidates in a tile.
@@ -54,10 +54,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id"
     """query_id, rank, vec_id, score: the k nearest other rows of each query, ties to the smaller id; all, if there are fewer.
 
     ``is_query`` is over the column ``id``. Vectors of other lengths than the query's are no candidates; repeated ids are
-    candidates of their own, except those that bear the query's id.
+    candidates of their own, except those that bear the query's id. Query rows of one id and equal vectors are one query; of
+    one id and other vectors, each is a query of its own, with its own ranks.
     """
     every = usable(vectors, key, vector)
-    queries = every.filter(is_query)
+    queries = every.filter(is_query).distinct()
     n = queries.count()
     blocks = max(1, -(-n // QUERY_BLOCK))
     # A block of queries is one row of bounded size. Tiles are dealt to ``salts`` groups, each of which gets every block once.
@@ -68,17 +69,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id"
     joined = tiles.join(packed, ["b", "salt"])
 
     def multiply(batches: Iterator[pa.RecordBatch]):
-        best: dict[int, list] = {}  # the k nearest so far of each query in this task
+        best: dict[tuple[int, bytes], list] = {}  # the k nearest so far of each query (id and vector) in this task
         for batch in batches:
             for row in range(batch.num_rows):
                 _tile(batch, row, k, best)
-        rows = [(q, -m, s) for q, heap in best.items() for s, m in heap]
+        rows = [(*q, -m, s) for q, heap in best.items() for s, m in heap]
         if rows:
-            a, b, c = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], ["query_id", "vec_id", "score"])
+            a, v, b, c = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(v, pa.binary()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], ["query_id", "query", "vec_id", "score"])
 
     found = joined.select("ids", "tile", "width", "queries").mapInArrow(multiply, FOUND)
-    top = found.groupBy("query_id").agg(F.expr(f"slice(array_sort(collect_list(struct(-score as d, vec_id, score))), 1, {int(k)})").alias("near"))
+    top = found.groupBy("query_id", "query").agg(F.expr(f"slice(array_sort(collect_list(struct(-score as d, vec_id, score))), 1, {int(k)})").alias("near"))
     return top.select("query_id", F.posexplode("near").alias("rank", "x")).select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
 
 
@@ -98,7 +99,7 @@ def spread(every: DataFrame) -> DataFrame:
     return every.mapInArrow(run, "ids binary, tile binary, width int")
 
 
-def _tile(batch: pa.RecordBatch, row: int, k: int, best: dict[int, list]) -> None:
+def _tile(batch: pa.RecordBatch, row: int, k: int, best: dict[tuple[int, bytes], list]) -> None:
     width = batch.column(2)[row].as_py()
     ids = np.frombuffer(batch.column(0)[row].as_py(), np.int64)
     x = np.frombuffer(batch.column(1)[row].as_py(), np.float64).reshape(len(ids), width)
@@ -119,14 +120,15 @@ def _tile(batch: pa.RecordBatch, row: int, k: int, best: dict[int, list]) -> Non
         least = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
     else:
         least = np.full(len(keys), -np.inf)
-    known = np.array([best[i][0][0] if len(best.get(i, ())) == k else -np.inf for i in keys.tolist()])
+    names = [(i, v.tobytes()) for i, v in zip(keys.tolist(), q)]
+    known = np.array([best[i][0][0] if len(best.get(i, ())) == k else -np.inf for i in names])
     keep = (about + slack >= np.maximum(least, known)[:, None]) & ~self_pair
     qi, xi = np.nonzero(keep)
     for at in range(0, len(qi), 65_536):
         i, j = qi[at : at + 65_536], xi[at : at + 65_536]
         exact = cosine(q[i], x[j])
-        for key, other, s in zip(keys[i].tolist(), ids[j].tolist(), exact.tolist()):
-            heap = best.setdefault(key, [])
+        for at_query, other, s in zip(i.tolist(), ids[j].tolist(), exact.tolist()):
+            heap = best.setdefault(names[at_query], [])
             if len(heap) < k:
                 heapq.heappush(heap, (s, -other))
             elif (s, -other) > heap[0]:

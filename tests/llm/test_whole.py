@@ -6,8 +6,9 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from paperloom.llm import quality, toxicity
+from paperloom.llm import neighbours, quality, toxicity
 
 from .data import COLUMNS, prose
 
@@ -77,3 +78,21 @@ def test_co_training_reaches_all_unlabelled_rows_and_gives_each_once(spark, monk
         assert len(rounds[0][v]) == quality.GIVEN == len(rounds[2][v])  # later rounds pass as many new rows
         every = [k for r in rounds for k in r[v]]
         assert len(every) == len(set(every))
+
+
+def test_a_repeated_query_row_keeps_all_its_neighbours(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(60, 8))
+    other = r.normal(size=8)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist()), (1, other.tolist()), (2, x[2].tolist()), (2, x[2].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = {}
+    for g in neighbours.search(df, F.col("id") < 2, 5).collect():
+        got.setdefault(g.query_id, []).append((g["rank"], g.vec_id, round(g.score, 9)))
+
+    def nearest(i, v):
+        cos = sorted((-float(np.dot(v, w) / np.linalg.norm(v) / np.linalg.norm(w)), j) for j, w in rows if j != i)
+        return [(n + 1, j, round(-c, 9)) for n, (c, j) in enumerate(cos[:5])]
+
+    assert sorted(got[0]) == nearest(0, x[0])
+    assert sorted(got[1]) == sorted(nearest(1, x[1]) + nearest(1, other))
