@@ -22,6 +22,8 @@ from .common import documents, materialise, mix, steps, word_codes
 
 #: Sketches in each of the two collections; each is made of two minima.
 SIDE = 8
+#: A node of the graph: the smallest doc_id that has a set, and the hash of its text.
+NODE = "struct<doc_id:bigint,hash:bigint>"
 _M = np.uint64(0x9FB21C651E98DF25)
 _ODD = mix(np.arange(1, 4 * SIDE + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(101, 4 * SIDE + 101, dtype=np.uint64))
@@ -69,7 +71,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, a 128-bit hash of the set (s1, s2), and the sketches of both collections; null for empty sets."""
+    """doc_id, the text's hash, n_shingles, a 128-bit hash of the set (s1, s2), and the sketches of both collections; null for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         with np.errstate(over="ignore"):
@@ -87,27 +89,27 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     sketch[full] = mix(minima[:, 0::2] * _M + minima[:, 1::2])
                 lists = pa.FixedSizeListArray.from_arrays(_signed(sketch.ravel()), 2 * SIDE).cast(pa.list_(pa.int64()))
                 lists = pc.if_else(pa.array(n > 0), lists, pa.nulls(len(n), lists.type))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), _signed(sums[0]), _signed(sums[1]), lists], ["doc_id", "n_shingles", "s1", "s2", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), _signed(sums[0]), _signed(sums[1]), lists], ["doc_id", "hash", "n_shingles", "s1", "s2", "sketch"])
 
-    return documents(docs).mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, sketch array<long>")
+    return documents(docs).withColumn("hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, hash long, n_shingles long, s1 long, s2 long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id and the sorted shingles as binary."""
+    """node and the sorted shingles as binary of each row (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         with np.errstate(over="ignore"):
             for batch in steps(batches):
                 h, at = shingle_sets(batch.column(1), size)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(batch.num_rows)], pa.binary())], ["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(batch.num_rows)], pa.binary())], ["node", "shingles"])
 
-    return docs.mapInArrow(run, "doc_id long, shingles binary")
+    return docs.mapInArrow(run, f"node {NODE}, shingles binary")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets share at least ``percent`` of their union."""
-    left = pairs.join(sets.withColumnsRenamed({"doc_id": "b", "shingles": "sb"}), "b")
-    both = left.join(sets.withColumnsRenamed({"doc_id": "a", "shingles": "sa"}), "a").select("a", "b", "sa", "sb")
+    left = pairs.join(sets.withColumnsRenamed({"node": "b", "shingles": "sb"}), "b")
+    both = left.join(sets.withColumnsRenamed({"node": "a", "shingles": "sa"}), "a").select("a", "b", "sa", "sb")
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -124,16 +126,16 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, f"a {NODE}, b {NODE}")
 
 
 def _sharing(rows: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
-    """The rows (k, doc_id, root) of documents that can have a link among them, with n, the set's size, and shared.
+    """The rows (k, node, root) of documents that can have a link among them, with n, the set's size, and shared.
 
     ``shared`` counts the shingles that another of the documents has too. Less than ``percent`` of a set, and no link is
     possible; without such documents the others share less, so it is counted again.
     """
-    ids = rows.select("doc_id").distinct()
+    ids = rows.select("node").distinct()
     for _ in range(rounds):
 
         def run(batches: Iterator[pa.RecordBatch]):
@@ -142,15 +144,15 @@ def _sharing(rows: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) ->
                     part = batch.slice(at, 500)
                     h = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
                     size = np.array([len(x) for x in h])
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.concatenate(h))], ["doc_id", "h"])
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.concatenate(h))], ["node", "h"])
 
-        own = sets.join(ids, "doc_id").select("doc_id", "shingles")
-        alone = own.mapInArrow(run, "doc_id long, h long").groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("m")).filter("m = 1").groupBy("doc_id").agg(F.count("*").alias("alone"))
-        size = own.select("doc_id", (F.length("shingles") / 8).cast("long").alias("n"))
-        fit = size.join(alone, "doc_id", "left").select("doc_id", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
+        own = sets.join(ids, "node").select("node", "shingles")
+        alone = own.mapInArrow(run, f"node {NODE}, h long").groupBy("h").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1").groupBy("node").agg(F.count("*").alias("alone"))
+        size = own.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
+        fit = size.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
         kept = materialise(fit.filter(f"100 * shared >= {percent} * n"))
-        ids = kept.select("doc_id")
-    return rows.join(kept, "doc_id")
+        ids = kept.select("node")
+    return rows.join(kept, "node")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -185,40 +187,41 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """doc_id, n_shingles, component_id and kept of each row.
 
     Documents without words are linked with nothing. Rows without a doc_id are linked with nothing and have a null
-    component, rows of one doc_id are one node. An empty table gives no rows.
+    component. Each text of a doc_id is compared on its own set, and all texts of a doc_id are in one component. An empty table gives no rows.
     """
     found = materialise(signatures(docs, size))
     full = found.filter("sketch is not null and doc_id is not null")
     key = ["s1", "s2", "n_shingles"]
-    nodes = materialise(full.groupBy(*key).agg(F.min(F.struct("doc_id", "sketch")).alias("x")).select("x.doc_id", "x.sketch", *key))
+    nodes = materialise(full.groupBy(*key).agg(F.min(F.struct("doc_id", "hash", "sketch")).alias("x")).select(F.struct("x.doc_id", "x.hash").alias("node"), "x.sketch", *key))
     pairs = [F.xxhash64(F.lit(i * SIDE + j), F.col("sketch")[i], F.col("sketch")[SIDE + j]) for i in range(SIDE) for j in range(SIDE)]
-    keys = nodes.select("doc_id", F.posexplode(F.array(*pairs)).alias("p", "k"))
-    least = keys.groupBy("k").agg(F.min("doc_id").alias("a"), F.count("*").alias("m")).filter("m > 1").drop("m")
+    keys = nodes.select("node", F.posexplode(F.array(*pairs)).alias("p", "k"))
+    least = keys.groupBy("k").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").drop("m")
     # Buckets of two documents or more, with their smallest one.
     bucket = materialise(keys.join(least, "k"))
-    first = materialise(bucket.filter("a <> doc_id").groupBy(F.col("doc_id").alias("b")).agg(F.min("a").alias("a")))
-    wanted = bucket.select("doc_id").distinct()
-    sets = materialise(full_sets(documents(docs).join(wanted, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text")), size), "none")
+    first = materialise(bucket.filter("a <> node").groupBy(F.col("node").alias("b")).agg(F.min("a").alias("a")))
+    wanted = bucket.select("node").distinct()
+    texts = documents(docs).withColumn("hash", F.xxhash64("text")).join(wanted.select("node.*"), ["doc_id", "hash"], "left_semi").groupBy("doc_id", "hash").agg(F.min("text").alias("text"))
+    sets = materialise(full_sets(texts.select(F.struct("doc_id", "hash").alias("node"), "text"), size), "none")
     tested = first.select("a", "b")
     edges = materialise(linked(tested, sets, percent))
     roots = components(edges)
     for turn in (1, 2, 3, None):
         # What is left of buckets that span components: a component holds its documents, so links inside it are settled.
-        at = bucket.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+        at = bucket.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         spans = at.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("k")
         open_ = materialise(at.join(spans, "k"))
         if open_.isEmpty():
             break
         if turn:
             # Each bucket draws a centre; a document is held against up to four centres of other components.
-            centre = open_.groupBy("k").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("h"), "doc_id", "root")).alias("c"))
-            met = open_.join(centre, "k").filter("root <> c.root").groupBy("doc_id").agg(F.slice(F.array_sort(F.collect_set(F.struct("c.root", "c.h", F.col("c.doc_id").alias("to")))), 1, 4).alias("c"))
-            more = met.select("doc_id", F.explode("c.to").alias("to")).select(F.least("doc_id", "to").alias("a"), F.greatest("doc_id", "to").alias("b"))
+            centre = open_.groupBy("k").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("c"))
+            met = open_.join(centre, "k").filter("root <> c.root").groupBy("node").agg(F.slice(F.array_sort(F.collect_set(F.struct("c.root", "c.h", F.col("c.node").alias("to")))), 1, 4).alias("c"))
+            more = met.select("node", F.explode("c.to").alias("to")).select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b"))
         else:
             # Shingles that no other of these documents has can't be shared, which bounds every union from below. A pair
             # counts in the first table that it shares alone.
-            near = _sharing(open_, sets, percent).join(nodes.select("doc_id", "sketch"), "doc_id")
-            x, y = (near.select("k", "p", F.col("doc_id").alias(n), F.col("root").alias(f"r{n}"), F.col("n").alias(f"n{n}"), F.col("shared").alias(f"s{n}"), F.col("sketch").alias(f"k{n}")) for n in "ab")
+            near = _sharing(open_, sets, percent).join(nodes.select("node", "sketch"), "node")
+            x, y = (near.select("k", "p", F.col("node").alias(n), F.col("root").alias(f"r{n}"), F.col("n").alias(f"n{n}"), F.col("shared").alias(f"s{n}"), F.col("sketch").alias(f"k{n}")) for n in "ab")
             y = y.drop("p")
             same = [f"array_position(zip_with(slice(ka, {at_}, {SIDE}), slice(kb, {at_}, {SIDE}), (u, v) -> u = v), true)" for at_ in (1, SIDE + 1)]
             more = x.join(y, (x["k"] == y["k"]) & F.expr(f"a < b and ra <> rb and (100 + {percent}) * least(sa, sb) >= {percent} * (na + nb) and {same[0]} = p div {SIDE} + 1 and {same[1]} = p % {SIDE} + 1"))
@@ -231,20 +234,23 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             edges = edges.unionByName(new)
             roots = components(edges)
     # A copy's node, then the node's component; several nodes of one doc_id fall together.
-    node = full.select("doc_id", *key).join(nodes.select(F.col("doc_id").alias("node"), *key), key).select("doc_id", "node")
-    placed = node.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
-    repeated = placed.groupBy("doc_id").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    torn = materialise(repeated)
-    split = torn.filter("lo <> hi")
+    node = full.select("doc_id", *key).join(nodes.select("node", *key), key).select("doc_id", "node")
+    placed = materialise(node.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node")["doc_id"].alias("root")).distinct())
+    torn = placed.groupBy("doc_id").agg(F.min("root").alias("lo"))
+    split = placed.join(torn, "doc_id").filter("lo <> root").select(F.col("lo").alias("a"), F.col("root").alias("b"))
     if not split.isEmpty():  # texts of one doc_id in several components join these
-        over = components(split.select(F.col("lo").alias("a"), F.col("hi").alias("b")))
-        torn = torn.select("doc_id", "lo").join(over.select(F.col("node").alias("lo"), "root"), "lo", "left").select("doc_id", F.coalesce("root", "lo").alias("lo"))
+        over = components(split)
+        torn = torn.join(over.select(F.col("node").alias("lo"), "root"), "lo", "left").select("doc_id", F.coalesce("root", "lo").alias("lo"))
     out = found.select("doc_id", "n_shingles").join(torn.select("doc_id", F.col("lo").alias("component_id")), "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, of one document of each component (that with the smallest doc_id)."""
-    gone = near_duplicates(docs, size, percent).filter("not kept").select(F.col("doc_id").alias("_paperloom_id")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_paperloom_id"), "left_anti")
+    """The rows of ``docs``, all columns, of one document of each component (that with the smallest doc_id); of equal rows one."""
+    found = materialise(near_duplicates(docs, size, percent).groupBy(F.col("doc_id").alias("_paperloom_id")).agg(F.min("kept").alias("kept"), F.count("*").alias("n")).filter("_paperloom_id is not null and (n > 1 or not kept)"))
+    same = F.col("doc_id").cast("long") == F.col("_paperloom_id")
+    again = found.filter("kept")
+    if again.isEmpty():
+        return docs.join(found, same, "left_anti")
+    return docs.join(found, same, "left_anti").unionByName(docs.join(again, same, "left_semi").dropDuplicates())

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from paperloom.llm import neighbours, quality, toxicity
+from paperloom.llm import neardup, neighbours, quality, toxicity
 
 from .data import COLUMNS, prose
 
@@ -96,3 +96,13 @@ def test_a_repeated_query_row_keeps_all_its_neighbours(spark):
 
     assert sorted(got[0]) == nearest(0, x[0])
     assert sorted(got[1]) == sorted(nearest(1, x[1]) + nearest(1, other))
+
+
+def test_every_text_of_a_doc_id_is_compared_on_its_own_set(spark):
+    first, other, third = (prose(120, i).split() for i in (51, 52, 53))
+    near = lambda words: " ".join([*words[:5], "changed", *words[6:]])
+    texts = [(1, " ".join(first)), (1, " ".join(other)), (1, " ".join(third)), (2, near(first)), (3, near(other)), (4, near(third)), (5, prose(120, 54)), (5, prose(120, 54))]
+    df = spark.createDataFrame([(i, t, *[None] * 6) for i, t in texts], COLUMNS)
+    assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)}
+    kept = neardup.without_near_duplicates(df)
+    assert kept.schema == df.schema and sorted((r.doc_id, r.text) for r in kept.collect()) == sorted({t for t in texts if t[0] in (1, 5)})
