@@ -2,9 +2,10 @@
 
 Two small collections of sketches, each of two minima, are computed for a document's set of word shingles; every pair of
 one sketch of either collection is a table key, so 32 minima give 64 tables. Documents of equal sets are one node. In each
-table bucket a document is first held against the bucket's smallest one, on full sets; where a bucket still spans several
-components, its documents are held against the smallest again, then against each other across components. Components are
-contracted by tables, never on the driver.
+table bucket a document is held against the bucket's smallest one, on full sets. In buckets that still span several
+components, documents are held against the one that shares most, and at last against those documents of other components
+with which the place of the first shingle in common leaves room for a link; nothing is held against all of a bucket.
+Components are contracted by tables, never on the driver.
 """
 
 from __future__ import annotations
@@ -129,30 +130,52 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, f"a {NODE}, b {NODE}")
 
 
-def _sharing(rows: DataFrame, sets: DataFrame, percent: int, rounds: int = 2) -> DataFrame:
-    """The rows (k, node, root) of documents that can have a link among them, with n, the set's size, and shared.
+def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """node, n (the set's size) and shared (the rarest of its shared shingles first, as structs m, h) of the rows' nodes that can have a link among them.
 
-    ``shared`` counts the shingles that another of the documents has too. Less than ``percent`` of a set, and no link is
-    possible; without such documents the others share less, so it is counted again.
+    Shingles that no other of the nodes has can't be shared. If they are too many, the node goes; without such nodes others
+    share less, so the rest is counted again.
     """
-    ids = rows.select("node").distinct()
-    for _ in range(rounds):
-
-        def run(batches: Iterator[pa.RecordBatch]):
-            for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
-                    h = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
-                    size = np.array([len(x) for x in h])
-                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.concatenate(h))], ["node", "h"])
-
-        own = sets.join(ids, "node").select("node", "shingles")
-        alone = own.mapInArrow(run, f"node {NODE}, h long").groupBy("h").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1").groupBy("node").agg(F.count("*").alias("alone"))
-        size = own.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
-        fit = size.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("shared"))
-        kept = materialise(fit.filter(f"100 * shared >= {percent} * n"))
-        ids = kept.select("node")
-    return rows.join(kept, "node")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                h = [np.frombuffer(x.as_buffer(), np.int64) for x in part.column(1)]
+                size = np.array([len(x) for x in h])
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.repeat(np.arange(len(size)), size))), pa.array(np.concatenate(h))], ["node", "h"])
+
+    own = sets.join(rows.select("node").distinct(), "node").select("node", "shingles")
+    size = own.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
+    alone = own.mapInArrow(run, f"node {NODE}, h long").groupBy("h").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    fit = materialise(size.join(alone, "node", "left").filter(f"100 * (n - coalesce(alone, 0)) >= {percent} * n").select("node", "n"))
+    every = sets.join(fit.select("node"), "node").select("node", "shingles").mapInArrow(run, f"node {NODE}, h long")
+    often = every.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1")
+    shared = every.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("m", "h"))).alias("shared"))
+    return materialise(fit.join(shared, "node").filter(f"100 * size(shared) >= {percent} * n"))
+
+
+def _first_shared(able: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that can be linked, by the place of their first common shingle.
+
+    A node's shingles are in one order for all, rare ones first. If the first that two sets have in common is at place i of
+    n and at place j of m, they share min(n - i, m - j) at most; so links need a common shingle far enough in front. The
+    smaller set of a pair stands under its size class, the larger one asks the classes that its places leave room for:
+    sets that have many shingles of their own in front meet only sets that are smaller enough.
+    """
+    p = percent
+    d = able.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    d = d.withColumn("room", F.size("shared").cast("long")).withColumn("own", F.col("n") - F.col("room"))
+    d = d.withColumn("front", F.expr(f"slice(shared, 1, cast(greatest(0, n - own - cast(ceil({p} * n / 100) as long) + 1) as int))"))
+    each = d.select("node", "root", "n", "room", "own", F.posexplode("front").alias("at", "x")).select("node", "root", "n", "room", F.col("x.h").alias("h"), (F.col("n") - F.col("own") - F.col("at")).alias("rest"))
+    kind = lambda n: f"cast(floor(ln({n}) * 25) as int)"  # noqa: E731  classes are 4 % wide
+    small = each.filter(f"{100 + p} * rest >= {2 * p} * n").select("h", F.expr(kind("n")).alias("c"), *(F.col(x).alias(f"{x}_a") for x in ("node", "root", "n", "room", "rest")))
+    most = f"least(n, cast(floor(({100 + p} * rest - {p} * n) / {p}) as long))"
+    large = each.withColumn("least", F.expr(f"cast(ceil({p} * n / 100) as long)")).withColumn("most", F.expr(most)).filter("most >= least")
+    large = large.select("h", F.explode(F.expr(f"sequence({kind('least')}, {kind('most')})")).alias("c"), *(F.col(x).alias(f"{x}_b") for x in ("node", "root", "n", "room", "rest")))
+    fits = F.expr(f"root_a <> root_b and (n_a < n_b or (n_a = n_b and node_a < node_b)) and {100 + p} * least(rest_a, rest_b, room_a, room_b) >= {p} * (n_a + n_b)")
+    met = small.join(large, (small["h"] == large["h"]) & (small["c"] == large["c"]) & fits)
+    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -183,6 +206,23 @@ def _followed(roots: DataFrame) -> DataFrame:
             return roots
 
 
+def _open(bucket: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (k, node, root) of buckets that span components; a component holds its documents, so links inside it are settled."""
+    at = bucket.join(roots, "node", "left").select("k", "node", F.coalesce("root", "node").alias("root"))
+    spans = at.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("k")
+    return materialise(at.join(spans, "k"))
+
+
+def _joined(edges: DataFrame, roots: DataFrame, tested: DataFrame, more: DataFrame, sets: DataFrame, percent: int):
+    """edges, roots and tested after the pairs ``more`` have been held against each other."""
+    more = materialise(more.join(tested, ["a", "b"], "left_anti"))
+    new = materialise(linked(more, sets, percent))
+    if new.isEmpty():
+        return edges, roots, tested.unionByName(more)
+    edges = edges.unionByName(new)
+    return edges, components(edges), tested.unionByName(more)
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of each row.
 
@@ -194,7 +234,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     key = ["s1", "s2", "n_shingles"]
     nodes = materialise(full.groupBy(*key).agg(F.min(F.struct("doc_id", "hash", "sketch")).alias("x")).select(F.struct("x.doc_id", "x.hash").alias("node"), "x.sketch", *key))
     pairs = [F.xxhash64(F.lit(i * SIDE + j), F.col("sketch")[i], F.col("sketch")[SIDE + j]) for i in range(SIDE) for j in range(SIDE)]
-    keys = nodes.select("node", F.posexplode(F.array(*pairs)).alias("p", "k"))
+    keys = nodes.select("node", F.explode(F.array(*pairs)).alias("k"))
     least = keys.groupBy("k").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").drop("m")
     # Buckets of two documents or more, with their smallest one.
     bucket = materialise(keys.join(least, "k"))
@@ -205,34 +245,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     tested = first.select("a", "b")
     edges = materialise(linked(tested, sets, percent))
     roots = components(edges)
-    for turn in (1, 2, 3, None):
-        # What is left of buckets that span components: a component holds its documents, so links inside it are settled.
-        at = bucket.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        spans = at.groupBy("k").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("k")
-        open_ = materialise(at.join(spans, "k"))
-        if open_.isEmpty():
-            break
-        if turn:
-            # Each bucket draws a centre; a document is held against up to four centres of other components.
-            centre = open_.groupBy("k").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("c"))
-            met = open_.join(centre, "k").filter("root <> c.root").groupBy("node").agg(F.slice(F.array_sort(F.collect_set(F.struct("c.root", "c.h", F.col("c.node").alias("to")))), 1, 4).alias("c"))
-            more = met.select("node", F.explode("c.to").alias("to")).select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b"))
-        else:
-            # Shingles that no other of these documents has can't be shared, which bounds every union from below. A pair
-            # counts in the first table that it shares alone.
-            near = _sharing(open_, sets, percent).join(nodes.select("node", "sketch"), "node")
-            x, y = (near.select("k", "p", F.col("node").alias(n), F.col("root").alias(f"r{n}"), F.col("n").alias(f"n{n}"), F.col("shared").alias(f"s{n}"), F.col("sketch").alias(f"k{n}")) for n in "ab")
-            y = y.drop("p")
-            same = [f"array_position(zip_with(slice(ka, {at_}, {SIDE}), slice(kb, {at_}, {SIDE}), (u, v) -> u = v), true)" for at_ in (1, SIDE + 1)]
-            more = x.join(y, (x["k"] == y["k"]) & F.expr(f"a < b and ra <> rb and (100 + {percent}) * least(sa, sb) >= {percent} * (na + nb) and {same[0]} = p div {SIDE} + 1 and {same[1]} = p % {SIDE} + 1"))
-        more = materialise(more.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
-        if more.isEmpty():
-            continue
-        tested = tested.unionByName(more)
-        new = materialise(linked(more, sets, percent))
-        if not new.isEmpty():
-            edges = edges.unionByName(new)
-            roots = components(edges)
+    open_ = _open(bucket, roots)
+    if not open_.isEmpty():
+        able = _able(open_, sets, percent)
+        # Each bucket's centre is the document that shares most; where copies differ at random, it is linked to all that have any link.
+        live = open_.join(able.select("node", "n", F.size("shared").cast("long").alias("room")), "node")
+        centre = live.groupBy("k").agg(F.max(F.struct((F.col("room") / F.col("n")).alias("share"), "node", "root", "n", "room")).alias("c"))
+        met = live.join(centre, "k").filter(f"root <> c.root and {100 + percent} * least(room, c.room) >= {percent} * (n + c.n)")
+        more = met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+        edges, roots, tested = _joined(edges, roots, tested, more, sets, percent)
+        # What still spans components: exact pairs by the first shingle that two sets share.
+        still = able.join(_open(bucket.join(able.select("node"), "node", "left_semi"), roots).select("node").distinct(), "node", "left_semi")
+        edges, roots, tested = _joined(edges, roots, tested, _first_shared(still, roots, percent), sets, percent)
     # A copy's node, then the node's component; several nodes of one doc_id fall together.
     node = full.select("doc_id", *key).join(nodes.select("node", *key), key).select("doc_id", "node")
     placed = materialise(node.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node")["doc_id"].alias("root")).distinct())
