@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -16,19 +17,35 @@ BPE, PIECES = tokenizer_file("word_bpe_49k.json"), tokenizer_file("piece_bpe_32k
 _merger = sentencepieces.Merger(PIECES)
 
 
+def encoded(text):
+    """ids of the text's chunks, and the decoded text."""
+    chunks = _merger.chunks(text)
+    if not chunks:
+        return [], ""
+    ids, first = _merger.encode(chunks)
+    return ids.tolist(), "".join(_merger.decode(ids, first).to_pylist())[1:]
+
+
 @settings(max_examples=150, deadline=None)
-@given(st.text(max_size=60))
+@given(st.text(max_size=60) | st.text("the 's”.,(²–«»\n▁", max_size=40))
 def test_any_text_encodes_as_the_library_does(text):
-    ids = [i for c in _merger.chunks(text) for i in _merger.encode(c)]
-    assert ids == _merger.library.encode(text)
-    assert "".join(_merger.decode(_merger.encode(c)) for c in _merger.chunks(text))[1:] == _merger.library.decode(ids)
+    ids, back = encoded(text)
+    assert ids == _merger.library.encode(text) and back == _merger.library.decode(ids)
 
 
-def test_scan_and_heap_agree():
+def test_long_chunks_encode_as_the_library_does():
     r = random.Random(0)
-    for _ in range(200):
-        s = "▁" + "".join(r.choice("thearison") for _ in range(r.randrange(1, 30)))
-        assert _merger._scan(list(s)) == _merger._agenda(list(s))
+    for n in (63, 64, 65, 66, 130, 1000, 5001):
+        text = "".join(r.choice("thearison日本") for _ in range(n))
+        ids, back = encoded(text)
+        assert ids == _merger.library.encode(text) and back == text
+
+
+def test_a_wrong_merge_is_an_error():
+    broken = sentencepieces.Merger(PIECES)
+    broken.place[:] = sentencepieces._NONE
+    with pytest.raises(ValueError, match="library differs"):
+        broken.checked(["▁the", "▁path"])
 
 
 def test_encode_documents(spark, monkeypatch):
@@ -38,7 +55,8 @@ def test_encode_documents(spark, monkeypatch):
         ids = _merger.library.encode(r.text or "")
         assert (got[r.doc_id].n_tokens, got[r.doc_id].ids, got[r.doc_id].decoded) == (len(ids), ",".join(map(str, ids)), _merger.library.decode(ids))
     assert sentencepieces.encode(empty(spark), PIECES).count() == 0
-    assert _merger.checked(["▁the", "▁▁x", "\n"])[1] == 0
+    twice = spark.createDataFrame([(1, "the path"), (1, "the path"), (None, "the"), (2, None)], "doc_id long, text string")
+    assert sorted((r.doc_id or 0, r.decoded) for r in sentencepieces.encode(twice, PIECES).collect()) == [(0, "the"), (1, "the path"), (1, "the path"), (2, "")]
 
 
 def test_packing(spark):
