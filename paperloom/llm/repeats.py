@@ -7,7 +7,7 @@ of messages, each dealt by anchor, decide everything:
 1. Each block sends its distinct anchors (32 bits each) and learns which occur elsewhere too. That only sifts.
 2. For anchors found twice, each block sends the segment of units under the windows of that anchor, equal segments once,
    with the smallest doc_id that has it. A kernel (suffix array, or factors) compares the units themselves and answers
-   with the smallest doc_id of every window.
+   for every window with a smaller doc_id that has it too, if there is one, or else the segment's own.
 
 An anchor that half the corpus shares costs one message for each block, not for each document.
 """
@@ -45,10 +45,11 @@ class Kind:
 
     window: int
     gram: int
-    ship: str  # numpy type in which units travel
     units: Callable  # (texts: pa.Array) -> (what to keep for the output, units, first unit of each text)
-    grams: Callable  # (units) -> hash of the gram that begins at each unit
-    kernel: Callable  # (units, first, starts, docs, offset, window) -> smallest doc of every window, segment by segment
+    grams: Callable  # (what is kept, units) -> hash of the gram that begins at each unit
+    pack: Callable  # (what is kept, units, places) -> the units at the places as bytes; equal units must have equal bytes
+    unpack: Callable  # (list of such bytes) -> all units in a row, equal numbers for equal units alone
+    kernel: Callable  # (units, first, starts, docs, anchors) -> a smaller doc that has the window too, or the segment's own, window by window
     emit: Callable  # (what was kept, first, removed: bool per unit) -> list of arrays
     schema: str  # of what emit gives
     names: tuple = ()
@@ -121,7 +122,7 @@ class Block:
     def __init__(self, kind: Kind, ids: np.ndarray, texts: pa.Array):
         self.kind, self.ids = kind, ids
         self.kept, self.units, self.first = kind.units(texts)
-        hashes = kind.grams(self.units)
+        hashes = kind.grams(self.kept, self.units)
         self.begin, self.end, self.place = anchor_runs(hashes, self.first, kind.window, kind.gram)
         self.hash = hashes[self.place]
         self.doc = ids[np.searchsorted(self.first, self.begin, "right") - 1]
@@ -144,25 +145,39 @@ class Block:
         Distinct segments are in the order of their anchors.
         """
         runs = np.flatnonzero(twice[self.which])
-        n, window = len(self.units), self.kind.window
-        power = np.full(n + 1, _POLY, np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        inverse = np.full(n + 1, np.uint64(pow(int(_POLY), -1, 1 << 64)), np.uint64)
-        inverse[0] = 1
-        np.multiply.accumulate(inverse, out=inverse)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.units.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
-        a, b = self.begin[runs], self.end[runs] + window
-        content = mix((sums[b] - sums[a]) * inverse[a] + (b - a).astype(np.uint64))
-        order = np.lexsort((self.doc[runs], content, self.which[runs]))
-        w, c = self.which[runs][order], content[order]
+        a, b = self.begin[runs], self.end[runs] + self.kind.window
+        of, some = distinct(self.units, a, b - a, self.which[runs], self.doc[runs])
+        return runs, of, runs[some], self.doc[runs[some]]
+
+
+def distinct(units: np.ndarray, first: np.ndarray, size: np.ndarray, major: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each segment units[first:first + size], and of each group a segment with the smallest doc.
+
+    Segments of a group are equal in all their units and in ``major``, by which groups are ordered. Hashes bring like
+    segments together; units are compared, and if they differ, the units themselves are the keys.
+    """
+    n = len(units)
+    power, inverse = np.full(n + 1, _POLY, np.uint64), np.full(n + 1, np.uint64(pow(int(_POLY), -1, 1 << 64)), np.uint64)
+    power[0] = inverse[0] = 1
+    np.multiply.accumulate(power, out=power)
+    np.multiply.accumulate(inverse, out=inverse)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * power[:-1], out=sums[1:])
+    content = mix((sums[first + size] - sums[first]) * inverse[first] + size.astype(np.uint64))
+    while True:
+        order = np.lexsort((docs, content, size, major))
         new = np.ones(len(order), bool)
-        new[1:] = (w[1:] != w[:-1]) | (c[1:] != c[:-1])
+        for x in (content[order], size[order], major[order]):
+            new[1:] &= x[1:] == x[:-1]
+        new[1:] = ~new[1:]
         of = np.empty(len(order), np.int64)
         of[order] = np.cumsum(new) - 1
-        some = runs[order[new]]
-        return runs, of, some, self.doc[some]
+        some = order[new]
+        more = np.flatnonzero(some[of] != np.arange(len(order)))
+        if not len(more) or (units[_span(first[more], size[more])] == units[_span(first[some[of[more]]], size[more])]).all():
+            return of, some
+        seen: dict[bytes, int] = {}
+        content = np.array([seen.setdefault(units[a : a + m].tobytes(), len(seen)) for a, m in zip(first.tolist(), size.tolist())], np.uint64)
 
 
 def _span(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -179,7 +194,7 @@ def _rows(cols, schema: str) -> pa.RecordBatch:
 
 _ANCHORS = "bucket int, block long, anchors binary"
 _TOLD = "block long, bucket int, segments int, data binary"
-_SENT = "bucket int, block long, anchors binary, starts binary, offsets binary, docs binary, units binary"
+_SENT = "bucket int, block long, anchors binary, starts binary, docs binary, units binary"
 
 
 def _bounds(buckets: np.ndarray) -> np.ndarray:
@@ -243,19 +258,19 @@ def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES, rest: tupl
                 starts = (b.end - b.begin + 1)[some]
                 for x, y in zip(at[:-1].tolist(), at[1:].tolist()):
                     own = some[x:y]
-                    units = b.units[_span(b.begin[own], starts[x:y] + kind.window - 1)].astype(kind.ship)
-                    out.append((int(bucket[x]), number, b.hash[own].astype(np.uint32).tobytes(), starts[x:y].astype(np.uint16).tobytes(), (b.place - b.begin)[own].astype(np.uint16).tobytes(), docs_[x:y].tobytes(), pack.compress(units.tobytes())))
-        return pa.Table.from_batches([_rows(list(zip(*out)) or [[]] * 7, _SENT)])
+                    units = kind.pack(b.kept, b.units, _span(b.begin[own], starts[x:y] + kind.window - 1))
+                    out.append((int(bucket[x]), number, b.hash[own].astype(np.uint32).tobytes(), starts[x:y].astype(np.uint16).tobytes(), docs_[x:y].tobytes(), pack.compress(units)))
+        return pa.Table.from_batches([_rows(list(zip(*out)) or [[]] * 6, _SENT)])
 
     def answer(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         counts = [len(r["starts"]) // 2 for r in rows]
-        anchors, starts, offsets, ids = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("anchors", np.uint32), ("starts", np.uint16), ("offsets", np.uint16), ("docs", np.int64)))
-        units = np.concatenate([np.frombuffer(zstandard.decompress(r["units"]), kind.ship) for r in rows])
+        anchors, starts, ids = (np.concatenate([np.frombuffer(r[c], t) for r in rows]) for c, t in (("anchors", np.uint32), ("starts", np.uint16), ("docs", np.int64)))
+        units = kind.unpack([zstandard.decompress(r["units"]) for r in rows])
         bucket = rows[0]["bucket"]
         for r in rows:
             r.pop("units")
-        starts, offsets = starts.astype(np.int64), offsets.astype(np.int64)
+        starts = starts.astype(np.int64)
         size = starts + kind.window - 1
         first = np.cumsum(size) - size
         answers = np.empty(int(starts.sum()), np.int64)
@@ -269,7 +284,7 @@ def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES, rest: tupl
                 to = int(cut[max(np.searchsorted(cut, at, "right"), np.searchsorted(done[cut], done[at] + SLICE, "right") - 1)])
                 own = order[at:to]
                 part = units[_span(first[own], size[own])]
-                answers[_span(begin[own], starts[own])] = kind.kernel(part, np.cumsum(size[own]) - size[own], starts[own], ids[own], offsets[own], anchors[own])
+                answers[_span(begin[own], starts[own])] = kind.kernel(part, np.cumsum(size[own]) - size[own], starts[own], ids[own], anchors[own])
                 at = to
         pack, out, seg = zstandard.ZstdCompressor(level=1), [], 0
         for r, c in zip(rows, counts):

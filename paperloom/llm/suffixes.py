@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import mix
-from .repeats import Kind, _span, find, spans
+from .repeats import Kind, _span, distinct, find, spans
 
 
 def _words8(b: np.ndarray, big: bool = False) -> np.ndarray:
@@ -117,20 +117,9 @@ def common_prefix(text: np.ndarray, array: np.ndarray, depth: int) -> np.ndarray
 
 
 def byte_kernel(window: int):
-    def kernel(units, first, starts, docs, offsets, anchors):
+    def kernel(units, first, starts, docs, anchors):
         size = starts + window - 1
-        # Equal segments once, with their smallest doc.
-        power = np.full(int(size.max()) + 1, np.uint64(0x9E3779B97F4A7C15), np.uint64)
-        power[0] = 1
-        np.multiply.accumulate(power, out=power)
-        inside = np.arange(len(units)) - np.repeat(first, size)
-        content = np.add.reduceat((units.astype(np.uint64) + np.uint64(1)) * power[inside], first)
-        order = np.lexsort((docs, content, size))
-        new = np.ones(len(order), bool)
-        new[1:] = (content[order][1:] != content[order][:-1]) | (size[order][1:] != size[order][:-1])
-        of = np.empty(len(order), np.int64)
-        of[order] = np.cumsum(new) - 1
-        one = order[new]
+        of, one = distinct(units, first, size, np.zeros(len(first), np.int64), docs)  # equal segments once, with their smallest doc
         s, st = size[one], starts[one]
         text = np.zeros(int(s.sum()) + len(one), np.uint16)
         f = np.cumsum(s + 1) - (s + 1)
@@ -173,5 +162,5 @@ def suffix_dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     if window < 32:
         raise ValueError("anchors need windows of 32 bytes or more")
-    kind = Kind(window, 24, "u1", _bytes, byte_grams, byte_kernel(window), _emit_bytes, "n_bytes long, spans array<struct<start: long, end: long>>, kept binary", ("n_bytes", "spans", "kept"))
+    kind = Kind(window, 24, _bytes, lambda _, units: byte_grams(units), lambda _, units, at: units[at].tobytes(), lambda parts: np.frombuffer(b"".join(parts), np.uint8), byte_kernel(window), _emit_bytes, "n_bytes long, spans array<struct<start: long, end: long>>, kept binary", ("n_bytes", "spans", "kept"))
     return find(docs, kind)

@@ -96,6 +96,52 @@ def test_variants_beyond_the_references(spark):
     assert got == {i: " ".join(w for w, m in zip(t.split(), want[i]) if not m) for i, t in rows}
 
 
+def test_words_are_compared_themselves(spark):
+    """Two words whose hashes agree in the low 32 bits are different words."""
+    base = prose(50, 31).split()
+    rows = [(i, " ".join([*base[:25], w, *base[26:]])) for i, w in enumerate(["k9870", "k53003", "k9870"])]
+    got = {r.doc_id: r.kept for r in factors.factor_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {0: rows[0][1], 1: rows[1][1], 2: ""}
+
+
+def test_segments_whose_hashes_agree_are_told_apart(monkeypatch):
+    monkeypatch.setattr(repeats, "mix", lambda x: np.zeros_like(x))
+    units, first = np.array([1, 2, 3, 1, 2, 4, 1, 2, 3, 9, 9]), np.array([0, 3, 6, 0])
+    of, some = repeats.distinct(units, first, np.array([3, 3, 3, 3]), np.zeros(4, np.int64), np.array([7, 6, 5, 4]))
+    assert of[0] == of[2] == of[3] != of[1] and sorted(some.tolist()) == [1, 3]
+
+
+def test_factors_are_the_longest_of_smaller_documents():
+    r = np.random.default_rng(4)
+    segments = [r.integers(1, 3, 12) for _ in range(9)]
+    doc = np.array([5, 3, 9, 3, 1, 7, 5, 2, 8])
+    text = np.concatenate([np.append(s, 100 + i) for i, s in enumerate(segments)])
+    starts = np.concatenate([np.arange(10) + 13 * i for i in range(9)])
+    size, source = factors.longest_factors(text, starts, np.repeat(doc, 10), 12)
+    for at, n, d in zip(starts.tolist(), size.tolist(), source.tolist()):
+        own = doc[at // 13]
+        best, where = 0, set()
+        for other in starts.tolist():
+            if doc[other // 13] < own:
+                k = 0
+                while text[at + k] == text[other + k]:
+                    k += 1
+                where = where | {int(doc[other // 13])} if k == best else {int(doc[other // 13])} if k > best else where
+                best = max(best, k)
+        assert n == best and (n == 0 or d in where)
+
+
+def test_one_long_text(spark):
+    """A text far beyond a block is handled whole, and repeats deep inside it are found."""
+    long = prose(400_000, 77)
+    piece = " ".join(long.split()[350_000:350_090])
+    df = spark.createDataFrame([(1, long), (2, "before " + piece + " after"), (3, long)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.kept) for r in factors.factor_dedup(df).collect()}
+    assert got[1] == (400_000, long) and got[2] == (92, "before after") and got[3] == (400_000, "")
+    cut = {r.doc_id: bytes(r.kept) for r in suffixes.suffix_dedup(df).collect()}
+    assert cut[1] == long.encode() and cut[2] == b"beforeafter" and cut[3] == b""  # blanks go with the passage
+
+
 def test_dedup_edge_cases(spark):
     for find in (suffixes.suffix_dedup, factors.factor_dedup):
         assert find(empty(spark)).count() == 0
@@ -106,6 +152,13 @@ def test_dedup_edge_cases(spark):
         assert got == [(0, len(text)), (5, len(text)), (5, len(text)), (9, 0)]  # one doc_id takes nothing from itself
 
 
+def test_without_repeats_keeps_the_lines(spark):
+    passage = prose(60, 8)
+    rows = [(1, passage), (2, "first line\n" + passage + " rest of it\n\nlast  line\n" + passage)]
+    got = {r.doc_id: r.text for r in factors.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: passage, 2: "first line\nrest of it\n\nlast line"}
+
+
 def test_without_repeats_keeps_columns(spark):
     df = frame(spark)
     got = factors.without_repeats(df)
