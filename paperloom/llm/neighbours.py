@@ -1,27 +1,34 @@
 """Exact nearest neighbours of a query set by a block matrix join.
 
-Vectors are scaled to unit length and rounded to 8-bit integers. A tile of queries and candidates is one product of small
-integers (held in 32-bit floats, where such sums are exact), which gives each cosine up to a bound on the error of
-rounding. Pairs that the bound can't rule out of a query's k nearest are recomputed in double precision; heaps merge what
-tiles leave.
+Vectors are scaled to unit length and rounded to 8-bit integers once. A tile of queries times a tile of candidates is one
+product of small integers, which gives each cosine up to a bound on the error of rounding. Pairs that the bound can't rule
+out of a query's k nearest are recomputed in double precision from the vectors themselves; heaps merge what tiles leave.
+Candidate tiles stay where they are dealt to; the tiles of queries travel to each group of them.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 FOUND = "query_id long, query binary, vec_id long, score double"
-#: Queries in a tile; the query blocks each task reads one by one.
-QUERY_BLOCK = 1024
-#: Candidates in a tile.
-TILE = 4096
+#: Bytes of vectors in a tile, and vectors at most.
+TILE_BYTES, TILE = 1 << 20, 4096
+#: Columns whose products of integers up to 127 sum exactly in 32-bit floats.
+_EXACT = 1040
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two that bring their largest component to between 1/2 and 1: exact, and squares don't overflow."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None]) if x.size else x
 
 
 def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -31,10 +38,19 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Integers of -127 to 127, the step of each row, and the length of each row's rounding error."""
+    x = _scaled(x)
     unit = x / np.sqrt((x * x).sum(1))[:, None]
-    step = np.maximum(np.abs(unit).max(1), 1e-300) / 127
+    step = np.abs(unit).max(1) / 127
     whole = np.rint(unit / step[:, None])
-    return whole.astype(np.float32), step, np.sqrt(((unit - whole * step[:, None]) ** 2).sum(1))
+    return whole.astype(np.int8), step, np.sqrt(((unit - whole * step[:, None]) ** 2).sum(1))
+
+
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b.T of 8-bit integers, exact at any width."""
+    out = np.zeros((len(a), len(b)))
+    for at in range(0, a.shape[1], _EXACT):
+        out += a[:, at : at + _EXACT].astype(np.float32) @ b[:, at : at + _EXACT].astype(np.float32).T
+    return out
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -58,76 +74,80 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id"
     one id and other vectors, each is a query of its own, with its own ranks.
     """
     every = usable(vectors, key, vector)
-    queries = every.filter(is_query).distinct()
-    n = queries.count()
-    blocks = max(1, -(-n // QUERY_BLOCK))
-    # A block of queries is one row of bounded size. Tiles are dealt to ``salts`` groups, each of which gets every block once.
-    salts = 2 * vectors.sparkSession.sparkContext.defaultParallelism
-    packed = queries.withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks))).groupBy("b").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("queries"))
-    packed = packed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    tiles = spread(every).withColumn("salt", F.pmod(F.xxhash64("ids"), F.lit(salts)).cast("int")).withColumn("b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-    joined = tiles.join(packed, ["b", "salt"])
+    element = getattr(vectors.schema[vector].dataType, "elementType", None)
+    kind = "f4" if element == T.FloatType() else "f8"  # 32-bit components travel as they are
+    # Each group of candidate tiles gets every tile of queries once.
+    groups = 2 * vectors.sparkSession.sparkContext.defaultParallelism
+    asked = spread(every.filter(is_query).distinct(), kind).select("width", F.col("tile").alias("asked")).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    tiles = spread(every, kind).withColumn("g", F.pmod(F.xxhash64("tile.ids"), F.lit(groups)).cast("int"))
+    joined = tiles.join(asked, ["g", "width"]).select("width", "tile", "asked")
 
     def multiply(batches: Iterator[pa.RecordBatch]):
         best: dict[tuple[int, bytes], list] = {}  # the k nearest so far of each query (id and vector) in this task
         for batch in batches:
             for row in range(batch.num_rows):
-                _tile(batch, row, k, best)
+                width, x, q = (batch.column(i)[row].as_py() for i in range(3))
+                _tile(Tile.read(q, width, kind), Tile.read(x, width, kind), k, best)
         rows = [(*q, -m, s) for q, heap in best.items() for s, m in heap]
         if rows:
             a, v, b, c = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(v, pa.binary()), pa.array(b, pa.int64()), pa.array(c, pa.float64())], ["query_id", "query", "vec_id", "score"])
 
-    found = joined.select("ids", "tile", "width", "queries").mapInArrow(multiply, FOUND)
+    found = joined.mapInArrow(multiply, FOUND)
     top = found.groupBy("query_id", "query").agg(F.expr(f"slice(array_sort(collect_list(struct(-score as d, vec_id, score))), 1, {int(k)})").alias("near"))
     return top.select("query_id", F.posexplode("near").alias("rank", "x")).select("query_id", (F.col("rank") + 1).cast("int").alias("rank"), "x.vec_id", "x.score")
 
 
-def spread(every: DataFrame) -> DataFrame:
-    """Candidate tiles: rows of ids (binary), vectors (binary) and width, of at most TILE vectors of one length."""
+@dataclass
+class Tile:
+    """Vectors of one length: ids, 8-bit integers, their steps and rounding errors, and the vectors themselves."""
+
+    ids: np.ndarray
+    small: np.ndarray
+    step: np.ndarray
+    error: np.ndarray
+    whole: np.ndarray
+
+    @classmethod
+    def read(cls, row: dict, width: int, kind: str) -> Tile:
+        ids, small, step, error, whole = (np.frombuffer(row[c], t) for c, t in zip(_PARTS, (np.int64, np.int8, np.float64, np.float64, kind)))
+        return cls(ids, small.reshape(-1, width), step, error, whole.reshape(-1, width))
+
+
+_PARTS = ("ids", "small", "step", "error", "whole")
+
+
+def spread(every: DataFrame, kind: str) -> DataFrame:
+    """Rows of a width and a tile (see ``Tile``) of a bounded number of bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             size = np.asarray(pc.list_value_length(batch.column(1)))
             for width in np.unique(size).tolist():
-                own = np.flatnonzero(size == width)
-                for at in range(0, len(own), TILE):
-                    part = batch.take(pa.array(own[at : at + TILE]))
+                own, most = np.flatnonzero(size == width), min(TILE, max(1, TILE_BYTES // (9 * width)))
+                for at in range(0, len(own), most):
+                    part = batch.take(pa.array(own[at : at + most]))
                     ids, v = part.column(0).to_numpy(zero_copy_only=False).astype(np.int64), _matrix(part.column(1))
-                    yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()], pa.binary()), pa.array([v.tobytes()], pa.binary()), pa.array([width], pa.int32())], ["ids", "tile", "width"])
-
-    return every.mapInArrow(run, "ids binary, tile binary, width int")
-
-
-def _tile(batch: pa.RecordBatch, row: int, k: int, best: dict[tuple[int, bytes], list]) -> None:
-    width = batch.column(2)[row].as_py()
-    ids = np.frombuffer(batch.column(0)[row].as_py(), np.int64)
-    x = np.frombuffer(batch.column(1)[row].as_py(), np.float64).reshape(len(ids), width)
-    queries = batch.column(3)[row].values
-    keys, size = queries.field("id").to_numpy(), np.asarray(pc.list_value_length(queries.field("v")))
-    own = np.flatnonzero(size == width)
-    if not len(own):
-        return
-    keys, q = keys[own], _matrix(queries.field("v").take(pa.array(own)))
-    a, sa, ea = quantise(q)
-    b, sb, eb = quantise(x)
-    about = (a @ b.T).astype(np.float64) * sa[:, None] * sb[None, :]
+                    cells = [pa.array([x.tobytes()], pa.binary()) for x in (ids, *quantise(v), v.astype(kind))]
+                    yield pa.RecordBatch.from_arrays([pa.array([width], pa.int32()), pa.StructArray.from_arrays(cells, list(_PARTS))], ["width", "tile"])
+
+    return every.mapInArrow(run, f"width int, tile struct<{', '.join(f'{c}: binary' for c in _PARTS)}>")
+
+
+def _tile(q: Tile, x: Tile, k: int, best: dict[tuple[int, bytes], list]) -> None:
+    about = products(q.small, x.small) * q.step[:, None] * x.step[None, :]
     # |cos - about| <= |error of a| + |error of b| + their product, for unit vectors; and a little for rounding in doubles.
-    slack = ea[:, None] + eb[None, :] + ea[:, None] * eb[None, :] + 1e-9
-    self_pair = keys[:, None] == ids[None, :]
+    slack = q.error[:, None] + x.error[None, :] + q.error[:, None] * x.error[None, :] + 1e-9
+    self_pair = q.ids[:, None] == x.ids[None, :]
     low = np.where(self_pair, -np.inf, about - slack)
-    if len(ids) > k:
-        least = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
-    else:
-        least = np.full(len(keys), -np.inf)
-    names = [(i, v.tobytes()) for i, v in zip(keys.tolist(), q)]
+    least = np.partition(low, len(x.ids) - k, axis=1)[:, len(x.ids) - k] if len(x.ids) > k else np.full(len(q.ids), -np.inf)
+    names = [(i, v.tobytes()) for i, v in zip(q.ids.tolist(), q.whole)]
     known = np.array([best[i][0][0] if len(best.get(i, ())) == k else -np.inf for i in names])
-    keep = (about + slack >= np.maximum(least, known)[:, None]) & ~self_pair
-    qi, xi = np.nonzero(keep)
+    qi, xi = np.nonzero((about + slack >= np.maximum(least, known)[:, None]) & ~self_pair)
     for at in range(0, len(qi), 65_536):
         i, j = qi[at : at + 65_536], xi[at : at + 65_536]
-        exact = cosine(q[i], x[j])
-        for at_query, other, s in zip(i.tolist(), ids[j].tolist(), exact.tolist()):
+        exact = cosine(_scaled(q.whole[i].astype(np.float64)), _scaled(x.whole[j].astype(np.float64)))
+        for at_query, other, s in zip(i.tolist(), x.ids[j].tolist(), exact.tolist()):
             heap = best.setdefault(names[at_query], [])
             if len(heap) < k:
                 heapq.heappush(heap, (s, -other))

@@ -106,3 +106,59 @@ def test_every_text_of_a_doc_id_is_compared_on_its_own_set(spark):
     assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()} == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)}
     kept = neardup.without_near_duplicates(df)
     assert kept.schema == df.schema and sorted((r.doc_id, r.text) for r in kept.collect()) == sorted({t for t in texts if t[0] in (1, 5)})
+
+
+def _nearest(rows, queries, k):
+    def cos(a, b):
+        a, b = (np.asarray(x, float) / np.abs(x).max() for x in (a, b))
+        return float(a @ b / np.sqrt(a @ a) / np.sqrt(b @ b))
+
+    return {q: sorted((-cos(v, w), j) for j, w in rows if j != q and len(w) == len(v))[:k] for q, v in rows if q in queries}
+
+
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_near_ties_in_wide_vectors(spark, kind):
+    """Beyond 1,040 dimensions, with cosines that differ less than 8-bit steps do."""
+    r = np.random.default_rng(8)
+    base = r.normal(size=1536)
+    rows = [(i, np.float32(base + r.normal(size=1536) * 1e-3 * (1 + i % 7)).tolist()) for i in range(300)]
+    got = {}
+    for g in neighbours.search(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3), F.col("id") % 50 == 0, 5).collect():
+        got.setdefault(g.query_id, {})[g["rank"]] = (g.vec_id, g.score)
+    want = _nearest(rows, set(range(0, 300, 50)), 5)
+    assert got.keys() == want.keys()
+    for q, near in want.items():
+        assert [got[q][n][0] for n in range(1, 6)] == [j for _, j in near] and [got[q][n][1] for n in range(1, 6)] == pytest.approx([-c for c, _ in near], abs=1e-14)
+
+
+def test_more_queries_than_a_tile(spark, monkeypatch):
+    r = np.random.default_rng(9)
+    rows = [(i, r.integers(-3, 4, 24).astype(float).tolist()) for i in range(2600)]
+    rows = [(i, v if any(v) else [1.0] * 24) for i, v in rows]
+    got = {}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for g in neighbours.search(df, F.col("id") < 1300, 3).collect():
+        got.setdefault(g.query_id, {})[g["rank"]] = round(g.score, 12)
+    x = np.array([v for _, v in rows])
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    c = x[:1300] @ x.T
+    c[np.arange(1300), np.arange(1300)] = -2
+    assert len(got) == 1300
+    for q in range(1300):
+        assert [got[q][n] for n in (1, 2, 3)] == pytest.approx(sorted(c[q])[::-1][:3], abs=1e-9)
+
+
+def test_odd_vectors(spark):
+    """Nulls, zeros, non-finite components and huge ones; lengths apart; ties to the smaller id; fewer candidates than k."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (5, [2.0, 0.0]), (3, [3.0, 0.0]), (7, [1e200, 1e200]), (8, [1e-200, 0.0]), (9, [0.0, 0.0]), (10, None), (11, [1.0, None]), (12, [nan, 1.0]), (13, [inf, 1.0]), (14, []), (None, [1.0, 0.0]), (50, [1.0, 1.0, 1.0]), (100, [0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((g.query_id, g["rank"], g.vec_id, round(g.score, 12)) for g in neighbours.search(df, F.col("id") % 50 == 0, 5).collect())
+    assert got == [(0, 1, 3, 1.0), (0, 2, 5, 1.0), (0, 3, 8, 1.0), (0, 4, 7, round(0.5**0.5, 12))]
+    assert neighbours.search(df.limit(0), F.col("id") % 50 == 0).count() == 0
+
+
+def test_products_are_exact():
+    r = np.random.default_rng(2)
+    a, b = (np.where(r.random((9, 5000)) < 0.9, 127, r.integers(-127, 128, (9, 5000))).astype(np.int8) for _ in range(2))
+    assert (neighbours.products(a, b) == a.astype(np.int64) @ b.astype(np.int64).T).all()
