@@ -64,18 +64,21 @@ class Index:
 
     def vectors(self, texts: pa.Array):
         """For each text: known terms and their TF-IDF weights in a vector of unit length over all terms of the text."""
-        names, row, term, count = term_counts(texts)
+        return self.weigh(len(texts), *term_counts(texts))
+
+    def weigh(self, n: int, names: list[str], row: np.ndarray, term: np.ndarray, count: np.ndarray):
+        """As ``vectors``, for ``n`` texts given as what ``term_counts`` says of them."""
         get, unknown = self.terms.get, len(self.terms)
         known = np.fromiter((get(w, unknown) for w in names), np.int64, len(names))[term]
         w = (1 + np.log(count)) * self.factor[known]
-        norm = np.sqrt(np.bincount(row, w * w, minlength=len(texts)))
+        norm = np.sqrt(np.bincount(row, w * w, minlength=n))
         w = w / np.maximum(norm[row], 1e-12)
         row, known, w = (x[known < unknown] for x in (row, known, w))
-        at = np.searchsorted(row, np.arange(len(texts) + 1))
-        return [(known[at[i] : at[i + 1]], w[at[i] : at[i + 1]]) for i in range(len(texts))]
+        at = np.searchsorted(row, np.arange(n + 1))
+        return [(known[at[i] : at[i + 1]], w[at[i] : at[i + 1]]) for i in range(n)]
 
     def nearest(self, terms: np.ndarray, q: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k examples of the largest cosine, nearest first (ties: the earlier example), and the cosines."""
+        """The k examples of the largest cosine, nearest first (ties: the smaller id), and the cosines; those that share no term are none."""
         a, b = self.pair_start[terms], self.pair_start[terms + 1]
         size = b - a
         pairs = np.repeat(a - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -106,8 +109,8 @@ class Index:
             step *= 2
             if self.n > k:
                 least = np.partition(scores, self.n - k)[self.n - k]
-        top = np.lexsort((np.arange(self.n), -scores))[:k]
-        top = top[scores[top] >= 0]
+        top = np.lexsort((self.ids, -scores))[:k]
+        top = top[scores[top] > 0]
         return top, scores[top]
 
     def vote(self, top: np.ndarray, cos: np.ndarray) -> float:
@@ -123,12 +126,17 @@ class Index:
 
 
 def build(ids: np.ndarray, texts: list[str], toxic: np.ndarray, natural: float, k: int = NEIGHBOURS) -> Index:
-    """``natural``: the share of toxic rows among all labelled ones, for calibration.
+    """An index over whole texts; see ``assemble``."""
+    return assemble(ids, term_counts(pa.array(texts, pa.string())), toxic, natural, k)
+
+
+def assemble(ids: np.ndarray, counts: tuple, toxic: np.ndarray, natural: float, k: int = NEIGHBOURS) -> Index:
+    """An index over examples given as what ``term_counts`` says of them; ``natural``: the share of toxic rows among all labelled ones, for calibration.
 
     Examples are laid out by their heaviest term, so that blocks hold like examples and their maxima are tight.
     """
-    words, row, term, count = term_counts(pa.array(texts, pa.string()))
-    n = len(texts)
+    words, row, term, count = counts
+    n = len(ids)
     df = np.bincount(term, minlength=len(words))
     factor = factors(df, np.bincount(term, toxic[row], minlength=len(words)), n, float(toxic.sum()))
     w = (1 + np.log(count)) * factor[term]
@@ -140,6 +148,8 @@ def build(ids: np.ndarray, texts: list[str], toxic: np.ndarray, natural: float,
     place = np.empty(n, np.int64)
     place[np.lexsort((ids, heavy))] = np.arange(n)
     row = place[row]
+    by_row = np.lexsort((term, row))
+    own = (words, row[by_row], term[by_row], count[by_row])
     sort = np.lexsort((row, term))
     row, term, w = row[sort], term[sort], w[sort]
     pair = term * (n // BLOCK + 1) + row // BLOCK
@@ -150,7 +160,7 @@ def build(ids: np.ndarray, texts: list[str], toxic: np.ndarray, natural: float,
         np.searchsorted(term[begin], np.arange(len(words) + 1)), (row // BLOCK)[begin],
         np.maximum.reduceat(w, begin) if len(begin) else np.zeros(0), np.append(begin, len(w)), row, w, n, ids[back], toxic[back].astype(float),
     )
-    vectors = index.vectors(pa.array([texts[i] for i in back], pa.string()))
+    vectors = index.weigh(n, *own) if n else []
     raw = np.array([index.vote(*index.nearest(*v, k, skip=i)) for i, v in enumerate(vectors)]) if n else np.zeros(0)
     share = index.toxic.mean() if n else 0.0
     each = np.where(index.toxic == 1, natural / max(share, 1e-9), (1 - natural) / max(1 - share, 1e-9))
@@ -189,7 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     """An index over at most ``examples`` labelled documents of each label, chosen by hashes of their ids.
 
     ``allowed`` restricts the labelled rows by doc_id. Null labels and null ids don't count; of several labels of a
-    document the largest counts.
+    document the largest counts, of several texts the first in order. Terms are counted where the texts are; the driver gets
+    the examples' distinct terms with their counts. Without a usable label the index is empty.
     """
     found = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).dropna()
     if allowed is not None:
@@ -203,10 +214,23 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     keys = {r["doc_id"]: r["y"] for r in chosen.collect()}  # at most 2 * examples rows
     spark = docs.sparkSession
     small = spark.createDataFrame([(i, y) for i, y in keys.items()], "doc_id long, y int")
-    rows = documents(docs).join(F.broadcast(small), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text")).orderBy("doc_id").collect() if keys else []
     total = sum(counts.values())
     natural = counts.get(1, 0) / total if total else 0.0
-    return build(np.array([r["doc_id"] for r in rows], np.int64), [r["text"] for r in rows], np.array([r["y"] for r in rows], np.int64), natural, k)
+
+    def count(batches: Iterator[pa.RecordBatch]):
+        for batch in steps(batches):
+            names, row, term, times = term_counts(batch.column(2))
+            at = pa.array(np.searchsorted(row, np.arange(batch.num_rows + 1)), pa.int32())
+            lists = [pa.ListArray.from_arrays(at, x) for x in (pa.array(names, pa.string()).take(pa.array(term)), pa.array(times, pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "y", "terms", "counts"])
+
+    texts = documents(docs).join(F.broadcast(small), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
+    rows = sorted(texts.mapInArrow(count, "doc_id long, y int, terms array<string>, counts array<long>").collect()) if keys else []
+    names: dict[str, int] = {}
+    term = [names.setdefault(t, len(names)) for r in rows for t in r["terms"]]
+    row = np.repeat(np.arange(len(rows)), [len(r["terms"]) for r in rows])
+    found_counts = list(names), row, np.array(term, np.int64), np.array([c for r in rows for c in r["counts"]], np.int64)
+    return assemble(np.array([r["doc_id"] for r in rows], np.int64), found_counts, np.array([r["y"] for r in rows], np.int64), natural, k)
 
 
 def votes(index: Index, texts: pa.Array, k: int = NEIGHBOURS) -> list[pa.Array]:
@@ -221,7 +245,10 @@ def votes(index: Index, texts: pa.Array, k: int = NEIGHBOURS) -> list[pa.Array]:
 
 
 def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
-    """One row per document; null, empty and wholly unknown texts have no neighbours, and the score of no toxic votes."""
+    """One row per row of ``docs``, those of one doc_id apart and those without one too; an empty table gives no rows.
+
+    Null, empty and wholly unknown texts have no neighbours, and the score of no toxic votes. Texts are held whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(index)  # at most 2 * EXAMPLES vectors
 
     def run(batches: Iterator[pa.RecordBatch]):
