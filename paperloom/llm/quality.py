@@ -1,9 +1,10 @@
 """Quality classification by co-training two views of a document.
 
 One logistic model sees the text (statistics and hashed words), another the metadata (language, source, length). Both
-start from the same bounded sample of labelled rows; in each round each scores all unlabelled rows in a distributed pass and
-hands those of which it is surest, and that it hasn't given yet, to the other. Both are then calibrated on labelled rows kept apart, and a third
-logistic model on the two calibrated logits scores all documents.
+start from the same bounded sample of labelled rows; in each round each is calibrated on labelled rows kept apart, scores all
+unlabelled rows in a distributed pass, and hands those of which it is surest, and that it hasn't given yet, to the other. A
+view that tells nothing about the rows kept apart is sure of nothing, and so gives nothing. Of each view the round that ranks
+the rows kept apart best is used. A third logistic model on the two calibrated logits scores all documents.
 """
 
 from __future__ import annotations
@@ -111,16 +112,38 @@ def chance(logit: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-logit))
 
 
+@dataclass
+class Calibrated:
+    """A view's model and the curve that makes its logits those of probabilities."""
+
+    model: Logistic
+    curve: Logistic
+
+    def logit(self, x: np.ndarray) -> np.ndarray:
+        return self.curve.logit(self.model.logit(x)[:, None])
+
+
+def ranking(y: np.ndarray, logit: np.ndarray) -> float:
+    """Area under the ROC curve; ties count a half, and one class alone gives a half."""
+    n1 = int((y == 1).sum())
+    n0 = len(y) - n1
+    if not n0 or not n1:
+        return 0.5
+    _, at, times = np.unique(logit, return_inverse=True, return_counts=True)
+    rank = np.cumsum(times) - (times - 1) / 2
+    return float((rank[at][y == 1].sum() - n1 * (n1 + 1) / 2) / (n0 * n1))
+
+
 @dataclass
 class Model:
-    text: Logistic
-    meta: Logistic
-    text_curve: Logistic
-    meta_curve: Logistic
+    text: Calibrated
+    meta: Calibrated
     both: Logistic
+    #: (round, view, AUC on the rows kept apart, pseudo-labels got so far), for each round and view.
+    history: list[tuple[int, str, float, int]] = field(default_factory=list)
 
     def score(self, text: np.ndarray, meta: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        a, b = self.text_curve.logit(self.text.logit(text)[:, None]), self.meta_curve.logit(self.meta.logit(meta)[:, None])
+        a, b = self.text.logit(text), self.meta.logit(meta)
         return chance(a), chance(b), chance(self.both.logit(np.stack([a, b], 1)))
 
 
@@ -133,13 +156,22 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, surest: Callable
     views = {"text": text, "meta": meta}
     given: dict[str, set[int]] = {v: set() for v in views}  # keys of the rows that a view has labelled for the other
     got: dict[str, list] = {v: [] for v in views}  # class and features of the rows that a view has got
-    train, models = ~apart, {}
+    train, models, history = ~apart, {}, []
+    best: dict[str, tuple[float, Calibrated]] = {}
     ones = round(GIVEN * float(y[train].mean())) if train.any() else GIVEN // 2
     most = (GIVEN - ones, ones)
+    hold = apart if len(set(y[apart].tolist())) == 2 else np.ones(len(y), bool)
+    one = np.ones(hold.sum())
     for turn in range(rounds + 1):
         for v in views:
             marks = np.array([c for c, _ in got[v]], float)
-            models[v] = Logistic(ridge=2.0).fit(np.stack([*views[v][train], *(x for _, x in got[v])]), np.r_[y[train], marks], np.r_[np.ones(train.sum()), np.full(len(marks), 0.5)])
+            model = Logistic(ridge=2.0).fit(np.stack([*views[v][train], *(x for _, x in got[v])]), np.r_[y[train], marks], np.r_[np.ones(train.sum()), np.full(len(marks), 0.5)])
+            raw = model.logit(views[v][hold])
+            models[v] = Calibrated(model, Logistic(ridge=0.1).fit(raw[:, None], y[hold], one))
+            auc = ranking(y[hold], models[v].logit(views[v][hold]))
+            history.append((turn, v, auc, len(marks)))
+            if v not in best or auc >= best[v][0]:
+                best[v] = auc, models[v]
         if turn == rounds:
             break
         for v, rows in surest(models, given, most).items():
@@ -147,11 +179,8 @@ def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, surest: Callable
             for key, c, features in rows:
                 given[v].add(key)
                 got[other].append((c, features[other]))
-    hold = apart if len(set(y[apart].tolist())) == 2 else np.ones(len(y), bool)
-    one = np.ones(hold.sum())
-    curves = {v: Logistic(ridge=0.1).fit(models[v].logit(views[v][hold])[:, None], y[hold], one) for v in views}
-    pair = np.stack([curves[v].logit(models[v].logit(views[v][hold])[:, None]) for v in views], 1)
-    return Model(models["text"], models["meta"], curves["text"], curves["meta"], Logistic(ridge=0.1).fit(pair, y[hold], one))
+    pair = np.stack([best[v][1].logit(views[v][hold]) for v in views], 1)
+    return Model(best["text"][1], best["meta"][1], Logistic(ridge=0.1).fit(pair, y[hold], one), history)
 
 
 _FEATURES = "doc_id long, text_view binary, meta_view binary"
@@ -178,7 +207,7 @@ def surest_of(free: DataFrame) -> Callable:
     """
     spark = free.sparkSession
 
-    def surest(models: dict[str, Logistic], given: dict[str, set[int]], most: tuple[int, int]) -> dict[str, list]:
+    def surest(models: dict[str, Calibrated], given: dict[str, set[int]], most: tuple[int, int]) -> dict[str, list]:
         shared = spark.sparkContext.broadcast((dict(models), {v: np.array(sorted(given[v]), np.int64) for v in _VIEWS}))
         limit = float(np.log(SURE / (1 - SURE)))
 
@@ -262,7 +291,10 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
-    """text_score, meta_score and score (probabilities that the quality is 1) of each document; null texts count as empty. Without a model all are 0.5."""
+    """text_score, meta_score and score (probabilities that the quality is 1) of each row, also of rows of one doc_id or without one.
+
+    Null texts count as empty, an empty table gives no rows. Without a model all scores are 0.5. Texts are held whole.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]):
