@@ -1,10 +1,10 @@
 """Language-model scores from the subword lattice.
 
-The entries of a subword vocabulary weight all segmentations of a word; the log-space forward recursion over the word's
-lattice sums them to its marginal probability, and a text's is the product over its words and its end. Merge-type
-vocabularies carry ranks instead of probabilities: the entries' weights start from a power law of the rank and are
-re-estimated from the training documents by expected counts (forward and backward). No entry spans a word's first
-blank, so words are scored apart, many at a time.
+The scores of a subword vocabulary's entries weight all segmentations of a word; the log-space forward recursion over the
+word's lattice sums them to its marginal probability, and a text's is the product over its words and its end. Scores of
+unigram vocabularies are log-probabilities and are used as they are; merge-type vocabularies carry ranks, which stand for
+the probabilities of a power law. A second score has the weights re-estimated from the training documents by expected counts
+(forward and backward). No entry spans a word's first blank, so words are scored apart, many at a time.
 """
 
 from __future__ import annotations
@@ -37,13 +37,18 @@ class Vocabulary:
     keys: np.ndarray  # sorted hashes of the entries
     entry: np.ndarray  # the entry of each
     weight: np.ndarray
-    by_byte: np.ndarray  # entry of each byte value, or -1
+    by_byte: np.ndarray  # entry of each byte value; the unknown entry where the vocabulary has no bytes
     longest: int
 
     @property
     def end(self) -> float:
         return float(self.weight[-1])
 
+    def spelt(self, letter: str) -> list[int]:
+        """The entries that stand in for a letter which no entry holds: its bytes, or the unknown entry once."""
+        entries = [int(self.by_byte[b]) for b in letter.encode("utf-8", "surrogatepass")]
+        return entries if len(set(self.by_byte.tolist())) > 1 else entries[:1]
+
 
 def _hash(codes: np.ndarray) -> np.uint64:
     h = np.uint64(0)
@@ -63,17 +68,19 @@ def load(path: str) -> Vocabulary:
     plain = [i for i in range(n) if not (lib.is_control(i) or lib.is_unknown(i) or lib.is_byte(i)) and BLANK not in pieces[i][1:]]
     hashes = np.array([_hash(np.frombuffer(pieces[i].encode("utf-32-le"), np.uint32)) for i in plain], np.uint64)
     order = np.argsort(hashes)
-    by_byte = np.full(256, -1)
+    by_byte = np.full(256, lib.unk_id())
     for i in range(n):
         if lib.is_byte(i):
             by_byte[int(pieces[i][3:5], 16)] = i
     scores = np.array([lib.get_score(i) for i in range(n)])
     if (scores[plain] <= 0).all() and scores[plain].min() < -1000:  # ranks of merges
         weight = -np.log(20.0 + np.minimum(-scores, n))
-    else:
+        weight = np.append(weight, np.log(1 / 20))
+        weight -= np.log(np.exp(weight).sum())
+    else:  # log-probabilities; the unknown entry is as much less likely as the library has it, the end as likely as the best
         weight = scores.astype(float)
-    weight = np.append(weight, np.log(1 / 20))
-    weight -= np.log(np.exp(weight).sum())
+        weight[lib.unk_id()] = weight[plain].min() - 10
+        weight = np.append(weight, weight[plain].max())
     return Vocabulary(hashes[order], np.array(plain)[order], weight, by_byte, max(len(pieces[i]) for i in plain))
 
 
@@ -110,22 +117,32 @@ def _edges(v: Vocabulary, codes: np.ndarray):
                 yield to - size, to, own, entry, v.weight[entry]
             if size == 1 and len(own) < rows:
                 lost = np.flatnonzero(~hit)
-                letters, which = np.unique(codes[lost, to - 1], return_inverse=True)
-                sums = [sum(float(v.weight[v.by_byte[b]]) for b in chr(c).encode("utf-8", "surrogatepass")) for c in letters.tolist()]
-                yield to - 1, to, lost, None, np.array(sums)[which]
+                yield to - 1, to, lost, None, _spelt(v, codes[lost, to - 1])
+
 
+def marginals(v: Vocabulary, words: list[str], more: Vocabulary | None = None) -> np.ndarray:
+    """Natural-log probability of each word, its leading blank included, over all segmentations.
 
-def marginals(v: Vocabulary, words: list[str]) -> np.ndarray:
-    """Natural-log probability of each word, its leading blank included, over all segmentations."""
-    out = np.zeros(len(words))
+    With ``more``, the same entries with other weights, there are two rows, the second for these.
+    """
+    out = np.zeros((2, len(words)))
+    both = [v] if more is None else [v, more]
     with np.errstate(over="ignore"):
         for own, codes in _groups(words):
-            alpha = np.full((codes.shape[1] + 1, len(own)), -np.inf)
-            alpha[0] = 0
-            for a, b, rows, _, w in _edges(v, codes):
-                alpha[b, rows] = np.logaddexp(alpha[b, rows], alpha[a, rows] + w)
-            out[own] = alpha[-1]
-    return out
+            alpha = np.full((len(both), codes.shape[1] + 1, len(own)), -np.inf)
+            alpha[:, 0] = 0
+            for a, b, rows, entry, w in _edges(v, codes):
+                for k, x in enumerate(both):
+                    if k:
+                        w = x.weight[entry] if entry is not None else _spelt(x, codes[rows, a])
+                    alpha[k, b, rows] = np.logaddexp(alpha[k, b, rows], alpha[k, a, rows] + w)
+            out[: len(both), own] = alpha[:, -1]
+    return out[0] if more is None else out
+
+
+def _spelt(v: Vocabulary, codes: np.ndarray) -> np.ndarray:
+    letters, which = np.unique(codes, return_inverse=True)
+    return np.array([sum(float(v.weight[e]) for e in v.spelt(chr(c))) for c in letters.tolist()])[which]
 
 
 def expected(v: Vocabulary, words: list[str], counts: np.ndarray) -> np.ndarray:
@@ -148,8 +165,8 @@ def expected(v: Vocabulary, words: list[str], counts: np.ndarray) -> np.ndarray:
                     out += np.bincount(entry, share, minlength=len(out))
                 else:
                     for c, s in zip(codes[rows, a].tolist(), share.tolist()):
-                        for byte in chr(c).encode("utf-8", "surrogatepass"):
-                            out[v.by_byte[byte]] += s
+                        for e in v.spelt(chr(c)):
+                            out[e] += s
     return out
 
 
@@ -184,7 +201,7 @@ def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = RO
         for r in counts.select("word", "c").mapInArrow(run, "entry int, uses double").groupBy("entry").agg(F.sum("uses").alias("uses")).collect():
             uses[r["entry"]] = r["uses"]
         uses[-1] = ends
-        live = np.append(np.isin(np.arange(n - 1), np.append(v.entry, v.by_byte[v.by_byte >= 0])), True)
+        live = np.append(np.isin(np.arange(n - 1), np.append(v.entry, v.by_byte)), True)
         uses = np.where(live, uses + 0.1, 0)
         with np.errstate(divide="ignore"):
             v = dataclasses.replace(v, weight=np.log(uses / uses.sum()))
@@ -192,7 +209,9 @@ def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = RO
 
 
 def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of each document.
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score and adapted_score of each document.
+
+    score is by the vocabulary's own scores, adapted_score by weights that ``rounds`` of expected counts learn.
 
     ``training`` is over doc_id. Null and empty texts are the end alone. Rows with the same doc_id are scored apart.
     Training counts of words that are a ``head``-th of the tokens or more go to every task (``head`` words at most); other
@@ -204,29 +223,31 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
     ends = chosen.count()
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()[0]
     n, v = (total["n"] or 0) + ends, total["v"] + (ends > 0)
-    model = learn(counts, ends, load(vocabulary), rounds)
+    given = load(vocabulary)
+    model = learn(counts, ends, given, rounds)
     top = counts.filter(F.col("c") * head >= n).collect()  # at most ``head`` rows, as their counts add up to n
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((model, {r["word"]: r["c"] for r in top}))
+    shared = sc.broadcast((given, model, {r["word"]: r["c"] for r in top}))
     floor = float(np.log10(n + 1 * (v + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]):
-        m, common = shared.value
+        own, m, common = shared.value
         for b in steps(batches, limit=24_000_000):
             words, codes, first = word_codes(pc.ascii_lower(b.column(1)))
             names = words.to_pylist()
             c = np.fromiter((common.get(w, 0) for w in names), np.int64, len(names))
-            lattice = marginals(m, names) / _LOG10
-            sums = np.zeros((3, len(codes) + 1))
+            lattice = marginals(own, names, m) / _LOG10
+            sums = np.zeros((4, len(codes) + 1))
             known = (c > 0)[codes]
-            np.cumsum(lattice[codes], out=sums[0, 1:])
+            np.cumsum(lattice[0][codes], out=sums[0, 1:])
+            np.cumsum(lattice[1][codes], out=sums[3, 1:])
             np.cumsum(np.where(known, np.log10(c + 1.0)[codes], 0.0), out=sums[1, 1:])
             np.cumsum(known, out=sums[2, 1:])
             part = np.diff(sums[:, first], axis=1)
             rows, size = b.num_rows, np.diff(first)
             serial = b.column(2)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), serial, pa.array(size + 1, pa.int64()), pa.array(part[2].astype(np.int64)), pa.array(part[1]), pa.array(part[0] + m.end / _LOG10), pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], columns
+                [b.column(0), serial, pa.array(size + 1, pa.int64()), pa.array(part[2].astype(np.int64)), pa.array(part[1]), pa.array(part[0] + own.end / _LOG10), pa.array(part[3] + m.end / _LOG10), pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], columns
             )
             tail = np.flatnonzero(~known)
             if len(tail):
@@ -234,19 +255,19 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
                 key, times = np.unique(doc * len(names) + codes[tail], return_counts=True)
                 where = pa.array(key // len(names))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(where), serial.take(where), *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())), words.take(pa.array(key % len(names))).cast(pa.string()), pa.array(times, pa.int64())], columns
+                    [b.column(0).take(where), serial.take(where), *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())), words.take(pa.array(key % len(names))).cast(pa.string()), pa.array(times, pa.int64())], columns
                 )
 
-    schema = "doc_id long, serial long, n_tokens long, n_known long, base double, score double, word string, times long"
+    schema = "doc_id long, serial long, n_tokens long, n_known long, base double, score double, adapted double, word string, times long"
     columns = [x.split()[0] for x in schema.split(", ")]
     found = materialise(every.withColumn("serial", F.monotonically_increasing_id()).mapInArrow(run, schema))
-    whole = found.filter("word is null").select("doc_id", "serial", "n_tokens", "n_known", "base", "score")
+    whole = found.filter("word is null").select("doc_id", "serial", "n_tokens", "n_known", "base", "score", "adapted")
     # Words outside the head occur in few documents each, so no key is hot.
     rest = found.filter("word is not null").select("doc_id", "serial", "word", "times").join(counts, "word")
-    rest = rest.select("doc_id", "serial", F.lit(None).cast("long").alias("n_tokens"), F.col("times").alias("n_known"), (F.col("times") * F.log10(F.col("c") + 1)).alias("base"), F.lit(None).cast("double").alias("score"))
-    both = whole.unionByName(rest).groupBy("serial").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.max("score").alias("score"))
+    rest = rest.select("doc_id", "serial", F.lit(None).cast("long").alias("n_tokens"), F.col("times").alias("n_known"), (F.col("times") * F.log10(F.col("c") + 1)).alias("base"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("adapted"))
+    both = whole.unionByName(rest).groupBy("serial").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.max("score").alias("score"), F.max("adapted").alias("adapted"))
     known_end = int(ends > 0)
     return both.select(
         "doc_id", "n_tokens", (F.col("n_known") + known_end).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.lit(float(np.log10(ends + 1))) - F.col("n_tokens") * F.lit(floor)).alias("base_score"), "score",
+        (F.col("base") + F.lit(float(np.log10(ends + 1))) - F.col("n_tokens") * F.lit(floor)).alias("base_score"), "score", F.col("adapted").alias("adapted_score"),
     )
