@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -23,11 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The shared folder for intermediate tables: ``spark.checkpoint.dir``. Where it is unset, a session on one machine gets a temporary one; a cluster is refused."""
     at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = os.environ.setdefault("PAPERLOOM_WORK", tempfile.mkdtemp(prefix="paperloom-"))
-    return at.rstrip("/")
+    if at:
+        return at.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if "PAPERLOOM_WORK" not in os.environ:
+        os.environ["PAPERLOOM_WORK"] = tempfile.mkdtemp(prefix="paperloom-")
+        atexit.register(shutil.rmtree, os.environ["PAPERLOOM_WORK"], True)
+    return os.environ["PAPERLOOM_WORK"]
 
 
 def materialise(df: DataFrame, codec: str = "zstd") -> DataFrame:

@@ -145,7 +145,7 @@ def test_quantisation_bound_holds():
     a, b = r.normal(size=(50, 33)), r.standard_cauchy(size=(60, 33))
     qa, sa, ea = neighbours.quantise(a)
     qb, sb, eb = neighbours.quantise(b)
-    about = (qa @ qb.T).astype(float) * sa[:, None] * sb[None, :]
+    about = neighbours.products(qa, qb) * sa[:, None] * sb[None, :]
     true = (a / np.linalg.norm(a, axis=1)[:, None]) @ (b / np.linalg.norm(b, axis=1)[:, None]).T
     assert (np.abs(about - true) <= ea[:, None] + eb[None, :] + ea[:, None] * eb[None, :] + 1e-9).all()
 
