@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, word_codes
+from .common import free_name, mix, word_codes
 from .neardup import word_hashes
 from .repeats import Kind, _span, distinct, find, spans
 
@@ -137,7 +137,9 @@ def _words(texts: pa.Array):
 
 def _pack(read, units, places) -> bytes:
     """The words themselves; no word holds a blank."""
-    return b" ".join(w.encode("utf-8", "surrogatepass") for w in read[0].take(pa.array(places)).to_pylist())
+    words = read[0].take(pa.array(places))
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words)
+    return pc.binary_join(whole, pa.scalar(" ", words.type))[0].as_buffer().to_pybytes()
 
 
 def _unpack(parts: list[bytes]) -> np.ndarray:
@@ -182,10 +184,15 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     found = factor_dedup(docs, window, rest, True)
-    new = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col("_kept"), "n_chars": F.length("_kept").cast(docs.schema["n_chars"].dataType) if "n_chars" in rest else None}
+    kept = _names(rest)[2]
+    new = {"doc_id": F.col("doc_id").cast(docs.schema["doc_id"].dataType), "text": F.col(kept), "n_chars": F.length(kept).cast(docs.schema["n_chars"].dataType) if "n_chars" in rest else None}
     return found.select(*(new[c].alias(c) if c in new else F.col(c) for c in docs.columns))
 
 
+def _names(rest: tuple[str, ...]) -> tuple[str, ...]:
+    return tuple(free_name(["doc_id", *rest], c) for c in ("n_words", "spans", "kept"))
+
+
 def factor_dedup(docs: DataFrame, window: int = 50, rest: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
     """doc_id, n_words, spans (removed runs, as word places) and kept (the other words, joined by blanks) of each document.
 
@@ -196,7 +203,7 @@ def factor_dedup(docs: DataFrame, window: int = 50, rest: tuple[str, ...] = (),
     """
     if window < 16:
         raise ValueError("anchors need windows of 16 words or more")
-    names_ = ("_n_words", "_spans", "_kept") if rest else ("n_words", "spans", "kept")
+    names_ = _names(rest)
     schema = ", ".join(f"{n} {t}" for n, t in zip(names_, ("long", "array<struct<start: long, end: long>>", "string")))
     kind = Kind(window, 8, _words, lambda read, _: word_grams(read[2]), _pack, _unpack, factor_kernel(window), _emit_whole if whole else _emit_words, schema, names_)
     return find(docs, kind, rest=rest)
