@@ -13,11 +13,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 #: Bytes of text that one numpy step handles; larger Arrow batches are cut, single longer texts are not.
 STEP_BYTES = 4_000_000
-_TEXT = "_paperloom_text"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,19 +54,25 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *keep)
 
 
-def carry(docs: DataFrame, add, schema: StructType) -> DataFrame:
-    """All rows and columns of ``docs`` with more: ``add`` gives the arrays of ``schema`` for a record batch."""
-    names = docs.columns
+def free_name(columns: list[str], name: str) -> str:
+    """``name`` with underscores in front until no column is called so, in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def keep_rows(docs: DataFrame, keep) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``keep(batch, texts)`` marks; ``texts`` are never null."""
+    at, text = len(docs.columns), free_name(docs.columns, "text_")
     # A text column that numpy steps can measure, whatever the table holds.
-    texts = docs.withColumn(_TEXT, F.coalesce(F.col("text").cast("string"), F.lit("")))
-    at = len(names)
+    texts = docs.withColumn(text, F.coalesce(F.col("text").cast("string"), F.lit("")))
 
     def run(batches):
-        for batch in steps(batches, _TEXT):
-            rest = [batch.column(i) for i in range(at)]
-            yield pa.RecordBatch.from_arrays(rest + add(batch, batch.column(at)), [*names, *schema.names])
+        for batch in steps(batches, text):
+            yield batch.select(list(range(at))).filter(pa.array(keep(batch, batch.column(at)), pa.bool_()))
 
-    return texts.mapInArrow(run, StructType([*docs.schema.fields, *schema.fields]))
+    return texts.mapInArrow(run, docs.schema)
 
 
 def steps(batches, column: str = "text", limit: int = STEP_BYTES):

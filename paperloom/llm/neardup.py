@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialise, mix, steps, word_codes
+from .common import documents, free_name, materialise, mix, steps, word_codes
 
 #: Sketches in each of the two collections; each is made of two minima.
 SIDE = 8
@@ -272,9 +272,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, of one document of each component (that with the smallest doc_id); of equal rows one."""
-    found = materialise(near_duplicates(docs, size, percent).groupBy(F.col("doc_id").alias("_paperloom_id")).agg(F.min("kept").alias("kept"), F.count("*").alias("n")).filter("_paperloom_id is not null and (n > 1 or not kept)"))
-    same = F.col("doc_id").cast("long") == F.col("_paperloom_id")
-    again = found.filter("kept")
-    if again.isEmpty():
-        return docs.join(found, same, "left_anti")
-    return docs.join(found, same, "left_anti").unionByName(docs.join(again, same, "left_semi").dropDuplicates())
+    key = free_name(docs.columns, "id_")
+    found = near_duplicates(docs, size, percent).filter("doc_id is not null").groupBy(F.col("doc_id").alias(key)).agg(F.min("kept").alias("kept_"), F.count("*").alias("n_"))
+    found = materialise(found.filter("n_ > 1 or not kept_"))
+    same = F.col("doc_id").cast("long") == F.col(key)
+    again = found.filter("kept_").select(key)
+    rest = docs.join(found.select(key), same, "left_anti")
+    return rest if again.isEmpty() else rest.unionByName(docs.join(again, same, "left_semi").dropDuplicates())

@@ -17,9 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from .common import carry, documents, materialise, steps, word_codes
+from .common import documents, keep_rows, materialise, steps, word_codes
 
 SCORED = "doc_id long, text_score double, meta_score double, score double"
 #: Labelled rows at most.
@@ -314,12 +313,11 @@ def without_poor(docs: DataFrame, model: Model | None, least: float = 0.5) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = {c: docs.columns.index(c) for c in ("lang", "source", "n_chars") if c in docs.columns}
 
-    def add(batch: pa.RecordBatch, texts: pa.Array) -> list[pa.Array]:
+    def keep(batch: pa.RecordBatch, texts: pa.Array) -> np.ndarray:
         if shared.value is None:
-            return [pa.array(np.full(batch.num_rows, 0.5))]
+            return np.full(batch.num_rows, 0.5 >= least)
         meta = [batch.column(place[c]).to_pylist() if c in place else [None] * batch.num_rows for c in ("lang", "source", "n_chars")]
         meta[2] = [None if x is None else float(x) for x in meta[2]]
-        return [pa.array(shared.value.score(text_view(texts), meta_view(*meta))[2], pa.float64())]
+        return shared.value.score(text_view(texts), meta_view(*meta))[2] >= least
 
-    kept = carry(docs, add, StructType().add("_paperloom_score", "double"))
-    return kept.filter(F.col("_paperloom_score") >= least).drop("_paperloom_score")
+    return keep_rows(docs, keep)

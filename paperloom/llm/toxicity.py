@@ -18,9 +18,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from .common import carry, documents, steps, word_codes
+from .common import documents, keep_rows, steps, word_codes
 
 SCORED = "doc_id long, score double, raw double, neighbours array<long>, cosines array<double>"
 #: Labelled examples of each label at most; those with the smallest hashes of their ids.
@@ -109,6 +108,7 @@ class Index:
             step *= 2
             if self.n > k:
                 least = np.partition(scores, self.n - k)[self.n - k]
+        scores = np.round(scores, 12)  # sums of the same numbers in another order are ties
         top = np.lexsort((self.ids, -scores))[:k]
         top = top[scores[top] > 0]
         return top, scores[top]
@@ -261,5 +261,4 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
 def without_toxic(docs: DataFrame, index: Index, most: float = 0.5) -> DataFrame:
     """The rows of ``docs``, all columns, whose score is below ``most``."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    kept = carry(docs, lambda batch, texts: votes(shared.value, texts)[:1], StructType().add("_paperloom_score", "double"))
-    return kept.filter(F.col("_paperloom_score") < most).drop("_paperloom_score")
+    return keep_rows(docs, lambda batch, texts: pc.less(votes(shared.value, texts)[0], most))
