@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
@@ -13,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Bytes of text that one numpy step handles; larger Arrow batches are cut, single longer texts are not.
 STEP_BYTES = 4_000_000
@@ -62,17 +64,36 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
+def lean(run):
+    """``run``, a function of Arrow batches, that gives memory back to the system after each batch and at its end: workers live on and their memory adds up."""
+
+    def wrapped(batches):
+        try:
+            for out in run(batches):
+                yield out
+                pa.default_memory_pool().release_unused()
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return wrapped
+
+
 def keep_rows(docs: DataFrame, keep) -> DataFrame:
     """The rows of ``docs``, all columns, that ``keep(batch, texts)`` marks; ``texts`` are never null."""
-    at, text = len(docs.columns), free_name(docs.columns, "text_")
-    # A text column that numpy steps can measure, whatever the table holds.
-    texts = docs.withColumn(text, F.coalesce(F.col("text").cast("string"), F.lit("")))
+    at, text = len(docs.columns), "text"
+    texts = docs
+    if docs.schema["text"].dataType != StringType():  # a text column that numpy steps can measure, whatever the table holds
+        text = free_name(docs.columns, "text_")
+        texts = docs.withColumn(text, F.col("text").cast("string"))
+    place = texts.columns.index(text)
 
     def run(batches):
         for batch in steps(batches, text):
-            yield batch.select(list(range(at))).filter(pa.array(keep(batch, batch.column(at)), pa.bool_()))
+            yield batch.select(list(range(at))).filter(pa.array(keep(batch, pc.fill_null(batch.column(place), "")), pa.bool_()))
 
-    return texts.mapInArrow(run, docs.schema)
+    return texts.mapInArrow(lean(run), docs.schema)
 
 
 def steps(batches, column: str = "text", limit: int = STEP_BYTES):

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, free_name, materialise, mix, steps, word_codes
+from .common import documents, free_name, lean, materialise, mix, steps, word_codes
 
 #: Sketches in each of the two collections; each is made of two minima.
 SIDE = 8
@@ -92,7 +92,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 lists = pc.if_else(pa.array(n > 0), lists, pa.nulls(len(n), lists.type))
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), _signed(sums[0]), _signed(sums[1]), lists], ["doc_id", "hash", "n_shingles", "s1", "s2", "sketch"])
 
-    return documents(docs).withColumn("hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, hash long, n_shingles long, s1 long, s2 long, sketch array<long>")
+    return documents(docs).withColumn("hash", F.xxhash64("text")).mapInArrow(lean(run), "doc_id long, hash long, n_shingles long, s1 long, s2 long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -104,7 +104,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
                 h, at = shingle_sets(batch.column(1), size)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([h[at[i] : at[i + 1]].tobytes() for i in range(batch.num_rows)], pa.binary())], ["node", "shingles"])
 
-    return docs.mapInArrow(run, f"node {NODE}, shingles binary")
+    return docs.mapInArrow(lean(run), f"node {NODE}, shingles binary")
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -127,7 +127,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(x) + len(y) - common))
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return both.mapInArrow(run, f"a {NODE}, b {NODE}")
+    return both.mapInArrow(lean(run), f"a {NODE}, b {NODE}")
 
 
 def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -147,9 +147,9 @@ def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     own = sets.join(rows.select("node").distinct(), "node").select("node", "shingles")
     size = own.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
-    alone = own.mapInArrow(run, f"node {NODE}, h long").groupBy("h").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1").groupBy("node").agg(F.count("*").alias("alone"))
+    alone = own.mapInArrow(lean(run), f"node {NODE}, h long").groupBy("h").agg(F.min("node").alias("node"), F.count("*").alias("m")).filter("m = 1").groupBy("node").agg(F.count("*").alias("alone"))
     fit = materialise(size.join(alone, "node", "left").filter(f"100 * (n - coalesce(alone, 0)) >= {percent} * n").select("node", "n"))
-    every = sets.join(fit.select("node"), "node").select("node", "shingles").mapInArrow(run, f"node {NODE}, h long")
+    every = sets.join(fit.select("node"), "node").select("node", "shingles").mapInArrow(lean(run), f"node {NODE}, h long")
     often = every.groupBy("h").agg(F.count("*").alias("m")).filter("m > 1")
     shared = every.join(often, "h").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("m", "h"))).alias("shared"))
     return materialise(fit.join(shared, "node").filter(f"100 * size(shared) >= {percent} * n"))

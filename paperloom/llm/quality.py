@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, keep_rows, materialise, steps, word_codes
+from .common import documents, keep_rows, lean, materialise, steps, word_codes
 
 SCORED = "doc_id long, text_score double, meta_score double, score double"
 #: Labelled rows at most.
@@ -225,7 +225,7 @@ def surest_of(free: DataFrame) -> Callable:
             for (i, c), (key, logit) in best.items():
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), i, np.int32)), pa.array(np.full(len(key), c, np.int32)), pa.array(-np.abs(logit)), pa.array(key)], ["view", "y", "d", "key"])
 
-        found = free.mapInArrow(run, "view int, y int, d double, key long").withColumn("part", F.pmod("key", F.lit(32)))
+        found = free.mapInArrow(lean(run), "view int, y int, d double, key long").withColumn("part", F.pmod("key", F.lit(32)))
         some = found.groupBy("view", "y", "part").agg(F.collect_set(F.struct("d", "key")).alias("x")).select("view", "y", F.explode(_slice("x", most)).alias("x"))
         rows = some.groupBy("view", "y").agg(F.collect_set("x").alias("x")).select("view", "y", F.explode(_slice("x", most)).alias("x")).select("view", "y", "x.key").collect()
         out: dict[str, list] = {v: [] for v in _VIEWS}
@@ -251,7 +251,7 @@ def _views(docs: DataFrame) -> DataFrame:
             t, m = text_view(b.column(1)), meta_view(*(b.column(i).to_pylist() for i in (2, 3, 4)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in t], pa.binary()), pa.array([x.tobytes() for x in m], pa.binary())], ["doc_id", "text_view", "meta_view"])
 
-    return docs.mapInArrow(run, _FEATURES)
+    return docs.mapInArrow(lean(run), _FEATURES)
 
 
 def _columns(docs: DataFrame) -> DataFrame:
@@ -305,7 +305,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 found = m.score(text_view(b.column(1)), meta_view(*(b.column(i).to_pylist() for i in (2, 3, 4))))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, pa.float64()) for x in found)], ["doc_id", "text_score", "meta_score", "score"])
 
-    return _columns(docs).mapInArrow(run, SCORED)
+    return _columns(docs).mapInArrow(lean(run), SCORED)
 
 
 def without_poor(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:

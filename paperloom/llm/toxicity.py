@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, keep_rows, steps, word_codes
+from .common import documents, keep_rows, lean, steps, word_codes
 
 SCORED = "doc_id long, score double, raw double, neighbours array<long>, cosines array<double>"
 #: Labelled examples of each label at most; those with the smallest hashes of their ids.
@@ -225,7 +225,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "y", "terms", "counts"])
 
     texts = documents(docs).join(F.broadcast(small), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
-    rows = sorted(texts.mapInArrow(count, "doc_id long, y int, terms array<string>, counts array<long>").collect()) if keys else []
+    rows = sorted(texts.mapInArrow(lean(count), "doc_id long, y int, terms array<string>, counts array<long>").collect()) if keys else []
     names: dict[str, int] = {}
     term = [names.setdefault(t, len(names)) for r in rows for t in r["terms"]]
     row = np.repeat(np.arange(len(rows)), [len(r["terms"]) for r in rows])
@@ -255,7 +255,7 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
         for batch in steps(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0), *votes(shared.value, batch.column(1), k)], ["doc_id", "score", "raw", "neighbours", "cosines"])
 
-    return documents(docs).mapInArrow(run, SCORED)
+    return documents(docs).mapInArrow(lean(run), SCORED)
 
 
 def without_toxic(docs: DataFrame, index: Index, most: float = 0.5) -> DataFrame:
