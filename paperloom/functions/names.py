@@ -103,11 +103,18 @@ SHAPE_UPPER = r"\b([A-Z]{2,}(?:[ \t]+[A-Z]{2,}){1,4})\b"
 SHAPE_CAPITALISED = r"\b([A-Z][a-z]+(?:[ \t]+[A-Z][a-z]*\.?){1,4})\b"
 
 
-def find_name(c: Column, labels: str = r"\b(?:EMPLOYEE|EMPLOYER|PARTICIPANT|MEMBER|CLAIMANT|NAME)\b") -> Column:
+# Words that aren't part of a name in a plan report.
+PLAN_LABELS = (
+    "EMPLOYEE", "EMPLOYER", "PARTICIPANT", "MEMBER", "CLAIMANT", "SALARY", "COMPENSATION", "CONTRIBUTION", "DEFERRAL", "MATCH", "GROSS", "NET", "TOTAL", "AMOUNT",
+    "NUMBER", "ID", "SSN", "TIN", "TAX", "PLAN", "COMPANY", "PAGE", "DATE", "ADDRESS", "STATE", "CITY", "ZIP", "PHONE", "EMAIL", "FAX", "FOR", "AND", "THE", "INC", "LLC", "CORP", "CO", "LTD",
+)
+
+
+def find_name(c: Column, labels: tuple[str, ...] = PLAN_LABELS) -> Column:
     """A name in free text: "Last, First" in title case, else capitals once labels and numbers are gone, else capitalised words."""
     s = clean(c)
     left, right = F.regexp_extract(s, SHAPE_LAST_FIRST, 1), F.regexp_extract(s, SHAPE_LAST_FIRST, 2)
-    bare = clean(F.regexp_replace(F.regexp_replace(s, labels, ""), r"\b\d[\d,.$%-]*\b", ""))
+    bare = clean(F.regexp_replace(F.regexp_replace(s, rf"(?i)\b(?:{'|'.join(labels)})\b", ""), r"\b\d[\d,.$%-]*\b", ""))
     upper, words = F.regexp_extract(bare, SHAPE_UPPER, 1), F.regexp_extract(s, SHAPE_CAPITALISED, 1)
     no = (s == "") | s.rlike(r"^(?:\$?\s*(?:\d{1,3}(?:,\d{3})+(?:\.\d{1,2})?|\d+(?:\.\d{1,2})?))$") | s.rlike(r"\b\d{3}-\d{2}-\d{4}\b")
     return F.when(no, "").when(left != "", title(F.concat(left, F.lit(", "), right))).when(upper != "", title(upper)).otherwise(words)

@@ -8,7 +8,11 @@ from pyspark.sql import functions as F
 from .text import clean, strip, text, tokens
 
 # Words that are form labels rather than names.
-LABEL_WORDS = ("EMPLOYEE", "EMPLOYER", "NAME", "ADDRESS", "SOCIAL", "SECURITY", "NUMBER", "WAGES", "TAX", "FEDERAL", "STATE", "LOCAL", "CONTROL", "COPY", "FORM")
+LABEL_WORDS = (
+    "EARNINGS", "SUMMARY", "WAGES", "TIPS", "COMPENSATION", "FEDERAL", "STATE", "LOCAL", "INCOME", "TAX", "WITHHELD", "SECURITY", "MEDICARE", "DEPENDENT", "CARE", "BENEFITS",
+    "NONQUALIFIED", "PLANS", "ALLOCATED", "ADVANCE", "EIC", "PAYMENT", "SALARY", "BONUS", "TOTAL", "EMPLOYEE", "EMPLOYER", "GROSS", "NET", "PAY", "PERIOD", "YTD", "YEAR", "DATE",
+    "AMOUNT", "COPY", "VOID", "CORRECTED", "DEPARTMENT", "TREASURY", "REVENUE", "SERVICE", "INTERNAL", "STATEMENT", "FORM", "WAGE", "AND",
+)
 
 
 def count_of(c: Column, pattern: str) -> Column:

@@ -40,6 +40,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(text(c), r"(?U)^\s+|\s+$", "")
 
 
+def let(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` worked out once, for functions that name their argument many times."""
+    return F.get(F.transform(F.array(c), lambda x: use(x)), F.lit(0))
+
+
 def clean(c: Column) -> Column:
     """White space collapsed to single blanks and trimmed."""
     return F.trim(F.regexp_replace(text(c), r"(?U)\s+", " "))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import at, clean, fix_digits, joined, strip, text, tokens
+from .text import at, clean, fix_digits, joined, let, strip, text, tokens
 
 # Shapes of identifiers, amounts, dates and address lines; country names; values of an unset box.
 SSN = r"\b(\d{3})[-\s]?(\d{2})[-\s]?(\d{4})\b"
@@ -71,14 +71,17 @@ def ssn_canonical(c: Column) -> Column:
 
 def ssn_in_cell(c: Column) -> Column:
     """The number in a table cell: whole, padded with X, or one of four partial forms in turn."""
-    s = clean(c)
+    return let(clean(c), _ssn_in)
+
+
+def _ssn_in(s: Column) -> Column:
     g = lambda p, n: F.regexp_extract(s, p, n)
     whole, padded = r"\b(\d{3}-\d{2}-\d{4})\b", r"(?i)(?<!\d)(\d{3}-\d{2}-[\dxX*]{1,4})(?![\dxX*])"
     short, front = r"\b(\d{3}-\d{2}-\d{1,3})\b(?!\d)", r"\b(\d{3}-\d{2})\b(?!\s*-?\s*\d)"
     last, mid = r"[xX*]{3}[- ][xX*]{2}[- ](\d{4})\b", r"\b(\d{3})[- ][xX*]{2}[- ](\d{4})\b"
     found = F.coalesce(*[F.nullif(g(p, 1), F.lit("")) for p in (whole, padded, short, front)])
     rest = F.when(g(last, 1) != "", F.concat(F.lit("XXX-XX-"), g(last, 1))).when(g(mid, 1) != "", F.concat(g(mid, 1), F.lit("-XX-"), g(mid, 2)))
-    return F.coalesce(ssn_canonical(F.coalesce(found, rest)), F.lit(""))
+    return F.coalesce(let(F.coalesce(found, rest), ssn_canonical), F.lit(""))
 
 
 def ssn_pay(c: Column) -> Column:

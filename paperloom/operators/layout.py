@@ -20,16 +20,21 @@ def lines_fixed(words: DataFrame, tolerance: float = 3.0, by_x: bool = True) ->
     return words.groupBy(*PAGE, y).agg(words_text(order).alias("text"), F.min("x0").alias("x0"), F.min("y0").alias("top"), F.max("x1").alias("x1"), F.max("y1").alias("bottom"))
 
 
-def lines_chain(words: DataFrame, tolerance: float = 5.0) -> DataFrame:
-    """A word that is further than the tolerance below the one before it begins a line."""
+def line_words() -> Column:
+    """Aggregate: a line's words by place, as structs of x0, ord and text."""
+    return F.array_sort(F.collect_list(F.struct("x0", "ord", "text")))
+
+
+def lines_chain(words: DataFrame, tolerance: float = 5.0, with_words: bool = False) -> DataFrame:
+    """A word that is further than the tolerance below the one before it begins a line. ``with_words`` adds each line's words."""
     w = Window.partitionBy(*PAGE).orderBy("mid", "x0", "ord")
     d = words.withColumn("mid", (F.col("y0") + F.col("y1")) / 2)
     d = d.withColumn("new", (F.col("mid") - F.lag("mid").over(w) > tolerance).cast("int"))
     d = d.withColumn("line", F.sum(F.coalesce("new", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"))
+    return d.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"), *([line_words().alias("words")] if with_words else []))
 
 
-def lines_anchor(words: DataFrame, tolerance: float = 3.0) -> DataFrame:
+def lines_anchor(words: DataFrame, tolerance: float = 3.0, with_words: bool = False) -> DataFrame:
     """A word that is further than the tolerance from the first word of the current line begins a line; words come by (rounded y, x0)."""
     one = F.struct(F.round("y0", 1).alias("r"), F.col("x0"), F.col("ord"), F.col("y0").alias("y"), F.col("text"))
     page = words.groupBy(*PAGE).agg(F.array_sort(F.collect_list(one)).alias("w"))
@@ -42,7 +47,7 @@ def lines_anchor(words: DataFrame, tolerance: float = 3.0) -> DataFrame:
 
     page = page.withColumn("lines", F.aggregate("w", start, step, lambda a: a["lines"]))
     each = page.select(*PAGE, F.explode(F.arrays_zip("w", "lines")).alias("z")).select(*PAGE, F.col("z.lines").alias("line"), F.col("z.w.x0").alias("x0"), F.col("z.w.ord").alias("ord"), F.col("z.w.text").alias("text"))
-    return each.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"))
+    return each.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"), *([line_words().alias("words")] if with_words else []))
 
 
 def grid_cells(words: DataFrame, rows: Column, two: Column, height: float = 792.0, width: float = 612.0, split: float = 0.5) -> DataFrame:
@@ -95,6 +100,32 @@ def occupancy(boxes: DataFrame, width: float, height: float, cols: int = 12, row
     return cells.groupBy(*PAGE).agg(F.collect_set("cell").alias("on")).select(*PAGE, F.expr(f"array_join(transform(sequence(0, {cols * rows - 1}), i -> case when array_contains(on, i) then '1' else '0' end), '')").alias("grid"))
 
 
+def mirrored(words: DataFrame, width: float) -> DataFrame:
+    """The words of pages whose text layer runs right to left: boxes mirrored about the page's middle."""
+    return words.withColumns({"x0": F.lit(width) - F.col("x1"), "x1": F.lit(width) - F.col("x0")})
+
+
+def left_of(words: Column, limit: Column) -> Column:
+    """The text of a line's words that begin left of ``limit``; of all of them where it is null."""
+    return F.array_join(F.transform(F.filter(words, lambda w: limit.isNull() | (w["x0"] < limit)), lambda w: w["text"]), " ")
+
+
+def header_starts(lines: DataFrame, default: tuple[float, float]) -> DataFrame:
+    """doc_id, c2, c3: where the second and the third column of a change table begin.
+
+    Only a document's first page counts; there the first line that has "changed", "from" and "to" and whose starts rise. A
+    pair "changed from" (the last one) goes before a bare "from" (the first one), and so for "to".
+    """
+    first = lines.withColumn("_p", F.min("page").over(Window.partitionBy("doc_id"))).filter("page = _p")
+    head = first.withColumn("_t", F.lower("text")).filter("contains(_t, 'changed') and contains(_t, 'from') and contains(_t, 'to')")
+    pair = lambda w: f"transform(filter(sequence(1, size(words)), i -> i > 1 and lower(words[i - 1].text) = '{w}' and lower(words[i - 2].text) = 'changed'), i -> words[i - 2].x0)"
+    bare = lambda w: f"transform(filter(words, x -> lower(x.text) = '{w}'), x -> x.x0)"
+    start = lambda w: F.coalesce(F.expr(f"try_element_at({pair(w)}, -1)"), F.expr(f"try_element_at({bare(w)}, 1)"))
+    found = head.select("doc_id", "line", start("from").alias("a"), start("to").alias("b")).filter("a <> 0 and b <> 0 and a < b")
+    best = found.groupBy("doc_id").agg(F.min_by(F.struct("a", "b"), "line").alias("s"))
+    return lines.select("doc_id").distinct().join(best, "doc_id", "left").select("doc_id", F.coalesce("s.a", F.lit(default[0])).alias("c2"), F.coalesce("s.b", F.lit(default[1])).alias("c3"))
+
+
 def upright(lines: DataFrame, mirrored: DataFrame, readable: Column, names: Column) -> DataFrame:
     """Per document: the lines as read, or mirrored where only these are readable, or bottom up where that shows more names.
 

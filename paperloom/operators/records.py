@@ -50,38 +50,37 @@ def drop_partial(df: DataFrame, number: str, by: list[str]) -> DataFrame:
     return df.withColumn("_full", any_full).filter((front == "") | full | (F.col("_full") == 0)).drop("_full")
 
 
-MERGED = "doc_id long, ord long, ssn string, first string, middle string, last string, suffix string"
-
-
-def merge_prefixes(df: DataFrame) -> DataFrame:
+def merge_prefixes(df: DataFrame, blanks: bool = False) -> DataFrame:
     """Per document, number and last name: a record joins the earliest one whose first name is a prefix of its own or the other way round.
 
-    The longer first name wins and brings its other parts; blanks are filled. Prefixes aren't transitive, so records are
-    folded in order. Rows without a number or a name pass through. A number is shared by few records of a document, so
-    groups are small.
+    df: doc_id, ord, ssn, first, middle, last, suffix and any other columns, which stay those of the earliest record. The
+    longer first name wins and brings its other parts; blanks are filled. Prefixes aren't transitive, so records are folded
+    in order. Rows without a number or a name pass through; with ``blanks``, only those without a first name do. A number is
+    shared by few records of a document, so groups are small.
     """
+    schema = df.schema
 
     def fold(table: pa.Table) -> pa.Table:
         out: list[dict] = []
-        for r in sorted(table.to_pylist(), key=lambda r: r["ord"]):
+        for r in sorted(table.drop(["_last", "_ssn"]).to_pylist(), key=lambda r: r["ord"]):
+            own = r["first"].strip()
             for p in out:
-                a, b = r["first"].lower(), p["first"].lower()
+                a, b = own.lower(), p["first"].strip().lower()
                 if a.startswith(b) or b.startswith(a):
-                    longer = len(r["first"]) > len(p["first"])
+                    longer = len(own) > len(p["first"].strip())
                     if longer:
-                        p["first"] = r["first"]
+                        p["first"] = own
                     for c in ("middle", "suffix"):
                         if r[c] and (longer or not p[c]):
                             p[c] = r[c]
                     break
             else:
                 out.append(dict(r))
-        return pa.Table.from_pylist(out, schema=table.schema)
+        return pa.Table.from_pylist(out, schema=pa.schema([f for f in table.schema if f.name not in ("_last", "_ssn")]))
 
-    d = df.select(F.col("doc_id").cast("long"), F.col("ord").cast("long"), "ssn", "first", "middle", "last", "suffix").withColumn("_last", F.lower(F.trim("last")))
-    own = (F.col("ssn") != "") & (F.col("first") != "") & (F.col("_last") != "")
-    merged = d.filter(own).groupBy("doc_id", "ssn", "_last").applyInArrow(lambda t: fold(t.drop(["_last"])), MERGED)
-    return merged.unionByName(d.filter(~own).drop("_last"))
+    d = df.withColumn("_last", F.lower(F.trim("last"))).withColumn("_ssn", F.trim("ssn"))
+    own = F.trim("first") != "" if blanks else (F.trim("first") != "") & (F.col("_last") != "") & (F.col("_ssn") != "")
+    return d.filter(own).groupBy("doc_id", "_ssn", "_last").applyInArrow(fold, schema).unionByName(d.filter(~own).drop("_last", "_ssn"))
 
 
 def greedy_groups(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:

@@ -61,9 +61,6 @@ query("snk_09", LINES, "SELECT doc_id, min(ord) AS first, max(ord) AS last, coun
 
 # Projections.
 query("prj_01", SSN_ROWS.replace("ELSE '' END AS first", "END AS first"), "SELECT doc_id, ord, coalesce(first, '') AS first FROM t")(lambda df: df.select("doc_id", "ord", T.text(F.col("first")).alias("first")))
-query("prj_02", SSN_ROWS, "SELECT doc_id, ord, CASE WHEN ssn <> '' THEN 'Social Security Number (SSN)' ELSE '' END AS tag, concat_ws(' | ', CASE WHEN first <> '' THEN 'Employee Contribution: ' || first END, CASE WHEN suffix <> '' THEN 'Employer Match: ' || suffix END) AS work FROM t")(
-    lambda df: df.select("doc_id", "ord", F.when(F.col("ssn") != "", "Social Security Number (SSN)").otherwise("").alias("tag"), F.concat_ws(" | ", F.when(F.col("first") != "", F.concat(F.lit("Employee Contribution: "), "first")), F.when(F.col("suffix") != "", F.concat(F.lit("Employer Match: "), "suffix"))).alias("work"))
-)
 query("prj_03", SSN_ROWS, "SELECT doc_id, ord, first AS \"First Name\", middle AS \"Middle Name\", last AS \"Last Name\", suffix AS \"Suffix\", 'Employee' AS \"Data Subject Type\", ssn AS \"SSN\", '' AS \"Notes\" FROM t")(lambda df: df.select("doc_id", "ord", F.col("first").alias("First Name"), F.col("middle").alias("Middle Name"), F.col("last").alias("Last Name"), F.col("suffix").alias("Suffix"), F.lit("Employee").alias("Data Subject Type"), F.col("ssn").alias("SSN"), F.lit("").alias("Notes")))
 query("prj_04", "SELECT s_suppkey AS k, s_name || ', Ann Mary MD' AS name, CAST(s_suppkey AS STRING) || ' Main St|Reno, NV 89501' AS address FROM {supplier}", "SELECT k, name[:-14] AS last, 'Ann' AS first, 'Mary' AS middle, 'MD' AS suffix, k || ' Main St' AS street, 'Reno' AS city, 'NV' AS state, '89501' AS zip FROM t")(
     lambda df: df.select("k", N.last_first(F.col("name")).alias("n"), V.creditor_address(F.split("address", r"\|")).alias("a")).select("k", "n.*", "a.*")
@@ -85,11 +82,8 @@ query("prj_09", TABLES, "SELECT k, k % 3 < 2 AS is_header, CASE WHEN k % 3 < 2 T
 query("prj_10", "SELECT c_custkey AS k, '/in/' || c_mktsegment || '.pdf' AS path FROM {customer}", "SELECT k, replace(path, '.pdf', '_w2.csv') AS output FROM t")(lambda df: df.select("k", F.regexp_replace("path", r"\.[^./]+$", "_w2.csv").alias("output")))
 
 # Reports.
-query("obs_01", LINES, "SELECT doc_id, ord, kind, regexp_replace(text, '[0-9]', '#', 'g') AS masked FROM t")(lambda df: df.select("doc_id", "ord", "kind", T.mask(F.col("text")).alias("masked")))
 query("obs_02", "SELECT doc_id, text AS s FROM {documents}", "SELECT doc_id, CAST((length(lower(s)) - length(replace(lower(s), 'the', ''))) // 3 AS BIGINT) AS the, CAST((length(lower(s)) - length(replace(lower(s), 'license', ''))) // 7 AS BIGINT) AS license FROM t")(lambda df: df.select("doc_id", *[((F.length(F.lower("s")) - F.length(F.replace(F.lower("s"), F.lit(w)))) / len(w)).cast("long").alias(w) for w in ("the", "license")]))
 query("obs_03", SSN_ROWS, "SELECT doc_id, ord, list_filter([CASE WHEN first = '' THEN 'first' END, CASE WHEN middle = '' THEN 'middle' END], x -> x IS NOT NULL) AS missing FROM t WHERE first = '' OR middle = ''")(lambda df: df.filter("first = '' or middle = ''").select("doc_id", "ord", F.array_compact(F.array(F.expr("case when first = '' then 'first' end"), F.expr("case when middle = '' then 'middle' end"))).alias("missing")))
-query("obs_04", LINES, "SELECT doc_id, count(*) AS rows_, count(DISTINCT page) AS pages, count(*) > 0 AS found, CASE WHEN count(*) FILTER (kind = 'R') = 0 THEN 'no records' ELSE '' END AS warning FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.count("*").alias("rows_"), F.countDistinct("page").alias("pages"), (F.count("*") > 0).alias("found"), F.when(F.count_if(F.col("kind") == "R") == 0, "no records").otherwise("").alias("warning")))
-
 # Pipelines.
 _CELL = "lpad(CAST(c_custkey % 100000 AS STRING), 5, '0')"
 _EMPLOYEE_LINES = (
@@ -134,29 +128,6 @@ def _1095c(df):
 
 
 query("x_1095c", COVERED_LINES, f"SELECT doc_id, string_split({FIRST.replace('c_custkey', 'doc_id')}, ' ')[1] AS first, 'Roe' AS last, doc_id || ' Elm' AS street, 'Reno' AS city, '' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, 'USA' AS country, 'XXX-XX-' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') AS ssn FROM t WHERE ord = 0")(_1095c)
-_CLAIM = """SELECT l_orderkey AS doc_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INT) AS n, l_partkey, CAST(1 + l_partkey % 12 AS STRING) || '/' || CAST(1 + l_suppkey % 28 AS STRING) || '/2021' AS day FROM {lineitem}"""
-CLAIM_LINES = f"""SELECT doc_id, n * 2 AS ord, CASE WHEN n % 3 = 1 THEN 'C' || CAST(doc_id AS STRING) || ' ROE, Jane' || chr(64 + n) ELSE 'note' END AS text FROM ({_CLAIM}) AS a UNION ALL
-    SELECT doc_id, n * 2 + 1 AS ord, CASE WHEN n % 3 = 1 THEN 'Patient Acct # P' || CAST(l_partkey AS STRING) WHEN n % 3 = 2 THEN 'on ' || day || ' code A' || CAST(100 + l_partkey % 900 AS STRING) ELSE 'Member Totals: 5' END AS text FROM ({_CLAIM}) AS b"""
-
-
-def _claims(df):
-    """Records that a name opens and member totals close; the last account, the latest date with a code; incomplete ones go."""
-    opens = F.col("text").rlike(r"^\S*\d\S*\s+[A-Z][A-Za-z'\-]+,\s*[A-Za-z]")
-    d = A.segments(df, opens, ["doc_id"], ["ord"]).filter("segment > 0")
-    totals = F.col("text").rlike(r"Member Totals\s*[:;]")
-    d = d.withColumn("stop", F.min(F.when(totals, F.col("ord"))).over(Window.partitionBy("doc_id", "segment"))).filter("ord < stop")
-    last = V.last_date_and_code(F.col("text"))
-    acct = F.regexp_extract("text", r"Patient\s+Acct\.?\s*#\s*(\S+)", 1)
-    found = d.groupBy("doc_id", "segment").agg(F.min_by(F.regexp_extract("text", r"([A-Z][A-Za-z'\-]+,\s*[A-Za-z][A-Za-z'\-\. ]*)", 1), "ord").alias("name"), F.min_by(F.split("text", " ")[0], "ord").alias("claim"), F.max_by(acct, F.when(acct != "", F.col("ord"))).alias("acct"), F.max(F.when(last["code"] != "", V.date(last["date"]))).alias("day"))
-    return found.filter("acct is not null and day is not null").select("doc_id", "segment", "name", "claim", "acct", V.us_date(F.col("day")).alias("service_date"))
-
-
-query("x_claim", CLAIM_LINES, r"""SELECT doc_id, segment, 'ROE, Jane' || chr(CAST(64 + n AS INT)) AS name, 'C' || doc_id AS claim, acct, service_date FROM (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS segment, n, acct, service_date FROM
-    (SELECT a.doc_id, a.ord // 2 AS n, regexp_extract(a.text, '# (\S+)', 1) AS acct, (SELECT strftime(max(try_strptime(regexp_extract(b.text, 'on (\S+)', 1), '%m/%d/%Y')), '%m/%d/%Y') FROM t b WHERE b.doc_id = a.doc_id AND b.ord = a.ord + 2 AND b.text LIKE 'on %') AS service_date,
-      EXISTS (SELECT 1 FROM t c WHERE c.doc_id = a.doc_id AND c.ord = a.ord + 4) AS closed FROM t a WHERE a.text LIKE 'Patient Acct%') WHERE closed)""")(_claims)
-query("x_pat", CLAIM_LINES, "SELECT doc_id, count(*) FILTER (text LIKE 'Patient Acct%') AS accounts, coalesce(string_agg(regexp_extract(text, '# (\\S+)', 1), ':' ORDER BY ord) FILTER (text LIKE 'Patient Acct%'), '') AS joined FROM t GROUP BY doc_id")(
-    lambda df: df.withColumn("acct", F.regexp_extract("text", r"Patient\s+Acct\.?\s*#\s*(\S+)", 1)).groupBy("doc_id").agg(F.count_if(F.col("acct") != "").alias("accounts"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("acct") != "", F.struct("ord", "acct")))), lambda x: x["acct"]), ":").alias("joined"))
-)
 GROSS = """SELECT o_orderkey AS doc_id, CAST(1 AS INT) AS page, CAST(n_nationkey AS INT) AS ord, CAST(n_nationkey % 4 * 120 + CASE WHEN n_nationkey >= 4 THEN (o_custkey + n_nationkey) % 40 ELSE 0 END AS DOUBLE) AS x0, CAST(CASE WHEN n_nationkey < 4 THEN 30 ELSE 60 END + o_orderkey % 2 AS DOUBLE) AS y0,
     CASE n_nationkey WHEN 0 THEN 'EE' WHEN 1 THEN 'Name' WHEN 2 THEN 'SSN' WHEN 3 THEN 'Net' WHEN 4 THEN 'E' || CAST(o_custkey AS STRING) WHEN 5 THEN 'Roe' WHEN 6 THEN '900-01-' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') ELSE CAST(o_custkey AS STRING) || '.00' END AS text FROM {orders} CROSS JOIN {nation} WHERE n_nationkey < 8"""
 
@@ -171,9 +142,6 @@ def _gross(df):
 
 
 query("x_gross", GROSS, "SELECT doc_id, max(text) FILTER (ord = 4) AS ee_id, 'Roe' AS name, max(text) FILTER (ord = 6) AS ssn, max(text) FILTER (ord = 7) AS net_pay FROM t GROUP BY doc_id")(_gross)
-query("x_401k", SSN_ROWS, "SELECT doc_id, ord, last, first, ssn FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(first), lower(last), ssn ORDER BY ord) AS rn FROM (SELECT *, max(CASE WHEN length(regexp_replace(ssn, '\\D', '', 'g')) = 9 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, ssn[:6]) AS f FROM t) WHERE f = 0 OR length(regexp_replace(ssn, '\\D', '', 'g')) = 9) WHERE rn = 1")(
-    lambda df: R.first_wins(R.drop_partial(df, "ssn", ["doc_id"]), [F.col("doc_id"), F.lower("first"), F.lower("last"), F.col("ssn")], ["ord"]).select("doc_id", "ord", "last", "first", "ssn")
-)
 CREDITOR_WORDS = """SELECT s_suppkey AS doc_id, CAST(1 AS INT) AS page, CAST(n_nationkey AS INT) AS ord, CAST(n_nationkey % 3 * 200 AS DOUBLE) AS x0, CAST(n_nationkey % 3 * 200 + 150 AS DOUBLE) AS x1, CAST(CASE WHEN n_nationkey >= 6 THEN 80 ELSE 0 END + n_nationkey % 6 / 3 * 12 AS DOUBLE) AS y_raw,
     CASE WHEN n_nationkey % 6 < 3 THEN 'Roe' || CAST(n_nationkey AS STRING) || ', Ann' ELSE CAST(s_suppkey AS STRING) || ' Main St' END AS text FROM {supplier} CROSS JOIN {nation} WHERE n_nationkey < 12"""
 
@@ -190,9 +158,6 @@ query("x_cred", CREDITOR_WORDS, "SELECT doc_id, CAST(ord % 3 AS INT) AS col, CAS
 query("x_gen", LINES, "SELECT doc_id, page, 'Section' AS category, max(text) FILTER (kind = 'R') AS field, coalesce(string_agg(text, ' ' ORDER BY ord) FILTER (kind <> 'R'), '') AS value FROM (SELECT *, sum(CASE WHEN kind = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page ORDER BY ord ROWS UNBOUNDED PRECEDING) AS seg FROM t) WHERE seg > 0 GROUP BY doc_id, page, seg")(
     lambda df: A.segments(df, F.col("kind") == "R", ["doc_id", "page"], ["ord"]).filter("segment > 0").groupBy("doc_id", "page", "segment").agg(F.max(F.when(F.col("kind") == "R", F.col("text"))).alias("field"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") != "R", F.struct("ord", "text")))), lambda x: x["text"]), " ").alias("value")).select("doc_id", "page", F.lit("Section").alias("category"), "field", "value")
 )
-query("x_chg", LINES, "SELECT doc_id, ord, text AS field, entity FROM (SELECT *, last_value(CASE WHEN kind = 'R' THEN text END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING) AS entity FROM t) WHERE kind = 'N' AND entity IS NOT NULL")(
-    lambda df: df.withColumn("entity", F.last(F.when(F.col("kind") == "R", F.col("text")), True).over(Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, 0))).filter("kind = 'N' and entity is not null").select("doc_id", "ord", F.col("text").alias("field"), "entity")
-)
 query("x_lines", "SELECT doc_id, text FROM {documents}", "SELECT doc_id, count(*) AS lines, count(*) FILTER (trim(l) <> '') AS filled FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) GROUP BY doc_id")(lambda df: SRC.layout_lines(df).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(F.trim("text") != "").alias("filled")))
 query("x_grp", "SELECT conv_id * 100 + turn AS k, role, text FROM {conversations}")(lambda df: R.greedy_groups(df.select(F.lpad(F.col("k").cast("string"), 12, "0").alias("file"), F.col("role").alias("orientation"), F.rpad(F.lit("1"), 192, "0").substr(F.lit(1), F.length("text") % 190).alias("grid"), T.vocabulary(F.col("text")).alias("tokens"))))
 query("x_form", LINES, "SELECT doc_id, count(*) FILTER (kind = 'A') AS fields, count(*) FILTER (kind = 'R') AS signatures, string_agg(DISTINCT status, ';' ORDER BY status) AS types FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.count_if(F.col("kind") == "A").alias("fields"), F.count_if(F.col("kind") == "R").alias("signatures"), F.array_join(F.array_sort(F.collect_set("status")), ";").alias("types")))

@@ -112,8 +112,8 @@ query("fn_name_06", COMMA_NAMES, rf"""
     lambda df: df.select("k", N.last_first_plain(F.col("s")).alias("o")).select("k", "o.last", "o.first", "o.middle")
 )
 _names("fn_name_07", PLAIN_NAMES, N.covered_name, {"first": "coalesce(h[1], '')", "middle": f"CASE WHEN len(h) > 2 THEN {_JOIN('h[2:-2]')} ELSE '' END", "last": "CASE WHEN len(h) > 1 THEN h[-1] ELSE '' END", "unusual": "len(h) > 3"}, _TOKENS, "false")
-TEXT_NAMES = f"SELECT c_custkey AS k, CASE c_custkey % 4 WHEN 0 THEN 'paid to Smith, Jonathan today' WHEN 1 THEN 'EMPLOYEE NAME: JANE ROE 123' WHEN 2 THEN 'sent by John Q. Public on time' ELSE '$1,200.00' END AS s FROM {{customer}}"
-query("fn_name_08", TEXT_NAMES, "SELECT k, CASE k % 4 WHEN 0 THEN 'Smith, Jonathan Today' WHEN 1 THEN 'Jane Roe' WHEN 2 THEN 'John Q. Public' ELSE '' END AS v FROM t")(lambda df: df.select("k", N.find_name(F.col("s")).alias("v")))
+TEXT_NAMES = f"SELECT c_custkey AS k, CASE c_custkey % 7 WHEN 4 THEN 'total net Amount JANE ROE' WHEN 5 THEN 'PARTICIPANT NAME JANE ROE' WHEN 6 THEN 'Plan company ltd' WHEN 0 THEN 'paid to Smith, Jonathan today' WHEN 1 THEN 'EMPLOYEE NAME: JANE ROE 123' WHEN 2 THEN 'sent by John Q. Public on time' ELSE '$1,200.00' END AS s FROM {{customer}}"
+query("fn_name_08", TEXT_NAMES, "SELECT k, CASE k % 7 WHEN 0 THEN 'Smith, Jonathan Today' WHEN 1 THEN 'Jane Roe' WHEN 2 THEN 'John Q. Public' WHEN 4 THEN 'Jane Roe' WHEN 5 THEN 'Name Jane Roe' ELSE '' END AS v FROM t")(lambda df: df.select("k", N.find_name(F.col("s")).alias("v")))
 query("fn_name_09", HEADERS, f"""
     SELECT k, CASE k % 6 WHEN 0 THEN 'Smith' WHEN 1 THEN 'O''Brien' WHEN 2 THEN 'de la Cruz' WHEN 3 THEN 'Smith-Jones' WHEN 4 THEN '' ELSE 'Strunk' END AS last,
       CASE WHEN k % 6 = 4 THEN '' ELSE CASE k % 7 WHEN 0 THEN 'Jonathan' WHEN 1 THEN 'Efrain' WHEN 2 THEN 'Mary' WHEN 3 THEN 'Antione' WHEN 4 THEN 'William' WHEN 5 THEN 'anna' ELSE 'Lee' END END AS first,
@@ -204,7 +204,9 @@ query("flt_10", f"SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN 'E-' |
 scalar("flt_11", "SELECT s_suppkey AS k, CASE s_suppkey % 4 WHEN 0 THEN 'Inc.' WHEN 1 THEN '' WHEN 2 THEN ' LLC' ELSE 'Ann' END AS s FROM {supplier}", {"v": N.is_person}, {"v": "lower(trim(s)) NOT IN ('', 'inc', 'inc.', 'llc', 'llc.')"})
 query("flt_12", f"SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN {FIRST} ELSE '' END AS f, CASE WHEN c_custkey % 3 = 0 THEN {LAST} ELSE '' END AS l, CASE WHEN c_custkey % 5 = 0 THEN {SERIAL} ELSE '' END AS s FROM {{customer}}", "SELECT k FROM t WHERE f <> '' OR l <> '' OR s <> ''")(lambda df: df.filter("f <> '' or l <> '' or s <> ''").select("k"))
 by_line("flt_14", {"v": P.looks_like_label, "u": P.mostly_upper}, {"v": rf"""len(list_filter(string_split_regex(rtrim({_STRIP}, ':'), '\s+'), w -> w <> '')) <= 8 AND (({_STRIP}) LIKE '%:' OR (length(regexp_replace(s, '\P{{L}}', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{{Lu}}]', '', 'g')) >= 0.75 * length(regexp_replace(s, '\P{{L}}', '', 'g')) AND len(list_filter(string_split_regex(rtrim({_STRIP}, ':'), '\s+'), w -> w <> '')) <= 5))""", "u": r"length(regexp_replace(s, '\P{L}', '', 'g')) >= 3 AND length(regexp_replace(s, '[^\p{Lu}]', '', 'g')) >= 0.75 * length(regexp_replace(s, '\P{L}', '', 'g'))"})
-scalar("flt_16", TEXT_NAMES, {"v": P.form_label}, {"v": rf"list_has_any(string_split_regex(upper(s), '\s+'), {_list(P.LABEL_WORDS)})"})
+scalar("flt_16", TEXT_NAMES, {"v": P.form_label}, {"v": r"""list_has_any(string_split_regex(upper(s), '\s+'), ['EARNINGS', 'SUMMARY', 'WAGES', 'TIPS', 'COMPENSATION', 'FEDERAL', 'STATE', 'LOCAL', 'INCOME', 'TAX', 'WITHHELD', 'SECURITY', 'MEDICARE',
+    'DEPENDENT', 'CARE', 'BENEFITS', 'NONQUALIFIED', 'PLANS', 'ALLOCATED', 'ADVANCE', 'EIC', 'PAYMENT', 'SALARY', 'BONUS', 'TOTAL', 'EMPLOYEE', 'EMPLOYER', 'GROSS', 'NET', 'PAY', 'PERIOD', 'YTD', 'YEAR', 'DATE', 'AMOUNT', 'COPY', 'VOID',
+    'CORRECTED', 'DEPARTMENT', 'TREASURY', 'REVENUE', 'SERVICE', 'INTERNAL', 'STATEMENT', 'FORM', 'WAGE', 'AND'])"""})
 scalar("flt_17", PLAIN_NAMES, {"v": lambda s: (F.size(T.tokens(s)) >= 2) & ~s.rlike(r"\d")}, {"v": rf"len({_TOKENS}) >= 2 AND NOT regexp_matches(s, '\d')"})
 SURNAMES = "SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN 'Medi-Cal VILLA, Daniel' WHEN 1 THEN 'VILLA, Daniel' WHEN 2 THEN 'Medicare Commercial ROE, Jane' ELSE 'no name' END AS s FROM {orders}"
 #: A surname may begin neither with a filler word nor inside one.
