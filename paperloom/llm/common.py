@@ -18,6 +18,8 @@ from pyspark.sql.types import StringType
 
 #: Bytes of text that one numpy step handles; larger Arrow batches are cut, single longer texts are not.
 STEP_BYTES = 4_000_000
+#: Bytes of an Arrow batch between Spark and Python: both hold a few at a time, beside all else that a task needs.
+BATCH_BYTES = 8_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,8 +52,16 @@ def hash_mod(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % n
 
 
-def documents(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id and text (null: empty), with ``more`` columns where they exist; other columns go, so names can't clash."""
+def small_batches(spark: SparkSession, most: int) -> None:
+    """Arrow batches of ``most`` bytes at most in the queries that follow, unless the session was started with a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(most))
+
+
+def documents(docs: DataFrame, *more: str, batch: int = BATCH_BYTES) -> DataFrame:
+    """doc_id and text (null: empty), with ``more`` columns where they exist; other columns go, so names can't clash. ``batch``: see ``small_batches``."""
+    small_batches(docs.sparkSession, batch)
     keep = [F.col(c) for c in more if c in docs.columns]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *keep)
 
@@ -82,6 +92,7 @@ def lean(run):
 
 def keep_rows(docs: DataFrame, keep) -> DataFrame:
     """The rows of ``docs``, all columns, that ``keep(batch, texts)`` marks; ``texts`` are never null."""
+    small_batches(docs.sparkSession, BATCH_BYTES)
     at, text = len(docs.columns), "text"
     texts = docs
     if docs.schema["text"].dataType != StringType():  # a text column that numpy steps can measure, whatever the table holds

@@ -24,6 +24,8 @@ BLANK = "▁"
 #: Every task knows the training counts of words that are a ``HEAD``-th of all tokens or more, of which there are ``HEAD``
 #: at most; the rest is joined by word.
 HEAD = 400_000
+#: Bytes of text whose distinct words are scored together.
+STEP = 24_000_000
 #: Times the weights are re-estimated.
 ROUNDS = 2
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -174,12 +176,12 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """word, c: how often each lower-cased (A-Z) word occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for b in steps(batches, limit=24_000_000):
+        for b in steps(batches, limit=STEP):
             words, codes, _ = word_codes(pc.ascii_lower(b.column(1)))
             n = np.bincount(codes, minlength=len(words))
             yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(n, pa.int64())], ["word", "c"])
 
-    return documents(docs).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return documents(docs, batch=STEP).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Vocabulary:
@@ -217,7 +219,7 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
     Training counts of words that are a ``head``-th of the tokens or more go to every task (``head`` words at most); other
     words are joined by word.
     """
-    every = documents(docs)
+    every = documents(docs, batch=STEP)
     chosen = every.filter(training)
     counts = materialise(word_counts(chosen))
     ends = chosen.count()
@@ -232,7 +234,7 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
 
     def run(batches: Iterator[pa.RecordBatch]):
         own, m, common = shared.value
-        for b in steps(batches, limit=24_000_000):
+        for b in steps(batches, limit=STEP):
             words, codes, first = word_codes(pc.ascii_lower(b.column(1)))
             names = words.to_pylist()
             c = np.fromiter((common.get(w, 0) for w in names), np.int64, len(names))

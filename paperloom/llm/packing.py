@@ -25,6 +25,8 @@ PACKED = f"{PIECES}, sequence_id long, offset long"
 SHARE = 16_384
 
 
+#: Bytes of text whose distinct words are tokenised together.
+STEP = 24_000_000
 #: A mark at a word's end; the vocabulary's own split keeps a run of marks apart from letters and digits before it.
 _MARKS = ".,!?;:"
 #: Word stems that a worker remembers; beyond, it starts anew.
@@ -109,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0,
     """One row per piece; null and empty texts are the end id alone. Only documents longer than ``length`` are cut."""
 
     def cut(batches: Iterator[pa.RecordBatch]):
-        for batch in steps(batches, limit=24_000_000):
+        for batch in steps(batches, limit=STEP):
             rows = []
             for key, ids in token_ids(tokenizer, batch, end_id):
                 for n, start in enumerate(range(0, len(ids), length)):
@@ -121,7 +123,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0,
 
     schema = PIECES + (", ids binary" if with_ids else "")
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    return documents(docs).mapInArrow(cut, schema)
+    return documents(docs, batch=STEP).mapInArrow(cut, schema)
 
 
 class OpenBins:

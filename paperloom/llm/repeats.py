@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from .common import materialise, mix, steps
+from .common import BATCH_BYTES, materialise, mix, small_batches, steps
 
 #: Bytes of text in a block, and bytes of text for each bucket of anchors.
 BLOCK_BYTES = 2_000_000
@@ -57,6 +57,7 @@ class Kind:
 
 def blocks_of(docs: DataFrame, size: int = BLOCK_BYTES, rest: tuple[str, ...] = ()) -> DataFrame:
     """One row per block: number, ids, text lengths, the compressed texts and the other columns; written once, so numbers stay."""
+    small_batches(docs.sparkSession, BATCH_BYTES)
     chosen = docs.select(F.col("doc_id").cast("long").alias("_paperloom_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *(F.col(c).alias(f"_paperloom_{i}") for i, c in enumerate(rest)))
 
     def run(batches: Iterator[pa.RecordBatch]):
