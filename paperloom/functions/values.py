@@ -219,3 +219,12 @@ def chosen_value(old: Column, new: Column) -> Column:
     """The new value, or the old one where the new says nothing."""
     n = strip(new)
     return F.when(F.lower(n).isin(*NO_VALUE), strip(old)).otherwise(n)
+
+
+def eta(seconds: Column) -> Column:
+    """Seconds left as "1h 04m 30s", "4m 30s" or "30s"; unknown and negative ones are being worked out."""
+    n = F.floor(seconds).cast("long")
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    h, m, s = F.expr("1L") * F.floor(n / 3600), F.floor(n % 3600 / 60), n % 60
+    long = F.concat(h.cast("string"), F.lit("h "), two(m), F.lit("m "), two(s), F.lit("s"))
+    return F.when(seconds.isNull() | (seconds < 0), "calculating...").when(n >= 3600, long).when(n >= 60, F.concat(m.cast("string"), F.lit("m "), two(s), F.lit("s"))).otherwise(F.concat(s.cast("string"), F.lit("s")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import composed, pipelines, relations, scalars  # noqa: F401  register
+from . import composed, documents, pipelines, relations, scalars  # noqa: F401  register
 from .registry import QUERIES, Query
 
 

@@ -37,48 +37,22 @@ query("prj_11", W2_PAGES, f"SELECT doc_id, {_OSSN} AS employee_ssn, 'C' || doc_i
 
 # Sources and sinks.
 _PAGES = "SELECT c_custkey AS doc_id, CAST(1 + c_custkey % 5 AS INT) AS page, CASE WHEN c_custkey % 7 = 0 THEN ' ' WHEN c_custkey % 7 = 1 THEN 'Member Totals: see the health plan ID of this patient' WHEN c_custkey % 7 = 2 THEN 'Form 1095-C Employer-Provided Health Insurance Offer' WHEN c_custkey % 7 = 3 THEN 'Employee Payroll Changes for the period that ended' WHEN c_custkey % 7 = 4 THEN 'Your 401 (k) plan statement for the year that ended' WHEN c_custkey % 7 = 5 THEN 'Gross To Net report of all employees of the company' ELSE 'An ordinary letter with a sufficient amount of text' END AS text FROM {customer}"
-query("src_01", "SELECT c_custkey AS k, c_mktsegment || CASE c_custkey % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PDF' ELSE '.txt' END AS path FROM {customer}", "SELECT k, path FROM t WHERE path LIKE '%.pdf'")(lambda df: df.filter(F.col("path").endswith(".pdf")))
-query("src_02", "SELECT c_custkey AS k, c_mktsegment || CASE c_custkey % 3 WHEN 0 THEN '.pdf' WHEN 1 THEN '.PDF' ELSE '.txt' END AS path FROM {customer}", "SELECT k, path FROM t WHERE lower(path) LIKE '%.pdf'")(lambda df: df.filter(F.lower("path").endswith(".pdf")))
 query("src_05", "SELECT doc_id, text FROM {documents}", "SELECT doc_id, CAST(i AS BIGINT) AS line_no, rtrim(l[i]) AS text FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM t)")(lambda df: SRC.layout_lines(df))
-query("src_06", LINES, "SELECT doc_id, page, list(text ORDER BY ord) AS cells FROM t GROUP BY ALL")(lambda df: df.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("cells")))
-query("src_08", f"SELECT doc_id, text AS native, reverse(text) AS pdfium, 'ocr' AS ocr FROM ({_PAGES}) AS p", "SELECT doc_id, CASE WHEN trim(native) <> '' THEN native WHEN trim(pdfium) <> '' THEN pdfium ELSE ocr END AS text, CASE WHEN trim(native) <> '' THEN 'native' WHEN trim(pdfium) <> '' THEN 'pdfium' ELSE 'ocr' END AS method FROM t")(SRC.cascade)
-query("src_10", WORDS, "SELECT doc_id, ord, x0 * 72 / 300 AS x0, y0 * 72 / 300 AS y0 FROM t WHERE text <> '' AND x0 >= 100")(lambda df: df.filter("text <> '' and x0 >= 100").select("doc_id", "ord", (F.col("x0") * 72 / 300).alias("x0"), (F.col("y0") * 72 / 300).alias("y0")))
-query("src_11", _PAGES, "SELECT doc_id, page FROM t WHERE length(trim(text)) < 20")(lambda df: df.filter(~P.usable_page(F.col("text"))).join(df.filter("false").select("doc_id", "page"), ["doc_id", "page"], "left_anti").select("doc_id", "page"))
-query("src_13", LINES, "SELECT doc_id, count(DISTINCT page) AS pages FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.countDistinct("page").alias("pages")))
 query("src_14", LINES, "SELECT doc_id, page, string_agg(text, chr(10) ORDER BY ord) AS text FROM t GROUP BY ALL")(lambda df: SRC.pages_of_lines(df))
 query("src_15", LINES, "SELECT doc_id, page, string_agg(kind || text, chr(10) ORDER BY ord) AS text FROM t GROUP BY ALL")(lambda df: SRC.pages_of_lines(df.withColumn("text", F.concat("kind", "text"))))
-query("src_17", SSN_ROWS, "SELECT doc_id, ord, first AS name, suffix AS value FROM t WHERE first <> '' AND suffix NOT IN ('', 'Off')")(lambda df: df.filter("first <> '' and suffix not in ('', 'Off')").select("doc_id", "ord", F.col("first").alias("name"), F.col("suffix").alias("value")))
-query("src_20", "SELECT r_regionkey AS k, r_name AS header FROM {region}", "SELECT k, lower(trim(header)) AS header, row_number() OVER (ORDER BY k) AS place FROM t")(lambda df: df.select("k", T.column_key(F.col("header")).alias("header"), (F.col("k") + 1).cast("long").alias("place")))
 query("src_21", _PAGES, "SELECT doc_id, lower(text) AS text, length(trim(text)) >= 40 AS has_text FROM t WHERE page <= 3")(sample_pages)
 query("dsp_01", _PAGES, """SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'patient-info' WHEN 1 THEN 'claims' WHEN 2 THEN '1095c' WHEN 3 THEN 'bucket11' WHEN 4 THEN '401k' WHEN 5 THEN 'gross-pay' ELSE 'generic' END AS format FROM t WHERE page <= 3""")(lambda df: route(sample_pages(df)).select("doc_id", "format"))
 query("dsp_02", W2_PAGES, f"SELECT doc_id, page, 'w2' AS format, {_OSSN} AS ssn FROM t")(lambda df: dispatch(df, {"w2": FORMS["w2"].extract, "401k": FORMS["pay"].extract}).select("doc_id", "page", "format", F.col("fields")["employee_ssn"].alias("ssn")))
-query("snk_01", LINES, "SELECT DISTINCT doc_id || '_extracted' AS file, count(*) AS n FROM t GROUP BY doc_id")(lambda df: df.groupBy(F.concat("doc_id", F.lit("_extracted")).alias("file")).agg(F.count("*").alias("n")))
-query("snk_02", LINES, "SELECT 'doc ' || doc_id AS \"Document ID\", ord, text FROM t")(lambda df: df.select(F.concat(F.lit("doc "), "doc_id").alias("Document ID"), "ord", "text"))
-query("snk_03", LINES, "SELECT doc_id, ord, doc_id || ',' || ord || ',' || text AS csv FROM t")(lambda df: df.select("doc_id", "ord", F.to_csv(F.struct("doc_id", "ord", "text")).alias("csv")))
-query("snk_04", SSN_ROWS, "SELECT 'all' AS sheet, count(*) AS n FROM t UNION ALL SELECT 'people', count(*) FROM t WHERE first <> '' UNION ALL SELECT 'full', count(*) FROM t WHERE NOT contains(ssn, 'X')")(lambda df: df.agg(F.count("*").alias("all"), F.count_if(F.col("first") != "").alias("people"), F.count_if(~F.contains("ssn", F.lit("X"))).alias("full")).select(F.expr("stack(3, 'all', all, 'people', people, 'full', full) as (sheet, n)")))
-query("snk_08", SSN_ROWS, "SELECT doc_id, ord, last AS c1, first AS c2, '' AS c3, 'Employee' AS c4, ssn AS c5 FROM t")(lambda df: df.select("doc_id", "ord", F.col("last").alias("c1"), F.col("first").alias("c2"), F.lit("").alias("c3"), F.lit("Employee").alias("c4"), F.col("ssn").alias("c5")))
-query("snk_09", LINES, "SELECT doc_id, min(ord) AS first, max(ord) AS last, count(*) AS n FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.min("ord").alias("first"), F.max("ord").alias("last"), F.count("*").alias("n")))
-
 # Projections.
 query("prj_01", SSN_ROWS.replace("ELSE '' END AS first", "END AS first"), "SELECT doc_id, ord, coalesce(first, '') AS first FROM t")(lambda df: df.select("doc_id", "ord", T.text(F.col("first")).alias("first")))
-query("prj_03", SSN_ROWS, "SELECT doc_id, ord, first AS \"First Name\", middle AS \"Middle Name\", last AS \"Last Name\", suffix AS \"Suffix\", 'Employee' AS \"Data Subject Type\", ssn AS \"SSN\", '' AS \"Notes\" FROM t")(lambda df: df.select("doc_id", "ord", F.col("first").alias("First Name"), F.col("middle").alias("Middle Name"), F.col("last").alias("Last Name"), F.col("suffix").alias("Suffix"), F.lit("Employee").alias("Data Subject Type"), F.col("ssn").alias("SSN"), F.lit("").alias("Notes")))
 query("prj_04", "SELECT s_suppkey AS k, s_name || ', Ann Mary MD' AS name, CAST(s_suppkey AS STRING) || ' Main St|Reno, NV 89501' AS address FROM {supplier}", "SELECT k, name[:-14] AS last, 'Ann' AS first, 'Mary' AS middle, 'MD' AS suffix, k || ' Main St' AS street, 'Reno' AS city, 'NV' AS state, '89501' AS zip FROM t")(
     lambda df: df.select("k", N.last_first(F.col("name")).alias("n"), V.creditor_address(F.split("address", r"\|")).alias("a")).select("k", "n.*", "a.*")
 )
 query("prj_05", SSN_ROWS, "SELECT doc_id, ord, CASE WHEN first = '' AND middle = '' THEN last ELSE last || ', ' || trim(first || ' ' || middle) END AS name FROM t")(lambda df: df.select("doc_id", "ord", N.display_name(F.col("last"), F.col("first"), F.col("middle")).alias("name")))
-query("prj_06", LINES, "SELECT doc_id, page, c[1] AS Col_1, c[2] AS Col_2, c[8] AS Col_8, (SELECT max(n) FROM (SELECT count(*) AS n FROM t GROUP BY doc_id, page)) AS widest FROM (SELECT doc_id, page, list(text ORDER BY ord) AS c FROM t GROUP BY ALL)")(
-    lambda df: (lambda rows: rows.crossJoin(F.broadcast(rows.agg(F.max(F.size("c")).cast("long").alias("widest")))).select("doc_id", "page", *[F.get("c", F.lit(i - 1)).alias(f"Col_{i}") for i in (1, 2, 8)], "widest"))(df.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("c")))
-)
 query("prj_07", SSN_ROWS, "SELECT doc_id, ord, concat_ws(' | ', CASE WHEN first <> '' OR middle <> '' THEN first || ': ' || middle END, last || ': ' || suffix) AS row FROM t")(
     lambda df: df.select("doc_id", "ord", F.array_join(F.transform(F.filter(F.array(F.struct(F.col("first").alias("a"), F.col("middle").alias("b")), F.struct(F.col("last").alias("a"), F.col("suffix").alias("b"))), lambda x: (x["a"] != "") | (x["b"] != "")), lambda x: F.concat(x["a"], F.lit(": "), x["b"])), " | ").alias("row"))
 )
-query("prj_08", LINES, "SELECT doc_id, page, CASE kind WHEN 'R' THEN 'Form Field' WHEN 'A' THEN 'Section' ELSE 'Table' END AS category, ord, text AS value FROM t a WHERE NOT (kind = 'A' AND n % 2 = 0 AND EXISTS (SELECT 1 FROM t b WHERE b.kind = 'R' AND b.doc_id = a.doc_id AND b.page = a.page))")(
-    lambda df: df.withColumn("blank", (F.col("kind") == "A") & (F.col("n") % 2 == 0)).withColumn("has", F.max((F.col("kind") == "R").cast("int")).over(Window.partitionBy("doc_id", "page"))).filter("not (blank and has = 1)").select("doc_id", "page", F.expr("case kind when 'R' then 'Form Field' when 'A' then 'Section' else 'Table' end").alias("category"), "ord", F.col("text").alias("value"))
-)
-TABLES = "SELECT o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN 'Name|Date|Total 12345' WHEN 1 THEN 'First Name|LAST|City' ELSE '1|2|x' END AS head FROM {orders}"
-query("prj_09", TABLES, "SELECT k, k % 3 < 2 AS is_header, CASE WHEN k % 3 < 2 THEN string_split(head, '|')[1] ELSE 'Column_1' END AS first_header FROM t")(
-    lambda df: df.withColumn("cells", F.split("head", r"\|")).withColumn("is_header", P.header_row(F.col("cells"))).select("k", "is_header", F.when(F.col("is_header"), F.col("cells")[0]).otherwise("Column_1").alias("first_header"))
-)
+
 query("prj_10", "SELECT c_custkey AS k, '/in/' || c_mktsegment || '.pdf' AS path FROM {customer}", "SELECT k, replace(path, '.pdf', '_w2.csv') AS output FROM t")(lambda df: df.select("k", F.regexp_replace("path", r"\.[^./]+$", "_w2.csv").alias("output")))
 
 # Reports.
@@ -155,9 +129,5 @@ def _creditors(df):
 
 
 query("x_cred", CREDITOR_WORDS, "SELECT doc_id, CAST(ord % 3 AS INT) AS col, CAST(ord // 6 AS BIGINT) AS block, text AS full_name, split_part(text, ',', 1) AS last, 'Ann' AS first, doc_id || ' Main St' AS address FROM t WHERE ord % 6 < 3")(_creditors)
-query("x_gen", LINES, "SELECT doc_id, page, 'Section' AS category, max(text) FILTER (kind = 'R') AS field, coalesce(string_agg(text, ' ' ORDER BY ord) FILTER (kind <> 'R'), '') AS value FROM (SELECT *, sum(CASE WHEN kind = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page ORDER BY ord ROWS UNBOUNDED PRECEDING) AS seg FROM t) WHERE seg > 0 GROUP BY doc_id, page, seg")(
-    lambda df: A.segments(df, F.col("kind") == "R", ["doc_id", "page"], ["ord"]).filter("segment > 0").groupBy("doc_id", "page", "segment").agg(F.max(F.when(F.col("kind") == "R", F.col("text"))).alias("field"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") != "R", F.struct("ord", "text")))), lambda x: x["text"]), " ").alias("value")).select("doc_id", "page", F.lit("Section").alias("category"), "field", "value")
-)
 query("x_lines", "SELECT doc_id, text FROM {documents}", "SELECT doc_id, count(*) AS lines, count(*) FILTER (trim(l) <> '') AS filled FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) GROUP BY doc_id")(lambda df: SRC.layout_lines(df).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(F.trim("text") != "").alias("filled")))
 query("x_grp", "SELECT conv_id * 100 + turn AS k, role, text FROM {conversations}")(lambda df: R.greedy_groups(df.select(F.lpad(F.col("k").cast("string"), 12, "0").alias("file"), F.col("role").alias("orientation"), F.rpad(F.lit("1"), 192, "0").substr(F.lit(1), F.length("text") % 190).alias("grid"), T.vocabulary(F.col("text")).alias("tokens"))))
-query("x_form", LINES, "SELECT doc_id, count(*) FILTER (kind = 'A') AS fields, count(*) FILTER (kind = 'R') AS signatures, string_agg(DISTINCT status, ';' ORDER BY status) AS types FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.count_if(F.col("kind") == "A").alias("fields"), F.count_if(F.col("kind") == "R").alias("signatures"), F.array_join(F.array_sort(F.collect_set("status")), ";").alias("types")))

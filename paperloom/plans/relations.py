@@ -79,11 +79,6 @@ query("join_01", FIELDS, """SELECT doc_id, page, field, coalesce(nullif(trim(rtr
       FROM t a LEFT JOIN t b ON a.doc_id = b.doc_id AND a.page = b.page AND trim(b.text) <> '') f GROUP BY ALL)""")(
     lambda df: A.nearest_label(df.select("doc_id", "page", "field", "fx0", "ftop", "fx1", "fbottom", "fallback"), df.select("doc_id", "page", "line_no", "x0", "top", "x1", "bottom", "text"))
 )
-query("join_02", FIELDS, """SELECT doc_id, field, arg_min(text, struct_pack(g := g, l := line_no)) AS value FROM (SELECT a.doc_id, a.field, b.text, b.line_no, CASE WHEN b.top >= a.fbottom THEN b.top - a.fbottom ELSE a.ftop - b.bottom END AS g FROM t a JOIN t b ON a.doc_id = b.doc_id
-    AND ((b.top >= a.fbottom AND b.top - a.fbottom <= 40) OR (b.bottom <= a.ftop AND a.ftop - b.bottom <= 40)) AND b.x0 < a.fx1 AND b.x1 > a.fx0) GROUP BY ALL""")(
-    lambda df: df.select("doc_id", "field", "fx0", "ftop", "fx1", "fbottom").join(df.select("doc_id", "line_no", "x0", "top", "x1", "bottom", "text"), "doc_id")
-    .withColumn("g", F.expr("case when top >= fbottom then top - fbottom when bottom <= ftop then ftop - bottom end")).filter("g <= 40 and x0 < fx1 and x1 > fx0").groupBy("doc_id", "field").agg(F.min_by("text", F.struct("g", "line_no")).alias("value"))
-)
 query("join_03", FIELDS, "SELECT doc_id, line_no FROM t a WHERE NOT EXISTS (SELECT 1 FROM t b WHERE a.doc_id = b.doc_id AND a.page = b.page AND (a.x0 + a.x1) / 2 BETWEEN b.fx0 AND b.fx1 AND (a.top + a.bottom) / 2 BETWEEN b.ftop - 30 AND b.fbottom + 30)")(
     lambda df: A.outside(df.select("doc_id", "page", "line_no", "x0", "x1", F.col("top").alias("y0"), F.col("bottom").alias("y1")), df.select("doc_id", "page", F.col("fx0").alias("bx0"), (F.col("ftop") - 30).alias("btop"), F.col("fx1").alias("bx1"), (F.col("fbottom") + 30).alias("bbottom"))).select("doc_id", "line_no")
 )
@@ -140,7 +135,6 @@ query("join_15", SETS, rf"""WITH w AS (SELECT conv_id, turn, list_distinct(list_
 )
 
 # Aggregates.
-query("agg_01", SSN_ROWS, "SELECT doc_id, ord, first FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, first, last ORDER BY ord) AS rn FROM t) WHERE rn = 1 OR first = ''")(lambda df: R.first_wins(df, [F.col("doc_id"), F.col("first"), F.col("last")], ["ord"], F.col("first") == "").select("doc_id", "ord", "first"))
 query("agg_02", SSN_ROWS, "SELECT doc_id, ord, first, last FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(trim(first)), lower(trim(middle)), lower(trim(last)) ORDER BY ord) AS rn FROM t) WHERE rn = 1")(lambda df: R.first_wins(df, [F.col("doc_id"), *[F.lower(F.trim(c)) for c in ("first", "middle", "last")]], ["ord"]).select("doc_id", "ord", "first", "last"))
 query("agg_03", SSN_ROWS, "SELECT doc_id, ord, first, ssn FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, lower(first), lower(last), ssn ORDER BY ord) AS rn FROM t) WHERE rn = 1")(lambda df: R.first_wins(df, [F.col("doc_id"), F.lower("first"), F.lower("last"), F.col("ssn")], ["ord"], (F.col("ssn") == "") & (F.col("first") == "")).select("doc_id", "ord", "first", "ssn"))
 CHANGES = f"SELECT l_orderkey AS k, CAST({_ORD} AS INT) AS ord, l_returnflag AS field, CAST(l_partkey % 20 AS STRING) AS old, CASE l_linenumber % 4 WHEN 0 THEN 'N/A' WHEN 1 THEN ' - ' ELSE CAST(l_suppkey % 30 AS STRING) END AS new FROM {{lineitem}}"
@@ -149,13 +143,6 @@ query("agg_06", CHANGES, """SELECT k, coalesce(max(v) FILTER (field = 'A'), '')
     f AS (SELECT k, field, v, i, c FROM o WHERE i = 1 UNION ALL SELECT o.k, o.field, CASE WHEN contains(f.v, o.v) THEN f.v ELSE f.v || '; ' || o.v END, o.i, o.c FROM f JOIN o ON o.k = f.k AND o.field = f.field AND o.i = f.i + 1) SELECT * FROM f WHERE i = c) GROUP BY k""")(
     lambda df: df.withColumn("v", V.chosen_value(F.col("old"), F.col("new"))).groupBy("k").agg(*[R.appended(F.transform(F.array_sort(F.collect_list(F.when(F.col("field") == f, F.struct("ord", "v")))), lambda x: x["v"]), "; ").alias(f.lower()) for f in "ANR"])
 )
-query("agg_07", LINES, "SELECT doc_id, max(text) FILTER (name = 'A') AS a1, max(text) FILTER (name = 'A (2)') AS a2, max(text) FILTER (name = 'N') AS n1, max(text) FILTER (name = 'N (2)') AS n2 FROM (SELECT *, kind || CASE WHEN rn > 1 THEN ' (' || rn || ')' ELSE '' END AS name FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY ord) AS rn FROM t)) GROUP BY doc_id")(
-    lambda df: df.withColumn("rn", F.row_number().over(Window.partitionBy("doc_id", "kind").orderBy("ord"))).withColumn("name", F.concat("kind", F.when(F.col("rn") > 1, F.concat(F.lit(" ("), "rn", F.lit(")"))).otherwise("")))
-    .groupBy("doc_id").pivot("name", ["A", "A (2)", "N", "N (2)"]).agg(F.first("text")).toDF("doc_id", "a1", "a2", "n1", "n2")
-)
-query("agg_08", SSN_ROWS, "SELECT doc_id, count(*) AS entities, count(*) FILTER (first <> '') AS firsts, count(*) FILTER (middle <> '') AS middles, count(*) FILTER (suffix <> '') AS suffixes FROM t GROUP BY doc_id")(
-    lambda df: df.groupBy("doc_id").agg(F.count("*").alias("entities"), *[F.count_if(F.col(c) != "").alias(f"{c}s" if c != "suffix" else "suffixes") for c in ("first", "middle", "suffix")])
-)
 query("agg_09", LINES, "SELECT doc_id, list_sort(list(n))[count(*) // 2 + 1] AS median FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.expr("element_at(array_sort(collect_list(n)), cast(count(*) div 2 as int) + 1)").alias("median")))
 query("agg_10", LINES, "SELECT doc_id, count(*) FILTER (kind IN ('A', 'N')) AS native, count(*) FILTER (kind = 'R') AS ocr FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.count_if(F.col("kind").isin("A", "N")).alias("native"), F.count_if(F.col("kind") == "R").alias("ocr")))
 query("agg_11", LINES, "SELECT kind, status, count(*) AS n FROM t GROUP BY ALL")(lambda df: df.groupBy("kind", "status").agg(F.count("*").alias("n")))
@@ -243,10 +230,6 @@ query("win_21", WORDS, "SELECT a.doc_id, a.ord, arg_min(b.text, struct_pack(x :=
 query("win_22", LINES, "SELECT a.doc_id, a.ord, (SELECT arg_min(b.text, b.ord) FROM t b WHERE b.doc_id = a.doc_id AND b.ord > a.ord AND b.kind = 'A') AS address FROM t a WHERE kind = 'R'")(
     lambda df: df.withColumn("address", F.first(F.when(F.col("kind") == "A", F.col("text")), True).over(Window.partitionBy("doc_id").orderBy("ord").rowsBetween(1, Window.unboundedFollowing))).filter("kind = 'R'").select("doc_id", "ord", "address")
 )
-query("win_23", LINES, "SELECT doc_id, seg, max(text) FILTER (kind = 'R') AS header, coalesce(string_agg(text, ' ' ORDER BY ord) FILTER (kind <> 'R'), '') AS value FROM (SELECT *, CAST(sum(CASE WHEN kind = 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS seg FROM t) WHERE seg > 0 GROUP BY ALL")(
-    lambda df: A.segments(df, F.col("kind") == "R", ["doc_id"], ["ord"]).withColumnRenamed("segment", "seg").filter("seg > 0").groupBy("doc_id", "seg").agg(F.max(F.when(F.col("kind") == "R", F.col("text"))).alias("header"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("kind") != "R", F.struct("ord", "text")))), lambda x: x["text"]), " ").alias("value"))
-)
-
 # Order, limits, sets.
 PAGED = "SELECT o_orderkey AS k, CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS STRING) || ';3' WHEN 1 THEN 'x' ELSE CAST(o_custkey AS STRING) END AS page FROM {orders}"
 query("ord_01", PAGED, "SELECT k, coalesce(TRY_CAST(split_part(page, ';', 1) AS INT), 0) AS p, row_number() OVER (ORDER BY coalesce(TRY_CAST(split_part(page, ';', 1) AS INT), 0), k) AS place FROM t")(
@@ -270,7 +253,6 @@ query("set_08", LINES, "SELECT 'doc_' || doc_id AS \"Source File\", ord, text FR
 query("flt_03", LINES, "SELECT doc_id, page, ord FROM t WHERE page <= 2")(lambda df: df.filter("page <= 2").select("doc_id", "page", "ord"))
 query("flt_07", WORDS, "SELECT doc_id, page, y FROM (SELECT doc_id, page, round_even(y0 / 3, 0) * 3 AS y, max(x1) - min(x0) AS w FROM t GROUP BY ALL) WHERE w <= 612 * 0.55")(lambda df: L.lines_fixed(df, 3.0).filter("x1 - x0 <= 612 * 0.55").select("doc_id", "page", "y"))
 query("flt_13", SSN_ROWS, "SELECT doc_id, ord, CASE WHEN middle = '' AND suffix = '' THEN 'middle, suffix' WHEN middle = '' THEN 'middle' WHEN suffix = '' THEN 'suffix' ELSE '' END AS missing FROM t WHERE first <> ''")(lambda df: df.filter("first <> ''").select("doc_id", "ord", F.concat_ws(", ", F.expr("case when middle = '' then 'middle' end"), F.expr("case when suffix = '' then 'suffix' end")).alias("missing")))
-query("flt_15", LINES, "SELECT doc_id, ord FROM (SELECT *, list_sort(list(n) OVER (PARTITION BY doc_id))[count(*) OVER (PARTITION BY doc_id) // 2 + 1] AS m FROM t) WHERE n > m * 1.15")(lambda df: df.withColumn("m", F.expr("element_at(sort_array(collect_list(n) over (partition by doc_id)), cast(count(*) over (partition by doc_id) div 2 as int) + 1)")).filter("n > m * 1.15").select("doc_id", "ord"))
 query("flt_19", SSN_ROWS, "SELECT doc_id, ord FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, first ORDER BY ord) AS rn FROM t) WHERE first = '' OR rn = 1")(lambda df: R.first_wins(df, [F.col("doc_id"), F.col("first")], ["ord"], F.col("first") == "").select("doc_id", "ord"))
 
 

@@ -32,9 +32,9 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*.pdf", recursive
     return found.orderBy("path")
 
 
-def resolve(spark: SparkSession, path: str) -> DataFrame:
+def resolve(spark: SparkSession, path: str, ending: str = "pdf") -> DataFrame:
     """The documents of a path whatever the case of their ending, not those of folders in it; none is an error."""
-    found = list_files(spark, path, "*.[pP][dD][fF]")
+    found = list_files(spark, path, "*." + "".join(f"[{c.lower()}{c.upper()}]" for c in ending))
     if found.isEmpty():
         raise FileNotFoundError(f"no documents in {path}")
     return found
