@@ -12,8 +12,10 @@ from ..operators import records as R
 from ..sinks import files as W
 from ..sources import fields as S
 from ..sources import files as FS
+from . import blocks as B
 from . import fields as FF
 from . import generic as G
+from .composed import when, words_sql
 from .registry import QUERIES, query
 from .relations import LINES, SSN_ROWS
 from .templates import EMPLOYEE, WAGE_BOXES, filled
@@ -203,6 +205,25 @@ _AGG1 = "SELECT doc_id % 20 AS doc_id, doc_id AS ord, name, address, ssn FROM t"
 query("agg_01", RAW, f"SELECT doc_id, ord, ssn, name FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, CASE WHEN ssn <> '' THEN ssn ELSE name || '|' || address END ORDER BY ord) AS rn FROM ({_AGG1})) WHERE rn = 1")(
     lambda df: R.first_wins(df.selectExpr("doc_id % 20 as doc_id", "doc_id as ord", "name", "address", "ssn"), [F.col("doc_id"), F.when(F.col("ssn") != "", F.col("ssn")).otherwise(F.concat("name", F.lit("|"), "address"))], ["ord"]).select("doc_id", "ord", "ssn", "name")
 )
+_SSN = "CONCAT('900-', lpad(CAST(c_custkey % 90 + 10 AS STRING), 2, '0'), '-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'))"
+#: Blocks in three of four documents, one of them twice; text alone in the others.
+BLOCK_WORDS = words_sql([
+    (1, 100, 20, [when("c_custkey % 4 > 0", "e/f")]), (1, 112, 20, [when("c_custkey % 4 > 0", "Jane"), f"=CASE WHEN c_custkey % 4 > 0 THEN CONCAT('Roe', {_K}) ELSE '' END"]), (1, 122, 20, [when("c_custkey % 4 IN (1, 2)", x) for x in ("1", "Main", "St")]),
+    (1, 132, 20, [when("c_custkey % 4 > 0", x) for x in ("Reno,", "NV", "89501")]), (1, 160, 20, [f"=CASE WHEN c_custkey % 4 IN (1, 3) THEN {_SSN} ELSE '' END"]), (1, 160, 210, [f"=CASE WHEN c_custkey % 4 = 2 THEN {_SSN} ELSE '' END"]),
+    (1, 200, 20, [when("c_custkey % 4 = 1", "e/f")]), (1, 212, 20, [when("c_custkey % 4 = 1", "Jane"), f"=CASE WHEN c_custkey % 4 = 1 THEN CONCAT('Roe', {_K}) ELSE '' END"]), (1, 222, 20, [when("c_custkey % 4 = 1", "x"), when("c_custkey % 4 = 1", "y")]), (1, 250, 20, [f"=CASE WHEN c_custkey % 4 = 1 THEN {_SSN} ELSE '' END"]),
+    (1, 400, 20, ["footer"]),
+])
+_T = f"'Form W-2' || chr(10) || 'Employee''s Social Security Number: ' || {_SSN} || chr(10) || 'e/f Employee''s name, address, and ZIP code' || chr(10) || 'Ann Lee' || chr(10) || CASE WHEN c_custkey % 8 = 0 THEN 'GROSS PAY' ELSE '2 Elm St' END || chr(10) || 'Reno, NV 89502'"
+
+
+def _employees(df):
+    """The text of a page comes with its footer."""
+    pages = df.filter("text = 'footer'").select("doc_id", "page", F.expr("case when doc_id % 4 = 0 then _text else 'no employee here' end").alias("text"))
+    return B.employees(df.drop("_text"), pages)
+
+
+query("x_w2b", f"SELECT w.*, {_T.replace('c_custkey', 'w.doc_id')} AS _text FROM ({BLOCK_WORDS}) AS w", f"""SELECT doc_id, 1 AS page, CASE WHEN doc_id % 4 = 0 THEN 'Ann Lee' ELSE 'Jane Roe' || doc_id END AS name, {_SSN.replace('c_custkey', 'doc_id').replace('STRING', 'VARCHAR')} AS ssn,
+    CASE WHEN doc_id % 4 = 0 THEN CASE WHEN doc_id % 8 = 0 THEN 'Reno, NV 89502' ELSE '2 Elm St, Reno, NV 89502' END WHEN doc_id % 4 = 3 THEN 'Reno, NV 89501' ELSE '1 Main St, Reno, NV 89501' END AS address FROM {_D}""")(lambda df: _employees(df).select("doc_id", "page", "name", "ssn", "address"))
 ETA = "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN -1.0 ELSE CAST(o_custkey * (o_orderkey % 7) AS DOUBLE) + 0.5 END AS s FROM {orders}"
 query("fn_date_05", ETA, """SELECT k, CASE WHEN s IS NULL OR s < 0 THEN 'calculating...' WHEN n >= 3600 THEN (n // 3600) || 'h ' || lpad(CAST(n % 3600 // 60 AS VARCHAR), 2, '0') || 'm ' || lpad(CAST(n % 60 AS VARCHAR), 2, '0') || 's' WHEN n >= 60 THEN (n // 60) || 'm ' || lpad(CAST(n % 60 AS VARCHAR), 2, '0') || 's' ELSE n || 's' END AS eta FROM (SELECT *, CAST(floor(s) AS BIGINT) AS n FROM t)""")(
     lambda df: df.select("k", V.eta(F.col("s")).alias("eta"))

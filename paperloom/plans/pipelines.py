@@ -86,7 +86,6 @@ def _w2(df):
 
 
 query("x_w2", W2_LINES, f"SELECT doc_id, {FIRST.replace('c_custkey', 'doc_id')} AS first, 'Roe' AS last, 'Jr' AS suffix, doc_id || ' Main St' AS street, 'Springfield' AS city, 'WI' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, {_OSSN} AS ssn, (1000 + doc_id % 9000) || '.' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') AS box_1 FROM t WHERE ord = 0")(_w2)
-query("x_w2b", SSN_ROWS, "SELECT doc_id, count(*) AS entities, count(*) FILTER (ssn <> '') AS ssns, count(*) FILTER (first <> '') AS names, CASE WHEN count(*) FILTER (first <> '') = 0 THEN 'empty' ELSE 'ok' END AS status FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.count("*").alias("entities"), F.count_if(F.col("ssn") != "").alias("ssns"), F.count_if(F.col("first") != "").alias("names"), F.when(F.count_if(F.col("first") != "") == 0, "empty").otherwise("ok").alias("status")))
 _COVERED = (("'1 Name of employee'", 0), (f"{FIRST} || ' Roe'", 1), ("'2 Social security number (SSN)'", 2), ("'XXX-XX-' || " + SERIAL, 3), ("'3 Street address (including apartment no.)'", 4), ("CAST(c_custkey AS STRING) || ' Elm'", 5), ("'4 City or town'", 6), ("'Reno'", 7), ("'6 Country and ZIP or foreign postal code'", 8), ("'USA ' || " + _CELL, 9), ("'7 Name of employer'", 10))
 COVERED_LINES = " UNION ALL ".join(f"SELECT c_custkey AS doc_id, CAST({i} AS INT) AS ord, {e} AS text FROM {{customer}}" for e, i in _COVERED)
 
