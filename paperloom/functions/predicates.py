@@ -77,11 +77,16 @@ def looks_like_label(c: Column) -> Column:
     return (n <= 8) & (F.endswith(s, F.lit(":")) | (mostly_upper(bare) & (n <= 5)))
 
 
-def header_row(cells: Column) -> Column:
-    """Six in ten of the filled cells look like column headings."""
+def heading_share(cells: Column) -> Column:
+    """The share of the filled cells that look like column headings; null without any."""
     own = F.filter(cells, lambda x: strip(x) != "")
     good = F.filter(own, lambda x: (F.size(tokens(x)) <= 5) & ~x.rlike(r"\d{4,}") & (x.rlike(r"^\p{Lu}") | mostly_upper(x)))
-    return (F.size(own) > 0) & (F.size(good) >= 0.6 * F.size(own))
+    return F.try_divide(F.size(good).cast("double"), F.size(own))
+
+
+def header_row(cells: Column) -> Column:
+    """Six in ten of the filled cells look like column headings."""
+    return F.coalesce(heading_share(cells) >= 0.6, F.lit(False))
 
 
 def form_label(c: Column) -> Column:

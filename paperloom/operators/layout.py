@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PAGE = ["doc_id", "page"]
+# Fixed value: labels of the boxes to the right of the name box.
+BOX_LABEL = r"^1[1-4][a-d]?$"
 
 
 def words_text(order: list[str], text: str = "text") -> Column:
@@ -50,10 +52,55 @@ def lines_anchor(words: DataFrame, tolerance: float = 3.0, with_words: bool = Fa
     return each.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"), *([line_words().alias("words")] if with_words else []))
 
 
-def grid_cells(words: DataFrame, rows: Column, two: Column, height: float = 792.0, width: float = 612.0, split: float = 0.5) -> DataFrame:
-    """Adds band (equal page heights) and cell: Single, Left, Right, Top, Bottom, Row3, with the side where a band has two columns."""
+def caption_grid(words: DataFrame, caption: str, height: float = 792.0, width: float = 612.0, split: float = 0.5) -> DataFrame:
+    """Cells by the captions that each page shows: as many bands as lines hold the caption, two columns where one holds it twice."""
+    y = (F.rint(F.col("y0") / 3) * 3).alias("y")
+    lines = words.groupBy(*PAGE, y).agg(F.regexp_count(words_text(["x0", "ord"]), F.lit(caption)).alias("n")).filter("n > 0")
+    counts = lines.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "n"))), lambda x: x["n"]).alias("counts"))
+    d = words.join(counts, PAGE, "left").withColumn("_rows", F.greatest(F.coalesce(F.size("counts"), F.lit(1)), F.lit(1)))
+    return grid_cells(d, F.col("_rows"), lambda band: F.coalesce(F.get("counts", band), F.lit(1)) >= 2, height, width, split).drop("counts", "_rows")
+
+
+def name_row(caption: DataFrame, row: DataFrame) -> DataFrame:
+    """doc_id, page and a name row's first, last and suffix, by where the caption line above says "Last" and "Suff".
+
+    The row ends at a box label, or else 15 points after "Suff". Without "Last" all is the first name.
+    """
+    bare = F.lower(F.btrim("text", F.lit(".:,")))
+    place = lambda w, c: F.min_by(c, F.when(bare == w, F.struct("x0", "ord")))
+    limits = caption.groupBy(*PAGE).agg(place("last", "x0").alias("last_x"), place("suff", "x0").alias("suff_x"), (place("suff", "x1") + 15).alias("edge"))
+    label = F.when(F.btrim("text", F.lit(".:,")).rlike(BOX_LABEL), F.struct("x0", "ord"))
+    ends = row.groupBy(*PAGE).agg(F.min_by("x0", label).alias("end"))
+    d = row.join(limits, PAGE).join(ends, PAGE).filter("coalesce(end, edge) is null or x0 < coalesce(end, edge)")
+    own = F.array_sort(F.collect_list(F.struct("x0", "ord", "text", F.expr("case when last_x is null or x0 < last_x then 1 when suff_x is null or x0 < suff_x then 2 else 3 end").alias("part"))))
+    part = lambda n: F.array_join(F.transform(F.filter(own, lambda w: w["part"] == n), lambda w: w["text"]), " ")
+    return d.groupBy(*PAGE).agg(part(1).alias("first"), part(2).alias("last"), part(3).alias("suffix"))
+
+
+def heading_starts(words: DataFrame, headings: dict[str, tuple[str, ...]], both: tuple[str, str]) -> DataFrame:
+    """doc_id, page, y, name and x of the headings in the first line of a page that has both words of ``both``.
+
+    A heading begins where its words follow each other; where they don't, at the first place of its first word. Headings
+    that the line doesn't show are left out.
+    """
+    y = (F.rint(F.col("y0") / 3) * 3).alias("y")
+    lines = words.groupBy(*PAGE, y).agg(line_words().alias("words"))
+    has = lambda w: F.exists("words", lambda x: x["text"] == w)
+    head = lines.filter(has(both[0]) & has(both[1])).groupBy(*PAGE).agg(F.min_by(F.struct("y", "words"), "y").alias("h")).select(*PAGE, "h.*")
+    found = []
+    for name, tokens in headings.items():
+        rest = " and ".join(f"words[i - 1 + {k}].text = '{t}'" for k, t in enumerate(tokens))
+        run = F.expr(f"try_element_at(transform(filter(sequence(1, greatest(size(words) - {len(tokens) - 1}, 1)), i -> size(words) >= {len(tokens)} and {rest}), i -> words[i - 1].x0), 1)")
+        bare = F.expr(f"try_element_at(transform(filter(words, w -> w.text = '{tokens[0]}'), w -> w.x0), 1)")
+        found.append(F.struct(F.lit(name).alias("name"), F.coalesce(run, bare).alias("x")))
+    return head.select(*PAGE, "y", F.explode(F.array(*found)).alias("s")).select(*PAGE, "y", "s.name", "s.x").filter("x is not null")
+
+
+def grid_cells(words: DataFrame, rows: Column, two, height: float = 792.0, width: float = 612.0, split: float = 0.5) -> DataFrame:
+    """Adds band (equal page heights) and cell: Single, Left, Right, Top, Bottom, Row3, with the side where a band has two columns. ``two``: a condition, or a function of the band that gives one."""
     mid = (F.col("y0") + F.col("y1")) / 2
     band = F.greatest(F.lit(0), F.least(F.floor(mid / (F.lit(height) / rows)), rows - 1)).cast("int")
+    two = two(band) if callable(two) else two
     prefix = F.when(rows == 1, "").when(rows == 2, F.when(band == 0, "Top").otherwise("Bottom")).otherwise(F.concat(F.lit("Row"), (band + 1).cast("string")))
     side = F.when((F.col("x0") + F.col("x1")) / 2 < width * split, "Left").otherwise("Right")
     return words.withColumn("band", band).withColumn("cell", F.when(two, F.concat(prefix, side)).when(prefix == "", "Single").otherwise(prefix))

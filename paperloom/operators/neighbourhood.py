@@ -76,3 +76,8 @@ def outside(words: DataFrame, boxes: DataFrame) -> DataFrame:
     x, y = "(x0 + x1) / 2", "(y0 + y1) / 2"
     own = boxes.select(F.col("doc_id").alias("bd"), F.col("page").alias("bp"), "bx0", "btop", "bx1", "bbottom")
     return words.join(own, F.expr(f"doc_id = bd and page = bp and {x} between bx0 and bx1 and {y} between btop and bbottom"), "left_anti")
+
+
+def page_at(place: Column, begins: Column) -> Column:
+    """The number of the page that holds a place in the joined text of all pages: how many pages begin at or before it."""
+    return F.size(F.filter(begins, lambda b: b <= place))

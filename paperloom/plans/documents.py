@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
+from ..functions import predicates as P
 from ..functions import text as T
 from ..functions import values as V
+from ..operators import layout as L
+from ..operators import neighbourhood as A
 from ..operators import records as R
 from ..sinks import files as W
 from ..sources import fields as S
@@ -16,6 +19,8 @@ from . import blocks as B
 from . import fields as FF
 from . import generic as G
 from .composed import when, words_sql
+from .forms import dispatched
+from .registered import EXTRACTORS
 from .registry import QUERIES, query
 from .relations import LINES, SSN_ROWS
 from .templates import EMPLOYEE, WAGE_BOXES, filled
@@ -228,3 +233,45 @@ ETA = "SELECT o_orderkey AS k, CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_ord
 query("fn_date_05", ETA, """SELECT k, CASE WHEN s IS NULL OR s < 0 THEN 'calculating...' WHEN n >= 3600 THEN (n // 3600) || 'h ' || lpad(CAST(n % 3600 // 60 AS VARCHAR), 2, '0') || 'm ' || lpad(CAST(n % 60 AS VARCHAR), 2, '0') || 's' WHEN n >= 60 THEN (n // 60) || 'm ' || lpad(CAST(n % 60 AS VARCHAR), 2, '0') || 's' ELSE n || 's' END AS eta FROM (SELECT *, CAST(floor(s) AS BIGINT) AS n FROM t)""")(
     lambda df: df.select("k", V.eta(F.col("s")).alias("eta"))
 )
+
+
+# Dispatch: documents of five formats, one that shows none when only three are selected, one with nothing in it.
+DISPATCH = f"""SELECT c_custkey AS doc_id, CAST(1 AS INT) AS page, CASE c_custkey % 5 WHEN 0 THEN 'Wage and Tax Statement of the year' || chr(10) || 'ssn ' || {_SSN} WHEN 1 THEN 'Your 401 (k) plan statement for the year' || chr(10) || 'Roe, Jane ' || {_SSN}
+    WHEN 2 THEN 'Form 1095-C Employer-Provided Health Insurance' || chr(10) || '1 Name of employee' || chr(10) || 'Jane Roe' WHEN 3 THEN 'Wage and Tax Statement without any number at all' ELSE 'An ordinary letter with a sufficient amount of text' END AS text FROM {{customer}}"""
+
+
+def _dispatched(df):
+    words = df.select("doc_id", "page", F.posexplode(F.split("text", r"\s")).alias("ord", "text")).select("doc_id", "page", "ord", *[(F.col("ord") * 40.0).alias(c) for c in ("x0", "y0", "x1", "y1")], "text")
+    rows, rejects = dispatched(df, words, {**{k: EXTRACTORS[k] for k in ("w2", "401k", "1095c")}, "claims": lambda pages, _: pages.select("no_such_column")}, ["w2", "401k", "1095c", "claims"])
+    f = lambda c: F.coalesce(F.try_element_at("fields", F.lit(c)), F.lit(""))
+    return rows.select("doc_id", "format", F.lit("").alias("why"), f("ssn").alias("ssn"), F.concat_ws(" ", F.nullif(f("first"), F.lit("")), F.nullif(f("last"), F.lit(""))).alias("name")).unionByName(rejects.select("doc_id", "format", "why", F.lit("").alias("ssn"), F.lit("").alias("name")))
+
+
+query("dsp_02", DISPATCH, f"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'w2' WHEN 1 THEN '401k' WHEN 2 THEN '1095c' WHEN 3 THEN 'w2' END AS format, CASE doc_id % 5 WHEN 3 THEN 'nothing found' WHEN 4 THEN 'no format' ELSE '' END AS why,
+    CASE WHEN doc_id % 5 < 2 THEN {_SSN.replace('c_custkey', 'doc_id').replace('STRING', 'VARCHAR')} ELSE '' END AS ssn, CASE doc_id % 5 WHEN 1 THEN 'Jane Roe' WHEN 2 THEN 'Jane Roe' ELSE '' END AS name FROM t""")(_dispatched)
+
+
+# Layout by what pages show: captions, name rows, headings, offsets.
+_C = lambda page, y, x, cond: (page, y, x, [when(cond, "SSN")])
+GRID_WORDS = words_sql([_C(1, 30, 40, "c_custkey % 4 > 0"), _C(1, 30, 400, "c_custkey % 4 > 1"), _C(1, 500, 40, "c_custkey % 4 = 3"), (1, 100, 50, ["a"]), (1, 100, 450, ["b"]), (1, 600, 50, ["c"]), (1, 600, 450, ["d"])])
+query("lay_08", GRID_WORDS, """SELECT doc_id, ord, CASE doc_id % 4 WHEN 0 THEN 'Single' WHEN 1 THEN 'Single' WHEN 2 THEN CASE WHEN (x0 + x1) / 2 < 306 THEN 'Left' ELSE 'Right' END ELSE CASE WHEN y0 >= 396 THEN 'Bottom' WHEN (x0 + x1) / 2 < 306 THEN 'TopLeft' ELSE 'TopRight' END END AS cell FROM t""")(lambda df: L.caption_grid(df, "SSN").select("doc_id", "ord", "cell"))
+NAME_WORDS = words_sql([(1, 10, 10, ["First"]), (1, 10, 150, [when("c_custkey % 3 > 0", "Last")]), (1, 10, 300, [when("c_custkey % 3 > 1", "Suff.")]), (1, 30, 10, ["Mary", "Ann"]), (1, 30, 160, [f"=CONCAT('Roe', {_K})"]), (1, 30, 305, ["Jr"]), (1, 30, 450, [when("c_custkey % 2 = 0", "12a")]), (1, 30, 500, ["500.00"])])
+query("lay_16", NAME_WORDS, """SELECT doc_id, 1 AS page, CASE WHEN doc_id % 3 = 0 THEN 'Mary Ann Roe' || doc_id || ' Jr' || CASE WHEN doc_id % 2 = 0 THEN '' ELSE ' 500.00' END ELSE 'Mary Ann' END AS first, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'Roe' || doc_id || ' Jr' || CASE WHEN doc_id % 2 = 0 THEN '' ELSE ' 500.00' END ELSE 'Roe' || doc_id END AS last,
+    CASE WHEN doc_id % 3 = 2 THEN 'Jr' ELSE '' END AS suffix FROM (SELECT DISTINCT doc_id FROM t)""")(lambda df: L.name_row(df.filter("y0 = 10"), df.filter("y0 = 30")))
+HEAD_WORDS = words_sql([(1, 10, 10, ["EE", "report"]), (1, 30, 10, [when("c_custkey % 2 = 0", "EE"), when("c_custkey % 4 = 0", "ID")]), (1, 30, 100, ["SSN"]), (1, 30, 200, ["Net"]), (1, 30, 240, [when("c_custkey % 3 = 0", "Pay")]), (1, 50, 10, ["E1"])])
+query("lay_09", HEAD_WORDS, """SELECT doc_id, name, x FROM (SELECT DISTINCT doc_id, unnest([{'name': 'EE ID', 'x': 10.0::DOUBLE}, {'name': 'SSN', 'x': 100.0::DOUBLE}, {'name': 'Net Pay', 'x': 200.0::DOUBLE}], recursive := true) FROM t) WHERE doc_id % 2 = 0""")(
+    lambda df: L.heading_starts(df, {"EE ID": ("EE", "ID"), "SSN": ("SSN",), "Net Pay": ("Net", "Pay"), "Gross": ("Gross",)}, ("EE", "SSN")).select("doc_id", "name", "x")
+)
+PROVIDER_WORDS = words_sql([(1, 10, 10, ["Claim"]), (1, 10, 200, [when("c_custkey % 2 = 0", "Provider"), "Name"]), (1, 30, 10, [f"=CONCAT('C', {_K})", "ROE,"]), (1, 30, 196, ["near"]), (1, 30, 200, ["VILLA,"])])
+query("lay_15", PROVIDER_WORDS, "SELECT doc_id, 'C' || doc_id || ' ROE,' || CASE WHEN doc_id % 2 = 0 THEN ' near' ELSE ' near VILLA,' END AS text FROM (SELECT DISTINCT doc_id FROM t)")(
+    lambda df: (lambda lines, head: lines.filter("line = 1").join(head, "doc_id", "left").select("doc_id", L.left_of(F.col("words"), F.col("limit")).alias("text")))(
+        L.lines_chain(df, 5.0, True), df.filter("text = 'Provider'").groupBy("doc_id").agg((F.min_by("x0", "ord") - 2).alias("limit")))
+)
+query("join_08", LINES, "SELECT doc_id, place, page FROM (SELECT doc_id, unnest(range(0, CAST(total AS BIGINT), 7)) AS place, ends FROM (SELECT doc_id, sum(length(text) + 1) AS total, list(b ORDER BY ord) AS ends FROM (SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM t) GROUP BY doc_id)) q, LATERAL (SELECT len(list_filter(ends, x -> x <= place)) AS page)")(
+    lambda df: df.withColumn("b", F.coalesce(F.sum(F.length("text") + 1).over(Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).groupBy("doc_id").agg(F.sum(F.length("text") + 1).alias("total"), F.array_sort(F.collect_list("b")).alias("begins"))
+    .select("doc_id", "begins", F.explode(F.expr("sequence(0L, total - 1, 7L)")).alias("place")).select("doc_id", "place", A.page_at(F.col("place"), F.col("begins")).alias("page"))
+)
+query("agg_15", CELLS, r"""SELECT doc_id, row, CAST(good AS DOUBLE) / n AS share, CAST(good AS DOUBLE) / n >= 0.6 AS is_header FROM (SELECT doc_id, row, len(own) AS n, len(list_filter(own, x -> len(list_filter(string_split_regex(x, '\s+'), w -> w <> '')) <= 5 AND NOT regexp_matches(x, '\d{4,}')
+    AND (regexp_matches(x, '^\p{Lu}') OR (length(regexp_replace(x, '\P{L}', '', 'g')) >= 3 AND length(regexp_replace(x, '[^\p{Lu}]', '', 'g')) >= 0.75 * length(regexp_replace(x, '\P{L}', '', 'g')))))) AS good FROM (SELECT *, list_filter(string_split(s, '|'), x -> trim(x) <> '') AS own FROM t)) WHERE n > 0""")(
+    lambda df: _CELLS(df).select("doc_id", "row", P.heading_share(F.col("cells")).alias("share")).filter("share is not null").withColumn("is_header", F.col("share") >= 0.6)
+)

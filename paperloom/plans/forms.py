@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -129,13 +129,32 @@ def sample_pages(pages: DataFrame, most: int = 3, least: int = 40) -> DataFrame:
     return first.groupBy("doc_id").agg(F.lower(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n")).alias("text"), (F.sum(F.length(T.strip(F.col("text")))) >= least).alias("has_text"))
 
 
-def dispatch(pages: DataFrame, formats: dict[str, Callable[[DataFrame], DataFrame]], selected: list[str] | None = None) -> DataFrame:
-    """doc_id, format and fields (a map) of all documents, each by the extractor of its format; formats without one give no rows."""
-    routed = pages.join(route(sample_pages(pages), selected).select("doc_id", "format"), "doc_id")
-    out = None
-    for key, extract in formats.items():
-        found = extract(routed.filter(F.col("format") == key))
-        names = [c for c in found.columns if c not in ("doc_id", "page")]
-        part = found.select("doc_id", "page", F.lit(key).alias("format"), F.create_map(*[x for c in names for x in (F.lit(c), F.col(c).cast("string"))]).alias("fields"))
-        out = part if out is None else out.unionByName(part)
-    return out
+def dispatched(pages: DataFrame, words: DataFrame, extractors: dict[str, Callable], selected: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of all documents, each by the extractor of its format, and the rejects.
+
+    Rows: doc_id, format, n and fields (a map of the filled columns). Rejects: doc_id, format and why: no format shows, the
+    format has no extractor, or its extractor found nothing. An extractor that can't be planned rejects the documents of its
+    own format only.
+    """
+    routed = route(sample_pages(pages), selected).select("doc_id", "format")
+    rows, broken = None, []
+    for key, extract in extractors.items():
+        own = routed.filter(F.col("format") == key).select("doc_id")
+        try:
+            found = extract(pages.join(own, "doc_id", "left_semi"), words.join(own, "doc_id", "left_semi"))
+        except Exception as e:  # noqa: BLE001  one format's failure isn't the others'
+            broken.append((key, f"{type(e).__name__}: {str(e)[:200]}"))
+            continue
+        names = [c for c in found.columns if c != "doc_id"]
+        filled = F.map_filter(F.create_map(*[x for c in names for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]), lambda _, v: v.isNotNull() & (v != ""))
+        part = found.select("doc_id", F.lit(key).alias("format"), filled.alias("fields"))
+        rows = part if rows is None else rows.unionByName(part)
+    why = F.when(F.col("format").isNull(), "no format")
+    for key, error in broken:
+        why = why.when(F.col("format") == key, error)
+    why = why.when(~F.col("format").isin(*extractors), "no extractor")
+    if rows is None:
+        rows = routed.filter("false").select("doc_id", "format", F.create_map().cast("map<string,string>").alias("fields"))
+    rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.to_json("fields"))))
+    rejects = routed.join(rows.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "format", why.otherwise("nothing found").alias("why"))
+    return rows.select("doc_id", "format", "n", "fields"), rejects

@@ -13,7 +13,7 @@ from ..operators import layout as L
 from ..operators import neighbourhood as A
 from ..operators import records as R
 from ..sources import lines as SRC
-from .forms import FORMS, dispatch, route, sample_pages
+from .forms import FORMS, route, sample_pages
 from .registry import query
 from .relations import LINES, SSN_ROWS, WORDS
 from .scalars import AREA, FIRST, GROUP, LAST, SERIAL
@@ -42,7 +42,6 @@ query("src_14", LINES, "SELECT doc_id, page, string_agg(text, chr(10) ORDER BY o
 query("src_15", LINES, "SELECT doc_id, page, string_agg(kind || text, chr(10) ORDER BY ord) AS text FROM t GROUP BY ALL")(lambda df: SRC.pages_of_lines(df.withColumn("text", F.concat("kind", "text"))))
 query("src_21", _PAGES, "SELECT doc_id, lower(text) AS text, length(trim(text)) >= 40 AS has_text FROM t WHERE page <= 3")(sample_pages)
 query("dsp_01", _PAGES, """SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'patient-info' WHEN 1 THEN 'claims' WHEN 2 THEN '1095c' WHEN 3 THEN 'bucket11' WHEN 4 THEN '401k' WHEN 5 THEN 'gross-pay' ELSE 'generic' END AS format FROM t WHERE page <= 3""")(lambda df: route(sample_pages(df)).select("doc_id", "format"))
-query("dsp_02", W2_PAGES, f"SELECT doc_id, page, 'w2' AS format, {_OSSN} AS ssn FROM t")(lambda df: dispatch(df, {"w2": FORMS["w2"].extract, "401k": FORMS["pay"].extract}).select("doc_id", "page", "format", F.col("fields")["employee_ssn"].alias("ssn")))
 # Projections.
 query("prj_01", SSN_ROWS.replace("ELSE '' END AS first", "END AS first"), "SELECT doc_id, ord, coalesce(first, '') AS first FROM t")(lambda df: df.select("doc_id", "ord", T.text(F.col("first")).alias("first")))
 query("prj_04", "SELECT s_suppkey AS k, s_name || ', Ann Mary MD' AS name, CAST(s_suppkey AS STRING) || ' Main St|Reno, NV 89501' AS address FROM {supplier}", "SELECT k, name[:-14] AS last, 'Ann' AS first, 'Mary' AS middle, 'MD' AS suffix, k || ' Main St' AS street, 'Reno' AS city, 'NV' AS state, '89501' AS zip FROM t")(
@@ -90,7 +89,7 @@ _COVERED = (("'1 Name of employee'", 0), (f"{FIRST} || ' Roe'", 1), ("'2 Social
 COVERED_LINES = " UNION ALL ".join(f"SELECT c_custkey AS doc_id, CAST({i} AS INT) AS ord, {e} AS text FROM {{customer}}" for e, i in _COVERED)
 
 
-def _1095c(df):
+def covered(df):
     """The text between each label that was found and the next one."""
     labels = [("name", r"1\s+Name of employee"), ("ssn", r"2\s+Social security number\s*\(SSN\)"), ("street", r"3\s+Street address(?:\s*\(including apartment no\.?\))?"), ("city", r"4\s+City or town"), ("state", r"5\s+State or province"), ("zip", r"6\s+Country and ZIP(?:\s+or foreign postal code)?"), ("end", r"7\s+Name of employer")]
     key = F.coalesce(*[F.when(F.col("text").rlike(rf"(?i)^\s*{p}"), F.lit(k)) for k, p in labels])
@@ -100,12 +99,12 @@ def _1095c(df):
     return wide.select("doc_id", N.covered_name(F.col("name")).alias("n"), T.text(F.col("street")).alias("street"), T.text(F.col("city")).alias("city"), T.text(F.col("state")).alias("state"), V.zip_country(F.col("zip")).alias("z"), F.regexp_extract("ssn", f"({V.SSN_RUN})", 1).alias("ssn")).select("doc_id", "n.first", "n.last", "street", "city", "state", "z.zip", "z.country", "ssn")
 
 
-query("x_1095c", COVERED_LINES, f"SELECT doc_id, string_split({FIRST.replace('c_custkey', 'doc_id')}, ' ')[1] AS first, 'Roe' AS last, doc_id || ' Elm' AS street, 'Reno' AS city, '' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, 'USA' AS country, 'XXX-XX-' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') AS ssn FROM t WHERE ord = 0")(_1095c)
+query("x_1095c", COVERED_LINES, f"SELECT doc_id, string_split({FIRST.replace('c_custkey', 'doc_id')}, ' ')[1] AS first, 'Roe' AS last, doc_id || ' Elm' AS street, 'Reno' AS city, '' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, 'USA' AS country, 'XXX-XX-' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') AS ssn FROM t WHERE ord = 0")(covered)
 GROSS = """SELECT o_orderkey AS doc_id, CAST(1 AS INT) AS page, CAST(n_nationkey AS INT) AS ord, CAST(n_nationkey % 4 * 120 + CASE WHEN n_nationkey >= 4 THEN (o_custkey + n_nationkey) % 40 ELSE 0 END AS DOUBLE) AS x0, CAST(CASE WHEN n_nationkey < 4 THEN 30 ELSE 60 END + o_orderkey % 2 AS DOUBLE) AS y0,
     CASE n_nationkey WHEN 0 THEN 'EE' WHEN 1 THEN 'Name' WHEN 2 THEN 'SSN' WHEN 3 THEN 'Net' WHEN 4 THEN 'E' || CAST(o_custkey AS STRING) WHEN 5 THEN 'Roe' WHEN 6 THEN '900-01-' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') ELSE CAST(o_custkey AS STRING) || '.00' END AS text FROM {orders} CROSS JOIN {nation} WHERE n_nationkey < 8"""
 
 
-def _gross(df):
+def gross(df):
     """Words under the header's column starts, as rows that show an id or a number."""
     lined = df.withColumn("y", F.rint(F.col("y0") / 3) * 3)
     head = lined.filter(F.col("text").isin("EE", "Name", "SSN", "Net")).select("doc_id", "page", F.col("text").alias("name"), F.col("x0").alias("x"))
@@ -114,19 +113,24 @@ def _gross(df):
     return wide.filter(P.pay_row(F.col("EE"), F.col("SSN"))).select("doc_id", F.col("EE").alias("ee_id"), F.col("Name").alias("name"), V.ssn_pay(F.col("SSN")).alias("ssn"), F.col("Net").alias("net_pay"))
 
 
-query("x_gross", GROSS, "SELECT doc_id, max(text) FILTER (ord = 4) AS ee_id, 'Roe' AS name, max(text) FILTER (ord = 6) AS ssn, max(text) FILTER (ord = 7) AS net_pay FROM t GROUP BY doc_id")(_gross)
+query("x_gross", GROSS, "SELECT doc_id, max(text) FILTER (ord = 4) AS ee_id, 'Roe' AS name, max(text) FILTER (ord = 6) AS ssn, max(text) FILTER (ord = 7) AS net_pay FROM t GROUP BY doc_id")(gross)
 CREDITOR_WORDS = """SELECT s_suppkey AS doc_id, CAST(1 AS INT) AS page, CAST(n_nationkey AS INT) AS ord, CAST(n_nationkey % 3 * 200 AS DOUBLE) AS x0, CAST(n_nationkey % 3 * 200 + 150 AS DOUBLE) AS x1, CAST(CASE WHEN n_nationkey >= 6 THEN 80 ELSE 0 END + n_nationkey % 6 / 3 * 12 AS DOUBLE) AS y_raw,
     CASE WHEN n_nationkey % 6 < 3 THEN 'Roe' || CAST(n_nationkey AS STRING) || ', Ann' ELSE CAST(s_suppkey AS STRING) || ' Main St' END AS text FROM {supplier} CROSS JOIN {nation} WHERE n_nationkey < 12"""
 
 
-def _creditors(df):
+def creditor_rows(df):
     """Three columns of entries parted by gaps: the first line is the name, the rest the address."""
-    d = df.withColumn("top", (F.col("y_raw") / 12).cast("int") * 12.0).withColumn("bottom", F.col("top") + 10).withColumn("y0", F.col("top")).withColumn("y1", F.col("bottom"))
+    return creditors(df.withColumn("top", (F.col("y_raw") / 12).cast("int") * 12.0).withColumn("y0", F.col("top")).withColumn("y1", F.col("top") + 10))
+
+
+def creditors(words):
+    """See ``creditor_rows``; words with their boxes."""
+    d = words.withColumn("top", F.col("y0")).withColumn("bottom", F.col("y1"))
     d = L.gap_blocks(L.equal_columns(d, 3), ["doc_id", "page", "col"], 0.6)
     each = d.groupBy("doc_id", "page", "col", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("top", "x0", "ord", "text"))), lambda w: w["text"]).alias("lines"))
     return each.select("doc_id", "col", "block", F.col("lines")[0].alias("full_name"), N.last_first(F.col("lines")[0]).alias("n"), F.array_join(F.slice("lines", 2, 50), ", ").alias("address")).select("doc_id", "col", "block", "full_name", "n.last", "n.first", "address")
 
 
-query("x_cred", CREDITOR_WORDS, "SELECT doc_id, CAST(ord % 3 AS INT) AS col, CAST(ord // 6 AS BIGINT) AS block, text AS full_name, split_part(text, ',', 1) AS last, 'Ann' AS first, doc_id || ' Main St' AS address FROM t WHERE ord % 6 < 3")(_creditors)
+query("x_cred", CREDITOR_WORDS, "SELECT doc_id, CAST(ord % 3 AS INT) AS col, CAST(ord // 6 AS BIGINT) AS block, text AS full_name, split_part(text, ',', 1) AS last, 'Ann' AS first, doc_id || ' Main St' AS address FROM t WHERE ord % 6 < 3")(creditor_rows)
 query("x_lines", "SELECT doc_id, text FROM {documents}", "SELECT doc_id, count(*) AS lines, count(*) FILTER (trim(l) <> '') AS filled FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) GROUP BY doc_id")(lambda df: SRC.layout_lines(df).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(F.trim("text") != "").alias("filled")))
 query("x_grp", "SELECT conv_id * 100 + turn AS k, role, text FROM {conversations}")(lambda df: R.greedy_groups(df.select(F.lpad(F.col("k").cast("string"), 12, "0").alias("file"), F.col("role").alias("orientation"), F.rpad(F.lit("1"), 192, "0").substr(F.lit(1), F.length("text") % 190).alias("grid"), T.vocabulary(F.col("text")).alias("tokens"))))

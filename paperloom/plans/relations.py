@@ -35,17 +35,7 @@ query("lay_05", WORDS, """SELECT doc_id, page, CAST(line AS INT) AS line, string
       SELECT o.doc_id, o.page, o.i, o.x0, o.ord, o.text, CASE WHEN abs(o.y0 - r.top) <= 3 THEN r.top ELSE o.y0 END, r.line + CASE WHEN abs(o.y0 - r.top) <= 3 THEN 0 ELSE 1 END FROM r JOIN o ON o.doc_id = r.doc_id AND o.page = r.page AND o.i = r.i + 1)
     SELECT * FROM r) GROUP BY ALL""")(lambda df: L.lines_anchor(df, 3.0))
 query("lay_06", WORDS)(lambda df: L.lines_anchor(df.filter("x0 < 200 and y0 <= 35"), 4.0))
-query("lay_08", WORDS.replace("l_linenumber * 4", "l_linenumber * 110"), """SELECT doc_id, ord, band, CASE WHEN two THEN prefix || CASE WHEN (x0 + x1) / 2 < 306 THEN 'Left' ELSE 'Right' END WHEN prefix = '' THEN 'Single' ELSE prefix END AS cell FROM
-    (SELECT *, doc_id % 2 = 0 AS two, CASE WHEN n = 1 THEN '' WHEN n = 2 THEN CASE WHEN band = 0 THEN 'Top' ELSE 'Bottom' END ELSE 'Row' || (band + 1) END AS prefix FROM
-    (SELECT *, CAST(greatest(0, least(floor((y0 + y1) / 2 / (792.0 / n)), n - 1)) AS INT) AS band FROM (SELECT *, 1 + doc_id % 4 AS n FROM t)))""")(
-    lambda df: L.grid_cells(df, 1 + F.col("doc_id") % 4, F.col("doc_id") % 2 == 0).select("doc_id", "ord", "band", "cell")
-)
 HEADS = "SELECT o_orderkey AS doc_id, CAST(1 AS INT) AS page, n_nationkey AS i, CAST(n_nationkey * 60 + o_orderkey % 7 AS DOUBLE) AS x0, CASE n_nationkey WHEN 0 THEN 'EE' WHEN 1 THEN 'ID' WHEN 2 THEN 'SSN' WHEN 3 THEN 'Net' WHEN 4 THEN 'Pay' ELSE 'Total' END AS text FROM {orders} CROSS JOIN {nation} WHERE n_nationkey < 6"
-query("lay_09", HEADS, "SELECT doc_id, name, min(x0) AS x FROM (SELECT doc_id, x0, CASE text WHEN 'EE' THEN 'EE ID' WHEN 'SSN' THEN 'SSN' WHEN 'Net' THEN 'Net Pay' END AS name FROM t) WHERE name IS NOT NULL GROUP BY ALL")(
-    lambda df: df.withColumn("next", F.lead("text").over(Window.partitionBy("doc_id", "page").orderBy("x0", "i")))
-    .withColumn("name", F.expr("case when text = 'EE' and next = 'ID' then 'EE ID' when text = 'SSN' then 'SSN' when text = 'Net' and next = 'Pay' then 'Net Pay' end"))
-    .filter("name is not null").groupBy("doc_id", "name").agg(F.min("x0").alias("x"))
-)
 query("lay_10", WORDS, "SELECT doc_id, ord, CASE WHEN x0 + 1 >= 400 THEN 'c' WHEN x0 + 1 >= 150 + doc_id % 9 THEN 'b' ELSE 'a' END AS \"column\" FROM t")(
     lambda df: L.assign_columns(df, df.select("doc_id", "page").distinct().select("doc_id", "page", F.expr("stack(3, 'a', 40D, 'b', cast(150 + doc_id % 9 as double), 'c', 400D) as (name, x)")), 1.0).select("doc_id", "ord", "column")
 )
@@ -57,12 +47,6 @@ query("lay_14", WORDS.replace("l_linenumber * 4", "l_linenumber * 13"), """SELEC
     (SELECT *, CASE WHEN y0 - lag(y1) OVER (PARTITION BY doc_id, page ORDER BY y0, ord) > 0.2 * avg(y1 - y0) OVER (PARTITION BY doc_id, page) THEN 1 ELSE 0 END AS brk FROM t)""")(
     lambda df: L.gap_blocks(df.withColumnsRenamed({"y0": "top", "y1": "bottom"}), ["doc_id", "page"], 0.2).select("doc_id", "ord", "block")
 )
-query("lay_15", WORDS, "SELECT t.doc_id, ord FROM t JOIN (SELECT doc_id, arg_min(x0, ord) AS c FROM t WHERE text LIKE 'N%' GROUP BY doc_id) h ON t.doc_id = h.doc_id AND x0 < c - 2")(
-    lambda df: df.join(df.filter(F.col("text").startswith("N")).groupBy("doc_id").agg(F.min_by("x0", "ord").alias("c")), "doc_id").filter("x0 < c - 2").select("doc_id", "ord")
-)
-query("lay_16", WORDS, "SELECT doc_id, coalesce(string_agg(text, ' ' ORDER BY x0, ord) FILTER (x0 < 180), '') AS first, coalesce(string_agg(text, ' ' ORDER BY x0, ord) FILTER (x0 >= 180 AND x0 < 330), '') AS last, coalesce(string_agg(text, ' ' ORDER BY x0, ord) FILTER (x0 >= 330 AND x0 < 365), '') AS suffix FROM t GROUP BY doc_id")(
-    lambda df: df.groupBy("doc_id").agg(*[F.array_join(F.transform(F.array_sort(F.collect_list(F.when((F.col("x0") >= a) & (F.col("x0") < b), F.struct("x0", "ord", "text")))), lambda w: w["text"]), " ").alias(n) for n, a, b in (("first", -1, 180), ("last", 180, 330), ("suffix", 330, 365))])
-)
 query("lay_17", WORDS.replace("* 4", "* 60"), "SELECT doc_id, page, ord, x0, y0 FROM t WHERE y0 <= 280 AND x0 <= 60")(lambda df: df.filter("y0 <= 280 and x0 <= 60").select("doc_id", "page", "ord", "x0", "y0"))
 query("lay_18", WORDS.replace("* 4", "* 100"), """SELECT doc_id, page, array_to_string(list_transform(range(0, 192), i -> CASE WHEN list_contains(cells, i) THEN '1' ELSE '0' END), '') AS grid FROM
     (SELECT doc_id, page, list(DISTINCT r * 12 + c) AS cells FROM (SELECT doc_id, page, unnest(range(greatest(0, least(CAST(trunc(y0 / 792 * 16) AS BIGINT), 15)), greatest(0, least(CAST(trunc(y1 / 792 * 16) AS BIGINT), 15)) + 1)) AS r, a, b FROM
@@ -111,9 +95,6 @@ query("join_07", STARTS, "SELECT a.doc_id, a.ord, max(b.x) AS start FROM t a LEF
     lambda df: df.withColumn("at", F.when(F.col("is_start") == 1, F.col("x") - 2).otherwise(F.col("x"))).withColumn("start", F.last(F.when(F.col("is_start") == 1, F.col("x")), True).over(Window.partitionBy("doc_id").orderBy("at", F.desc("is_start"), "x").rowsBetween(Window.unboundedPreceding, 0)))
     .filter("is_start = 0").select("doc_id", "ord", "start")
 )
-query("join_08", LINES, "SELECT doc_id, ord, sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) IS NULL AS at_start, coalesce(CAST(sum(length(text) + 1) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS first_char FROM t")(
-    lambda df: df.withColumn("s", F.sum(F.length("text") + 1).over(Window.partitionBy("doc_id").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1))).select("doc_id", "ord", F.col("s").isNull().alias("at_start"), F.coalesce("s", F.lit(0)).alias("first_char"))
-)
 query("join_09", LINES, "SELECT a.doc_id, a.ord FROM t a WHERE a.status = 'O' AND NOT EXISTS (SELECT 1 FROM t b WHERE b.status = 'F' AND a.doc_id = b.doc_id AND a.page = b.page AND lower(a.kind) = lower(b.kind))")(
     lambda df: df.filter("status = 'O'").withColumn("n", F.lower("kind")).join(df.filter("status = 'F'").select("doc_id", "page", F.lower("kind").alias("n")), ["doc_id", "page", "n"], "left_anti").select("doc_id", "ord")
 )
@@ -149,7 +130,6 @@ query("agg_11", LINES, "SELECT kind, status, count(*) AS n FROM t GROUP BY ALL")
 query("agg_12", LINES, "SELECT doc_id, string_agg(text, chr(10) ORDER BY ord) AS text FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(R.ordered_concat("text", ["ord"], "\n").alias("text")))
 query("agg_13", LINES, "SELECT doc_id, max(day) FILTER (kind = 'R') AS last_day FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.max(F.when(F.col("kind") == "R", F.col("day"))).alias("last_day")))
 query("agg_14", SSN_ROWS, "SELECT doc_id, coalesce(arg_min(first, ord) FILTER (first <> ''), '') AS first, coalesce(arg_min(suffix, ord) FILTER (suffix <> ''), '') AS suffix FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(R.first_filled("first", "ord").alias("first"), R.first_filled("suffix", "ord").alias("suffix")))
-query("agg_15", CHATS_CELLS := "SELECT conv_id, turn, text AS s FROM {conversations}", "SELECT conv_id, CAST(count(*) FILTER (length(s) < 200) AS DOUBLE) / count(*) >= 0.6 AS short, count(*) AS n FROM t GROUP BY conv_id")(lambda df: df.groupBy("conv_id").agg((F.avg((F.length("s") < 200).cast("int")) >= 0.6).alias("short"), F.count("*").alias("n")))
 query("agg_16", LINES, "SELECT doc_id, string_agg(kind, '; ' ORDER BY ord) AS signers, (SELECT string_agg(status, '; ' ORDER BY o) FROM (SELECT status, min(ord) AS o FROM t b WHERE b.doc_id = a.doc_id GROUP BY status)) AS sources FROM t a GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(R.ordered_concat("kind", ["ord"], "; ").alias("signers"), R.ordered_distinct("status", ["ord"], "; ").alias("sources")))
 query("agg_17", LINES, "SELECT count(*) AS n, count(DISTINCT doc_id) AS docs, CAST(sum(n) AS BIGINT) AS total FROM t")(lambda df: df.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"), F.sum("n").alias("total")))
 
@@ -239,6 +219,7 @@ query("ord_02", WORDS, "SELECT doc_id, ord, row_number() OVER (PARTITION BY doc_
 query("ord_03", LINES, "SELECT doc_id, ord, row_number() OVER (PARTITION BY doc_id ORDER BY page, CASE kind WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END, ord) AS place FROM t")(lambda df: df.select("doc_id", "ord", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", F.expr("case kind when 'R' then 0 when 'A' then 1 else 2 end"), "ord")).cast("long").alias("place")))
 query("ord_04", LINES, "SELECT doc_id, arg_min(text, struct_pack(n := n, o := ord)) AS text FROM t GROUP BY doc_id")(lambda df: df.groupBy("doc_id").agg(F.min_by("text", F.struct("n", "ord")).alias("text")))
 query("ord_05", LINES, "SELECT doc_id, ord, text[:2] AS head FROM t WHERE ord <= 3")(lambda df: df.filter("ord <= 3").select("doc_id", "ord", F.substring("text", 1, 2).alias("head")))
+CHATS_CELLS = "SELECT conv_id, turn, text AS s FROM {conversations}"
 query("ord_06", CHATS_CELLS, r"SELECT conv_id, arg_max(turn, struct_pack(n := len(string_split_regex(trim(s), '\s+')), o := -turn)) AS longest FROM t GROUP BY conv_id")(lambda df: df.groupBy("conv_id").agg(F.max_by("turn", F.struct(F.size(F.split(F.trim("s"), r"\s+")), -F.col("turn"))).alias("longest")))
 query("ord_07", LINES, "SELECT doc_id, string_agg(kind, '' ORDER BY page, ord) AS kinds FROM t GROUP BY doc_id")(lambda df: df.repartition("ord").groupBy("doc_id").agg(R.ordered_concat("kind", ["page", "ord"], "").alias("kinds")))
 query("set_01", LINES, "SELECT doc_id, ord, 'A' AS format FROM t WHERE kind = 'A' UNION ALL SELECT doc_id, ord, 'B' FROM t WHERE status = 'O'")(lambda df: df.filter("kind = 'A'").select("doc_id", "ord", F.lit("A").alias("format")).unionByName(df.filter("status = 'O'").select("doc_id", "ord", F.lit("B").alias("format"))))
