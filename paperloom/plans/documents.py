@@ -38,10 +38,10 @@ class Files:
         return self.run(spark, sf_dir)
 
 
-_NAME = F.regexp_extract("path", r"([^/]+)$", 1)
+_FILE = lambda: F.regexp_extract("path", r"([^/]+)$", 1).alias("name")
 _FILES = "SELECT unnest(['benchmark', 'conversations', 'customer', 'documents', 'embeddings', 'events', 'labels', 'lineitem', 'nation', 'orders', 'pages', 'part', 'region', 'supplier']) || '.parquet' AS name"
-QUERIES["src_01"] = Files(lambda spark, sf: FS.list_files(spark, sf, "*.parquet").select(_NAME.alias("name")), _FILES)
-QUERIES["src_02"] = Files(lambda spark, sf: FS.resolve(spark, sf, "PARQUET").select(_NAME.alias("name")), _FILES)
+QUERIES["src_01"] = Files(lambda spark, sf: FS.list_files(spark, sf, "*.parquet").select(_FILE()), _FILES)
+QUERIES["src_02"] = Files(lambda spark, sf: FS.resolve(spark, sf, "PARQUET").select(_FILE()), _FILES)
 
 CELLS = f"SELECT l_orderkey AS doc_id, CAST(1 + l_orderkey % 2 AS INT) AS page, CAST(1 AS INT) AS tbl, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INT) AS row, CASE WHEN l_linenumber % 4 = 0 THEN ' |' WHEN l_linenumber = 1 AND l_orderkey % 3 > 0 THEN 'Name|Ship Date|Total' WHEN l_linenumber % 2 = 0 THEN 'x  ' || CAST(l_partkey AS STRING) || '|' || l_returnflag ELSE CAST(l_partkey + 10000 AS STRING) || '|b|c|' || l_linestatus END AS s FROM {{lineitem}}".replace("{{", "{").replace("}}", "}")
 _CELLS = lambda df: df.select("doc_id", "page", "tbl", "row", F.split("s", r"\|").alias("cells"))
