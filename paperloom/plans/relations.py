@@ -29,12 +29,13 @@ query("lay_02", WORDS, _FIXED.format(2, "ord"))(lambda df: L.lines_fixed(df, 2.0
 query("lay_03", WORDS, "SELECT doc_id, page, y, text, x0, top, x1, bottom, x1 - x0 AS width FROM (" + _FIXED.format(3, "x0, ord") + ")")(lambda df: L.lines_fixed(df, 3.0).withColumn("width", F.col("x1") - F.col("x0")))
 query("lay_04", WORDS, """SELECT doc_id, page, line, string_agg(text, ' ' ORDER BY x0, ord) AS text FROM (SELECT *, sum(brk) OVER (PARTITION BY doc_id, page ORDER BY mid, x0, ord ROWS UNBOUNDED PRECEDING) AS line FROM
     (SELECT *, CASE WHEN mid - lag(mid) OVER (PARTITION BY doc_id, page ORDER BY mid, x0, ord) > 5 THEN 1 ELSE 0 END AS brk FROM (SELECT *, (y0 + y1) / 2 AS mid FROM t))) GROUP BY ALL""")(lambda df: L.lines_chain(df, 5.0))
-query("lay_05", WORDS, """SELECT doc_id, page, CAST(line AS INT) AS line, string_agg(text, ' ' ORDER BY x0, ord) AS text FROM (
-    WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY round(y0, 1), x0, ord) AS i FROM t),
+_ANCHORED = """SELECT doc_id, page, CAST(line AS INT) AS line, string_agg(text, ' ' ORDER BY x0, ord) AS text FROM (
+    WITH RECURSIVE o AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page ORDER BY round(y0, 1), x0, ord) AS i FROM t {1}),
     r AS (SELECT doc_id, page, i, x0, ord, text, y0 AS top, 0 AS line FROM o WHERE i = 1 UNION ALL
-      SELECT o.doc_id, o.page, o.i, o.x0, o.ord, o.text, CASE WHEN abs(o.y0 - r.top) <= 3 THEN r.top ELSE o.y0 END, r.line + CASE WHEN abs(o.y0 - r.top) <= 3 THEN 0 ELSE 1 END FROM r JOIN o ON o.doc_id = r.doc_id AND o.page = r.page AND o.i = r.i + 1)
-    SELECT * FROM r) GROUP BY ALL""")(lambda df: L.lines_anchor(df, 3.0))
-query("lay_06", WORDS)(lambda df: L.lines_anchor(df.filter("x0 < 200 and y0 <= 35"), 4.0))
+      SELECT o.doc_id, o.page, o.i, o.x0, o.ord, o.text, CASE WHEN abs(o.y0 - r.top) <= {0} THEN r.top ELSE o.y0 END, r.line + CASE WHEN abs(o.y0 - r.top) <= {0} THEN 0 ELSE 1 END FROM r JOIN o ON o.doc_id = r.doc_id AND o.page = r.page AND o.i = r.i + 1)
+    SELECT * FROM r) GROUP BY ALL"""
+query("lay_05", WORDS, _ANCHORED.format(3, ""))(lambda df: L.lines_anchor(df, 3.0))
+query("lay_06", WORDS, _ANCHORED.format(4, "WHERE x0 < 200 AND y0 <= 35"))(lambda df: L.lines_anchor(df.filter("x0 < 200 and y0 <= 35"), 4.0))
 HEADS = "SELECT o_orderkey AS doc_id, CAST(1 AS INT) AS page, n_nationkey AS i, CAST(n_nationkey * 60 + o_orderkey % 7 AS DOUBLE) AS x0, CASE n_nationkey WHEN 0 THEN 'EE' WHEN 1 THEN 'ID' WHEN 2 THEN 'SSN' WHEN 3 THEN 'Net' WHEN 4 THEN 'Pay' ELSE 'Total' END AS text FROM {orders} CROSS JOIN {nation} WHERE n_nationkey < 6"
 query("lay_10", WORDS, "SELECT doc_id, ord, CASE WHEN x0 + 1 >= 400 THEN 'c' WHEN x0 + 1 >= 150 + doc_id % 9 THEN 'b' ELSE 'a' END AS \"column\" FROM t")(
     lambda df: L.assign_columns(df, df.select("doc_id", "page").distinct().select("doc_id", "page", F.expr("stack(3, 'a', 40D, 'b', cast(150 + doc_id % 9 as double), 'c', 400D) as (name, x)")), 1.0).select("doc_id", "ord", "column")
