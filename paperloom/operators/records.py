@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sinks.files import work_folder
+
 
 def first_wins(df: DataFrame, key: list[Column], order: list[str], keyless: Column | None = None) -> DataFrame:
     """The first row of each key; rows for which ``keyless`` holds all stay."""
@@ -83,29 +83,56 @@ def merge_prefixes(df: DataFrame, blanks: bool = False) -> DataFrame:
     return d.filter(own).groupBy("doc_id", "_ssn", "_last").applyInArrow(fold, schema).unionByName(d.filter(~own).drop("_last", "_ssn"))
 
 
+def alike_pairs(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
+    """orientation, a and b: fingerprints of which b, later by file name, is alike a on layout or words. prints: orientation, file, grid, tokens, all different.
+
+    Layouts that differ in less than a twelfth of their cells agree on twelve cells in a row at a multiple of twelve; word
+    sets that share so much of their union have one of their rarest words in common. Only such pairs are compared.
+    """
+    cells = prints.select("orientation", "file", F.expr("transform(sequence(0, cast(length(grid) / 12 as int)), i -> concat(i, ':', substr(grid, i * 12 + 1, 12)))").alias("k"))
+    cells = cells.select("orientation", "file", F.explode(F.filter("k", lambda x: F.length(F.substring_index(x, ":", -1)) == 12)).alias("k"))
+    each = prints.select("orientation", "file", F.size("tokens").alias("n"), F.explode(F.array_distinct("tokens")).alias("w"))
+    often = each.groupBy("w").agg(F.count("*").alias("m"))
+    rare = each.join(often, "w").groupBy("orientation", "file", "n").agg(F.array_sort(F.collect_list(F.struct("m", "w"))).alias("ws"))
+    words = rare.select("orientation", "file", F.explode(F.expr(f"slice(ws, 1, size(ws) - cast(ceil({text} * size(ws)) as int) + 1)")).alias("x")).select("orientation", "file", F.concat(F.lit("w"), "x.w").alias("k"))
+    keys = cells.unionByName(words)
+    met = keys.withColumnRenamed("file", "a").join(keys.withColumnRenamed("file", "b"), ["orientation", "k"]).filter("a < b").select("orientation", "a", "b").distinct()
+    own = lambda n: prints.select("orientation", F.col("file").alias(n), F.col("grid").alias(f"g{n}"), F.array_distinct("tokens").alias(f"t{n}"))
+    both = met.join(own("a"), ["orientation", "a"]).join(own("b"), ["orientation", "b"])
+    same = "size(filter(sequence(1, greatest(least(length(ga), length(gb)), 1)), i -> i <= least(length(ga), length(gb)) and substr(ga, i, 1) = substr(gb, i, 1)))"
+    alike = f"(ga <> '' and {same} >= {layout} * length(ga)) or (size(ta) > 0 and size(tb) > 0 and size(array_intersect(ta, tb)) >= {text} * size(array_union(ta, tb)))"
+    return both.filter(alike).select("orientation", "a", "b")
+
+
 def greedy_groups(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
     """file, group: each fingerprint, by file name, joins the first group of its orientation whose founder is alike on layout or words.
 
-    ``prints``: file, orientation, grid (text of 0 and 1), tokens (array). Order decides, so each orientation is one
-    sequential pass over its fingerprints; only founders are kept in memory.
+    ``prints``: file, orientation, grid (text of 0 and 1), tokens (array). Equal fingerprints stand for one. A fingerprint
+    founds a group if no earlier founder is alike; so round by round those founders come out that no undecided one precedes.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        founders: dict[str, list] = {}
-        for batch in batches:
-            names, groups = [], []
-            for r in batch.to_pylist():
-                own, tokens = founders.setdefault(r["orientation"], []), set(r["tokens"])
-                for n, (grid, words) in enumerate(own):
-                    alike = sum(a == b for a, b in zip(grid, r["grid"])) / len(grid) if grid else 0.0
-                    shared = len(words & tokens) / len(words | tokens) if words and tokens else 0.0
-                    if alike >= layout or shared >= text:
-                        break
-                else:
-                    n = len(own)
-                    own.append((r["grid"], tokens))
-                names.append(r["file"])
-                groups.append(f"{r['orientation']}_{n + 1}")
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(groups, pa.string())], ["file", "group"])
-
-    return prints.repartition("orientation").sortWithinPartitions("orientation", "file").mapInArrow(run, "file string, group string")
+    spark = prints.sparkSession
+
+    def kept(df: DataFrame) -> DataFrame:
+        at = work_folder(spark)
+        df.write.parquet(at)
+        return spark.read.schema(df.schema).parquet(at)
+
+    # Blank fingerprints are like nothing, not even each other.
+    d = prints.withColumn("tokens", F.array_sort(F.array_distinct("tokens"))).withColumn("own", F.when((F.col("grid") == "") & (F.size("tokens") == 0), F.col("file")).otherwise(""))
+    same = ["orientation", "grid", "tokens", "own"]
+    one = kept(d.groupBy(*same).agg(F.min("file").alias("file")))
+    edges = kept(alike_pairs(one, layout, text))
+    key = ["orientation", "file"]
+    left, founders = one.select(*key), None
+    while not left.isEmpty():
+        early = edges.join(left.withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi")
+        new = kept(left.join(early.select("orientation", F.col("b").alias("file")).distinct(), key, "left_anti"))
+        joined = edges.join(new.withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi").select("orientation", F.col("b").alias("file")).distinct()
+        founders = new if founders is None else founders.unionByName(new)
+        left = kept(left.join(new, key, "left_anti").join(joined, key, "left_anti"))
+    if founders is None:
+        return prints.select("file", F.lit("").alias("group")).filter("false")
+    first = edges.join(founders.withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi").groupBy("orientation", F.col("b").alias("file")).agg(F.min("a").alias("founder"))
+    named = founders.withColumn("n", F.row_number().over(Window.partitionBy("orientation").orderBy("file"))).select("orientation", F.col("file").alias("founder"), F.concat_ws("_", "orientation", "n").alias("group"))
+    placed = one.join(first, key, "left").withColumn("founder", F.coalesce("founder", "file")).join(named, ["orientation", "founder"])
+    return d.select("file", *same).join(placed.drop("file", "founder"), same).select("file", "group")

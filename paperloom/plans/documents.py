@@ -275,3 +275,17 @@ query("agg_15", CELLS, r"""SELECT doc_id, row, CAST(good AS DOUBLE) / n AS share
     AND (regexp_matches(x, '^\p{Lu}') OR (length(regexp_replace(x, '\P{L}', '', 'g')) >= 3 AND length(regexp_replace(x, '[^\p{Lu}]', '', 'g')) >= 0.75 * length(regexp_replace(x, '\P{L}', '', 'g')))))) AS good FROM (SELECT *, list_filter(string_split(s, '|'), x -> trim(x) <> '') AS own FROM t)) WHERE n > 0""")(
     lambda df: _CELLS(df).select("doc_id", "row", P.heading_share(F.col("cells")).alias("share")).filter("share is not null").withColumn("is_header", F.col("share") >= 0.6)
 )
+
+
+# Layout groups: each conversation is a page on which its turns are boxes and its first words the words.
+PRINTS = "SELECT conv_id AS doc_id, CAST(1 AS INT) AS page, CAST(turn AS DOUBLE) AS turn, CAST(length(text) % 4 * 150 AS DOUBLE) AS x0, CAST(length(text) % 4 * 150 + 60 AS DOUBLE) AS x1, CAST(turn % 9 * 80 AS DOUBLE) AS y0, CAST(turn % 9 * 80 + 30 AS DOUBLE) AS y1, text FROM {conversations}"
+
+
+def fingerprints(boxes: DataFrame) -> DataFrame:
+    """file, orientation, grid and tokens of each page."""
+    grid = L.occupancy(boxes, 612.0, 792.0)
+    words = boxes.groupBy("doc_id", "page").agg(T.vocabulary(F.min_by("text", "turn")).alias("tokens"))
+    return grid.join(words, ["doc_id", "page"]).select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("file"), F.when(F.col("doc_id") % 2 == 0, "portrait").otherwise("landscape").alias("orientation"), "grid", "tokens")
+
+
+query("x_grp", PRINTS)(lambda df: R.greedy_groups(fingerprints(df)))

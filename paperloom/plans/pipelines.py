@@ -133,4 +133,3 @@ def creditors(words):
 
 query("x_cred", CREDITOR_WORDS, "SELECT doc_id, CAST(ord % 3 AS INT) AS col, CAST(ord // 6 AS BIGINT) AS block, text AS full_name, split_part(text, ',', 1) AS last, 'Ann' AS first, doc_id || ' Main St' AS address FROM t WHERE ord % 6 < 3")(creditor_rows)
 query("x_lines", "SELECT doc_id, text FROM {documents}", "SELECT doc_id, count(*) AS lines, count(*) FILTER (trim(l) <> '') AS filled FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) GROUP BY doc_id")(lambda df: SRC.layout_lines(df).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(F.trim("text") != "").alias("filled")))
-query("x_grp", "SELECT conv_id * 100 + turn AS k, role, text FROM {conversations}")(lambda df: R.greedy_groups(df.select(F.lpad(F.col("k").cast("string"), 12, "0").alias("file"), F.col("role").alias("orientation"), F.rpad(F.lit("1"), 192, "0").substr(F.lit(1), F.length("text") % 190).alias("grid"), T.vocabulary(F.col("text")).alias("tokens"))))

@@ -102,3 +102,30 @@ def test_line_csv(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text('File Name,Page Number,Extracted Text\nf,1,001\nf,1,\nf,2,"a, b"\n')
     assert {(r.doc_id, r.page, r.text) for r in open_pages(spark, str(path)).collect()} == {("f", 1, "001\n"), ("f", 2, "a, b")}
+
+
+def test_greedy_groups_against_one_pass(spark):
+    import random
+
+    r = random.Random(5)
+    base = ["".join(r.choice("01") for _ in range(192)) for _ in range(4)]
+    vocabulary = [f"word{i}" for i in range(14)]
+    rows = []
+    for i in range(140):
+        grid = list(r.choice(base))
+        for _ in range(r.randrange(0, 24)):
+            grid[r.randrange(192)] = r.choice("01")
+        rows.append((f"f{i:03}", r.choice(["p", "l"]), "".join(grid) if i % 9 else "", r.sample(vocabulary, r.randrange(0, 9)) if i % 4 else ["same", "words"]))
+    rows += [("f900", "p", rows[0][2], rows[0][3]), ("g", "p", "", [])]
+    founders, want = {}, {}
+    for name, side, grid, words in sorted(rows):
+        own, words = founders.setdefault(side, []), set(words)
+        for n, (g, w) in enumerate(own):
+            if g and sum(a == b for a, b in zip(g, grid)) >= 0.92 * len(g) or w and words and len(w & words) >= 0.6 * len(w | words):
+                break
+        else:
+            n = len(own)
+            own.append((grid, words))
+        want[name] = f"{side}_{n + 1}"
+    got = {x.file: x.group for x in records.greedy_groups(spark.createDataFrame(rows, "file string, orientation string, grid string, tokens array<string>")).collect()}
+    assert got == want and len(set(want.values())) > 20
