@@ -39,8 +39,12 @@ def work_dir(spark: SparkSession) -> str:
     return os.environ["PAPERLOOM_WORK"]
 
 
-def materialise(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends there, and lost executors lose nothing."""
+def materialise(df: DataFrame, codec: str = "none") -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it back: lineage ends there, and lost executors lose nothing.
+
+    Many small tables are written as they are: a codec's native buffers for each file would wait for the collector of a heap that
+    is hardly used.
+    """
     spark = df.sparkSession
     path = f"{work_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)

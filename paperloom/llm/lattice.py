@@ -221,7 +221,7 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
     """
     every = documents(docs, batch=STEP)
     chosen = every.filter(training)
-    counts = materialise(word_counts(chosen))
+    counts = materialise(word_counts(chosen), "zstd")
     ends = chosen.count()
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()[0]
     n, v = (total["n"] or 0) + ends, total["v"] + (ends > 0)
@@ -262,7 +262,7 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
 
     schema = "doc_id long, serial long, n_tokens long, n_known long, base double, score double, adapted double, word string, times long"
     columns = [x.split()[0] for x in schema.split(", ")]
-    found = materialise(every.withColumn("serial", F.monotonically_increasing_id()).mapInArrow(run, schema))
+    found = materialise(every.withColumn("serial", F.monotonically_increasing_id()).mapInArrow(run, schema), "zstd")
     whole = found.filter("word is null").select("doc_id", "serial", "n_tokens", "n_known", "base", "score", "adapted")
     # Words outside the head occur in few documents each, so no key is hot.
     rest = found.filter("word is not null").select("doc_id", "serial", "word", "times").join(counts, "word")

@@ -285,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
     y = np.array([keys[i] for i in ids], float)
     apart = np.arange(len(ids)) % 4 == 0
     free = _views(every.filter("doc_id is not null")).join(labels.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_anti")
-    free = materialise(free.select(F.xxhash64("doc_id", "text_view", "meta_view").alias("key"), "text_view", "meta_view"))
+    free = materialise(free.select(F.xxhash64("doc_id", "text_view", "meta_view").alias("key"), "text_view", "meta_view"), "zstd")
     return co_train(text, meta, y, surest_of(free), apart if (~apart).any() else np.zeros(len(ids), bool), rounds)
 
 
