@@ -39,12 +39,12 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [("toxicity", toxicity_stage), ("quality", quality_stage), ("near_duplicates", near_duplicate_stage), ("substrings", substring_stage), ("packing", packing_stage)]
 
-#: Co-training, nearest-example votes and tokenisation have no SQL form; tests hold the stages against plain versions.
+#: Co-training, nearest-example votes and tokenisation have no SQL form; tests/llm/test_registered.py holds each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir))
+        docs = materialise(stage(spark, docs, sf_dir), "zstd")
     return STAGES[-1][1](spark, docs, sf_dir)
