@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, materialise, steps, word_codes
+from .common import documents, lean, materialise, steps, word_codes
 
 BLANK = "▁"
 #: Every task knows the training counts of words that are a ``HEAD``-th of all tokens or more, of which there are ``HEAD``
@@ -181,7 +181,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             n = np.bincount(codes, minlength=len(words))
             yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(n, pa.int64())], ["word", "c"])
 
-    return documents(docs, batch=STEP).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return documents(docs, batch=STEP).mapInArrow(lean(run), "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Vocabulary:
@@ -200,7 +200,7 @@ def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = RO
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used], pa.float64())], ["entry", "uses"])
 
         uses = np.zeros(n)
-        for r in counts.select("word", "c").mapInArrow(run, "entry int, uses double").groupBy("entry").agg(F.sum("uses").alias("uses")).collect():
+        for r in counts.select("word", "c").mapInArrow(lean(run), "entry int, uses double").groupBy("entry").agg(F.sum("uses").alias("uses")).collect():
             uses[r["entry"]] = r["uses"]
         uses[-1] = ends
         live = np.append(np.isin(np.arange(n - 1), np.append(v.entry, v.by_byte)), True)
@@ -239,17 +239,17 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
             names = words.to_pylist()
             c = np.fromiter((common.get(w, 0) for w in names), np.int64, len(names))
             lattice = marginals(own, names, m) / _LOG10
-            sums = np.zeros((4, len(codes) + 1))
             known = (c > 0)[codes]
-            np.cumsum(lattice[0][codes], out=sums[0, 1:])
-            np.cumsum(lattice[1][codes], out=sums[3, 1:])
-            np.cumsum(np.where(known, np.log10(c + 1.0)[codes], 0.0), out=sums[1, 1:])
-            np.cumsum(known, out=sums[2, 1:])
-            part = np.diff(sums[:, first], axis=1)
+
+            def summed(of_word: np.ndarray) -> np.ndarray:
+                """Sums of a number of each word, by document."""
+                return np.diff(np.append(0.0, np.cumsum(of_word[codes]))[first])
+
+            part = [summed(lattice[0]), summed(np.where(c > 0, np.log10(c + 1.0), 0.0)), summed((c > 0).astype(float)), summed(lattice[1])]
             rows, size = b.num_rows, np.diff(first)
             serial = b.column(2)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), serial, pa.array(size + 1, pa.int64()), pa.array(part[2].astype(np.int64)), pa.array(part[1]), pa.array(part[0] + own.end / _LOG10), pa.array(part[3] + m.end / _LOG10), pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], columns
+                [b.column(0), serial, pa.array(size + 1, pa.int64()), pa.array(np.rint(part[2]).astype(np.int64)), pa.array(part[1]), pa.array(part[0] + own.end / _LOG10), pa.array(part[3] + m.end / _LOG10), pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], columns
             )
             tail = np.flatnonzero(~known)
             if len(tail):
@@ -262,7 +262,7 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
 
     schema = "doc_id long, serial long, n_tokens long, n_known long, base double, score double, adapted double, word string, times long"
     columns = [x.split()[0] for x in schema.split(", ")]
-    found = materialise(every.withColumn("serial", F.monotonically_increasing_id()).mapInArrow(run, schema), "zstd")
+    found = materialise(every.withColumn("serial", F.monotonically_increasing_id()).mapInArrow(lean(run), schema), "zstd")
     whole = found.filter("word is null").select("doc_id", "serial", "n_tokens", "n_known", "base", "score", "adapted")
     # Words outside the head occur in few documents each, so no key is hot.
     rest = found.filter("word is not null").select("doc_id", "serial", "word", "times").join(counts, "word")
