@@ -10,7 +10,6 @@ from ..functions import text as T
 from ..functions import values as V
 from ..operators import layout as L
 from ..operators import neighbourhood as A
-from ..operators import records as R
 
 # The columns of the unified rows; the share of header words in a header line; how much larger header words are; a size where none is known.
 COLUMNS = ("Source File", "Page", "Category", "Field Name", "Value")

@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks, changes, generic, pipelines, remittance, retirement
-from .forms import FORMS
-
-Found = DataFrame
 
 
 def _numbered(pages: DataFrame) -> DataFrame:

@@ -8,7 +8,6 @@ import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import predicates as P
 from ..functions import text as T
 from ..functions import values as V
 from ..operators import layout as L
