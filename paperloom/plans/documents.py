@@ -16,6 +16,7 @@ from ..sinks import files as W
 from ..sources import fields as S
 from ..sources import files as FS
 from . import blocks as B
+from . import creditors
 from . import fields as FF
 from . import generic as G
 from .composed import when, words_sql
@@ -289,3 +290,26 @@ def fingerprints(boxes: DataFrame) -> DataFrame:
 
 
 query("x_grp", PRINTS)(lambda df: R.greedy_groups(fingerprints(df)))
+
+
+# Creditor lists: a heading across the page, a person and a foreign address in one column, a company and a person beside them.
+CREDITOR_WORDS = words_sql([
+    (1, 5, 10, ["Mailing"]), (1, 5, 500, ["matrix"]), (1, 40, 10, ["Roe,", f"=CONCAT('Ann', {_K})"]), (1, 50, 10, [f"={_K}", "Main", "St"]), (1, 60, 10, ["Reno,", "NV", "89501"]), (1, 120, 10, ["Lee,", "Kim", "Q.", "Jr"]), (1, 130, 10, ["5", "Weg"]), (1, 140, 10, ["Germany"]),
+    (1, 45, 220, ["Acme", "Inc"]), (1, 55, 220, ["PO", "Box", "7"]), (1, 34, 420, ["=CASE WHEN c_custkey % 2 = 0 THEN CONCAT(chr(61), 'x') ELSE '' END", when("c_custkey % 2 = 1", "Poe,"), when("c_custkey % 2 = 1", "Bob")]), (1, 300, 560, ["1"]),
+])
+
+
+def _sheets(df):
+    v = W.views(creditors.sheets(creditors.entries(df)), _AT(df))
+    wide = v["extracted"].select(F.lit("extracted").alias("sheet"), "doc_id", "ord", F.col("Full Name").alias("a"), F.col("Address Information").alias("b"))
+    name = F.concat_ws("|", "First Name", "Last Name", "Middle Name", "Suffix"), F.concat_ws("|", "Street Address", "City", "State", "ZIP Code")
+    for n in ("parsed", "people"):
+        wide = wide.unionByName(v[n].select(F.lit(n).alias("sheet"), "doc_id", "ord", name[0].alias("a"), name[1].alias("b")))
+    return wide
+
+
+_ENTRIES = (
+    (1, "'Roe, Ann' || doc_id", "doc_id || ' Main St, Reno, NV 89501'", "'Ann' || doc_id || '|Roe||'", "doc_id || ' Main St|Reno|NV|89501'", "true"), (2, "'Lee, Kim Q. Jr'", "'5 Weg, Germany'", "'Kim|Lee|Q.|Jr'", "'5 Weg|||'", "true"), (3, "'Acme Inc'", "'PO Box 7'", "'|Acme Inc||'", "'PO Box 7|||'", "false"),
+    (4, "CASE WHEN doc_id % 2 = 0 THEN chr(39) || '=x' ELSE 'Poe, Bob' END", "''", "CASE WHEN doc_id % 2 = 0 THEN '|' || chr(39) || '=x||' ELSE 'Bob|Poe||' END", "'|||'", "doc_id % 2 = 1"), (5, "'1'", "''", "'|1||'", "'|||'", "false"),
+)
+query("x_cred", CREDITOR_WORDS, " UNION ALL ".join(f"SELECT 'extracted' AS sheet, doc_id, {o} AS ord, {a} AS a, {b} AS b FROM {_D} UNION ALL SELECT 'parsed', doc_id, {o}, {c}, {d} FROM {_D} UNION ALL SELECT 'people', doc_id, {o}, {c}, {d} FROM {_D} WHERE {p}" for o, a, b, c, d, p in _ENTRIES))(_sheets)

@@ -114,22 +114,4 @@ def gross(df):
 
 
 query("x_gross", GROSS, "SELECT doc_id, max(text) FILTER (ord = 4) AS ee_id, 'Roe' AS name, max(text) FILTER (ord = 6) AS ssn, max(text) FILTER (ord = 7) AS net_pay FROM t GROUP BY doc_id")(gross)
-CREDITOR_WORDS = """SELECT s_suppkey AS doc_id, CAST(1 AS INT) AS page, CAST(n_nationkey AS INT) AS ord, CAST(n_nationkey % 3 * 200 AS DOUBLE) AS x0, CAST(n_nationkey % 3 * 200 + 150 AS DOUBLE) AS x1, CAST(CASE WHEN n_nationkey >= 6 THEN 80 ELSE 0 END + n_nationkey % 6 / 3 * 12 AS DOUBLE) AS y_raw,
-    CASE WHEN n_nationkey % 6 < 3 THEN 'Roe' || CAST(n_nationkey AS STRING) || ', Ann' ELSE CAST(s_suppkey AS STRING) || ' Main St' END AS text FROM {supplier} CROSS JOIN {nation} WHERE n_nationkey < 12"""
-
-
-def creditor_rows(df):
-    """Three columns of entries parted by gaps: the first line is the name, the rest the address."""
-    return creditors(df.withColumn("top", (F.col("y_raw") / 12).cast("int") * 12.0).withColumn("y0", F.col("top")).withColumn("y1", F.col("top") + 10))
-
-
-def creditors(words):
-    """See ``creditor_rows``; words with their boxes."""
-    d = words.withColumn("top", F.col("y0")).withColumn("bottom", F.col("y1"))
-    d = L.gap_blocks(L.equal_columns(d, 3), ["doc_id", "page", "col"], 0.6)
-    each = d.groupBy("doc_id", "page", "col", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("top", "x0", "ord", "text"))), lambda w: w["text"]).alias("lines"))
-    return each.select("doc_id", "col", "block", F.col("lines")[0].alias("full_name"), N.last_first(F.col("lines")[0]).alias("n"), F.array_join(F.slice("lines", 2, 50), ", ").alias("address")).select("doc_id", "col", "block", "full_name", "n.last", "n.first", "address")
-
-
-query("x_cred", CREDITOR_WORDS, "SELECT doc_id, CAST(ord % 3 AS INT) AS col, CAST(ord // 6 AS BIGINT) AS block, text AS full_name, split_part(text, ',', 1) AS last, 'Ann' AS first, doc_id || ' Main St' AS address FROM t WHERE ord % 6 < 3")(creditor_rows)
 query("x_lines", "SELECT doc_id, text FROM {documents}", "SELECT doc_id, count(*) AS lines, count(*) FILTER (trim(l) <> '') AS filled FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) GROUP BY doc_id")(lambda df: SRC.layout_lines(df).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(F.trim("text") != "").alias("filled")))

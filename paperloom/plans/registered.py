@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import blocks, changes, generic, pipelines, remittance, retirement
+from . import blocks, changes, creditors, generic, pipelines, remittance, retirement
 
 
 def _numbered(pages: DataFrame) -> DataFrame:
@@ -40,6 +40,6 @@ EXTRACTORS = {
     "gross-pay": lambda pages, words: pipelines.gross(words),
     "claims": _claims,
     "patient-info": lambda pages, words: remittance.patients(pages).drop("ord"),
-    "creditor-list": lambda pages, words: pipelines.creditors(words),
+    "creditor-list": lambda pages, words: creditors.sheets(creditors.entries(words))["parsed"].drop("ord"),
     "generic": _generic,
 }
