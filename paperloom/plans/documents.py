@@ -16,7 +16,7 @@ from ..sinks import files as W
 from ..sources import fields as S
 from ..sources import files as FS
 from . import blocks as B
-from . import creditors
+from . import coverage, creditors
 from . import fields as FF
 from . import generic as G
 from .composed import when, words_sql
@@ -317,3 +317,13 @@ query("x_cred", CREDITOR_WORDS, " UNION ALL ".join(f"SELECT 'extracted' AS sheet
 FLAT = "SELECT lpad(CAST(c_custkey AS STRING), 9, '0') AS file, CASE WHEN c_custkey % 2 = 0 THEN 'p' ELSE 'l' END AS orientation, CONCAT(repeat('1', CAST(floor(c_acctbal * c_acctbal) AS INT) % 190), repeat('0', 192 - CAST(floor(c_acctbal * c_acctbal) AS INT) % 190)) AS grid, CASE WHEN c_custkey % 3 = 0 THEN CONCAT('aaaa bbbb w', CAST(c_custkey % 40 AS STRING), ' x', CAST(c_custkey % 7 AS STRING)) ELSE CONCAT('t', CAST(c_custkey AS STRING)) END AS s FROM {customer}"
 query("join_15_prints", FLAT, """SELECT a.orientation, a.file AS a, b.file AS b FROM (SELECT *, string_split(s, ' ') AS w FROM t) a JOIN (SELECT *, string_split(s, ' ') AS w FROM t) b ON a.orientation = b.orientation AND a.file < b.file
     WHERE 192 - hamming(a.grid, b.grid) >= 0.92 * 192 OR len(list_intersect(a.w, b.w)) >= 0.6 * len(list_distinct(list_concat(a.w, b.w)))""")(lambda df: R.alike_pairs(df.select("file", "orientation", "grid", F.split("s", " ").alias("tokens"))))
+
+
+# Coverage statements: the first layout, with a label over two lines, in odd documents, the second in even ones.
+_LINES_1095 = (
+    (1, "'EMPLOYEE''s name, address,'", 1), (2, "'ZIP/postal code & country'", 1), (3, f"'Jane Q Roe' || {_K}", 1), (4, "CASE WHEN c_custkey % 3 = 0 THEN 'nowhere' ELSE '7 Elm St' END", 1), (5, "'Reno, NV 89501 USA'", 1), (6, "'Do not attach to your tax return'", 1), (7, "'EMPLOYEE''s social security number (SSN) XXX-XX-1234'", 1), (8, "'Department of the Treasury'", 1),
+    (1, "'1 Name of employee Jane'", 0), (2, f"'Roe' || {_K}", 0), (3, "'2 Social security number (SSN)'", 0), (4, "'XXX-XX-9876'", 0), (5, "'3 Street address (including apartment no.)'", 0), (6, "'5 Main'", 0), (7, "CASE WHEN c_custkey % 4 = 0 THEN '4 City or town Reno' ELSE 'x' END", 0), (8, "'6 Country and ZIP or foreign postal code USA 89502'", 0), (9, "'7 Name of employer Acme'", 0),
+)
+COVERED = " UNION ALL ".join(f"SELECT c_custkey AS doc_id, CAST(1 AS INT) AS page, CAST({i} AS INT) AS ord, {e} AS text FROM {{customer}} WHERE c_custkey % 2 = {o}" for i, e, o in _LINES_1095)
+query("x_1095c", COVERED, f"""SELECT doc_id, 1 AS page, CASE WHEN o THEN 'A' ELSE 'B' END AS format, 'Jane' AS first, CASE WHEN o THEN 'Q' ELSE '' END AS middle, 'Roe' || doc_id AS last, CASE WHEN o THEN CASE WHEN doc_id % 3 = 0 THEN 'nowhere' ELSE '7 Elm St' END WHEN doc_id % 4 = 0 THEN '5 Main' ELSE '5 Main x' END AS street,
+    CASE WHEN o OR doc_id % 4 = 0 THEN 'Reno' ELSE '' END AS city, CASE WHEN o THEN 'NV' ELSE '' END AS state, CASE WHEN o THEN '89501' ELSE '89502' END AS zip, 'USA' AS country, CASE WHEN o THEN 'XXX-XX-1234' ELSE 'XXX-XX-9876' END AS ssn FROM (SELECT DISTINCT doc_id, doc_id % 2 = 1 AS o FROM t)""")(coverage.employees)

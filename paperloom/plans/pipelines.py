@@ -85,21 +85,6 @@ def _w2(df):
 
 
 query("x_w2", W2_LINES, f"SELECT doc_id, {FIRST.replace('c_custkey', 'doc_id')} AS first, 'Roe' AS last, 'Jr' AS suffix, doc_id || ' Main St' AS street, 'Springfield' AS city, 'WI' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, {_OSSN} AS ssn, (1000 + doc_id % 9000) || '.' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') AS box_1 FROM t WHERE ord = 0")(_w2)
-_COVERED = (("'1 Name of employee'", 0), (f"{FIRST} || ' Roe'", 1), ("'2 Social security number (SSN)'", 2), ("'XXX-XX-' || " + SERIAL, 3), ("'3 Street address (including apartment no.)'", 4), ("CAST(c_custkey AS STRING) || ' Elm'", 5), ("'4 City or town'", 6), ("'Reno'", 7), ("'6 Country and ZIP or foreign postal code'", 8), ("'USA ' || " + _CELL, 9), ("'7 Name of employer'", 10))
-COVERED_LINES = " UNION ALL ".join(f"SELECT c_custkey AS doc_id, CAST({i} AS INT) AS ord, {e} AS text FROM {{customer}}" for e, i in _COVERED)
-
-
-def covered(df):
-    """The text between each label that was found and the next one."""
-    labels = [("name", r"1\s+Name of employee"), ("ssn", r"2\s+Social security number\s*\(SSN\)"), ("street", r"3\s+Street address(?:\s*\(including apartment no\.?\))?"), ("city", r"4\s+City or town"), ("state", r"5\s+State or province"), ("zip", r"6\s+Country and ZIP(?:\s+or foreign postal code)?"), ("end", r"7\s+Name of employer")]
-    key = F.coalesce(*[F.when(F.col("text").rlike(rf"(?i)^\s*{p}"), F.lit(k)) for k, p in labels])
-    d = A.segments(df.withColumn("key", key), key.isNotNull(), ["doc_id"], ["ord"])
-    value = d.groupBy("doc_id", "segment").agg(F.max("key").alias("key"), F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("key").isNull(), F.struct("ord", "text")))), lambda x: x["text"]), " ").alias("v"))
-    wide = value.groupBy("doc_id").pivot("key", [k for k, _ in labels]).agg(F.first("v"))
-    return wide.select("doc_id", N.covered_name(F.col("name")).alias("n"), T.text(F.col("street")).alias("street"), T.text(F.col("city")).alias("city"), T.text(F.col("state")).alias("state"), V.zip_country(F.col("zip")).alias("z"), F.regexp_extract("ssn", f"({V.SSN_RUN})", 1).alias("ssn")).select("doc_id", "n.first", "n.last", "street", "city", "state", "z.zip", "z.country", "ssn")
-
-
-query("x_1095c", COVERED_LINES, f"SELECT doc_id, string_split({FIRST.replace('c_custkey', 'doc_id')}, ' ')[1] AS first, 'Roe' AS last, doc_id || ' Elm' AS street, 'Reno' AS city, '' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, 'USA' AS country, 'XXX-XX-' || lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0') AS ssn FROM t WHERE ord = 0")(covered)
 GROSS = """SELECT o_orderkey AS doc_id, CAST(1 AS INT) AS page, CAST(n_nationkey AS INT) AS ord, CAST(n_nationkey % 4 * 120 + CASE WHEN n_nationkey >= 4 THEN (o_custkey + n_nationkey) % 40 ELSE 0 END AS DOUBLE) AS x0, CAST(CASE WHEN n_nationkey < 4 THEN 30 ELSE 60 END + o_orderkey % 2 AS DOUBLE) AS y0,
     CASE n_nationkey WHEN 0 THEN 'EE' WHEN 1 THEN 'Name' WHEN 2 THEN 'SSN' WHEN 3 THEN 'Net' WHEN 4 THEN 'E' || CAST(o_custkey AS STRING) WHEN 5 THEN 'Roe' WHEN 6 THEN '900-01-' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') ELSE CAST(o_custkey AS STRING) || '.00' END AS text FROM {orders} CROSS JOIN {nation} WHERE n_nationkey < 8"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import blocks, changes, creditors, generic, pipelines, remittance, retirement
+from . import blocks, changes, coverage, creditors, generic, pipelines, remittance, retirement
 
 
 def _numbered(pages: DataFrame) -> DataFrame:
@@ -34,7 +34,7 @@ def _claims(pages: DataFrame, words: DataFrame) -> DataFrame:
 #: By format: (pages, words) of its documents to rows that have doc_id.
 EXTRACTORS = {
     "w2": lambda pages, words: blocks.employees(words, pages).drop("ord"),
-    "1095c": lambda pages, words: pipelines.covered(_numbered(pages)),
+    "1095c": lambda pages, words: coverage.employees(_numbered(pages)),
     "bucket11": lambda pages, words: changes.changes(words).drop("ord"),
     "401k": _plan,
     "gross-pay": lambda pages, words: pipelines.gross(words),
