@@ -13,6 +13,7 @@ from ..operators import layout as L
 from ..operators import neighbourhood as A
 from ..operators import records as R
 from ..sources import lines as SRC
+from .composed import words_sql
 from .forms import FORMS, route, sample_pages
 from .registry import query
 from .relations import LINES, SSN_ROWS
@@ -85,18 +86,35 @@ def _w2(df):
 
 
 query("x_w2", W2_LINES, f"SELECT doc_id, {FIRST.replace('c_custkey', 'doc_id')} AS first, 'Roe' AS last, 'Jr' AS suffix, doc_id || ' Main St' AS street, 'Springfield' AS city, 'WI' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, {_OSSN} AS ssn, (1000 + doc_id % 9000) || '.' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') AS box_1 FROM t WHERE ord = 0")(_w2)
-GROSS = """SELECT o_orderkey AS doc_id, CAST(1 AS INT) AS page, CAST(n_nationkey AS INT) AS ord, CAST(n_nationkey % 4 * 120 + CASE WHEN n_nationkey >= 4 THEN (o_custkey + n_nationkey) % 40 ELSE 0 END AS DOUBLE) AS x0, CAST(CASE WHEN n_nationkey < 4 THEN 30 ELSE 60 END + o_orderkey % 2 AS DOUBLE) AS y0,
-    CASE n_nationkey WHEN 0 THEN 'EE' WHEN 1 THEN 'Name' WHEN 2 THEN 'SSN' WHEN 3 THEN 'Net' WHEN 4 THEN 'E' || CAST(o_custkey AS STRING) WHEN 5 THEN 'Roe' WHEN 6 THEN '900-01-' || lpad(CAST(o_custkey % 10000 AS STRING), 4, '0') ELSE CAST(o_custkey AS STRING) || '.00' END AS text FROM {orders} CROSS JOIN {nation} WHERE n_nationkey < 8"""
+# The headings of a gross-to-net report.
+GROSS_HEADINGS = {
+    "EE ID": ("EE", "ID"), "Employee Name": ("Employee", "Name"), "SSN": ("SSN",), "Payment Date": ("Payment", "Date"), "Total Hrs/Units": ("Total", "Hrs/Units"), "Total Earnings": ("Total", "Earnings"),
+    "Total Deductions": ("Total", "Deductions"), "Total Taxes": ("Total", "Taxes"), "Net Pay": ("Net", "Pay"),
+}
 
 
-def gross(df):
-    """Words under the header's column starts, as rows that show an id or a number."""
-    lined = df.withColumn("y", F.rint(F.col("y0") / 3) * 3)
-    head = lined.filter(F.col("text").isin("EE", "Name", "SSN", "Net")).select("doc_id", "page", F.col("text").alias("name"), F.col("x0").alias("x"))
-    body = L.assign_columns(lined.filter(~F.col("text").isin("EE", "Name", "SSN", "Net")), head, 1.0)
-    wide = body.groupBy("doc_id", "page", "y").pivot("column", ["EE", "Name", "SSN", "Net"]).agg(L.words_text(["x0", "ord"]))
-    return wide.filter(P.pay_row(F.col("EE"), F.col("SSN"))).select("doc_id", F.col("EE").alias("ee_id"), F.col("Name").alias("name"), V.ssn_pay(F.col("SSN")).alias("ssn"), F.col("Net").alias("net_pay"))
+def gross(words):
+    """doc_id, page, y and the report's columns, of each line below a header that shows an id or a number; pages without a header give none.
 
+    The first line with "EE" and "SSN" is the header, others like it are no rows. Words belong to the last heading that
+    begins at or left of them.
+    """
+    starts = L.heading_starts(words, GROSS_HEADINGS, ("EE", "SSN"))
+    lined = words.withColumn("y", F.rint(F.col("y0") / 3) * 3)
+    heads = lined.groupBy(*L.PAGE, "y").agg(F.collect_set("text").alias("t")).filter("array_contains(t, 'EE') and array_contains(t, 'SSN')").select(*L.PAGE, "y")
+    top = starts.groupBy(*L.PAGE).agg(F.min("y").alias("top"))
+    body = lined.join(top, L.PAGE).filter("y > top").drop("top").join(heads, [*L.PAGE, "y"], "left_anti")
+    wide = L.assign_columns(body, starts.select(*L.PAGE, "name", "x"), 1.0).groupBy(*L.PAGE, "y").pivot("column", list(GROSS_HEADINGS)).agg(L.words_text(["x0", "ord"]))
+    rows = wide.select(*L.PAGE, "y", *[T.text(F.col(f"`{c}`")).alias(c) for c in GROSS_HEADINGS])
+    return rows.filter(P.pay_row(F.col("`EE ID`"), F.col("SSN"))).withColumn("SSN", V.ssn_pay(F.col("SSN")))
 
-query("x_gross", GROSS, "SELECT doc_id, max(text) FILTER (ord = 4) AS ee_id, 'Roe' AS name, max(text) FILTER (ord = 6) AS ssn, max(text) FILTER (ord = 7) AS net_pay FROM t GROUP BY doc_id")(gross)
+
+GROSS = words_sql([
+    (1, 10, 10, ["Gross", "to", "Net"]), (1, 30, 10, ["EE", "ID"]), (1, 30, 100, ["Employee", "Name"]), (1, 30, 300, ["SSN"]), (1, 30, 400, ["Total", "Earnings"]), (1, 30, 540, ["Net", "Pay"]),
+    (1, 50, 10, ["=CONCAT('E', CAST(c_custkey AS STRING))"]), (1, 50, 100, ["Roe,", "Jane"]), (1, 50, 300, [f"={_SSN}"]), (1, 50, 400, ["1,200.50"]), (1, 50, 541, ["900.00"]), (1, 70, 10, ["Total", "for", "all"]), (1, 90, 10, ["EE", "SSN"]), (1, 110, 300, ["XXX-XX-1234"]),
+    (2, 10, 10, ["EE", "alone"]), (2, 30, 10, ["E9"]),
+])
+query("x_gross", GROSS, f"""SELECT doc_id, 1 AS page, 'E' || doc_id AS ee_id, 'Roe, Jane' AS name, {_OSSN} AS ssn, '' AS paid, '' AS earnings, '1,200.50' AS taxes, '900.00' AS net FROM (SELECT DISTINCT doc_id FROM t) UNION ALL SELECT doc_id, 1, '', '', 'XXX-XX-1234', '', '', '', '' FROM (SELECT DISTINCT doc_id FROM t)""")(  # "Total" alone is where every such heading begins that the line doesn't spell out; the last one has the words
+    lambda df: gross(df).select("doc_id", "page", *[F.col(f"`{a}`").alias(b) for a, b in (("EE ID", "ee_id"), ("Employee Name", "name"), ("SSN", "ssn"), ("Payment Date", "paid"), ("Total Earnings", "earnings"), ("Total Taxes", "taxes"), ("Net Pay", "net"))])
+)
 query("x_lines", "SELECT doc_id, text FROM {documents}", "SELECT doc_id, count(*) AS lines, count(*) FILTER (trim(l) <> '') AS filled FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM t) GROUP BY doc_id")(lambda df: SRC.layout_lines(df).groupBy("doc_id").agg(F.count("*").alias("lines"), F.count_if(F.trim("text") != "").alias("filled")))
