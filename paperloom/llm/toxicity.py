@@ -225,12 +225,15 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, label
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *lists], ["doc_id", "y", "terms", "counts"])
 
     texts = documents(docs).join(F.broadcast(small), "doc_id").groupBy("doc_id").agg(F.max("y").alias("y"), F.min("text").alias("text"))
-    rows = sorted(texts.mapInArrow(lean(count), "doc_id long, y int, terms array<string>, counts array<long>").collect()) if keys else []
-    names: dict[str, int] = {}
-    term = [names.setdefault(t, len(names)) for r in rows for t in r["terms"]]
-    row = np.repeat(np.arange(len(rows)), [len(r["terms"]) for r in rows])
-    found_counts = list(names), row, np.array(term, np.int64), np.array([c for r in rows for c in r["counts"]], np.int64)
-    return assemble(np.array([r["doc_id"] for r in rows], np.int64), found_counts, np.array([r["y"] for r in rows], np.int64), natural, k)
+    found = texts.mapInArrow(lean(count), "doc_id long, y int, terms array<string>, counts array<long>").toArrow() if keys else None
+    if found is None or not found.num_rows:
+        return assemble(np.zeros(0, np.int64), ([], *[np.zeros(0, np.int64)] * 3), np.zeros(0, np.int64), natural, k)
+    found = found.sort_by("doc_id")
+    terms, times = (pa.concat_arrays(found.column(c).chunks) for c in ("terms", "counts"))
+    coded = terms.flatten().dictionary_encode()
+    row = np.repeat(np.arange(found.num_rows), pc.list_value_length(terms).to_numpy(zero_copy_only=False))
+    counted = coded.dictionary.to_pylist(), row, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), times.flatten().to_numpy(zero_copy_only=False)
+    return assemble(found.column("doc_id").to_numpy(), counted, found.column("y").to_numpy().astype(np.int64), natural, k)
 
 
 def votes(index: Index, texts: pa.Array, k: int = NEIGHBOURS) -> list[pa.Array]:
