@@ -27,13 +27,17 @@ def line_words() -> Column:
     return F.array_sort(F.collect_list(F.struct("x0", "ord", "text")))
 
 
-def lines_chain(words: DataFrame, tolerance: float = 5.0, with_words: bool = False) -> DataFrame:
-    """A word that is further than the tolerance below the one before it begins a line. ``with_words`` adds each line's words."""
+def lines_chain(words: DataFrame, tolerance: float = 5.0, with_words: bool = False, mirror: float | None = None) -> DataFrame:
+    """A word that is further than the tolerance below the one before it begins a line.
+
+    ``with_words`` adds each line's words, ``mirror`` (a page's width) its words when read right to left.
+    """
     w = Window.partitionBy(*PAGE).orderBy("mid", "x0", "ord")
     d = words.withColumn("mid", (F.col("y0") + F.col("y1")) / 2)
     d = d.withColumn("new", (F.col("mid") - F.lag("mid").over(w) > tolerance).cast("int"))
     d = d.withColumn("line", F.sum(F.coalesce("new", F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return d.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"), *([line_words().alias("words")] if with_words else []))
+    turned = [F.array_sort(F.collect_list(F.struct((F.lit(mirror) - F.col("x1")).alias("x0"), "ord", "text"))).alias("mirrored")] if mirror is not None else []
+    return d.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"), *([line_words().alias("words")] if with_words else []), *turned)
 
 
 def lines_anchor(words: DataFrame, tolerance: float = 3.0, with_words: bool = False) -> DataFrame:

@@ -14,12 +14,11 @@ def around(text: str, by: list[str], order: list[str], before: int, after: int,
 def lines_around(lines: DataFrame, anchors: Column, by: list[str], at: str, before: int, after: int, keep: list[str]) -> DataFrame:
     """For each line for which ``anchors`` holds: above (nearest first), own and below, arrays of structs of its neighbours.
 
-    ``at`` numbers the lines of each group without gaps. Anchors are few, so their neighbours are joined by number rather
-    than gathered for every line.
+    ``at`` numbers the lines of each group without gaps. Anchors are few: each line learns from a window which of them are
+    near and goes to these alone, so the lines are read once and no neighbours are gathered for other lines.
     """
-    here = lines.filter(anchors).select(*by, F.col(at).alias("_at")).withColumn("_d", F.explode(F.sequence(F.lit(-before), F.lit(after))))
-    there = lines.select(*by, F.col(at).alias("_n"), F.struct(*keep).alias("_x"))
-    met = here.withColumn("_n", F.col("_at") + F.col("_d")).join(there, [*by, "_n"])
+    near = F.collect_list(F.when(anchors, F.col(at))).over(Window.partitionBy(*by).orderBy(at).rowsBetween(-after, before))
+    met = lines.select(*by, F.col(at).alias("_n"), F.struct(*keep).alias("_x"), near.alias("_near")).select(*by, "_n", "_x", F.explode("_near").alias("_at")).withColumn("_d", F.col("_n") - F.col("_at"))
     every = F.array_sort(F.collect_list(F.struct("_d", "_x")))
     part = lambda cond: f"transform(filter(_every, e -> {cond}), e -> e._x)"
     return met.groupBy(*by, "_at").agg(every.alias("_every")).select(*by, F.col("_at").alias(at), F.expr(f"reverse({part('e._d < 0')})").alias("above"), F.expr(f"{part('e._d = 0')}[0]").alias("own"), F.expr(part("e._d > 0")).alias("below"))

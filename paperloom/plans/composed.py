@@ -10,21 +10,22 @@ from ..operators import layout as L
 from . import changes as C
 from . import remittance as M
 from . import retirement as K
-from .registry import query
+from .registry import each_row, query
 
 KEY = "c_custkey"
 
 
 def words_sql(lines: list[tuple], letter: int = 8) -> str:
-    """Words of (page, y, x, tokens) lines. A token is a word, or after '=' SQL over customer that gives one; '' is no word."""
+    """Words of (page, y, x, tokens) lines, generated from each customer's one row. A token is a word, or after '=' SQL over customer that gives one; '' is no word."""
     out, n = [], 0
     for page, y, x, tokens in lines:
         for t in tokens:
             text = t[1:] if t.startswith("=") else "'" + t.replace("'", "''") + "'"
             size = 8 if t.startswith("=") else len(t)
-            out.append(f"SELECT {KEY} AS doc_id, CAST({page} AS INT) AS page, CAST({n} AS INT) AS ord, CAST({x} AS DOUBLE) AS x0, CAST({y} AS DOUBLE) AS y0, CAST({x + letter * size} AS DOUBLE) AS x1, CAST({y + 8} AS DOUBLE) AS y1, {text} AS text FROM {{customer}}")
+            out.append(f"({page}, {n}, {x}, {y}, {x + letter * size}, {y + 8}, {text})")
             x, n = x + letter * (size + 1), n + 1
-    return "SELECT * FROM (" + " UNION ALL ".join(out) + ") AS w WHERE text <> ''"
+    cast = ", ".join(f"CAST({c} AS {'INT' if c in ('page', 'ord') else 'DOUBLE'}) AS {c}" for c in ("page", "ord", "x0", "y0", "x1", "y1"))
+    return f"SELECT doc_id, {cast}, text FROM (SELECT {KEY} AS doc_id, {each_row(out, 'page INT, ord INT, x0 INT, y0 INT, x1 INT, y1 INT, text VARCHAR')} FROM {{customer}}) AS w WHERE text <> ''"
 
 
 def when(cond: str, word: str) -> str:
@@ -88,7 +89,7 @@ query("win_07", CLAIM_WORDS, f"SELECT doc_id, {_NAME} AS name FROM {_D}")(lambda
 query("win_08", CLAIM_WORDS, f"SELECT doc_id, CASE WHEN doc_id % 3 <> 0 THEN 'P' || doc_id ELSE '' END AS acct FROM {_D}")(lambda df: M.labelled(_straight(df)).select("doc_id", "acct"))
 query("win_09", CLAIM_WORDS, f"SELECT doc_id, {_DAY} AS service_date, {_CODE} AS cpt FROM {_D}")(lambda df: M.labelled(_straight(df)).select("doc_id", "service_date", "cpt"))
 query("win_14", ORIENTED, f"SELECT doc_id, 'closed' AS state, 'VILLA, Daniel' AS name, 'M' || doc_id AS member, [] AS missing FROM {_D} WHERE doc_id % 5 <> 0 UNION ALL SELECT doc_id, 'incomplete', 'VILLA, Daniel', '', ['Pat. Acct #'] FROM {_D} WHERE doc_id % 5 = 0")(
-    lambda df: (lambda d: M.tabular(d).select("doc_id", F.lit("closed").alias("state"), "name", "member", F.array().cast("array<string>").alias("missing")).unionByName(M.incomplete(d).select("doc_id", F.lit("incomplete").alias("state"), "name", F.lit("").alias("member"), "missing")))(M.oriented(df))
+    lambda df: M.tabular_states(M.oriented(df)).select("doc_id", "state", "name", F.when(F.col("state") == "closed", F.col("member")).otherwise("").alias("member"), F.when(F.col("state") == "closed", F.array().cast("array<string>")).otherwise(F.col("missing")).alias("missing"))
 )
 query("agg_04", "SELECT l_orderkey AS doc_id, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS INT) AS ord, CAST(l_linenumber AS INT) AS page, CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE l_returnflag END AS name, l_linestatus AS plan, '' AS member, CAST(l_suppkey % 5 AS STRING) AS claim, CAST(l_partkey % 5 AS STRING) AS acct, CONCAT(CAST(1 + l_partkey % 12 AS STRING), '/3/2021') AS service_date, '' AS cpt FROM {lineitem}", r"""
     WITH g AS (SELECT *, CASE WHEN name = '' THEN ord END AS own FROM t), j AS (SELECT doc_id, plan, name, own, min(ord) AS o, strftime(max(strptime(service_date, '%m/%d/%Y')), '%m/%d/%Y') AS service_date FROM g GROUP BY ALL),
@@ -96,11 +97,13 @@ query("agg_04", "SELECT l_orderkey AS doc_id, CAST(row_number() OVER (PARTITION
     p AS (SELECT doc_id, plan, name, own, min(ord) AS o, string_agg(CAST(page AS VARCHAR), ';' ORDER BY o2) AS page, arg_min(page, o2) AS first FROM (SELECT doc_id, plan, name, own, page, min(ord) AS ord, min(ord) AS o2 FROM g GROUP BY ALL) GROUP BY doc_id, plan, name, own)
     SELECT j.doc_id, CAST(row_number() OVER (PARTITION BY j.doc_id ORDER BY p.first, j.o) AS INT) AS ord, j.name, j.plan, '' AS member, claim, acct, service_date, '' AS cpt, page FROM j JOIN c ON j.doc_id = c.doc_id AND j.plan = c.plan AND j.name = c.name AND j.own IS NOT DISTINCT FROM c.own
     JOIN a ON j.doc_id = a.doc_id AND j.plan = a.plan AND j.name = a.name AND j.own IS NOT DISTINCT FROM a.own JOIN p ON j.doc_id = p.doc_id AND j.plan = p.plan AND j.name = p.name AND j.own IS NOT DISTINCT FROM p.own""")(lambda df: M.merged(df))
-MIRRORED = words_sql(_R[:3]).replace("SELECT * FROM", "SELECT doc_id, page, ord, CASE WHEN doc_id % 2 = 0 THEN 612 - x1 ELSE x0 END AS x0, y0, CASE WHEN doc_id % 2 = 0 THEN 612 - x0 ELSE x1 END AS x1, y1, text, x0 AS real FROM", 1)
+MIRRORED = f"SELECT doc_id, page, ord, CASE WHEN doc_id % 2 = 0 THEN 612 - x1 ELSE x0 END AS x0, y0, CASE WHEN doc_id % 2 = 0 THEN 612 - x0 ELSE x1 END AS x1, y1, text, x0 AS real FROM ({words_sql(_R[:3])}) AS m"
 query("lay_07", MIRRORED, "SELECT doc_id, CAST(dense_rank() OVER (PARTITION BY doc_id ORDER BY page, y0) AS INT) AS idx, string_agg(text, ' ' ORDER BY real) AS text FROM t GROUP BY doc_id, page, y0")(lambda df: M.oriented(df).select("doc_id", "idx", "text"))
-PATIENT_PAGES = f"""SELECT {KEY} AS doc_id, CAST(1 AS INT) AS page, 'x' || chr(10) || 'ROE, Jane Payee: Y' || chr(10) || 'Health Plan ID: H' || {_K} || ' Claim: 55 Pat. Acct # ' || CASE WHEN {KEY} % 4 = 0 THEN '-' ELSE 'P' || {_K} END || chr(10) || 'Service Date Rev CPT-' || chr(10) || '1/2/2020 0450  A99 $5.00' AS text FROM {{customer}}
-    UNION ALL SELECT {KEY} AS doc_id, CAST(2 AS INT) AS page, repeat('y', 600) || chr(10) || 'ROE, Jane Payee: Z' || chr(10) || 'Health Plan ID: H' || {_K} || ' Claim: 56 Pat Acct # R1' || chr(10) || 'Service Date CPT-' || chr(10) || CASE WHEN {KEY} % 2 = 0 THEN '3/4/20' ELSE '5/6/2019' END || ' 77 $1' AS text FROM {{customer}}
-    UNION ALL SELECT {KEY} AS doc_id, CAST(3 AS INT) AS page, '123456789 VILLA, Daniel 1/1/2020 A100' || chr(10) || 'Patient Acct # 1' || chr(10) || 'Patient Acct # 2' || chr(10) || 'on 2/2/2020 x' || chr(10) || CASE WHEN {KEY} % 3 = 0 THEN 'MOE, Max' ELSE 'note' END || chr(10) || 'Member Totals: 9' AS text FROM {{customer}}"""
+PATIENT_PAGES = "SELECT doc_id, page, text FROM (SELECT c_custkey AS doc_id, " + each_row([
+    f"(1, 'x' || chr(10) || 'ROE, Jane Payee: Y' || chr(10) || 'Health Plan ID: H' || {_K} || ' Claim: 55 Pat. Acct # ' || CASE WHEN {KEY} % 4 = 0 THEN '-' ELSE 'P' || {_K} END || chr(10) || 'Service Date Rev CPT-' || chr(10) || '1/2/2020 0450  A99 $5.00')",
+    f"(2, repeat('y', 600) || chr(10) || 'ROE, Jane Payee: Z' || chr(10) || 'Health Plan ID: H' || {_K} || ' Claim: 56 Pat Acct # R1' || chr(10) || 'Service Date CPT-' || chr(10) || CASE WHEN {KEY} % 2 = 0 THEN '3/4/20' ELSE '5/6/2019' END || ' 77 $1')",
+    f"(3, '123456789 VILLA, Daniel 1/1/2020 A100' || chr(10) || 'Patient Acct # 1' || chr(10) || 'Patient Acct # 2' || chr(10) || 'on 2/2/2020 x' || chr(10) || CASE WHEN {KEY} % 3 = 0 THEN 'MOE, Max' ELSE 'note' END || chr(10) || 'Member Totals: 9')",
+], "page INT, text VARCHAR") + " FROM {customer}) AS p"
 query("x_pat", PATIENT_PAGES, f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY o) AS ord, format, name, plan, claim, member, acct, service_date, proc, cpt, page FROM (
     SELECT doc_id, 1 AS o, 'A' AS format, 'VILLA, Daniel' AS name, '' AS plan, '123456789' AS claim, '123456789' AS member, '1:2' AS acct, '2/2/2020' AS service_date, 'A100' AS proc, '' AS cpt, 3 AS page FROM {_D} WHERE doc_id % 3 <> 0
     UNION ALL SELECT doc_id, 2, 'B', 'ROE, Jane', 'H' || doc_id, CASE WHEN doc_id % 4 = 0 THEN '56' ELSE '55' END, '', CASE WHEN doc_id % 4 = 0 THEN 'R1' ELSE 'P' || doc_id || ':R1' END, CASE WHEN doc_id % 4 = 0 THEN '3/4/20' WHEN doc_id % 2 = 0 THEN '3/4/20' ELSE '1/2/2020' END, '', CASE WHEN doc_id % 4 = 0 THEN '77' ELSE '0450 A99' END, CASE WHEN doc_id % 4 = 0 THEN 2 ELSE 1 END FROM {_D})""")(M.patients)
@@ -110,11 +113,13 @@ query("agg_05", PATIENT_PAGES, f"SELECT doc_id, 'H' || doc_id AS plan, CASE WHEN
 
 # Plan reports: form fields, else tables and text lines of one document.
 _SSN = f"'900-' || lpad(CAST({KEY} % 90 + 10 AS STRING), 2, '0') || '-' || lpad(CAST({KEY} % 10000 AS STRING), 4, '0')"
-_P = f"""SELECT {KEY} AS doc_id, 'field' AS what, CAST(1 AS INT) AS page, CAST(i AS INT) AS a, CAST(0 AS INT) AS b, CASE i WHEN 1 THEN 'Employee Name' WHEN 2 THEN 'ssn' ELSE 'box' END AS name, CASE i WHEN 1 THEN 'Roe, Jane Ann Jr' WHEN 2 THEN {_SSN} ELSE 'Off' END AS s FROM {{customer}} CROSS JOIN (SELECT n_nationkey AS i FROM {{nation}} WHERE n_nationkey BETWEEN 1 AND 3) AS f WHERE {KEY} % 4 = 0
-    UNION ALL SELECT {KEY}, 'cells', 1, 0, 0, '', 'Name|SSN|Gross Wages|Company Match' FROM {{customer}} WHERE {KEY} % 4 <= 2 UNION ALL SELECT {KEY}, 'cells', 1, 0, 1, '', 'Smith, John|' || {_SSN} || '|5,000.00|12' FROM {{customer}} WHERE {KEY} % 4 <= 1
-    UNION ALL SELECT {KEY}, 'cells', 1, 0, 2, '', 'Smith, Johnny Q.|' || {_SSN} || '||' FROM {{customer}} WHERE {KEY} % 4 <= 1 UNION ALL SELECT {KEY}, 'cells', 1, 0, 1, '', 'JANE ROE|x' FROM {{customer}} WHERE {KEY} % 4 = 2 UNION ALL SELECT {KEY}, 'cells', 1, 0, 2, '', '|' || {_SSN} || '|7|' FROM {{customer}} WHERE {KEY} % 4 = 2
-    UNION ALL SELECT {KEY}, 'line', 1, 1, 0, '', 'Employee Name: Gray, Tom' FROM {{customer}} WHERE {KEY} % 4 = 3 UNION ALL SELECT {KEY}, 'line', 1, 2, 0, '', 'SSN ' || {_SSN} FROM {{customer}} WHERE {KEY} % 4 = 3
-    UNION ALL SELECT {KEY}, 'line', 1, 3, 0, '', 'Gross salary: $9,000.00 Employee ID: E' || {_K} FROM {{customer}} WHERE {KEY} % 4 = 3"""
+#: When a row is there, what it is, page, table or line, row, name, text.
+_P = "SELECT doc_id, what, page, a, b, name, s FROM (SELECT c_custkey AS doc_id, " + each_row([f"({KEY} % 4 {cond}, '{what}', 1, {a}, {b}, '{name}', {s})" for cond, what, a, b, name, s in (
+    ("= 0", "field", 1, 0, "Employee Name", "'Roe, Jane Ann Jr'"), ("= 0", "field", 2, 0, "ssn", _SSN), ("= 0", "field", 3, 0, "box", "'Off'"),
+    ("<= 2", "cells", 0, 0, "", "'Name|SSN|Gross Wages|Company Match'"), ("<= 1", "cells", 0, 1, "", f"'Smith, John|' || {_SSN} || '|5,000.00|12'"), ("<= 1", "cells", 0, 2, "", f"'Smith, Johnny Q.|' || {_SSN} || '||'"),
+    ("= 2", "cells", 0, 1, "", "'JANE ROE|x'"), ("= 2", "cells", 0, 2, "", f"'|' || {_SSN} || '|7|'"),
+    ("= 3", "line", 1, 0, "", "'Employee Name: Gray, Tom'"), ("= 3", "line", 2, 0, "", f"'SSN ' || {_SSN}"), ("= 3", "line", 3, 0, "", f"'Gross salary: $9,000.00 Employee ID: E' || {_K}"),
+)], "there BOOLEAN, what VARCHAR, page INT, a INT, b INT, name VARCHAR, s VARCHAR") + " FROM {customer}) AS p WHERE there"
 _OSSN = _SSN.replace(KEY, "doc_id").replace("STRING", "VARCHAR")
 
 

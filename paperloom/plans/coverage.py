@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import names as N
@@ -19,17 +19,30 @@ FIELDS_B = (
 NAME_LINES, SSN_LINES, VALUE_LINES = 5, 3, 2
 
 
-def label(lines: Column, pattern: str, start: Column | int = 0) -> Column:
-    """Where a label begins one line, or that line joined with the next one or two: the earliest line from ``start`` on, the fewest lines.
+LABELS = {"name_a": NAME_A, "name_end": NAME_END, "ssn_a": SSN_A, "ssn_end": SSN_END} | {f"b_{k}": p for k, p in FIELDS_B}
 
-    A struct of i (its first line), after (the line behind it) and rest (what follows it in the joined lines); null.
+
+def labelled(lines: DataFrame) -> DataFrame:
+    """A row for each page: its lines in order, and for each label of both layouts the places where it stands.
+
+    A label begins one line, or that line joined with the next one or two; the fewest lines count. A place is a struct of i
+    (its first line, from 0), after (the line behind it) and rest (what follows it in the joined lines).
     """
-    shape = f"(?i)^(?:{pattern})"
-    joined = lambda i, n: F.array_join(F.slice(lines, i + 1, n), " ")
-    fits = lambda i, n: (i + n <= F.size(lines)) & joined(i, n).rlike(shape)
-    each = F.transform(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.struct(i.alias("i"), F.coalesce(*[F.when(fits(i, n), F.lit(n)) for n in (1, 2, 3)]).alias("n")))
-    first = F.try_element_at(F.filter(each, lambda x: x["n"].isNotNull() & (x["i"] >= start)), F.lit(1))
-    return F.when(first.isNotNull(), F.struct(first["i"].alias("i"), (first["i"] + first["n"]).alias("after"), F.trim(F.regexp_replace(joined(first["i"], first["n"]), shape, "")).alias("rest")))
+    order = Window.partitionBy("doc_id", "page").orderBy("ord")
+    d = lines.select("doc_id", "page", "ord", F.col("text").alias("j1"), (F.row_number().over(order) - 1).alias("i"), *[F.lead("text", n).over(order).alias(f"t{n}") for n in (1, 2)])
+    d = d.withColumn("j2", F.concat("j1", F.lit(" "), "t1")).withColumn("j3", F.concat("j2", F.lit(" "), "t2"))
+    shape = {k: f"(?i)^(?:{p})" for k, p in LABELS.items()}
+    size = {k: F.coalesce(*[F.when(F.col(f"j{n}").rlike(p), F.lit(n)) for n in (1, 2, 3)]) for k, p in shape.items()}
+    d = d.select("doc_id", "page", "i", "j1", "j2", "j3", *[n.alias(f"n_{k}") for k, n in size.items()])
+    rest = lambda k: F.trim(F.regexp_replace(F.expr(f"case n_{k} when 1 then j1 when 2 then j2 else j3 end"), shape[k], ""))
+    place = lambda k: F.when(F.col(f"n_{k}").isNotNull(), F.struct("i", (F.col("i") + F.col(f"n_{k}")).alias("after"), rest(k).alias("rest")))
+    own = F.transform(F.array_sort(F.collect_list(F.struct("i", "j1"))), lambda x: x["j1"])
+    return d.groupBy("doc_id", "page").agg(own.alias("lines"), *[F.array_sort(F.collect_list(place(k))).alias(f"at_{k}") for k in LABELS])
+
+
+def label(key: str, start: Column | int = 0) -> Column:
+    """The first place of a label from line ``start`` on, or null."""
+    return F.try_element_at(F.filter(f"at_{key}", lambda x: x["i"] >= start), F.lit(1))
 
 
 def between(lines: Column, at: Column, stop: Column) -> Column:
@@ -40,15 +53,15 @@ def between(lines: Column, at: Column, stop: Column) -> Column:
 
 def employees(lines: DataFrame) -> DataFrame:
     """doc_id, page, format, name parts, address parts and ssn of each page that either layout fits, the first one tried first. lines: doc_id, page, ord, text."""
-    pages = lines.groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("lines"))
+    pages = labelled(lines)
     size, own = F.size("lines"), F.col("lines")
-    a = pages.withColumn("at", label(own, NAME_A)).withColumn("end", label(own, NAME_END, F.coalesce(F.col("at.after"), F.lit(0))))
+    a = pages.withColumn("at", label("name_a")).withColumn("end", label("name_end", F.coalesce(F.col("at.after"), F.lit(0))))
     a = a.withColumn("stop", F.coalesce(F.col("end.i"), F.least(F.col("at.after") + NAME_LINES, size))).withColumn("block", F.when(F.col("at").isNotNull(), between(own, F.col("at"), F.col("stop"))))
-    a = a.withColumn("num", label(own, SSN_A, F.coalesce("stop", F.lit(0)))).withColumn("num_end", label(own, SSN_END, F.coalesce(F.col("num.after"), F.lit(0))))
+    a = a.withColumn("num", label("ssn_a", F.coalesce("stop", F.lit(0)))).withColumn("num_end", label("ssn_end", F.coalesce(F.col("num.after"), F.lit(0))))
     a = a.withColumn("a_ssn", F.array_join(between(own, F.col("num"), F.coalesce(F.col("num_end.i"), F.least(F.col("num.after") + SSN_LINES, size))), " ")).withColumn("place", V.city_state_zip_country(F.get("block", F.lit(2))))
     at: Column | int = F.lit(0)
-    for key, pattern in FIELDS_B:
-        a = a.withColumn(f"b_{key}", label(own, pattern, at))
+    for key, _ in FIELDS_B:
+        a = a.withColumn(f"b_{key}", label(f"b_{key}", at))
         a = a.withColumn(f"from_{key}", F.coalesce(F.col(f"b_{key}.after"), at))
         at = F.col(f"from_{key}")
     keys = [k for k, _ in FIELDS_B]

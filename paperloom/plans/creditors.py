@@ -28,7 +28,7 @@ def entries(words: DataFrame, width: float = 612.0) -> DataFrame:
     d = L.equal_columns(d, 3).groupBy(*L.PAGE, "col", F.col("y0").alias("top")).agg(T.clean(L.words_text(["x0", "ord"])).alias("text"), F.max("y1").alias("bottom"), F.min("ord").alias("ord"))
     d = L.gap_blocks(d, [*L.PAGE, "col"], GAP).filter("text <> ''")
     each = d.groupBy(*L.PAGE, "col", "block").agg(F.transform(F.array_sort(F.collect_list(F.struct("top", "text"))), lambda x: x["text"]).alias("lines"))
-    each = each.withColumn("rest", F.slice("lines", 2, 1000))
+    each = each.withColumn("rest", F.slice("lines", 2, F.size("lines")))
     return each.select(*L.PAGE, "col", "block", F.col("lines")[0].alias("full_name"), F.array_join("rest", ", ").alias("address"), V.creditor_address(F.col("rest")).alias("a"))
 
 

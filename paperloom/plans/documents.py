@@ -22,7 +22,7 @@ from . import generic as G
 from .composed import when, words_sql
 from .forms import dispatched
 from .registered import EXTRACTORS
-from .registry import QUERIES, query
+from .registry import QUERIES, each_row, query
 from .relations import LINES, SSN_ROWS
 from .templates import EMPLOYEE, WAGE_BOXES, filled
 
@@ -77,16 +77,18 @@ query("src_20", "SELECT c_custkey AS k, CAST(1 + c_custkey % 2 AS INT) AS row, '
 _K = "CAST(c_custkey AS STRING)"
 
 
+_KINDS = (("T", "VARCHAR"), ("TU", "VARCHAR"), ("FT", "VARCHAR"), ("V", "VARCHAR"), ("flags", "INT"), ("signed", "BOOLEAN"), ("sig_name", "VARCHAR"), ("sig_date", "VARCHAR"), ("sig_reason", "VARCHAR"), ("sig_location", "VARCHAR"), ("sig_contact", "VARCHAR"))
+
+
 def _node(n: int, parent: str, ord_: int, page: str, box: str, **more: str) -> str:
-    kinds = (("T", "STRING"), ("TU", "STRING"), ("FT", "STRING"), ("V", "STRING"), ("flags", "INT"), ("signed", "BOOLEAN"), ("sig_name", "STRING"), ("sig_date", "STRING"), ("sig_reason", "STRING"), ("sig_location", "STRING"), ("sig_contact", "STRING"))
-    x = [f"CAST({v} AS DOUBLE) AS {c}" for c, v in zip(("x0", "y0", "x1", "y1"), box.split(",") if box else ["NULL"] * 4)]
-    return f"SELECT c_custkey AS doc_id, CAST({n} AS INT) AS node, CAST({parent} AS INT) AS parent, CAST({ord_} AS INT) AS ord, c_custkey % 5 > 0 AS listed, CASE WHEN {n} IN (2, 3, 5) THEN '/Widget' ELSE '' END AS subtype, CAST({page} AS INT) AS page, {', '.join(x)}, " + ", ".join(f"CAST({more.get(c, 'NULL')} AS {k}) AS {c}" for c, k in kinds) + " FROM {customer}"
+    x = [f"CAST({v} AS DOUBLE)" for v in (box.split(",") if box else ["NULL"] * 4)]
+    return f"({n}, CAST({parent} AS INT), {ord_}, {chr(39) + '/Widget' + chr(39) if n in (2, 3, 5) else chr(39) * 2}, CAST({page} AS INT), {', '.join(x)}, " + ", ".join(f"CAST({more.get(c, 'NULL')} AS {'STRING' if k == 'VARCHAR' else k})" for c, k in _KINDS) + ")"
 
 
-NODES = " UNION ALL ".join((
+NODES = "SELECT * FROM (SELECT c_custkey AS doc_id, c_custkey % 5 > 0 AS listed, " + each_row([
     _node(1, "NULL", 0, "NULL", "", T="'person'", FT="'/Tx'", TU="'Person'"), _node(2, "1", 0, "1", "100,700,200,712", T="'first'", V=f"' Jane' || {_K} || ' '"), _node(3, "1", 1, "1", "100,650,200,662", FT="'/Btn'", V="CASE c_custkey % 3 WHEN 0 THEN '/Off' WHEN 1 THEN '/Yes' END", flags="c_custkey % 2"),
     _node(4, "NULL", 1, "NULL", "", T="'sig'", FT="'/Sig'", signed="c_custkey % 2 = 0", sig_name=f"'Ann' || {_K}", sig_reason="'ok'"), _node(5, "4", 0, "2", "10,10,50,20"),
-))
+], "node INT, parent INT, ord INT, subtype VARCHAR, page INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE, " + ", ".join(f"{c} {k}" for c, k in _KINDS)) + " FROM {customer}) AS n"
 query("src_17", NODES, f"SELECT doc_id, '000000/000000' AS ord, 'first' AS name, 'Jane' || doc_id AS value FROM {_D} WHERE doc_id % 5 > 0 UNION ALL SELECT doc_id, '000000/000001', '', '/Yes' FROM {_D} WHERE doc_id % 5 > 0 AND doc_id % 3 = 1")(S.leaf_values)
 query("src_18", NODES, f"""SELECT doc_id, 1 AS page, 'first' AS name, 'Person' AS alt, 'Text' AS kind, ' Jane' || doc_id || ' ' AS raw, CAST(100 AS DOUBLE) AS x0 FROM {_D} UNION ALL SELECT doc_id, 1, 'person', 'Person', 'Checkbox / Radio', CASE doc_id % 3 WHEN 0 THEN '/Off' WHEN 1 THEN '/Yes' END, 100 FROM {_D}
     UNION ALL SELECT doc_id, 2, 'sig', '', 'Signature', NULL, 10 FROM {_D}""")(lambda df: S.widgets(df).select("doc_id", "page", "name", "alt", "kind", "raw", "x0"))
@@ -119,7 +121,9 @@ query("agg_07", NODES, f"SELECT doc_id, 'Jane' || doc_id AS first, CASE doc_id %
 
 # Generic documents: sized words, a bold line, a page without sizes, a table's box.
 _W = ((1, 10, 10, "EMPLOYER", "10.0", ""), (1, 10, 90, "ID:", "10.0", ""), (1, 10, 130, "={k}", "10.0", ""), (1, 20, 10, "lost", "10.0", ""), (1, 30, 10, "Big", "14.0", ""), (1, 30, 50, "Header:", "14.0", ""), (1, 40, 10, "some", "10.0", ""), (1, 40, 60, "={k}", "10.0", ""), (1, 60, 10, "Bold", "10.0", "Arial-Bold"), (1, 60, 60, "mixed", "10.0", ""), (1, 60, 120, "line", "10.0", ""), (1, 70, 10, "Bold", "10.0", "X-BD"), (1, 200, 10, "cell", "10.0", ""), (2, 10, 10, "SECTION", "NULL", ""), (2, 20, 10, "text", "NULL", ""), (2, 30, 10, "EMPTY", "NULL", ""))
-WORDS = " UNION ALL ".join(f"SELECT c_custkey AS doc_id, CAST({p} AS INT) AS page, CAST({i} AS INT) AS ord, CAST({x} AS DOUBLE) AS x0, CAST({y} AS DOUBLE) AS y0, CAST({x + 8 * len(t)} AS DOUBLE) AS x1, CAST({y + 8} AS DOUBLE) AS y1, {_K if t == '={k}' else repr(t)} AS text, CAST({s} AS DOUBLE) AS size, '{f}' AS font FROM {{customer}}" for i, (p, y, x, t, s, f) in enumerate(_W))
+WORDS = "SELECT doc_id, page, ord, x0, y0, x1, y1, text, size, font FROM (SELECT c_custkey AS doc_id, " + each_row(
+    [f"({p}, {i}, CAST({x} AS DOUBLE), CAST({y} AS DOUBLE), CAST({x + 8 * len(t)} AS DOUBLE), CAST({y + 8} AS DOUBLE), {_K if t == '={k}' else repr(t)}, CAST({s} AS DOUBLE), '{f}')" for i, (p, y, x, t, s, f) in enumerate(_W)], "page INT, ord INT, x0 DOUBLE, y0 DOUBLE, x1 DOUBLE, y1 DOUBLE, text VARCHAR, size DOUBLE, font VARCHAR"
+) + " FROM {customer}) AS w"
 _BOXES = lambda df: df.select("doc_id").distinct().select("doc_id", F.lit(1).alias("page"), F.lit(0.0).alias("bx0"), F.lit(190.0).alias("btop"), F.lit(600.0).alias("bx1"), F.lit(300.0).alias("bbottom"))
 _SECTIONS = lambda df: G.sections(G.section_lines(df, _BOXES(df)))
 _FOUND = "SELECT doc_id, {p} AS page, {o} AS ord, {h} AS header, {v} AS value FROM " + _D
@@ -324,6 +328,6 @@ _LINES_1095 = (
     (1, "'EMPLOYEE''s name, address,'", 1), (2, "'ZIP/postal code & country'", 1), (3, f"'Jane Q Roe' || {_K}", 1), (4, "CASE WHEN c_custkey % 3 = 0 THEN 'nowhere' ELSE '7 Elm St' END", 1), (5, "'Reno, NV 89501 USA'", 1), (6, "'Do not attach to your tax return'", 1), (7, "'EMPLOYEE''s social security number (SSN) XXX-XX-1234'", 1), (8, "'Department of the Treasury'", 1),
     (1, "'1 Name of employee Jane'", 0), (2, f"'Roe' || {_K}", 0), (3, "'2 Social security number (SSN)'", 0), (4, "'XXX-XX-9876'", 0), (5, "'3 Street address (including apartment no.)'", 0), (6, "'5 Main'", 0), (7, "CASE WHEN c_custkey % 4 = 0 THEN '4 City or town Reno' ELSE 'x' END", 0), (8, "'6 Country and ZIP or foreign postal code USA 89502'", 0), (9, "'7 Name of employer Acme'", 0),
 )
-COVERED = " UNION ALL ".join(f"SELECT c_custkey AS doc_id, CAST(1 AS INT) AS page, CAST({i} AS INT) AS ord, {e} AS text FROM {{customer}} WHERE c_custkey % 2 = {o}" for i, e, o in _LINES_1095)
+COVERED = "SELECT doc_id, page, ord, text FROM (SELECT c_custkey AS doc_id, " + each_row([f"(c_custkey % 2 = {o}, 1, {i}, {e})" for i, e, o in _LINES_1095], "there BOOLEAN, page INT, ord INT, text VARCHAR") + " FROM {customer}) AS w WHERE there"
 query("x_1095c", COVERED, f"""SELECT doc_id, 1 AS page, CASE WHEN o THEN 'A' ELSE 'B' END AS format, 'Jane' AS first, CASE WHEN o THEN 'Q' ELSE '' END AS middle, 'Roe' || doc_id AS last, CASE WHEN o THEN CASE WHEN doc_id % 3 = 0 THEN 'nowhere' ELSE '7 Elm St' END WHEN doc_id % 4 = 0 THEN '5 Main' ELSE '5 Main x' END AS street,
     CASE WHEN o OR doc_id % 4 = 0 THEN 'Reno' ELSE '' END AS city, CASE WHEN o THEN 'NV' ELSE '' END AS state, CASE WHEN o THEN '89501' ELSE '89502' END AS zip, 'USA' AS country, CASE WHEN o THEN 'XXX-XX-1234' ELSE 'XXX-XX-9876' END AS ssn FROM (SELECT DISTINCT doc_id, doc_id % 2 = 1 AS o FROM t)""")(coverage.employees)

@@ -15,7 +15,7 @@ from ..operators import records as R
 from ..sources import lines as SRC
 from .composed import words_sql
 from .forms import FORMS, route, sample_pages
-from .registry import query
+from .registry import each_row, query
 from .relations import LINES, SSN_ROWS
 from .scalars import AREA, FIRST, GROUP, LAST, SERIAL
 
@@ -64,7 +64,7 @@ _EMPLOYEE_LINES = (
     ("'a Employee''s social security number'", 0), (_SSN, 1), ("'e Employee''s name, address, and ZIP code'", 2), (f"{FIRST} || ' ' || 'Roe Jr'", 3),
     ("CAST(c_custkey AS STRING) || ' Main St'", 4), ("'Springfield, WI ' || " + _CELL, 5), ("'15 State'", 6), ("'WI'", 7), ("'1 Wages, tips, other comp. ' || " + _MONEY, 8),
 )
-W2_LINES = " UNION ALL ".join(f"SELECT c_custkey AS doc_id, CAST({i} AS INT) AS ord, {e} AS text FROM {{customer}}" for e, i in _EMPLOYEE_LINES)
+W2_LINES = "SELECT doc_id, ord, text FROM (SELECT c_custkey AS doc_id, " + each_row([f"({i}, {e})" for e, i in _EMPLOYEE_LINES], "ord INT, text VARCHAR") + " FROM {customer}) AS w"
 
 
 def _w2(df):

@@ -29,14 +29,24 @@ class Query:
         """Lambdas are written x -> ... above; DuckDB wants them spelled out."""
         if self.oracle is None:
             return None
+        source = re.sub(_EACH, lambda m: f"unnest([{m[1]}]::STRUCT({m[2]})[], recursive := true)", self.source, flags=re.S)
         rule = re.sub(r"\b([a-z]) -> ", r"lambda \1: ", self.oracle)
-        return "WITH t AS (" + re.sub(r"{(\w+)}", r"\1", self.source) + ")" + re.sub(r"^\s*WITH (?!RECURSIVE)", ", ", " " + rule)
+        return "WITH t AS (" + re.sub(r"{(\w+)}", r"\1", source) + ")" + re.sub(r"^\s*WITH (?!RECURSIVE)", ", ", " " + rule)
 
 
 def rendered(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
     """The source's rows; each table is read with the columns that the SQL names."""
     used = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in TABLES if "{" + n + "}" in source}
-    return spark.sql(source, **used)
+    fields = lambda m: ", ".join(f.split()[0] for f in m[2].split(","))
+    return spark.sql(re.sub(_EACH, lambda m: f"inline(array({m[1]})) AS ({fields(m)})", source, flags=re.S), **used)
+
+
+_EACH = r"<each>(.*?)<as>(.*?)</each>"
+
+
+def each_row(rows: list[str], fields: str) -> str:
+    """For a select list: a row for each of ``rows`` (SQL tuples), generated beside the table's own row, so that the table is read once. Both engines' spellings follow from it."""
+    return f"<each>{', '.join(rows)}<as>{fields}</each>"
 
 
 QUERIES: dict[str, Query] = {}

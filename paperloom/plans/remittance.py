@@ -51,11 +51,16 @@ def labelled(lines: DataFrame, by: list[str] = DOC) -> DataFrame:
     latest date and the first procedure. Neighbours beyond another plan id or a comment don't count.
     """
     d = A.lines_around(lines, F.col("text").rlike(PLAN), by, "idx", HEADER_LINES, HEADER_LINES + DATA_LINES, ["text", "words", "page"])
+    return _read(d.withColumn("page", F.col("own.page")), *by, "idx", "page")
+
+
+def _read(d: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the labelled record of each row's own line, between the lines above (nearest first) and below it."""
     acct = lambda x: F.regexp_extract(x["text"], ACCOUNT, 1)
     cpt = "filter(sequence(1, size(x.words)), i -> x.words[i - 1].text rlike '^CPT-?$')"
     # A header has a word "CPT" with another after it.
     header = lambda xs: F.expr(f"transform({xs}, (x, n) -> case when size(x.words) > 0 and try_element_at({cpt}, 1) < size(x.words) then struct(n, x.words as words, try_element_at({cpt}, 1) as i) end)")
-    d = d.select(*by, "idx", "own", "above", "below", A.until_stop(F.slice("above", 1, HEADER_LINES), _stops).alias("near"), F.concat(F.array("own"), F.slice("below", 1, HEADER_LINES - 1)).alias("next"))
+    d = d.select(*keep, "own", "above", "below", A.until_stop(F.slice("above", 1, HEADER_LINES), _stops).alias("near"), F.concat(F.array("own"), F.slice("below", 1, HEADER_LINES - 1)).alias("next"))
     d = d.select("*", F.try_element_at(F.array_compact(header("near")), F.lit(1)).alias("up"), F.try_element_at(F.array_compact(header("next")), F.lit(1)).alias("down"))
     d = d.withColumn("head", F.coalesce("up", "down")).withColumn("skip", F.when(F.col("up").isNotNull(), 0).otherwise(F.col("down.n")))
     starts = F.expr("array_sort(array(struct(head.words[0].x0 as x, 1 as o, 'service' as name), struct(coalesce(try_element_at(filter(head.words, w -> w.text = 'Revenue'), 1).x0, head.words[head.i - 1].x0) as x, 2 as o, 'revenue' as name), struct(head.words[head.i - 1].x0 as x, 3 as o, 'cpt' as name), struct(head.words[head.i].x0 as x, 4 as o, 'amounts' as name)))")
@@ -69,7 +74,7 @@ def labelled(lines: DataFrame, by: list[str] = DOC) -> DataFrame:
     account = F.coalesce(F.nullif(_first(F.transform(F.slice("next", 1, ACCOUNT_LINES), acct)), F.lit("")), _first(F.transform(A.until_stop(F.slice("above", 1, ACCOUNT_LINES), _stops), acct)))
     backward = F.coalesce(F.nullif(_name(left), F.lit("")), _names(F.col("above")))
     return d.select(
-        *by, "idx", F.col("own.page").alias("page"), name.alias("name"), V.plan_id(F.col("own.text")).alias("plan"), F.lit("").alias("member"), V.claim_number(F.col("own.text")).alias("claim"), account.alias("acct"),
+        *keep, name.alias("name"), V.plan_id(F.col("own.text")).alias("plan"), F.lit("").alias("member"), V.claim_number(F.col("own.text")).alias("claim"), account.alias("acct"),
         F.coalesce(V.us_date(F.array_max(dates)), F.lit("")).alias("service_date"), F.coalesce(_first(F.filter("codes", lambda x: x.rlike(r"\d"))), F.lit("")).alias("cpt"), (backward != "").alias("backward"),
     )
 
@@ -80,17 +85,23 @@ def tabular(lines: DataFrame, by: list[str] = DOC) -> DataFrame:
     The last account and the latest date with a procedure count; records without either go (see ``incomplete``). Where a
     line names the provider's column, names are looked for left of it.
     """
-    return _tabular(lines, by).filter("acct <> '' and service_date <> ''")
+    return tabular_states(lines, by).filter("state = 'closed'").drop("state", "missing")
 
 
 def incomplete(lines: DataFrame, by: list[str] = DOC) -> DataFrame:
     """Closed tabular records that lack an account or a date, and what each lacks."""
-    d = _tabular(lines, by).filter("acct = '' or service_date = ''")
+    return tabular_states(lines, by).filter("state = 'incomplete'").select(*by, "page", "name", "missing")
+
+
+def tabular_states(lines: DataFrame, by: list[str] = DOC) -> DataFrame:
+    """All closed tabular records with their state (closed, incomplete) and what each lacks, in one pass."""
+    d = _tabular(lines, by).filter("idx is not null")
     missing = F.array_compact(F.array(*[F.when(F.col(c) == "", name) for c, name in (("acct", "Pat. Acct #"), ("service_date", "Service Date"), ("member", "Member #"), ("claim", "Claim #"))]))
-    return d.select(*by, "page", "name", missing.alias("missing"))
+    return d.drop("segment").withColumn("state", F.when((F.col("acct") != "") & (F.col("service_date") != ""), "closed").otherwise("incomplete")).withColumn("missing", missing)
 
 
-def _tabular(lines: DataFrame, by: list[str]) -> DataFrame:
+def _tabular(lines: DataFrame, by: list[str], *more: Column) -> DataFrame:
+    """A row for each run of lines that a name opens (0: those before the first one), its record, and ``more`` aggregates over all lines of the run. Runs that nothing closes have no idx."""
     order = Window.partitionBy(*by).orderBy("idx")
     provider = F.when(F.col("text").rlike(r"Provider\s*Name"), F.expr("try_element_at(filter(words, w -> w.text = 'Provider'), 1).x0"))
     d = lines.withColumn("limit", F.first(provider, True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) - 2.0)
@@ -98,17 +109,18 @@ def _tabular(lines: DataFrame, by: list[str]) -> DataFrame:
     shape = rf"^(.*?)({SURNAME}),{GIVEN}"
     d = d.withColumn("prefix", F.trim(F.regexp_extract("seen", shape, 1))).withColumn("opens", F.col("seen").rlike(shape) & F.col("prefix").rlike(r"\d"))
     last = V.last_date_and_code(F.col("text"))
-    d = d.select(*by, "idx", "page", "text", "opens", "prefix", "prev", *[F.trim(F.regexp_extract("seen", shape, i)).alias(c) for c, i in (("surname", 2), ("given", 3))], F.regexp_extract("text", PATIENT_ACCOUNT, 1).alias("a"), F.col("text").rlike(TOTALS).alias("totals"), last.alias("last"))
+    d = d.withColumns({c: F.trim(F.regexp_extract("seen", shape, i)) for c, i in (("surname", 2), ("given", 3))} | {"a": F.regexp_extract("text", PATIENT_ACCOUNT, 1), "totals": F.col("text").rlike(TOTALS), "last": last})
     d = d.withColumn("segment", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     d = d.withColumn("stop", F.min(F.when(F.col("totals") & (F.col("a") == ""), F.col("idx"))).over(Window.partitionBy(*by, "segment")))
-    d = d.filter("segment > 0 and idx < stop").withColumn("day", F.when((F.col("a") == "") & (F.col("last")["code"] != ""), V.date(F.col("last")["date"])))
+    d = d.withColumn("at", F.expr("case when segment > 0 and idx < stop then idx end")).withColumn("day", F.when((F.col("a") == "") & (F.col("last")["code"] != ""), V.date(F.col("last")["date"])))
     before = F.substring_index("prev", " ", 1)
     member = F.when(before.rlike(r"\d") & ~F.contains("prev", F.lit("Totals")) & ~F.contains("prev", F.lit("Acct")), before).otherwise(F.lit(""))
-    own = lambda c: F.min_by(c, "idx")
+    own = lambda c: F.min_by(c, "at")
+    page = [own("page").alias("page")] if "page" not in by else []
     return d.groupBy(*by, "segment").agg(
-        F.min("idx").alias("idx"), own("page").alias("page"), own(F.concat("surname", F.lit(", "), "given")).alias("name"), F.lit("").alias("plan"), own(member).alias("member"), own(F.substring_index("prefix", " ", 1)).alias("claim"),
-        F.coalesce(F.max_by("a", F.when(F.col("a") != "", F.col("idx"))), F.lit("")).alias("acct"), F.coalesce(V.us_date(F.max("day")), F.lit("")).alias("service_date"), F.lit("").alias("cpt"),
-    ).drop("segment")
+        F.min("at").alias("idx"), *page, own(F.concat("surname", F.lit(", "), "given")).alias("name"), F.lit("").alias("plan"), own(member).alias("member"), own(F.substring_index("prefix", " ", 1)).alias("claim"),
+        F.coalesce(F.max_by("a", F.when(F.col("a") != "", F.col("at"))), F.lit("")).alias("acct"), F.coalesce(V.us_date(F.max(F.when(F.col("at").isNotNull(), F.col("day")))), F.lit("")).alias("service_date"), F.lit("").alias("cpt"), *more,
+    )
 
 
 _FIELDS = ("name", "plan", "member", "claim", "acct", "service_date", "cpt")
@@ -130,27 +142,32 @@ def oriented(words: DataFrame, width: float = 612.0) -> DataFrame:
     """The lines of all pages of a document in a row: doc_id, idx, page, text, words.
 
     A page that is readable only when mirrored is mirrored. Its lines run bottom up where that gives more plan ids a name
-    above them, or, where neither way gives any, where only that way gives complete records.
+    above them, or, where neither way gives any, where only that way gives complete records. The words are read once: a line
+    holds both of its readings, a page both of its directions, and all that compares them stays with the page.
     """
-    key = ["doc_id", "page"]
-    readable = lambda w: L.lines_chain(w, 5.0).groupBy(*key).agg(F.max(P.claims_readable(F.col("text"))).alias("ok"))
-    dark = words.join(readable(words).filter("not ok").select(*key), key, "left_semi")
-    turned = readable(L.mirrored(dark, width)).filter("ok")
-    words = words.join(turned, key, "left").withColumns({"x0": F.when(F.col("ok"), width - F.col("x1")).otherwise(F.col("x0")), "x1": F.when(F.col("ok"), width - F.col("x0")).otherwise(F.col("x1"))}).drop("ok")
-    d = L.lines_chain(words, 5.0, True)
-    n = F.count("*").over(Window.partitionBy(*key))
-    d = d.withColumn("down", F.row_number().over(Window.partitionBy(*key).orderBy("line"))).withColumn("up", n - F.col("down") + 1).select(*key, "text", "words", "down", "up")
-    ways = d.withColumn("way", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("idx", F.when(F.col("way") == 0, F.col("down")).otherwise(F.col("up")))
-    own = ways.select(F.concat_ws("-", "doc_id", "page", "way").alias("k"), "idx", "page", "text", "words")
-    b, a = labelled(own, ["k"]), tabular(own, ["k"])
-    complete = F.expr("name <> '' and claim <> '' and acct <> '' and service_date <> '' and cpt <> ''")
-    score = b.select("k", F.col("backward").cast("int").alias("strict"), complete.cast("int").alias("done")).unionByName(a.select("k", F.lit(0).alias("strict"), (F.col("name") != "").cast("int").alias("done")))
-    way = F.substring_index("k", "-", -1).cast("int")
-    sums = [F.coalesce(F.sum(F.when(F.col("way") == w, F.col(c))), F.lit(0)).alias(f"{c}{w}") for c in ("strict", "done") for w in (0, 1)]
-    score = score.withColumn("way", way).groupBy(F.regexp_replace("k", "-[01]$", "").alias("k")).agg(*sums)
+    key, way = ["doc_id", "page"], ["doc_id", "page", "way"]
+    page, text = Window.partitionBy(*key), lambda c: F.array_join(F.transform(c, lambda w: w["text"]), " ")
+    readable = lambda c: F.max(P.claims_readable(F.col(c))).over(page)
+    d = L.lines_chain(words, 5.0, True, width).withColumn("turned", text("mirrored"))
+    d = d.withColumn("flip", ~readable("text") & readable("turned")).select(*key, "line", *[F.when(F.col("flip"), F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("text", "turned"), ("words", "mirrored"))])
+    down = F.row_number().over(page.orderBy("line"))
+    d = d.withColumn("down", down).withColumn("up", F.count("*").over(page) - F.col("down") + 1).withColumn("way", F.explode(F.array(F.lit(0), F.lit(1))))
+    d = d.withColumn("idx", F.when(F.col("way") == 0, F.col("down")).otherwise(F.col("up")))
+    # Runs of tabular lines, with all their lines; then both directions of a page, each as a whole.
+    runs = _tabular(d, way, F.collect_list(F.struct("idx", "text", "words")).alias("own"))
+    closed = F.expr("idx is not null and acct <> '' and service_date <> '' and name <> ''")
+    ways = runs.groupBy(*way).agg(F.array_sort(F.flatten(F.collect_list("own"))).alias("own"), F.count_if(closed).alias("closed"))
+    anchors = F.filter(F.transform("own", lambda x: F.when(x["text"].rlike(PLAN), x["idx"])), lambda i: i.isNotNull())
+    near = ways.select(*way, F.col("own").alias("all"), "closed", F.explode_outer(anchors).alias("at"))
+    near = near.withColumns({"own": F.expr("get(all, at - 1)"), "above": F.expr(f"reverse(slice(all, greatest(at - {HEADER_LINES}, 1), at - greatest(at - {HEADER_LINES}, 1)))"), "below": F.expr(f"slice(all, at + 1, {HEADER_LINES + DATA_LINES})")})
+    found = _read(near, *way, "all", "closed", "at")
+    complete = F.expr("at is not null and name <> '' and claim <> '' and acct <> '' and service_date <> '' and cpt <> ''")
+    score = found.groupBy(*way).agg(F.first("all").alias("all"), F.count_if(F.col("backward") & F.col("at").isNotNull()).alias("strict"), (F.count_if(complete) + F.first("closed")).alias("done"))
+    of = lambda c, w: F.max(F.when(F.col("way") == w, F.col(c)))
+    best = score.groupBy(*key).agg(F.max_by("all", -F.col("way")).alias("straight"), F.max_by("all", "way").alias("reversed"), *[of(c, w).alias(f"{c}{w}") for c in ("strict", "done") for w in (0, 1)])
     turn = F.expr("case when strict0 = 0 and strict1 = 0 then done0 = 0 and done1 > 0 else strict1 > strict0 end")
-    d = d.withColumn("k", F.concat_ws("-", "doc_id", "page")).join(score.select("k", turn.alias("turn")), "k", "left").withColumn("line", F.when(F.col("turn"), F.col("up")).otherwise(F.col("down")))
-    return d.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "line")).alias("idx"), "page", "text", "words")
+    lines = best.select(*key, F.posexplode(F.when(turn, F.col("reversed")).otherwise(F.col("straight"))).alias("line", "x"))
+    return lines.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("page", "line")).alias("idx"), "page", "x.text", "x.words")
 
 
 def claims(lines: DataFrame) -> DataFrame:
