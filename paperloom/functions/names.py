@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import at, clean, joined, strip, text, title, tokens
+from .text import at, clean, joined, let, strip, text, title, tokens
 
 # Suffix lists of the form families, company tokens, words that stand before a surname, label words.
 W2_SUFFIXES = ("JR", "SR", "II", "III", "IV", "V")
@@ -23,7 +23,10 @@ def _struct(**parts: Column) -> Column:
 
 def by_whitespace(c: Column) -> Column:
     """first, last, suffix of "First ... Last [Suffix]"."""
-    t = tokens(c)
+    return let(tokens(c), _by_whitespace)
+
+
+def _by_whitespace(t: Column) -> Column:
     tail = F.upper(F.btrim(at(t, -1), F.lit("."))).isin(*W2_SUFFIXES)
     n = F.size(t) - tail.cast("int")
     return _struct(first=F.when(n == 1, at(t, 1)).otherwise(joined(t, 1, n - 1)), last=F.when(n >= 2, F.coalesce(F.get(t, n - 1), F.lit(""))).otherwise(F.lit("")), suffix=F.when(tail, at(t, -1)).otherwise(F.lit("")))
@@ -31,7 +34,10 @@ def by_whitespace(c: Column) -> Column:
 
 def first_middle_last(c: Column) -> Column:
     """first, middle, last, suffix of a name in that order."""
-    t = tokens(c)
+    return let(tokens(c), _in_order)
+
+
+def _in_order(t: Column) -> Column:
     tail = F.upper(at(t, -1)).isin(*BLOCK_SUFFIXES)
     n = F.size(t) - tail.cast("int")
     return _struct(
@@ -51,8 +57,15 @@ def last_first(c: Column, suffixes: tuple[str, ...] = CREDITOR_SUFFIXES, compani
     With ``companies``, a name without a comma is all last name, as is one whose part before the comma ends with a
     company token; without, a name without a comma gives blanks.
     """
-    s = clean(c)
-    left, right = _comma_parts(s)
+    return let(clean(c), lambda s: let(F.struct(s.alias("s"), *_named_parts(s)), lambda x: _last_first(x, suffixes, companies)))
+
+
+def _named_parts(s: Column) -> list[Column]:
+    return [c.alias(n) for c, n in zip(_comma_parts(s), ("left", "right"))]
+
+
+def _last_first(x: Column, suffixes: tuple[str, ...], companies: bool) -> Column:
+    s, left, right = x["s"], x["left"], x["right"]
     bare = lambda w: F.lower(F.btrim(w, F.lit(".")))
     on_right = bare(at(right, -1)).isin(*suffixes)
     on_left = ~on_right & bare(at(left, -1)).isin(*suffixes)
@@ -72,8 +85,11 @@ def last_first(c: Column, suffixes: tuple[str, ...] = CREDITOR_SUFFIXES, compani
 
 def plan_name(c: Column) -> Column:
     """first, middle, last, suffix in title case; without a comma all is last name."""
-    s = clean(c)
-    _, right = _comma_parts(s)
+    return let(clean(c), lambda s: let(F.struct(s.alias("s"), *_named_parts(s)), _plan_name))
+
+
+def _plan_name(x: Column) -> Column:
+    s, right = x["s"], x["right"]
     tail = F.regexp_replace(F.lower(at(right, -1)), r"\.+$", "").isin(*PLAN_SUFFIXES)
     n, comma = F.size(right) - tail.cast("int"), F.contains(s, F.lit(","))
     return _struct(
@@ -112,7 +128,10 @@ PLAN_LABELS = (
 
 def find_name(c: Column, labels: tuple[str, ...] = PLAN_LABELS) -> Column:
     """A name in free text: "Last, First" in title case, else capitals once labels and numbers are gone, else capitalised words."""
-    s = clean(c)
+    return let(clean(c), lambda s: _find_name(s, labels))
+
+
+def _find_name(s: Column, labels: tuple[str, ...]) -> Column:
     left, right = F.regexp_extract(s, SHAPE_LAST_FIRST, 1), F.regexp_extract(s, SHAPE_LAST_FIRST, 2)
     bare = clean(F.regexp_replace(F.regexp_replace(s, rf"(?i)\b(?:{'|'.join(labels)})\b", ""), r"\b\d[\d,.$%-]*\b", ""))
     upper, words = F.regexp_extract(bare, SHAPE_UPPER, 1), F.regexp_extract(s, SHAPE_CAPITALISED, 1)
@@ -122,21 +141,36 @@ def find_name(c: Column, labels: tuple[str, ...] = PLAN_LABELS) -> Column:
 
 def header_fields(c: Column) -> Column:
     """last, first, middle, associate, position, department, cost of a payroll-change header; short codes before the name go."""
-    s = clean(c)
+    return let(clean(c), _header_fields)
+
+
+def _header_fields(s: Column) -> Column:
     get = lambda p: F.regexp_extract(s, "(?i)" + p, 1)
     before = strip(F.regexp_replace(s, r"(?is)(?:Associate\s+ID|Position\s+ID|Home\s+Department|Home\s+Cost).*$", ""))
-    search = F.when(F.contains(before, F.lit(",")), before).otherwise(s)
-    left, right = _comma_parts(search)
-    first_word = F.aggregate(left, F.struct(F.lit(0).alias("n"), F.lit(True).alias("on")), lambda a, w: F.struct((a["n"] + (a["on"] & w.rlike("^[A-Z0-9]{1,8}$")).cast("int")).alias("n"), (a["on"] & w.rlike("^[A-Z0-9]{1,8}$")).alias("on")), lambda a: a["n"])
-    kept = F.filter(left, lambda w, i: i >= first_word)
-    tail = F.lower(F.btrim(at(right, -1), F.lit("."))).isin(*CHANGE_SUFFIXES)
-    n = F.size(right) - tail.cast("int")
-    ok = F.contains(search, F.lit(",")) & (F.size(kept) > 0)
-    return _struct(
-        last=F.when(ok, F.array_join(kept, " ")).otherwise(F.lit("")), first=F.when(ok & (n >= 1), at(right, 1)).otherwise(F.lit("")), middle=F.when(ok & (n > 1), joined(right, 2, n - 1)).otherwise(F.lit("")),
+    search = let(before, lambda b: F.when(F.contains(b, F.lit(",")), b).otherwise(s))
+    name = let(search, lambda x: let(F.struct(x.alias("s"), *_named_parts(x)), _after_codes))
+    labelled = _struct(
         associate=get(r"Associate\s+ID\s*:\s*(\S+)"), position=get(r"Position\s+ID\s*:\s*(\S+)"),
         department=clean(get(r"Home\s+Department\s*:\s*(.+?)(?=\s{2,}Home\s+Cost|\s*Home\s+Cost|$)")), cost=get(r"Home\s+Cost\s+Number\s*:\s*(\S*)"),
     )
+    return let(F.struct(name.alias("n"), labelled.alias("l")), lambda x: _struct(**{k: x["n"][k] for k in ("last", "first", "middle")}, **{k: x["l"][k] for k in ("associate", "position", "department", "cost")}))
+
+
+def _after_codes(x: Column) -> Column:
+    """last, first and middle of "CODE Last, First Middle"."""
+    code = lambda w: w.rlike("^[A-Z0-9]{1,8}$")
+    # Up to the first word that is no code.
+    places = F.transform(x["left"], lambda w, i: F.when(code(w), F.lit(None)).otherwise(i))
+    kept = let(F.coalesce(F.array_min(places), F.size(x["left"])), lambda n: F.filter(x["left"], lambda w, i: i >= n))
+    right = x["right"]
+    tail = F.lower(F.btrim(at(right, -1), F.lit("."))).isin(*CHANGE_SUFFIXES)
+    own = F.struct(kept.alias("kept"), (F.size(right) - tail.cast("int")).alias("n"))
+
+    def parts(o: Column) -> Column:
+        ok = F.contains(x["s"], F.lit(",")) & (F.size(o["kept"]) > 0)
+        return _struct(last=F.when(ok, F.array_join(o["kept"], " ")).otherwise(F.lit("")), first=F.when(ok & (o["n"] >= 1), at(right, 1)).otherwise(F.lit("")), middle=F.when(ok & (o["n"] > 1), joined(right, 2, o["n"] - 1)).otherwise(F.lit("")))
+
+    return let(own, parts)
 
 
 def prefix_match(a: Column, b: Column) -> Column:

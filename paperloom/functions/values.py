@@ -43,7 +43,10 @@ def ssn_repaired(c: Column) -> Column:
 
 def ssn_canonical(c: Column) -> Column:
     """Partial and masked numbers in the form ddd-dd-dddd with X for what is unknown; other text as it is."""
-    s = clean(c)
+    return let(clean(c), _ssn_canonical)
+
+
+def _ssn_canonical(s: Column) -> Column:
     g = lambda p, n: F.regexp_extract(s, p, n)
     short, front = r"^(\d{3})-(\d{2})-(\d{1,3})$", r"^(\d{3})-(\d{2})$"
     mid, head, both = r"^(\d{3})-[xX*]+-(\d{4})$", r"^[xX*]+-(\d{2})-(\d{4})$", r"^[xX*]+-[xX*]+-(\d{4})$"
@@ -173,9 +176,13 @@ def city_state_zip_country(c: Column) -> Column:
 
 def creditor_address(lines: Column) -> Column:
     """street, city, state, zip of address lines; a last line that names a country goes first."""
-    own = F.filter(F.transform(lines, clean), lambda x: x != "")
-    n = F.size(own) - F.lower(at(own, -1)).isin(*COUNTRIES).cast("int")
-    last = F.when(n > 0, F.get(own, n - 1)).otherwise(F.lit(""))
+    with_size = lambda own: F.struct(own.alias("own"), (F.size(own) - F.lower(at(own, -1)).isin(*COUNTRIES).cast("int")).alias("n"))
+    with_last = lambda x: F.struct(x["own"].alias("own"), x["n"].alias("n"), F.when(x["n"] > 0, F.get(x["own"], x["n"] - 1)).otherwise(F.lit("")).alias("last"))
+    return let(F.filter(F.transform(lines, clean), lambda x: x != ""), lambda own: let(with_size(own), lambda x: let(with_last(x), _creditor_address)))
+
+
+def _creditor_address(x: Column) -> Column:
+    own, n, last = x["own"], x["n"], x["last"]
     us = last.rlike(US_ZIP_END)
     hit = us | last.rlike(CANADA_END)
     g = lambda k: F.when(us, F.regexp_extract(last, US_ZIP_END, k)).otherwise(F.regexp_extract(last, CANADA_END, k))

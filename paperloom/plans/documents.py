@@ -304,7 +304,8 @@ CREDITOR_WORDS = words_sql([
 
 
 def _sheets(df):
-    v = W.views(creditors.sheets(creditors.entries(df)), _AT(df))
+    # Entries are worked out and written once; the three sheets are read from them.
+    v = W.views(creditors.sheets(W.combined(creditors.entries(df), _AT(df), name="doc_id")), _AT(df))
     wide = v["extracted"].select(F.lit("extracted").alias("sheet"), "doc_id", "ord", F.col("Full Name").alias("a"), F.col("Address Information").alias("b"))
     name = F.concat_ws("|", "First Name", "Last Name", "Middle Name", "Suffix"), F.concat_ws("|", "Street Address", "City", "State", "ZIP Code")
     for n in ("parsed", "people"):
