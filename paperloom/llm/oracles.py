@@ -1,5 +1,7 @@
 """DuckDB SQL for those training-data queries that SQL can express on whole tables in reasonable time."""
 
+from .secret_scan import BASE, RULES as SECRETS
+
 _WORDS = r"list_filter(string_split_regex(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -43,4 +45,38 @@ r AS (SELECT doc_id, list(DISTINCT i + k) AS r FROM g, (SELECT unnest(range(0, 5
 SELECT w.doc_id, len(w) AS n_words, coalesce(len(r), 0) AS n_removed, sha256(coalesce(array_to_string(CASE WHEN r IS NULL THEN w ELSE list_filter(w, lambda x, j: NOT list_contains(r, j)) END, ' '), '')) AS kept_sha256 FROM w LEFT JOIN r USING (doc_id)
 """
 
-ORACLE_SQL = {"op4_minhash_neardup": NEAR, "op6_nearest_neighbours": NEAREST, "op8_quality_rules": RULES, "op9_substring_dedup": WINDOWS}
+PHRASES = rf"""
+WITH p AS (SELECT row_number() OVER () AS id, lang, s FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(coalesce({_LOWER}, ''), '[.,;:!?\x0A-\x0D]')) AS s FROM documents)),
+w AS (SELECT lang, list_filter(string_split_regex(s, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+f AS (SELECT lang, p, count(*) AS a FROM (SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k) GROUP BY lang, p HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE len(p) > 1),
+x AS (SELECT c.lang, c.p, c.a, unnest(range(1, len(c.p))) AS k FROM c),
+s AS (SELECT x.lang, x.p, x.a, k, l.a AS l, r.a AS r, n, CAST(CAST(1000 AS HUGEINT) * x.a * n // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score FROM x JOIN f l ON l.lang = x.lang AND l.p = x.p[:k] JOIN f r ON r.lang = x.lang AND r.p = x.p[k + 1:] JOIN n ON n.lang = x.lang QUALIFY row_number() OVER (PARTITION BY x.lang, x.p ORDER BY score, k) = 1),
+i AS (SELECT DISTINCT c.lang, c.p FROM c JOIN c AS b ON b.lang = c.lang AND len(b.p) > len(c.p) AND 100 * b.a >= 100 * c.a AND contains(' ' || array_to_string(b.p, ' ') || ' ', ' ' || array_to_string(c.p, ' ') || ' ')),
+k AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM s ANTI JOIN i ON i.lang = s.lang AND i.p = s.p)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM k WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER o <= 2000
+"""
+
+
+def _secrets() -> str:
+    """A row for each match of each rule: what lies between matches, and they themselves, add up to their places."""
+    each = []
+    for i, r in enumerate(SECRETS):
+        p = r.pattern.replace("'", "''")
+        whole, part = f"regexp_extract_all(text, '{p}')", f"regexp_extract_all(text, '{p}', {r.part})"
+        each.append(f"SELECT rid, '{r.kind}' AS kind, {i} AS o, {whole} AS m, {part} AS g, string_split_regex(text, '{p}') AS b, {r.least} AS least FROM d")
+    counts = ", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in SECRETS[:BASE])
+    sums = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in SECRETS[:BASE])
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents), a AS ({' UNION ALL '.join(each)}),
+e AS (SELECT rid, kind, o, unnest(list_transform(range(1, len(m) + 1), lambda i: struct_pack(start := list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0), size := length(m[i]), part := length(g[i]))), recursive := true), least FROM a WHERE len(m) > 0 AND list_max(list_transform(g, lambda x: length(x))) >= least),
+s AS (SELECT rid, kind, o, CAST(start AS BIGINT) AS start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(start + size AS BIGINT) AS span FROM e WHERE part >= least),
+t AS (SELECT rid, {sums}, string_agg(span, ',' ORDER BY start, o) FILTER (o < {BASE}) AS base, string_agg(span, ',' ORDER BY start, o) AS spans FROM s GROUP BY rid)
+SELECT doc_id, {counts}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN t USING (rid)
+"""
+
+
+ORACLE_SQL = {
+    "op4_minhash_neardup": NEAR, "op6_nearest_neighbours": NEAREST, "op8_quality_rules": RULES, "op9_substring_dedup": WINDOWS, "op12_collocations": PHRASES, "op13_secret_scan": _secrets(),
+}

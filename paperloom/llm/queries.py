@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import factors, lattice, neardup, neighbours, packing, quality, rules, sentencepieces, suffixes, toxicity
+from . import collocations, factors, lattice, neardup, neighbours, packing, quality, rules, secret_scan, sentencepieces, spelling, suffixes, toxicity
 from .common import hash_mod, table
 from .oracles import ORACLE_SQL  # noqa: F401  part of what this module offers
 
@@ -69,4 +69,19 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2(F.encode("ids", "utf-8"), 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_quality_classifier, op3_lattice_score, op4_minhash_neardup, op5_suffix_dedup, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op9_substring_dedup, op10_sentencepiece)}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_quality_classifier, op3_lattice_score, op4_minhash_neardup, op5_suffix_dedup, op6_nearest_neighbours, op7_best_fit_packing, op8_quality_rules, op9_substring_dedup, op10_sentencepiece,
+    op11_spelling_variants, op12_collocations, op13_secret_scan,
+)}
