@@ -1,13 +1,15 @@
 """Phrase collocation mining: count tries of limited depth, one for each shard, merged by prefix range.
 
 Words first: only words that occur often enough can stand in a phrase, and only pairs that do can stand in a longer one. Both
-are passed on as filters of bounded size, which may let more through and never less. Tries over what is left are written in
-the order of their paths, dealt out by range and merged as they stream by; the merged trie's walk gives the counts of left
+are passed on as filters of bounded size, which may let more through and never less. Tries over what is left are written as
+sorted blocks, cut where ranges of paths begin and merged range by range; the merged trie's walk gives the counts of left
 parts, its suffix links (joins of the far fewer frequent paths) those of right parts.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -22,6 +24,9 @@ ENDS, BLANKS = ".,;:!?\n\v\f\r", " \t"
 #: Bytes of text in one trie.
 TRIE_BYTES = 16_000_000
 DEPTH = 5
+#: A trie's nodes in sorted blocks; how many a block has at most, and how many a range is meant to have.
+BLOCKS = "lang string, paths array<string>, counts array<long>"
+BLOCK, RANGE = 65_536, 1_000_000
 #: Languages whose totals are broadcast.
 LANGUAGES = 10_000
 
@@ -152,7 +157,7 @@ def pair_hashes(docs: DataFrame, frequent, least: int) -> DataFrame:
 
 
 def tries(docs: DataFrame, frequent, pairs, depth: int) -> DataFrame:
-    """lang, path (an array of two words or more) and n: the nodes of each shard's trie, over runs of frequent pairs."""
+    """Each shard's trie over runs of frequent pairs, as rows of up to ``BLOCK`` nodes: lang, paths (texts of two words or more, in the order of their words) and counts."""
 
     def run(batches):
         for lang, words, codes, follows in _by_lang(batches):
@@ -161,60 +166,114 @@ def tries(docs: DataFrame, frequent, pairs, depth: int) -> DataFrame:
             at = at[_among(pairs[0].value, pairs[1], _pair_hashes(h[codes[at]], h[codes[at + 1]]))]
             linked = np.zeros(len(codes) + depth, bool)
             linked[at] = True
-            # A node is its parent and one more word; the first level's nodes are the words themselves.
-            node, parents = codes[at], [(np.arange(len(words)), np.arange(len(words)))]
-            for level in range(2, depth + 1):
-                on = linked[at + level - 2]
+            # A node is its parent and one more word; the first level's nodes are the words themselves, by their places in order.
+            order = pc.array_sort_indices(words).to_numpy(zero_copy_only=False)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            codes, words = place[codes], words.take(pa.array(order))
+            node, level = codes[at], np.arange(len(words))[:, None]
+            paths, counts = [], []
+            for k in range(2, depth + 1):
+                on = linked[at + k - 2]
                 at, node = at[on], node[on]
-                keys, node, n = np.unique(node * len(words) + codes[at + level - 1], return_inverse=True, return_counts=True)
+                keys, node, n = np.unique(node * len(words) + codes[at + k - 1], return_inverse=True, return_counts=True)
                 if not len(keys):
                     break
-                parents.append((keys // len(words), keys % len(words)))
-                yield _nodes(lang, words, parents, n)
+                level = np.concatenate([level[keys // len(words)], (keys % len(words))[:, None]], 1)
+                paths.append(np.pad(level, ((0, 0), (0, depth - k)), constant_values=-1))
+                counts.append(n)
+            if paths:
+                yield from _blocks(lang, words, np.concatenate(paths), np.concatenate(counts))
+
+    return _texts(docs).mapInArrow(lean(run), BLOCKS)
+
+
+def _blocks(lang: str, words: pa.Array, paths: np.ndarray, counts: np.ndarray):
+    """Nodes (rows of places in ``words``, which are sorted; -1 for none) as sorted blocks."""
+    order = np.lexsort(paths.T[::-1])
+    paths, counts = paths[order], counts[order]
+    for a in range(0, len(counts), BLOCK):
+        part = paths[a : a + BLOCK]
+        filled = part >= 0
+        ends = np.concatenate(([0], np.cumsum(filled.sum(1)))).astype(np.int32)
+        texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), words.take(pa.array(part[filled])).cast(pa.string())), " ")
+        yield _block(lang, texts, counts[a : a + BLOCK])
+
 
-    out = _texts(docs).mapInArrow(lean(run), "lang string, path array<string>, n long")
-    return out.sortWithinPartitions("lang", "path")
+def _block(lang: str, texts: pa.Array, counts: np.ndarray, **first: int) -> pa.RecordBatch:
+    ends = pa.array([0, len(texts)], pa.int32())
+    columns = [*[pa.array([v], pa.int64()) for v in first.values()], pa.array([lang]), pa.ListArray.from_arrays(ends, texts), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, names=[*first, "lang", "paths", "counts"])
 
 
-def _nodes(lang: str, words: pa.Array, parents: list, n: np.ndarray) -> pa.RecordBatch:
-    """The nodes of the deepest level as paths."""
-    level, path = len(parents), np.empty((len(n), len(parents)), np.int64)
-    node = np.arange(len(n))
-    for k in range(level - 1, -1, -1):
-        path[:, k] = parents[k][1][node]
-        node = parents[k][0][node]
-    flat = words.take(pa.array(path.ravel())).cast(pa.string())
-    paths = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * level), flat)
-    return _rows(lang, {"path": paths, "n": pa.array(n)})
+def word_blocks(words: DataFrame) -> DataFrame:
+    """The nodes of single words, as ``tries`` has those of longer paths. words: lang, word, n."""
+
+    def run(batches):
+        for batch in batches:
+            for lang in pc.unique(batch.column(0)).to_pylist():
+                own = batch.filter(pc.equal(batch.column(0), lang))
+                own = own.take(pc.array_sort_indices(own.column(1)))
+                yield _block(lang, own.column(1), own.column(2).to_numpy())
 
+    return words.select("lang", "word", "n").mapInArrow(run, BLOCKS)
 
-def merged(nodes: DataFrame, least: int, parts: int) -> DataFrame:
-    """lang, path, a (its count) and lefts: sorted runs dealt out by range and merged; lefts[k - 1] is the count of the first k words, null where that node is in an earlier range.
 
-    nodes: lang, path, n, written down.
+def boundaries(blocks: DataFrame, least: int) -> list[tuple]:
+    """Where ranges of paths begin (the first one has no beginning): at least ``least`` ranges of about ``RANGE`` nodes, by some 20,000 paths. They deal out the work and decide nothing else."""
+    n = blocks.agg(F.sum(F.size("counts"))).first()[0] or 0
+    some = blocks.select("lang", F.explode(F.expr("filter(paths, (p, i) -> i % 499 = 0)")).alias("path"))
+    some = sorted((r.lang, r.path.split(" ")) for r in some.orderBy(F.xxhash64("path"), "lang", "path").limit(20_000).collect())
+    ranges = max(least, -(-n // RANGE))
+    found = [some[len(some) * i // ranges] for i in range(1, ranges)] if some else []
+    return [x for i, x in enumerate(found) if i == 0 or x != found[i - 1]]
+
+
+def merged(blocks: DataFrame, least: int, begins: list[tuple]) -> DataFrame:
+    """lang, path, a (its count) and lefts: blocks cut where ranges begin, each range's merged and walked as a trie.
+
+    lefts[k - 1] is the count of the first k words, null where that node is in an earlier range. blocks: as ``tries`` has
+    them, written down. A task holds one range.
     """
 
+    def cut(batches):
+        for batch in batches:
+            for lang, paths, counts in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                texts, n = paths.values, counts.values.to_numpy()
+                path = lambda i: (lang, texts[i].as_py().split(" "))  # noqa: E731, B023
+                at, which = 0, bisect_right(begins, path(0))
+                while at < len(texts):
+                    to = bisect_left(range(len(texts)), begins[which], lo=at, key=path) if which < len(begins) else len(texts)
+                    if to > at:
+                        yield _block(lang, texts.slice(at, to - at), n[at:to], range=which)
+                    at, which = to, which + 1
+
     def run(batches):
-        stack: list[tuple] = []
-        for lang, path, a in _sums(batches, least):
-            while stack and not (stack[-1][0] == lang and path[: len(stack[-1][1])] == stack[-1][1]):
-                stack.pop()
-            known = {len(p): n for _, p, n in stack}
-            yield lang, path, a, [known.get(k) for k in range(1, len(path))]
-            stack.append((lang, path, a))
-
-    def rows(batches):
-        held = []
-        for row in run(batches):
-            held.append(row)
-            if len(held) == 4096:
-                yield _batch(held)
-                held = []
-        if held:
-            yield _batch(held)
-
-    dealt = nodes.repartitionByRange(parts, "lang", "path").sortWithinPartitions("lang", "path")
-    return dealt.mapInArrow(rows, "lang string, path array<string>, a long, lefts array<long>")
+        held: dict[tuple, list] = {}
+        for batch in batches:
+            for key, lang, paths, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)):
+                held.setdefault((key, lang), []).append(pa.table([paths.values, counts.values], names=["path", "n"]))
+        for key in sorted(held):
+            sums = pa.concat_tables(held.pop(key)).group_by("path").aggregate([("n", "sum")])
+            sums = sums.filter(pc.greater_equal(sums.column("n_sum"), least))
+            nodes = sorted((p.split(" "), n) for p, n in zip(sums.column("path").to_pylist(), sums.column("n_sum").to_pylist()))
+            rows = [(key[1], path, n, lefts) for path, n, lefts in _walk(nodes)]
+            for a in range(0, len(rows), 4096):
+                yield _batch(rows[a : a + 4096])
+
+    dealt = blocks.mapInArrow(lean(cut), f"range long, {BLOCKS}").repartitionByRange(len(begins) + 1, "range")
+    return dealt.mapInArrow(lean(run), "lang string, path array<string>, a long, lefts array<long>")
+
+
+def _walk(nodes: list[tuple]):
+    """(path, count, counts of its ancestors) of sorted nodes, by a stack of the nodes above."""
+    stack: list[tuple] = []
+    for path, n in nodes:
+        while stack and path[: len(stack[-1][0])] != stack[-1][0]:
+            stack.pop()
+        known = {len(p): m for p, m in stack}
+        yield path, n, [known.get(k) for k in range(1, len(path))]
+        stack.append((path, n))
 
 
 def _batch(held: list) -> pa.RecordBatch:
@@ -222,30 +281,6 @@ def _batch(held: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds)], names=["lang", "path", "a", "lefts"])
 
 
-def _sums(batches, least: int):
-    """(lang, path, count) of each path of sorted rows that occurs ``least`` times or more."""
-    last, total = None, 0
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        lang, path, n = batch.column(0), batch.column(1), batch.column(2).to_numpy()
-        text = pc.binary_join(path, " ")
-        new = np.ones(len(n), bool)
-        new[1:] = pc.or_(pc.not_equal(text.slice(1), text.slice(0, len(n) - 1)), pc.not_equal(lang.slice(1), lang.slice(0, len(n) - 1))).to_numpy(zero_copy_only=False)
-        starts = np.flatnonzero(new)
-        sums = np.add.reduceat(n, starts)
-        first = (lang[0].as_py(), path[0].as_py())
-        if last == first:
-            sums[0] += total
-        elif last is not None and total >= least:
-            yield *last, total
-        for i in np.flatnonzero(sums[:-1] >= least):
-            yield lang[int(starts[i])].as_py(), path[int(starts[i])].as_py(), int(sums[i])
-        last, total = (lang[int(starts[-1])].as_py(), path[int(starts[-1])].as_py()), int(sums[-1])
-    if last is not None and total >= least:
-        yield *last, total
-
-
 def scored(found: DataFrame, totals: DataFrame) -> DataFrame:
     """Adds l, r, n and score of the lowest-scoring cut (ties: the first) to the paths of two words or more. found: ``merged``, written down; totals: lang, n."""
     paths = found.select(F.col("lang"), F.col("path").alias("part"), F.col("a").alias("count"))
@@ -292,8 +327,8 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, depth: int
     hashed = materialise(pair_hashes(docs, frequent, least))
     held, shift = filters.build(hashed, "h")
     pairs = (spark.sparkContext.broadcast(held), shift)
-    nodes = materialise(tries(docs, frequent, pairs, depth).unionByName(words.select("lang", F.array("word").alias("path"), "n")), "zstd")
-    found = materialise(merged(nodes, least, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    blocks = materialise(tries(docs, frequent, pairs, depth).unionByName(word_blocks(words)), "zstd")
+    found = materialise(merged(blocks, least, boundaries(blocks, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     kept = without_parts(materialise(scored(found, totals)), share).withColumn("phrase", F.array_join("path", " "))
     order = (F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     # The first of each of 64 deals of a language, then the first of these.

@@ -125,6 +125,7 @@ def test_collocations(spark, at, rows):
 def test_collocations_in_small_tries(spark, at, rows, monkeypatch):
     """Many shards, many ranges, a short list, ties."""
     monkeypatch.setattr(collocations, "TRIE_BYTES", 20_000)
+    monkeypatch.setattr(collocations, "BLOCK", 50)
     docs = spark.read.parquet(f"{at}/documents.parquet").repartition(7)
     got = {tuple(r) for r in collocations.collocations(docs, least=12, top=40).collect()}
     assert got == count_phrases(rows, 12, 40)
