@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import filters
-from .common import lean, materialise, mix, small_batches, steps
+from .common import BATCH_BYTES, lean, materialise, mix, small_batches, steps
 
 #: Where pieces end, and what parts words within them.
 ENDS, BLANKS = ".,;:!?\n\v\f\r", " \t"
 #: Bytes of text in one trie.
-TRIE_BYTES = 16_000_000
+TRIE_BYTES = 12_000_000
 DEPTH = 5
 #: A trie's nodes in sorted blocks; how many a block has at most, and how many a range is meant to have.
 BLOCKS = "lang string, paths array<string>, counts array<long>"
@@ -33,7 +33,7 @@ LANGUAGES = 10_000
 
 def _texts(docs: DataFrame) -> DataFrame:
     """lang (null: und) and text (null: empty)."""
-    small_batches(docs.sparkSession, TRIE_BYTES)
+    small_batches(docs.sparkSession, BATCH_BYTES)
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
@@ -44,8 +44,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words, the code of each word, its text, and whether it follows the word before it in one piece."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, the code of each word, and whether it follows the word before it in one piece."""
     flat, offsets = filters.parts(texts)
     kind = _CLASS[flat]
     inside = kind == 0
@@ -58,11 +58,11 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndar
     np.cumsum(sizes, out=ends[1:])
     data = np.ascontiguousarray(_LOWER[flat[inside]])
     words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
-    piece = np.concatenate(([0], np.cumsum(kind == 2)))[starts] if len(starts) else starts
-    text = np.searchsorted(offsets, starts, "right") - 1
     follows = np.zeros(len(starts), bool)
-    follows[1:] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
-    return words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), text, follows
+    if len(starts):
+        text = np.searchsorted(offsets, starts, "right")
+        follows[1:] = ~np.logical_or.reduceat(kind == 2, starts)[:-1] & (text[1:] == text[:-1])
+    return words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64), follows
 
 
 def _by_lang(batches):
@@ -83,7 +83,7 @@ def _split(held: list[pa.RecordBatch]):
     for lang in pc.unique(shard.column(0)).to_pylist():
         own = shard.column(1).filter(pc.equal(shard.column(0), lang)).cast(pa.large_string()).combine_chunks()
         own = own if isinstance(own, pa.Array) else pa.concat_arrays(own.chunks)
-        words, codes, _, follows = words_of(own)
+        words, codes, follows = words_of(own)
         if len(codes):
             yield lang, words, codes, follows
 
@@ -171,7 +171,7 @@ def tries(docs: DataFrame, frequent, pairs, depth: int) -> DataFrame:
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             codes, words = place[codes], words.take(pa.array(order))
-            node, level = codes[at], np.arange(len(words))[:, None]
+            node, level = codes[at], np.arange(len(words), dtype=np.int32)[:, None]
             paths, counts = [], []
             for k in range(2, depth + 1):
                 on = linked[at + k - 2]
@@ -179,7 +179,7 @@ def tries(docs: DataFrame, frequent, pairs, depth: int) -> DataFrame:
                 keys, node, n = np.unique(node * len(words) + codes[at + k - 1], return_inverse=True, return_counts=True)
                 if not len(keys):
                     break
-                level = np.concatenate([level[keys // len(words)], (keys % len(words))[:, None]], 1)
+                level = np.concatenate([level[keys // len(words)], (keys % len(words)).astype(np.int32)[:, None]], 1)
                 paths.append(np.pad(level, ((0, 0), (0, depth - k)), constant_values=-1))
                 counts.append(n)
             if paths:
