@@ -60,13 +60,17 @@ class Stems:
 def token_ids(path: str, batch: pa.RecordBatch, end_id: int = 0):
     """(doc_id, ids) of each row; ids end with ``end_id``.
 
-    The vocabulary ignores case and drops white space before it looks for words, so a text's ids are those of its words
-    in a row. A word is a stem and the marks at its end; each distinct stem of a batch is encoded once.
+    The vocabulary drops white space before it looks for words, so a text's ids are those of its words in a row. A word of
+    ASCII alone is lower-cased, as the vocabulary does, and parted into a stem that ends with a letter or digit and the
+    marks behind it, where the vocabulary's split parts it too; each distinct stem of a batch is encoded once. All other
+    words go to the library as they are: it composes letters before it lower-cases them, which may leave marks of its own at
+    a word's end, and it looks for its added tokens, whose case matters, before either.
     """
     words, codes, first = word_codes(batch.column(1))
-    lower = pc.ascii_lower(words)
+    plain = pc.and_(pc.string_is_ascii(words), pc.invert(pc.match_substring(words, "<|")))
+    lower = pc.if_else(plain, pc.ascii_lower(words), words)
     bare = pc.utf8_rtrim(lower, _MARKS)
-    sound = pc.match_substring_regex(bare, r"[\pL\pN]$")
+    sound = pc.and_(plain, pc.match_substring_regex(bare, "[a-z0-9]$"))
     marks = pc.if_else(sound, _tail(lower, bare), pa.scalar("", lower.type))
     parts = pa.concat_arrays([pc.if_else(sound, bare, lower), marks]).dictionary_encode()
     store = _memory.setdefault(path, Stems(path))
@@ -92,6 +96,8 @@ def _tail(whole: pa.Array, head: pa.Array) -> pa.Array:
     return pa.array(out, whole.type)
 
 
+#: What a vocabulary must do to texts, in this order, for ``token_ids`` to hold.
+_NORMALISED = ["NFC", "Replace", "Lowercase"]
 _memory: dict = {}
 _loaded: dict = {}
 
@@ -101,9 +107,15 @@ def _tokenizer(path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # an executor's cores are shared by its tasks
+        import json
+
         from tokenizers import Tokenizer
 
-        _loaded[path] = Tokenizer.from_file(path)
+        found = Tokenizer.from_file(path)
+        steps_ = (json.loads(found.to_str())["normalizer"] or {}).get("normalizers", [])
+        if [x["type"] for x in steps_] != _NORMALISED:
+            raise ValueError(f"{path} normalises texts in another way than words can be encoded one by one")
+        _loaded[path] = found
     return _loaded[path]
 
 

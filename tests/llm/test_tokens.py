@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -132,3 +133,20 @@ def test_cascade_order_changes_nothing(spark):
     assert a == b
     ordered = rules.cascade_order(rules.with_counts(df.select("doc_id", "text").na.fill("")), some)
     assert len(ordered) == len(some) and all(s > 0 and 0 <= p <= 1 for _, s, p in ordered)
+
+
+_library = packing._tokenizer(BPE)
+_LETTERS = "abzJHTWY09iI'. ,!?;:\n İıßẞéÉàÀ̱́̇̌̈̊ʾﬁKÅ 　日<|>"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(_LETTERS, max_size=12) | st.sampled_from(["<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>.", "<|StartOfText|>!", "İ!", "it's.", "J̌?", "x<|endoftext|>y;"]) | st.text(max_size=6), max_size=8), st.sampled_from(["", " ", "\t"]))
+def test_any_words_have_the_ids_of_the_library(words, between):
+    text = between.join(words)
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([text, "end"])], names=["doc_id", "text"])
+    assert [ids.tolist()[:-1] for _, ids in packing.token_ids(BPE, batch)] == [_library.encode(t, add_special_tokens=False).ids for t in (text, "end")]
+
+
+def test_other_vocabularies_are_refused():
+    with pytest.raises(ValueError, match="normalises"):
+        packing._tokenizer(tokenizer_file("byte_bpe_50k.json"))
