@@ -15,6 +15,7 @@ from ..operators import records as R
 from ..sinks import files as W
 from ..sources import fields as S
 from ..sources import files as FS
+from ..sources import lines as SL
 from . import blocks as B
 from . import coverage, creditors
 from . import fields as FF
@@ -69,9 +70,20 @@ query("src_11", SHORT, "SELECT doc_id, page FROM t WHERE length(text) < 20 AND d
 query("src_13", SHORT, "SELECT CAST(doc_id AS VARCHAR) AS path, CAST(CASE WHEN max(done) = 1 THEN 0 ELSE max(page) END AS INT) AS pages FROM t GROUP BY doc_id")(
     lambda df: FS.page_counts(df.withColumn("n", F.max("page").over(Window.partitionBy("doc_id"))).select(F.col("doc_id").cast("string").alias("path"), F.when(F.col("done") == 1, 0).otherwise(F.col("n")).cast("int").alias("pages")))
 )
-query("src_20", "SELECT c_custkey AS k, CAST(1 + c_custkey % 2 AS INT) AS row, 'DOC-ID|Last   Name||Zip ' || CAST(c_custkey AS STRING) AS s FROM {customer} WHERE c_custkey < 20", r"SELECT k, CASE i WHEN 1 THEN 'doc id' WHEN 2 THEN 'last name' ELSE 'zip ' || k END AS header, i AS place FROM (SELECT k, unnest([1, 2, 4]) AS i FROM t WHERE row = 1)")(
-    lambda df: df.filter("row = 1").select("k", F.posexplode(F.split("s", r"\|")).alias("i", "header")).select("k", T.column_key(F.col("header")).alias("header"), (F.col("i") + 1).alias("place")).filter("header <> ''")
+_TWICE = ("Last Name", "First", "Last  Name", "", "SSN")
+query("src_20", SSN_ROWS, """SELECT doc_id, CAST(2 + ord AS INT) AS row, x.place, x.header, x.nth, x.value FROM (SELECT doc_id, ord, unnest([{'place': 1, 'header': 'last name', 'nth': 1, 'value': last}, {'place': 2, 'header': 'first', 'nth': 1, 'value': first}, {'place': 3, 'header': 'last name', 'nth': 2, 'value': suffix}, {'place': 5, 'header': 'ssn', 'nth': 1, 'value': ssn}]) AS x FROM t)""")(
+    lambda df: FS.template_values(W.combined(W.template(df, _TWICE, dict(zip(_TWICE, map(F.col, ("last", "first", "suffix", "middle", "ssn")))), (("Employee data",), _TWICE)), W.work_folder(df.sparkSession), name="doc_id"), 2)
 )
+PAGE_TEXTS = "SELECT doc_id, page, text FROM (SELECT CONCAT('s', CAST(s_suppkey AS STRING), '.txt') AS doc_id, " + each_row(["(1, s_name || chr(10) || 'line ' || CAST(s_nationkey AS STRING))", "(2, '')", "(3, ' ' || s_name || chr(10))", "(4, CAST(s_nationkey AS STRING))"], "page INT, text VARCHAR") + " FROM {supplier}) AS p"
+
+
+def _page_files(df):
+    at = W.work_folder(df.sparkSession)
+    SL.write_page_files(df, at)
+    return SL.read_page_files(df.sparkSession, at)
+
+
+query("src_16", PAGE_TEXTS, "SELECT replace(doc_id, '.txt', '_extracted') AS file, page, text FROM t")(_page_files)
 
 # Field trees: a person with two drawn kids, a signature drawn as a kid; in every fifth document nothing is listed.
 _K = "CAST(c_custkey AS STRING)"
@@ -144,7 +156,7 @@ _UNI = " UNION ALL ".join(f"""SELECT CAST(doc_id AS VARCHAR) AS "Source File", {
 ))
 query("prj_08", WORDS, _UNI)(_unified)
 query("x_gen", WORDS, _UNI)(_unified)
-LABELS = "SELECT l_orderkey AS doc_id, CAST(1 AS INT) AS page, CAST(l_linenumber AS INT) AS ord, l_partkey, l_suppkey, l_linenumber FROM {lineitem} WHERE l_linenumber <= 2"
+LABELS = "SELECT l_orderkey AS doc_id, CAST(1 AS INT) AS page, CAST(l_linenumber AS INT) AS ord, l_partkey, l_suppkey, l_linenumber FROM {lineitem}"
 
 
 def _beside(df):
@@ -256,6 +268,31 @@ query("dsp_02", DISPATCH, f"""SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN 'w2' WH
     CASE WHEN doc_id % 5 < 2 THEN {_SSN.replace('c_custkey', 'doc_id').replace('STRING', 'VARCHAR')} ELSE '' END AS ssn, CASE doc_id % 5 WHEN 1 THEN 'Jane Roe' WHEN 2 THEN 'Jane Roe' ELSE '' END AS name FROM t""")(_dispatched)
 
 
+# A batch of all nine formats, of which one fails in the midst of its data and one finds nothing.
+_BATCH = {
+    "w2": f"'Wage and Tax Statement of the year' || chr(10) || 'ssn ' || {_SSN}", "401k": f"'Your 401 (k) plan statement for the year' || chr(10) || 'Roe, Jane ' || {_SSN}",
+    "1095c": "'Form 1095-C Employer-Provided Health Insurance' || chr(10) || '1 Name of employee' || chr(10) || 'Jane Roe'",
+    "bucket11": "'Employee Payroll Changes' || chr(10) || rpad('CHANGED FIELD', 30, ' ') || rpad('CHANGED FROM', 26, ' ') || 'CHANGED TO' || chr(10) || 'Roe, Jane' || chr(10) || 'Associate ID: A' || CAST(c_custkey AS STRING) || chr(10) || rpad('Home Phone', 30, ' ') || rpad('555-1', 26, ' ') || '555-2'",
+    "gross-pay": f"'Gross to Net report' || chr(10) || rpad('EE ID', 12, ' ') || rpad('Employee Name', 24, ' ') || 'SSN' || chr(10) || rpad('E1', 12, ' ') || rpad('Jane Roe', 24, ' ') || {_SSN}",
+    "claims": "'Health Plan remittance of the month' || chr(10) || 'ROE, Jane Payee: X' || chr(10) || 'Health Plan ID: H1 Claim: C1'", "patient-info": "'A scan'",
+    "creditor-list": "'Mailing matrix of the case, by name and address'", "generic": "'SECTION' || chr(10) || 'a letter with a sufficient amount of text'",
+}
+BATCH = "SELECT c_custkey AS doc_id, CAST(1 AS INT) AS page, CASE c_custkey % 9 " + " ".join(f"WHEN {i} THEN {t}" for i, t in enumerate(_BATCH.values())) + " END AS text FROM {customer}"
+
+
+def _batch(df):
+    fails = lambda pages, _: pages.select("doc_id", F.when(F.length("text") > 0, F.raise_error(F.lit("planted"))).cast("string").alias("name"))
+    rows, rejects = dispatched(df, SL.laid_out_words(df), {**EXTRACTORS, "creditor-list": fails})
+    f = lambda *cs: F.coalesce(*[F.try_element_at("fields", F.lit(c)) for c in cs], F.lit(""))
+    name = F.coalesce(F.nullif(F.concat_ws(" ", F.nullif(f("first"), F.lit("")), F.nullif(f("last"), F.lit(""))), F.lit("")), f("name", "Employee Name", "header"))
+    planted = F.when(F.contains("why", F.lit("planted")), "planted").otherwise(F.col("why"))
+    return rows.select("doc_id", "format", F.lit("").alias("why"), f("ssn", "SSN").alias("ssn"), name.alias("name")).unionByName(rejects.select("doc_id", "format", planted.alias("why"), F.lit("").alias("ssn"), F.lit("").alias("name")))
+
+
+query("dsp_02_batch", BATCH, "SELECT doc_id, CASE doc_id % 9 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_BATCH)) + f""" END AS format, CASE doc_id % 9 WHEN 6 THEN 'nothing found' WHEN 7 THEN 'planted' ELSE '' END AS why,
+    CASE WHEN doc_id % 9 IN (0, 1, 4) THEN {_SSN.replace('c_custkey', 'doc_id').replace('STRING', 'VARCHAR')} ELSE '' END AS ssn, CASE WHEN doc_id % 9 IN (1, 2, 3, 4) THEN 'Jane Roe' WHEN doc_id % 9 = 5 THEN 'ROE, Jane' WHEN doc_id % 9 = 8 THEN 'SECTION' ELSE '' END AS name FROM t""")(_batch)
+
+
 # Layout by what pages show: captions, name rows, headings, offsets.
 _C = lambda page, y, x, cond: (page, y, x, [when(cond, "SSN")])
 GRID_WORDS = words_sql([_C(1, 30, 40, "c_custkey % 4 > 0"), _C(1, 30, 400, "c_custkey % 4 > 1"), _C(1, 500, 40, "c_custkey % 4 = 3"), (1, 100, 50, ["a"]), (1, 100, 450, ["b"]), (1, 600, 50, ["c"]), (1, 600, 450, ["d"])])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import values as V
 from ..operators.neighbourhood import label_value
+from ..sinks import files as W
 
 # Per form the fields, the spellings of their labels and the shape of their values.
 _TEXT = r"[A-Za-z0-9][A-Za-z0-9 ,.'&\-]*"
@@ -129,32 +130,41 @@ def sample_pages(pages: DataFrame, most: int = 3, least: int = 40) -> DataFrame:
     return first.groupBy("doc_id").agg(F.lower(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n")).alias("text"), (F.sum(F.length(T.strip(F.col("text")))) >= least).alias("has_text"))
 
 
-def dispatched(pages: DataFrame, words: DataFrame, extractors: dict[str, Callable], selected: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def dispatched(pages: DataFrame, words: DataFrame, extractors: dict[str, Callable], selected: list[str] | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows of all documents, each by the extractor of its format, and the rejects.
 
     Rows: doc_id, format, n and fields (a map of the filled columns). Rejects: doc_id, format and why: no format shows, the
-    format has no extractor, or its extractor found nothing. An extractor that can't be planned rejects the documents of its
-    own format only.
+    format has no extractor, its extractor failed, or it found nothing. Routed pages and words are written once, by format,
+    to ``folder`` (by default a new one in the shared folder); each extractor reads its own part and writes its rows as a job
+    of its own, so that one which fails, while it is planned or in the midst of its data, rejects the documents of its own
+    format only, and a run over the other formats is whole.
     """
-    routed = route(sample_pages(pages), selected).select("doc_id", "format")
-    rows, broken = None, []
+    spark, at = pages.sparkSession, folder or W.work_folder(pages.sparkSession)
+
+    def kept(df: DataFrame, name: str, *by: str) -> DataFrame:
+        df.write.mode("overwrite").partitionBy(*by).parquet(f"{at}/{name}") if by else df.write.mode("overwrite").parquet(f"{at}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
+
+    routed = kept(route(sample_pages(pages), selected).select("doc_id", "format"), "routed")
+    own_pages, own_words = kept(pages.join(routed, "doc_id"), "pages", "format"), kept(words.join(routed, "doc_id"), "words", "format")
+    # At most one row for each format.
+    shown = {r.format for r in routed.select("format").distinct().collect()}
+    rows = routed.filter("false").select("doc_id", "format", F.create_map().cast("map<string,string>").alias("fields"))
+    broken = []
     for key, extract in extractors.items():
-        own = routed.filter(F.col("format") == key).select("doc_id")
+        if key not in shown:
+            continue
         try:
-            found = extract(pages.join(own, "doc_id", "left_semi"), words.join(own, "doc_id", "left_semi"))
+            found = extract(*[d.filter(F.col("format") == key).drop("format") for d in (own_pages, own_words)])
+            names = [c for c in found.columns if c != "doc_id"]
+            filled = F.map_filter(F.create_map(*[x for c in names for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]), lambda _, v: v.isNotNull() & (v != ""))
+            rows = rows.unionByName(kept(found.select("doc_id", F.lit(key).alias("format"), filled.alias("fields")), f"rows/{key}"))
         except Exception as e:  # noqa: BLE001  one format's failure isn't the others'
-            broken.append((key, f"{type(e).__name__}: {str(e)[:200]}"))
-            continue
-        names = [c for c in found.columns if c != "doc_id"]
-        filled = F.map_filter(F.create_map(*[x for c in names for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]), lambda _, v: v.isNotNull() & (v != ""))
-        part = found.select("doc_id", F.lit(key).alias("format"), filled.alias("fields"))
-        rows = part if rows is None else rows.unionByName(part)
+            broken.append((key, f"{type(e).__name__}: {str(e)[:500]}"))
     why = F.when(F.col("format").isNull(), "no format")
     for key, error in broken:
         why = why.when(F.col("format") == key, error)
     why = why.when(~F.col("format").isin(*extractors), "no extractor")
-    if rows is None:
-        rows = routed.filter("false").select("doc_id", "format", F.create_map().cast("map<string,string>").alias("fields"))
     rows = rows.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.to_json("fields"))))
     rejects = routed.join(rows.select("doc_id").distinct(), "doc_id", "left_anti").select("doc_id", "format", why.otherwise("nothing found").alias("why"))
     return rows.select("doc_id", "format", "n", "fields"), rejects

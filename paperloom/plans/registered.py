@@ -11,7 +11,7 @@ from . import blocks, changes, coverage, creditors, generic, pipelines, remittan
 def _numbered(pages: DataFrame) -> DataFrame:
     """The lines of all pages: doc_id, page, ord (within the document, from 0) and text."""
     each = pages.select("doc_id", "page", F.posexplode(F.split("text", "\n")).alias("i", "text"))
-    return each.select("doc_id", "page", (F.col("page") * 100_000 + F.col("i")).alias("ord"), "text")
+    return each.select("doc_id", "page", F.struct("page", "i").alias("ord"), "text")
 
 
 def _plan(pages: DataFrame, words: DataFrame) -> DataFrame:

@@ -38,11 +38,34 @@ def extracted_name(document: Column) -> Column:
     return F.concat(F.regexp_replace(T.text(document), r"\.[^./]+$", ""), F.lit("_extracted"))
 
 
+#: Folders into which the outputs of all documents are dealt, and rows of a file at most.
+BUCKETS, ROWS = 64, 1_000_000
+
+
+def _bucket(file: Column) -> Column:
+    return F.pmod(F.xxhash64(file), F.lit(BUCKETS)).cast("int")
+
+
 def per_document(df: DataFrame, folder: str, document: str = "doc_id") -> DataFrame:
-    """Writes the rows of each document under file=<its name>, and reads all of them back."""
-    out = df.withColumn("file", extracted_name(F.col(document)))
-    out.repartition("file").write.mode("overwrite").partitionBy("file").parquet(folder)
-    return df.sparkSession.read.schema(out.schema).parquet(folder)
+    """Writes the rows of each document as an output of its own, file=<its name>, and reads all of them back.
+
+    Outputs are dealt to ``BUCKETS`` folders and lie sorted in them, so there are as many files as the data ask for and not
+    as there are documents; a folder with much more than others, as one huge document makes it, is split among tasks, and
+    files end after ``ROWS`` rows. ``manifest`` lists the outputs, ``output`` reads one.
+    """
+    out = df.withColumn("file", extracted_name(F.col(document))).withColumn("bucket", _bucket(F.col("file")))
+    out.hint("rebalance", "bucket").sortWithinPartitions("bucket", "file").write.mode("overwrite").option("maxRecordsPerFile", ROWS).partitionBy("bucket").parquet(folder)
+    return df.sparkSession.read.schema(out.schema).parquet(folder).drop("bucket")
+
+
+def manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """file, bucket, rows and parts (files that hold some of them) of each output that ``per_document`` wrote."""
+    return spark.read.parquet(folder).groupBy("file", "bucket").agg(F.count("*").alias("rows"), F.countDistinct("_metadata.file_path").alias("parts"))
+
+
+def output(spark: SparkSession, folder: str, file: str) -> DataFrame:
+    """The rows of one output; only its folder is read."""
+    return spark.read.parquet(folder).filter((F.col("bucket") == _bucket(F.lit(file))) & (F.col("file") == file)).drop("bucket")
 
 
 def combined(df: DataFrame, folder: str, document: str = "doc_id", name: str = "Document ID") -> DataFrame:

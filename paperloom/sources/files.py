@@ -7,9 +7,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
+
 PAGES = "path string, page int, pages int, text string, error string"
 WORDS = "path string, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string, conf double"
 #: Modules that offer ``pages(body) -> iterable of text`` and ``words(body) -> iterable of (page, x0, y0, x1, y1, text)``, first one installed wins.
@@ -120,3 +122,15 @@ def template_columns(rows: DataFrame, row: int = 1) -> DataFrame:
     each = rows.filter(F.col("row") == row).select(F.posexplode("cells").alias("i", "header"))
     key = F.trim(F.lower(F.regexp_replace(F.coalesce("header", F.lit("")), r"[\s–—-]+", " ")))
     return each.select(key.alias("header"), (F.col("i") + 1).cast("long").alias("place")).filter("header <> ''")
+
+
+def template_values(sheet: DataFrame, row: int, document: str = "doc_id") -> DataFrame:
+    """Cells of a template sheet under its headers: document, row, place (from 1), header (its key for look-ups), nth and value.
+
+    sheet: document, row and cells, as a template is written; ``row`` is that of the headers. Of headers that spell alike
+    the place tells which is meant: nth counts them from the left. Columns without a header are left out.
+    """
+    heads = F.first(F.when(F.col("row") == row, F.transform("cells", T.column_key)), True).over(Window.partitionBy(document))
+    d = sheet.withColumn("heads", heads).filter(F.col("row") > row)
+    each = d.select(document, "row", "heads", F.posexplode("cells").alias("i", "value")).withColumn("header", F.coalesce(F.get("heads", F.col("i")), F.lit(""))).filter("header <> ''")
+    return each.select(document, "row", (F.col("i") + 1).alias("place"), "header", F.expr("size(filter(slice(heads, 1, i + 1), h -> h = header))").alias("nth"), T.text(F.col("value")).alias("value"))

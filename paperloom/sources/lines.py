@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..sinks.files import extracted_name
 
 
 def layout_lines(texts: DataFrame) -> DataFrame:
@@ -18,6 +19,33 @@ def pages_of_lines(lines: DataFrame) -> DataFrame:
     return lines.groupBy("doc_id", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "\n").alias("text"))
 
 
+def laid_out_words(pages: DataFrame, width: float = 8.0, height: float = 20.0) -> DataFrame:
+    """doc_id, page, ord, box and text of the words of pages whose text keeps its layout: a character's column and line are its place."""
+    lines = pages.select("doc_id", "page", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    # Single blanks part the words, so that those between two of them add up to the columns that lie between.
+    parts = lines.select("doc_id", "page", "line", F.split("text", " ").alias("parts"))
+    each = parts.select("doc_id", "page", "line", F.posexplode("parts").alias("i", "text"), F.col("parts")).filter("text <> ''").withColumn("col", F.expr("length(array_join(slice(parts, 1, i), ' ')) + if(i > 0, 1, 0)"))
+    order = F.row_number().over(Window.partitionBy("doc_id", "page").orderBy("line", "col")) - 1
+    x, y = F.col("col") * width, F.col("line") * height
+    return each.select("doc_id", "page", order.alias("ord"), x.alias("x0"), y.alias("y0"), (x + F.length("text") * width).alias("x1"), (y + height / 2).alias("y1"), "text")
+
+
+def write_page_files(pages: DataFrame, folder: str) -> None:
+    """A text file for each document, under file=<its output's name>, its pages in order and parted by form feeds; form feeds in a page become blanks."""
+    out = pages.select(extracted_name(F.col("doc_id")).alias("file"), "page", F.translate(F.coalesce("text", F.lit("")), "\f", " ").alias("value"))
+    out.repartition("file").sortWithinPartitions("file", "page").drop("page").write.mode("overwrite").option("lineSep", "\f").partitionBy("file").text(folder)
+
+
+def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """file, page (from 1) and text of the pages of all text files below a folder; form feeds part pages, so no file is held whole.
+
+    A page's number is its place among the file's parts and, within these, in the order in which they are read.
+    """
+    read = spark.read.schema("value string, file string").option("lineSep", "\f").text(folder)
+    each = read.select("file", F.col("value").alias("text"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    return each.select("file", F.row_number().over(Window.partitionBy("path").orderBy("start", "n")).alias("page"), "text")
+
+
 def read_line_csv(spark: SparkSession, path: str) -> DataFrame:
     """A file of File Name, Page Number, Extracted Text; nothing is inferred and blanks stay ''. Raises if a column is missing."""
     df = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"', nullValue="\u0000", emptyValue="")

@@ -100,3 +100,23 @@ def test_patients(spark):
         ("A", "VILLA, Daniel", "", "123456789", "123456789", "1:2", "2/2/2020", "A100", "", 3),
         ("B", "ROE, Jane", "H1", "55", "", "900:901", "3/4/20", "", "0450 A99", 1),
     ]
+
+
+def _scans(df):
+    return df._jdf.queryExecution().analyzed().toString().count("Relation [")
+
+
+def test_rendered_inputs_read_their_table_once(spark, sf):
+    """Words, lines and rows of a rendered document come from one generator a row."""
+    from paperloom.plans import catalog
+    from paperloom.plans.registry import rendered
+
+    found = {n: _scans(rendered(spark, sf, q.source)) for n, q in catalog.queries().items() if "<each>" in getattr(q, "source", "")}
+    assert len(found) > 30 and set(found.values()) == {1}
+
+
+@pytest.mark.parametrize("name, most", [("x_claim", 2), ("win_14", 1), ("lay_07", 1), ("win_07", 1), ("x_1095c", 1), ("x_pat", 2), ("x_chg", 6), ("x_gross", 4), ("x_w2b", 9), ("x_401k", 10)])
+def test_plans_scan_their_input_a_few_times(spark, sf, name, most):
+    from paperloom.plans import catalog
+
+    assert _scans(catalog.queries()[name](spark, sf)) <= most

@@ -54,7 +54,10 @@ def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a.pdf", 1, "=1+1", None), ("a.pdf", 2, 'say "hi", ok', "line\nbreak"), ("b.x.pdf", 1, "é", "")], "doc_id string, ord int, v string, w string")
     plain = sorted(tuple(r) for r in df.fillna("").collect())
     own = W.per_document(df, f"{tmp_path}/own")
-    assert sorted({r.file for r in own.collect()}) == ["a_extracted", "b.x_extracted"] and (tmp_path / "own" / "file=a_extracted").is_dir()
+    assert sorted({r.file for r in own.collect()}) == ["a_extracted", "b.x_extracted"]
+    assert all(x.name.startswith(("bucket=", "_", ".")) for x in (tmp_path / "own").iterdir()) and len(list((tmp_path / "own").glob("bucket=*"))) <= W.BUCKETS
+    assert {(r.file, r.rows, r.parts) for r in W.manifest(spark, f"{tmp_path}/own").collect()} == {("a_extracted", 2, 1), ("b.x_extracted", 1, 1)}
+    assert sorted(r.ord for r in W.output(spark, f"{tmp_path}/own", "a_extracted").collect()) == [1, 2]
     both = W.combined(df, f"{tmp_path}/all")
     assert both.columns == ["Document ID", "ord", "v", "w"] and both.count() == 3
     back = W.csv(df, f"{tmp_path}/csv", mark=True)
