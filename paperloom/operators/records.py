@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..sinks.files import work_folder
 
 
@@ -55,32 +55,32 @@ def merge_prefixes(df: DataFrame, blanks: bool = False) -> DataFrame:
 
     df: doc_id, ord, ssn, first, middle, last, suffix and any other columns, which stay those of the earliest record. The
     longer first name wins and brings its other parts; blanks are filled. Prefixes aren't transitive, so records are folded
-    in order. Rows without a number or a name pass through; with ``blanks``, only those without a first name do. A number is
-    shared by few records of a document, so groups are small.
+    in order, by an aggregate over a group's records. Rows without a number or a name pass through; with ``blanks``, only
+    those without a first name do. A number is shared by few records of a document, so groups are small.
     """
-    schema = df.schema
-
-    def fold(table: pa.Table) -> pa.Table:
-        out: list[dict] = []
-        for r in sorted(table.drop(["_last", "_ssn"]).to_pylist(), key=lambda r: r["ord"]):
-            own = r["first"].strip()
-            for p in out:
-                a, b = own.lower(), p["first"].strip().lower()
-                if a.startswith(b) or b.startswith(a):
-                    longer = len(own) > len(p["first"].strip())
-                    if longer:
-                        p["first"] = own
-                    for c in ("middle", "suffix"):
-                        if r[c] and (longer or not p[c]):
-                            p[c] = r[c]
-                    break
-            else:
-                out.append(dict(r))
-        return pa.Table.from_pylist(out, schema=pa.schema([f for f in table.schema if f.name not in ("_last", "_ssn")]))
-
-    d = df.withColumn("_last", F.lower(F.trim("last"))).withColumn("_ssn", F.trim("ssn"))
-    own = F.trim("first") != "" if blanks else (F.trim("first") != "") & (F.col("_last") != "") & (F.col("_ssn") != "")
-    return d.filter(own).groupBy("doc_id", "_ssn", "_last").applyInArrow(fold, schema).unionByName(d.filter(~own).drop("_last", "_ssn"))
+    own = T.strip(F.col("first")) != "" if blanks else (T.strip(F.col("first")) != "") & (F.trim("last") != "") & (F.trim("ssn") != "")
+    rest = [c for c in df.columns if c != "ord"]
+    each = df.filter(own).select(F.lower(F.trim("last")).alias("_l"), F.trim("ssn").alias("_s"), F.col("doc_id").alias("_d"), F.struct("ord", T.strip(F.col("first")).alias("_f"), *rest).alias("_r"))
+    rows = each.groupBy("_d", "_s", "_l").agg(F.array_sort(F.collect_list("_r")).alias("rows"))
+    kind = rows.schema["rows"].dataType.elementType.simpleString()
+
+    def merged(p: Column, r: Column) -> Column:
+        longer = F.length(r["_f"]) > F.length(p["_f"])
+        filled = lambda c: F.when((r[c] != "") & (longer | (p[c] == "")), r[c]).otherwise(p[c])
+        new = {"_f": F.when(longer, r["_f"]).otherwise(p["_f"]), "first": F.when(longer, r["_f"]).otherwise(p["first"]), "middle": filled("middle"), "suffix": filled("suffix")}
+        return F.struct(*[new.get(c, p[c]).alias(c) for c in ("ord", "_f", *rest)])
+
+    def step(done: Column, r: Column) -> Column:
+        begins = lambda a, b: F.startswith(F.lower(a), F.lower(b))
+        alike = F.array_position(F.transform(done, lambda p: begins(p["_f"], r["_f"]) | begins(r["_f"], p["_f"])), True)
+        return T.let(alike, lambda at: F.when(at == 0, F.concat(done, F.array(r))).otherwise(F.transform(done, lambda p, i: F.when(i == at - 1, merged(p, r)).otherwise(p))))
+
+    folded = rows.select(F.explode(F.aggregate("rows", F.array().cast(f"array<{kind}>"), step)).alias("x")).select(*[F.col(f"x.{c}").alias(c) for c in df.columns])
+    return folded.unionByName(df.filter(~own))
+
+
+#: How many places of two texts of 0 and 1 agree: 60 places at a time as bits, which differ where one of them is set alone; what is longer agrees with nothing.
+_SAME = "aggregate(sequence(0, cast((least(length(ga), length(gb)) - 1) / 60 as int)), 0, (n, i) -> n + least(60, least(length(ga), length(gb)) - i * 60) - bit_count(conv(substr(substr(ga, 1, least(length(ga), length(gb))), i * 60 + 1, 60), 2, 10)::bigint ^ conv(substr(substr(gb, 1, least(length(ga), length(gb))), i * 60 + 1, 60), 2, 10)::bigint))"
 
 
 def alike_pairs(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
@@ -99,8 +99,7 @@ def alike_pairs(prints: DataFrame, layout: float = 0.92, text: float = 0.60) ->
     met = keys.withColumnRenamed("file", "a").join(keys.withColumnRenamed("file", "b"), ["orientation", "k"]).filter("a < b").select("orientation", "a", "b").distinct()
     own = lambda n: prints.select("orientation", F.col("file").alias(n), F.col("grid").alias(f"g{n}"), F.array_distinct("tokens").alias(f"t{n}"))
     both = met.join(own("a"), ["orientation", "a"]).join(own("b"), ["orientation", "b"])
-    same = "size(filter(sequence(1, greatest(least(length(ga), length(gb)), 1)), i -> i <= least(length(ga), length(gb)) and substr(ga, i, 1) = substr(gb, i, 1)))"
-    alike = f"(ga <> '' and {same} >= {layout} * length(ga)) or (size(ta) > 0 and size(tb) > 0 and size(array_intersect(ta, tb)) >= {text} * size(array_union(ta, tb)))"
+    alike = f"(ga <> '' and {_SAME} >= {layout} * length(ga)) or (size(ta) > 0 and size(tb) > 0 and size(array_intersect(ta, tb)) >= {text} * size(array_union(ta, tb)))"
     return both.filter(alike).select("orientation", "a", "b")
 
 

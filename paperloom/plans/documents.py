@@ -193,6 +193,19 @@ def _increments(df):
 query("snk_09", LINES, "SELECT doc_id, ord, CASE WHEN doc_id % 7 = 3 THEN 'new' ELSE kind END AS kind, doc_id % 7 AS part FROM t")(_increments)
 query("snk_10", SSN_ROWS, " UNION ALL ".join(f"SELECT '{c}' AS \"column\", least(greatest(max(length(CAST({c} AS VARCHAR))), {len(c)}) + 2, 60) AS width FROM t" for c in ("doc_id", "ssn", "first", "suffix")))(lambda df: W.widths(df.select("doc_id", "ssn", "first", "suffix")).withColumn("width", F.col("width").cast("long")))
 
+def _dumped(df):
+    """Both modes over one input: its lines as text, those with bars as table rows too."""
+    at = _AT(df)
+    lines = df.select("doc_id", "page", F.col("row").alias("ord"), F.col("s").alias("text"))
+    W.dump(lines, lines.filter("contains(text, '|')").select("doc_id", "page", "ord", F.split("text", r"\|").alias("cells")), at, "/in/forms/", "2026-07-04")
+    read = lambda mode: df.sparkSession.read.parquet(f"{at}/forms_07042026/{mode}")
+    cells = [F.coalesce(f"Col_{i}", F.lit("")) for i in range(1, 5)]
+    return read("text").select(F.lit("text").alias("mode"), F.col("File Name").alias("doc_id"), F.col("Page Number").alias("page"), "ord", F.col("Extracted Text").alias("value")).unionByName(read("tables").select(F.lit("tables").alias("mode"), F.col("File Name").alias("doc_id"), F.col("Page Number").alias("page"), "ord", F.concat_ws("|", *cells).alias("value")))
+
+
+query("x_lines_dump", CELLS, """SELECT 'text' AS mode, doc_id, page, row AS ord, rtrim(s) AS value FROM t
+    UNION ALL SELECT 'tables', doc_id, page, row, array_to_string(list_transform(range(1, 5), lambda i: coalesce(string_split(s, '|')[i], '')), '|') FROM t WHERE contains(s, '|')""")(_dumped)
+
 # W-2 rows in the standard template, and their summary.
 RAW = f"SELECT c_custkey AS doc_id, 'f' || CAST(c_custkey % 100 AS STRING) || '.pdf' AS file, CAST(1 + c_custkey % 3 AS INT) AS page, CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'Jane Roe' WHEN 2 THEN 'Jane Q Roe Jr' ELSE 'Cher' END AS name, CASE c_custkey % 3 WHEN 0 THEN '' ELSE '1 Main St, Reno, NV 8950' || CAST(c_custkey % 10 AS STRING) END AS address, CASE WHEN c_custkey % 5 = 0 THEN '' ELSE '900-01-' || lpad(CAST(c_custkey % 10000 AS STRING), 4, '0') END AS ssn, CAST(c_custkey AS STRING) || '.00' AS wages FROM {{customer}}".replace("{{", "{").replace("}}", "}")
 

@@ -31,7 +31,7 @@ class Query:
             return None
         source = re.sub(_EACH, lambda m: f"unnest([{m[1]}]::STRUCT({m[2]})[], recursive := true)", self.source, flags=re.S)
         rule = re.sub(r"\b([a-z]) -> ", r"lambda \1: ", self.oracle)
-        return "WITH t AS (" + re.sub(r"{(\w+)}", r"\1", source) + ")" + re.sub(r"^\s*WITH (?!RECURSIVE)", ", ", " " + rule)
+        return ("WITH RECURSIVE t AS (" if re.match(r"\s*WITH RECURSIVE ", rule) else "WITH t AS (") + re.sub(r"{(\w+)}", r"\1", source) + ")" + re.sub(r"^\s*WITH (RECURSIVE )?", ", ", " " + rule)
 
 
 def rendered(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:

@@ -100,7 +100,17 @@ query("join_09", LINES, "SELECT a.doc_id, a.ord FROM t a WHERE a.status = 'O' AN
 )
 SSN_ROWS = f"SELECT l_orderkey AS doc_id, CAST({_ORD} AS INT) AS ord, lpad(CAST(900 + l_partkey % 3 AS STRING), 3, '0') || '-' || lpad(CAST(1 + l_suppkey % 2 AS STRING), 2, '0') || CASE l_linenumber % 3 WHEN 0 THEN '-XXXX' WHEN 1 THEN '-1234' ELSE '-12XX' END AS ssn, CASE l_suppkey % 4 WHEN 0 THEN 'Jo' WHEN 1 THEN 'John' WHEN 2 THEN 'Johnny' ELSE '' END AS first, CASE l_linenumber % 2 WHEN 0 THEN 'Q' ELSE '' END AS middle, l_returnflag AS last, CASE l_linenumber % 5 WHEN 0 THEN 'Jr' ELSE '' END AS suffix FROM {{lineitem}}"
 query("join_10", SSN_ROWS, "SELECT doc_id, ord, ssn FROM (SELECT *, max(CASE WHEN length(regexp_replace(ssn, '\\D', '', 'g')) = 9 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, ssn[:6]) AS f FROM t) WHERE f = 0 OR length(regexp_replace(ssn, '\\D', '', 'g')) = 9")(lambda df: R.drop_partial(df, "ssn", ["doc_id"]).select("doc_id", "ord", "ssn"))
-query("join_11", SSN_ROWS)(R.merge_prefixes)
+_KIN = "(starts_with(lower(p.first), lower(rs[k + 1].first)) OR starts_with(lower(rs[k + 1].first), lower(p.first)))"
+_NEWER = "rs[k + 1].{0} <> '' AND (length(rs[k + 1].first) > length(p.first) OR p.{0} = '')"
+query("join_11", SSN_ROWS, f"""
+    WITH RECURSIVE own AS (SELECT *, first <> '' AND trim(last) <> '' AND trim(ssn) <> '' AS named FROM t),
+    g AS (SELECT doc_id, list(struct_pack(ord := ord, ssn := ssn, first := first, middle := middle, last := last, suffix := suffix) ORDER BY ord) AS rs FROM own WHERE named GROUP BY doc_id, trim(ssn), lower(trim(last))),
+    r AS (SELECT doc_id, rs, 1 AS k, rs[:1] AS done FROM g
+      UNION ALL SELECT doc_id, rs, k + 1, CASE WHEN pos IS NULL THEN list_append(done, rs[k + 1]) ELSE list_transform(done, lambda p, i: CASE WHEN i = pos THEN struct_pack(ord := p.ord, ssn := p.ssn, first := CASE WHEN length(rs[k + 1].first) > length(p.first) THEN rs[k + 1].first ELSE p.first END,
+        middle := CASE WHEN {_NEWER.format('middle')} THEN rs[k + 1].middle ELSE p.middle END, last := p.last, suffix := CASE WHEN {_NEWER.format('suffix')} THEN rs[k + 1].suffix ELSE p.suffix END) ELSE p END) END
+      FROM (SELECT *, list_position(list_transform(done, lambda p: {_KIN}), true) AS pos FROM r WHERE k < len(rs))),
+    done AS (SELECT doc_id, unnest(done, recursive := true) FROM (SELECT doc_id, done FROM r WHERE k = len(rs)))
+    SELECT doc_id, ord, ssn, first, middle, last, suffix FROM done UNION ALL SELECT doc_id, ord, ssn, first, middle, last, suffix FROM own WHERE NOT named""")(lambda df: R.merge_prefixes(df.select("doc_id", "ord", "ssn", "first", "middle", "last", "suffix")))
 query("join_12", "SELECT o_orderkey AS k, CASE o_orderkey % 6 WHEN 0 THEN 'Address - City' WHEN 1 THEN 'Rate 1' WHEN 2 THEN 'Employee Name - Salutation' WHEN 3 THEN 'Dependents No' WHEN 4 THEN 'Social Security Number' ELSE 'Unknown' END AS header FROM {orders}",
     "SELECT k, CASE k % 6 WHEN 0 THEN 'City' WHEN 2 THEN 'Suffix' WHEN 4 THEN 'Social Security Number' END AS value_col, CASE k % 6 WHEN 0 THEN 'Contact Information' WHEN 1 THEN 'Work-Related Information' WHEN 3 THEN 'Family Information' WHEN 4 THEN 'Government-Issued Identification' END AS category, CASE k % 6 WHEN 0 THEN 'Home address' WHEN 1 THEN 'Salary or Compensation Information' WHEN 4 THEN 'Social Security Number (SSN)' END AS note FROM t")(
     lambda df: df.join(F.broadcast(df.sparkSession.createDataFrame(list(CHANGE_FIELDS), "header string, value_col string, category string, note string")), "header", "left").select("k", "value_col", "category", "note")

@@ -75,6 +75,23 @@ def combined(df: DataFrame, folder: str, document: str = "doc_id", name: str = "
     return df.sparkSession.read.schema(out.schema).parquet(folder)
 
 
+def dump(lines: DataFrame | None, tables: DataFrame | None, at: str, folder: str, day: str, day_first: bool = False) -> dict[str, DataFrame]:
+    """Text lines (doc_id, page, ord, text), table rows (doc_id, page, ord, cells) or both, written below ``at`` in <folder>_<date>, and read back.
+
+    ``folder`` is the folder that was read, ``day`` an ISO date; the date is MMDDYYYY, or DDMMYYYY with ``day_first``. Lines
+    lose trailing blanks; cells are cleaned and go to Col_1 ... Col_n, n being the most that a row has.
+    """
+    y, m, d = day.split("-")
+    name = f"{folder.rstrip('/').rsplit('/', 1)[-1]}_{d + m if day_first else m + d}{y}"
+    own = {}
+    if lines is not None:
+        own["text"] = lines.select(F.col("doc_id").alias("File Name"), F.col("page").alias("Page Number"), "ord", F.rtrim(T.printable(F.col("text"))).alias("Extracted Text"))
+    if tables is not None:
+        most = tables.agg(F.coalesce(F.max(F.size("cells")), F.lit(0)).alias("n")).first()["n"]
+        own["tables"] = tables.select(F.col("doc_id").alias("File Name"), F.col("page").alias("Page Number"), "ord", *[T.printable(T.text(F.get("cells", F.lit(i)))).alias(f"Col_{i + 1}") for i in range(most)])
+    return views(own, f"{at}/{name}")
+
+
 def csv(df: DataFrame, folder: str, mark: bool = False) -> DataFrame:
     """Writes CSV files with a header each; with ``mark`` each begins with a byte-order mark. Formulas are made harmless. Reads them back as text."""
     out = df.select(*[T.formula_safe(F.col(c)).alias(c) for c in df.columns])
