@@ -56,10 +56,11 @@ def lines_anchor(words: DataFrame, tolerance: float = 3.0, with_words: bool = Fa
     return each.groupBy(*PAGE, "line").agg(words_text(["x0", "ord"]).alias("text"), *([line_words().alias("words")] if with_words else []))
 
 
-def caption_grid(words: DataFrame, caption: str, height: float = 792.0, width: float = 612.0, split: float = 0.5) -> DataFrame:
-    """Cells by the captions that each page shows: as many bands as lines hold the caption, two columns where one holds it twice."""
+def caption_grid(words: DataFrame, caption: str | Column, height: float = 792.0, width: float = 612.0, split: float = 0.5) -> DataFrame:
+    """Cells by the captions that each page shows: as many bands as lines hold the caption, two columns where one holds it twice. ``caption``: a pattern, or an aggregate over a line's words that gives one."""
+    caption = F.lit(caption) if isinstance(caption, str) else caption
     y = (F.rint(F.col("y0") / 3) * 3).alias("y")
-    lines = words.groupBy(*PAGE, y).agg(F.regexp_count(words_text(["x0", "ord"]), F.lit(caption)).alias("n")).filter("n > 0")
+    lines = words.groupBy(*PAGE, y).agg(F.regexp_count(words_text(["x0", "ord"]), caption).alias("n")).filter("n > 0")
     counts = lines.groupBy(*PAGE).agg(F.transform(F.array_sort(F.collect_list(F.struct("y", "n"))), lambda x: x["n"]).alias("counts"))
     d = words.join(counts, PAGE, "left").withColumn("_rows", F.greatest(F.coalesce(F.size("counts"), F.lit(1)), F.lit(1)))
     return grid_cells(d, F.col("_rows"), lambda band: F.coalesce(F.get("counts", band), F.lit(1)) >= 2, height, width, split).drop("counts", "_rows")

@@ -29,7 +29,7 @@ def words_sql(lines: list[tuple], letter: int = 8) -> str:
 
 
 def when(cond: str, word: str) -> str:
-    return f"=CASE WHEN {cond} THEN '{word}' ELSE '' END"
+    return f"=CASE WHEN {cond} THEN '" + word.replace("'", "''") + "' ELSE '' END"
 
 
 # Change logs: a table header on page 1, or only on page 2, or one without "changed" before from and to.

@@ -13,8 +13,10 @@ from ..operators import layout as L
 from ..operators import neighbourhood as A
 from ..operators import records as R
 from ..sources import lines as SRC
-from .composed import words_sql
+from . import grid as GR
+from .composed import when, words_sql
 from .forms import FORMS, route, sample_pages
+from .grid import STOP
 from .registry import each_row, query
 from .relations import LINES, SSN_ROWS
 from .scalars import AREA, FIRST, GROUP, LAST, SERIAL
@@ -71,8 +73,7 @@ def _w2(df):
     """Number near its caption, name and address below theirs, wages after their label; one record per document and number."""
     w = Window.partitionBy("doc_id").orderBy("ord")
     d = df.withColumn("text", T.fold(F.col("text"))).withColumn("ctx", A.around("text", ["doc_id"], ["ord"], 2, 2)).withColumn("below", F.collect_list("text").over(w.rowsBetween(1, 8)))
-    stop = r"(?i)^(?:\d{1,2}\s+State\b|Employer.s state ID|Local income tax|Locality name|Form\s*W-?2\b|Wage\s*(?:&|and)\s*Tax Statement|Copy\s+[A-Z0-9]|For (?:Official|Privacy)|Department of the Treasury|20\d{2}$)"
-    block = A.until_stop(F.filter("below", lambda x: x != ""), lambda x: x.rlike(stop))
+    block = A.until_stop(F.filter("below", lambda x: x != ""), lambda x: x.rlike(STOP))
     found = d.groupBy("doc_id").agg(
         F.min_by(V.ssn_repaired(F.col("ctx")), F.when(F.col("text").rlike(r"(?i)Employee.?s\s+(?:social security number|SSN)\b"), F.col("ord"))).alias("ssn"),
         F.min_by(block, F.when(F.col("text").rlike(r"(?i)Employee.?s\s+name,\s*address"), F.col("ord"))).alias("block"),
@@ -86,6 +87,42 @@ def _w2(df):
 
 
 query("x_w2", W2_LINES, f"SELECT doc_id, {FIRST.replace('c_custkey', 'doc_id')} AS first, 'Roe' AS last, 'Jr' AS suffix, doc_id || ' Main St' AS street, 'Springfield' AS city, 'WI' AS state, lpad(CAST(doc_id % 100000 AS VARCHAR), 5, '0') AS zip, {_OSSN} AS ssn, (1000 + doc_id % 9000) || '.' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') AS box_1 FROM t WHERE ord = 0")(_w2)
+# Pages with one employee, two, four, none with a caption, one with a name box, and none at all.
+_K6 = "c_custkey % 6"
+
+
+def _employee(cond: str, x: int, y: int, tag: int) -> list[tuple]:
+    own = lambda *tokens: [f"=CASE WHEN {cond} THEN {t[1:]} ELSE '' END" if t.startswith("=") else when(cond, t) for t in tokens]
+    return [(1, y, x, own("Employee's", "social", "security", "number")), (1, y + 10, x, own(f"=CONCAT('90{tag}-12-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0'))")), (1, y + 20, x, own("Employee's", "name,", "address,")),
+            (1, y + 30, x, own("Jane", f"=CONCAT('Roe{tag}x', CAST(c_custkey AS STRING))")), (1, y + 40, x, own(f"{tag}", "Elm", "St")), (1, y + 50, x, own("Reno,", "NV", "89501"))]
+
+
+_LINE = lambda cond, y, x, *tokens: (1, y, x, [when(cond, t) for t in tokens])
+GRID_PAGES = words_sql([
+    *_employee(f"{_K6} <= 2", 10, 51, 1), *_employee(f"{_K6} IN (1, 2)", 320, 51, 2), *_employee(f"{_K6} = 2", 10, 450, 3), *_employee(f"{_K6} = 2", 320, 450, 4),
+    _LINE(f"{_K6} = 3", 51, 10, "EIN", "12-3456789"), _LINE(f"{_K6} = 3", 60, 10, "Acme", "Works"), _LINE(f"{_K6} = 3", 69, 10, "Mill", "Road"), _LINE(f"{_K6} = 3", 81, 10, "Reno,", "NV", "89509"),
+    (1, 90, 10, [f"=CASE WHEN {_K6} = 3 THEN CONCAT('905-12-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) ELSE '' END"]), _LINE(f"{_K6} = 3", 99, 10, "12", "34"), _LINE(f"{_K6} = 3", 111, 10, "a"),
+    _LINE(f"{_K6} = 3", 120, 10, "Ann", "Lee", "Jr"), _LINE(f"{_K6} = 3", 129, 10, "5", "Elm", "St"), _LINE(f"{_K6} = 3", 141, 10, "Reno,", "NV", "89502"),
+    _LINE(f"{_K6} = 4", 51, 10, "Employee's", "SSN"), (1, 60, 10, [f"=CASE WHEN {_K6} = 4 THEN CONCAT('906-12-', lpad(CAST(c_custkey % 10000 AS STRING), 4, '0')) ELSE '' END"]),
+    _LINE(f"{_K6} = 4", 69, 10, "Employee's", "first", "name", "and", "initial", "Last", "name", "Suff."), _LINE(f"{_K6} = 4", 81, 10, "Mary", "Ann"), _LINE(f"{_K6} = 4", 81, 370, "Poe"), _LINE(f"{_K6} = 4", 81, 514, "III"),
+    _LINE(f"{_K6} = 4", 90, 10, "f", "Employee's", "address"), _LINE(f"{_K6} = 4", 99, 10, "6", "Elm", "St"), _LINE(f"{_K6} = 4", 99, 450, "12a", "500.00"), _LINE(f"{_K6} = 4", 111, 10, "Reno,", "NV", "89503"), _LINE(f"{_K6} = 4", 120, 10, "Form", "W-2"),
+    _LINE(f"{_K6} = 5", 51, 10, "nothing", "here", "is", "of", "use", "at", "all"),
+])
+
+
+def _grid(df):
+    found = GR.employees(df).select("doc_id", "cell", "way", "first", "last", "suffix", "street", "city", "state", "zip", "ssn")
+    return found.unionByName(GR.rejected(df).select("doc_id", F.lit("").alias("cell"), F.col("why").alias("way"), *[F.lit("").alias(c) for c in ("first", "last", "suffix", "street", "city", "state", "zip", "ssn")]))
+
+
+_CELLS_OF = (("= 0", 1, "Single"), ("= 1", 1, "Left"), ("= 1", 2, "Right"), ("= 2", 1, "TopLeft"), ("= 2", 2, "TopRight"), ("= 2", 3, "BottomLeft"), ("= 2", 4, "BottomRight"))
+_DOCS, _NUMBER = "(SELECT DISTINCT doc_id FROM t)", "lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0')"
+query("x_w2_grid", GRID_PAGES, " UNION ALL ".join([f"SELECT doc_id, '{c}' AS cell, 'block' AS way, 'Jane' AS first, 'Roe{n}x' || doc_id AS last, '' AS suffix, '{n} Elm St' AS street, 'Reno' AS city, 'NV' AS state, '89501' AS zip, '90{n}-12-' || {_NUMBER} AS ssn FROM {_DOCS} WHERE doc_id % 6 {w}" for w, n, c in _CELLS_OF] + [
+    f"SELECT doc_id, 'Single', 'shape', 'Ann', 'Lee', 'Jr', '5 Elm St', 'Reno', 'NV', '89502', '905-12-' || {_NUMBER} FROM {_DOCS} WHERE doc_id % 6 = 3",
+    f"SELECT doc_id, 'Single', 'box', 'Mary Ann', 'Poe', 'III', '6 Elm St', 'Reno', 'NV', '89503', '906-12-' || {_NUMBER} FROM {_DOCS} WHERE doc_id % 6 = 4",
+    f"SELECT doc_id, '', 'no number', '', '', '', '', '', '', '', '' FROM {_DOCS} WHERE doc_id % 6 = 5",
+]))(_grid)
+
 # The headings of a gross-to-net report.
 GROSS_HEADINGS = {
     "EE ID": ("EE", "ID"), "Employee Name": ("Employee", "Name"), "SSN": ("SSN",), "Payment Date": ("Payment", "Date"), "Total Hrs/Units": ("Total", "Hrs/Units"), "Total Earnings": ("Total", "Earnings"),
