@@ -85,6 +85,24 @@ def _page_files(df):
 
 query("src_16", PAGE_TEXTS, "SELECT replace(doc_id, '.txt', '_extracted') AS file, page, text FROM t")(_page_files)
 
+# Page bodies: a text file for each supplier, whose pages tasks read by ranges.
+BODIES = "SELECT CONCAT('s', CAST(l_suppkey AS STRING), '.txt') AS doc_id, CAST(row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS INT) AS page, CAST(l_partkey AS STRING) || ' ' || l_returnflag || chr(10) || ' ' || l_linestatus AS text FROM {lineitem}"
+PLAIN = ("paperloom.sources.engine_plain",)
+
+
+def page_bodies(df: DataFrame) -> DataFrame:
+    """The ranges of the files that the pages make."""
+    at = W.work_folder(df.sparkSession)
+    SL.write_page_files(df, at)
+    return FS.page_ranges(df.sparkSession, at, PLAIN, "*.txt")
+
+
+_OWN = lambda: F.regexp_extract("path", "file=([^/]+)/", 1).alias("file")
+query("src_03", BODIES, "SELECT replace(doc_id, '.txt', '_extracted') AS file, page, CAST(count(*) OVER (PARTITION BY doc_id) AS INT) AS pages, text FROM t")(lambda df: FS.range_texts(page_bodies(df), PLAIN).select(_OWN(), "page", "pages", "text"))
+query("src_04", BODIES, "SELECT replace(doc_id, '.txt', '_extracted') AS file, page, w.* FROM (SELECT *, unnest([{'ord': 0, 'x0': 0.0::DOUBLE, 'y0': 0.0::DOUBLE, 'text': split_part(split_part(text, chr(10), 1), ' ', 1)}, {'ord': 1, 'x0': 8.0::DOUBLE * (1 + length(split_part(text, ' ', 1))), 'y0': 0.0::DOUBLE, 'text': split_part(split_part(text, chr(10), 1), ' ', 2)}, {'ord': 2, 'x0': 8.0::DOUBLE, 'y0': 20.0::DOUBLE, 'text': split_part(text, chr(10) || ' ', 2)}]) AS w FROM t)")(
+    lambda df: FS.range_words(page_bodies(df), PLAIN).select(_OWN(), "page", "ord", "x0", "y0", "text")
+)
+
 # Field trees: a person with two drawn kids, a signature drawn as a kid; in every fifth document nothing is listed.
 _K = "CAST(c_custkey AS STRING)"
 

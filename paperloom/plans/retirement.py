@@ -26,6 +26,7 @@ LABELS = (
     ("ee_id", r"(?i)(?:employee\s+(?:id|number|identification)|ee\s+id|emp\s+(?:id|number))\s*[:\-#]?\s*([A-Z0-9\-]+)"),
 )
 AMOUNTS = (("gross_salary", "Salary or Compensation Information"), ("ee_contribution", "Employee Contribution"), ("er_match", "Employer Match"), ("ytd_contribution", "YTD Contribution"))
+# Whole numbers, those cut short or masked, and what goes from a cell before a name is looked for.
 _SSN, _PADDED = r"\b(\d{3}-\d{2}-\d{4})\b", r"(?i)(?<!\d)(\d{3}-\d{2}-[\dxX*]{1,4})(?![\dxX*])"
 _CUT = r"(?i)\d{3}-\d{2}-[\dxX*]{1,4}"
 #: Where a record comes from: page, place of the table or line, place in it.

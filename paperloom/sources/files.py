@@ -14,7 +14,9 @@ from ..functions import text as T
 
 PAGES = "path string, page int, pages int, text string, error string"
 WORDS = "path string, page int, ord int, x0 double, y0 double, x1 double, y1 double, text string, conf double"
-#: Modules that offer ``pages(body) -> iterable of text`` and ``words(body) -> iterable of (page, x0, y0, x1, y1, text)``, first one installed wins.
+#: Pages in a task's range.
+RANGE = 25
+#: Modules that offer ``count(body)``, ``pages(body, first, last) -> iterable of text`` and ``words(body, first, last) -> iterable of (page, x0, y0, x1, y1, text)``, first one installed wins.
 ENGINES = ("paperloom.sources.engine_fitz", "paperloom.sources.engine_plumber", "paperloom.sources.engine_pypdf")
 
 
@@ -70,6 +72,75 @@ def page_texts(spark: SparkSession, path: str, engines: tuple[str, ...] = ENGINE
     return files.mapInArrow(run, PAGES)
 
 
+def page_ranges(spark: SparkSession, path: str, engines: tuple[str, ...] = ENGINES, pattern: str = "*", per: int = RANGE) -> DataFrame:
+    """path, pages, first, last, content and error: a row for each range of ``per`` pages of each file, dealt out by range.
+
+    Files are opened by tasks alone, once to be counted; a file of many pages travels to as many tasks as it has ranges. A
+    file that can't be read is one row with its error, no pages and no content.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        read = engine(engines)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                body, n, error = batch.column(1)[i].as_py(), 0, None
+                try:
+                    n = read.count(body)
+                except Exception as e:  # noqa: BLE001  engines raise what they like
+                    error = f"{type(e).__name__}: {e}"
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, 1), pa.array([n], pa.int32()), pa.array([None if error else body], pa.binary()), pa.array([error], pa.string())], names=["path", "pages", "content", "error"])
+
+    counted = files.mapInArrow(run, "path string, pages int, content binary, error string")
+    each = counted.select("path", "pages", F.explode(F.expr(f"if(pages > 0, sequence(1, pages, {per}), array(0))")).alias("first"), "content", "error")
+    return each.withColumn("last", F.least(F.col("first") + per - 1, F.col("pages"))).repartition("path", "first")
+
+
+def range_texts(ranges: DataFrame, engines: tuple[str, ...] = ENGINES) -> DataFrame:
+    """As ``page_texts``, of ranges as ``page_ranges`` gives them; each task reads its own pages."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        read = engine(engines)
+        for r in _each(batches):
+            texts, error = [], r["error"]
+            if error is None:
+                try:
+                    texts = list(read.pages(r["content"], r["first"], r["last"]))
+                except Exception as e:  # noqa: BLE001  as above
+                    error = f"{type(e).__name__}: {e}"
+            n = max(len(texts), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([r["path"]] * n), pa.array(range(r["first"], r["first"] + n) if texts else [None], pa.int32()), pa.array([r["pages"]] * n, pa.int32()), pa.array(texts or [None], pa.string()), pa.array([error] * n, pa.string())], names=["path", "page", "pages", "text", "error"])
+
+    return ranges.mapInArrow(run, PAGES)
+
+
+def range_words(ranges: DataFrame, engines: tuple[str, ...] = ENGINES) -> DataFrame:
+    """As ``page_words``, of ranges; ord counts the words of a page from 0. Ranges that can't be read give none."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        read = engine(engines)
+        for r in _each(batches):
+            rows, page, n = [], None, 0
+            try:
+                for p, *box, text in read.words(r["content"], r["first"], r["last"]) if r["error"] is None else ():
+                    page, n = p, n + 1 if p == page else 0
+                    rows.append((r["path"], p, n, *box, text, None))
+            except Exception:  # noqa: BLE001  see range_texts for the error
+                rows = []
+            if rows:
+                kinds = (pa.string(), pa.int32(), pa.int32(), *[pa.float64()] * 4, pa.string(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["path", "page", "ord", "x0", "y0", "x1", "y1", "text", "conf"])
+
+    return ranges.mapInArrow(run, WORDS)
+
+
+def _each(batches: Iterator[pa.RecordBatch]):
+    """The rows one after the other; a body is copied only when its turn comes."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: batch.column(k)[i].as_py() for k, c in enumerate(batch.schema.names)}
+
+
 def page_counts(texts: DataFrame) -> DataFrame:
     """path and pages; 0 for a file that can't be read."""
     return texts.groupBy("path").agg(F.max("pages").alias("pages"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip
 from ..sinks.files import extracted_name
+from .files import page_ranges, range_texts
 
 
 def layout_lines(texts: DataFrame) -> DataFrame:
@@ -62,10 +63,8 @@ def open_pages(spark: SparkSession, path: str, kind: str = "auto") -> DataFrame:
         return pages_of_lines(read_line_csv(spark, path))
     if kind == "parquet":
         return pages_of_lines(spark.read.parquet(path))
-    from .pdf import PdfSource
-
-    spark.dataSource.register(PdfSource)
-    return spark.read.format("pdf_pages").option("path", path).load()
+    texts = range_texts(page_ranges(spark, path, pattern="*.[pP][dD][fF]"))
+    return texts.filter("error is null").select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("doc_id"), "page", "text")
 
 
 def cascade(texts: DataFrame) -> DataFrame:

@@ -72,3 +72,15 @@ def test_sinks(spark, tmp_path):
     assert sorted((r.doc_id, r.row, r.cells) for r in sheet.filter("doc_id = 'a.pdf'").collect()) == [("a.pdf", 1, ["One", "Two", ""]), ("a.pdf", 2, ["h1", "h2", "h3"]), ("a.pdf", 3, ["=1+1", "", "1"]), ("a.pdf", 4, ['say "hi", ok', "", "2"])]
     assert {r.column: r.width for r in W.widths(df, 10).collect()} == {"doc_id": 9, "ord": 5, "v": 10, "w": 10}
     assert W.replace(spark, f"{tmp_path}/csv", f"{tmp_path}/csv2") and not (tmp_path / "csv").exists() and not W.replace(spark, f"{tmp_path}/none", f"{tmp_path}/x", tries=2, wait=0)
+
+
+def test_ranges_of_pages(spark, tmp_path):
+    """A file's pages are read by ranges in tasks of their own; a broken file is one row with its error."""
+    (tmp_path / "long.txt").write_bytes("\f".join(f"page {n}\n x" for n in range(1, 61)).encode())
+    (tmp_path / "bad.txt").write_bytes(b"\xff\xfe\xff")
+    ranges = S.page_ranges(spark, str(tmp_path), ("paperloom.sources.engine_plain",), "*.txt", per=25)
+    assert sorted((r.first, r.last, r.pages, bool(r.error)) for r in ranges.collect()) == [(0, 0, 0, True), (1, 25, 60, False), (26, 50, 60, False), (51, 60, 60, False)]
+    texts = S.range_texts(ranges, ("paperloom.sources.engine_plain",)).collect()
+    assert sorted((r.page or 0, r.text or "") for r in texts) == [(0, "")] + [(n, f"page {n}\n x") for n in range(1, 61)]
+    words = S.range_words(ranges, ("paperloom.sources.engine_plain",)).filter("page = 51").orderBy("ord").collect()
+    assert [(r.ord, r.x0, r.y0, r.text) for r in words] == [(0, 0.0, 0.0, "page"), (1, 40.0, 0.0, "51"), (2, 8.0, 20.0, "x")]
