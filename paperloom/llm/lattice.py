@@ -215,7 +215,8 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
 
     score is by the vocabulary's own scores, adapted_score by weights that ``rounds`` of expected counts learn.
 
-    ``training`` is over doc_id. Null and empty texts are the end alone. Rows with the same doc_id are scored apart.
+    ``training`` is over doc_id. Null and empty texts are the end alone. Rows with the same doc_id are scored apart,
+    as are rows without one; an empty table gives no rows. A word is worked on as a whole, in time in proportion to its length.
     Training counts of words that are a ``head``-th of the tokens or more go to every task (``head`` words at most); other
     words are joined by word.
     """

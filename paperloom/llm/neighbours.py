@@ -71,7 +71,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, key: str = "vec_id"
 
     ``is_query`` is over the column ``id``. Vectors of other lengths than the query's are no candidates; repeated ids are
     candidates of their own, except those that bear the query's id. Query rows of one id and equal vectors are one query; of
-    one id and other vectors, each is a query of its own, with its own ranks.
+    one id and other vectors, each is a query of its own, with its own ranks. Vectors that are null, zero or hold null or non-finite components take no
+    part; an empty table gives no rows.
     """
     every = usable(vectors, key, vector)
     element = getattr(vectors.schema[vector].dataType, "elementType", None)

@@ -309,7 +309,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def without_poor(docs: DataFrame, model: Model | None, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is ``least`` or more."""
+    """The rows of ``docs``, all columns, whose score is ``least`` or more; null texts count as empty, each row of a doc_id is judged on its own, and without a model all score a half."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = {c: docs.columns.index(c) for c in ("lang", "source", "n_chars") if c in docs.columns}
 

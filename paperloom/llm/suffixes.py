@@ -158,7 +158,8 @@ def suffix_dedup(docs: DataFrame, window: int = 50) -> DataFrame:
     """doc_id, n_bytes, spans (removed runs, as byte places) and kept (the remaining bytes) of each document.
 
     A byte goes if a ``window``-byte string over it also starts in a document with a smaller doc_id. Texts shorter than
-    the window lose nothing.
+    the window lose nothing. Null texts count as empty, rows of one doc_id take nothing from each other, rows without a
+    doc_id lose nothing; an empty table gives no rows.
     """
     if window < 32:
         raise ValueError("anchors need windows of 32 bytes or more")

@@ -262,6 +262,6 @@ def score(docs: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, index: Index, most: float = 0.5) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is below ``most``."""
+    """The rows of ``docs``, all columns, whose score is below ``most``; null texts count as empty, each row of a doc_id is judged on its own."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
     return keep_rows(docs, lambda batch, texts: pc.less(votes(shared.value, texts)[0], most))
