@@ -2,10 +2,11 @@
 
 Two small collections of sketches, each of two minima, are computed for a document's set of word shingles; every pair of
 one sketch of either collection is a table key, so 32 minima give 64 tables. Documents of equal sets are one node. In each
-table bucket a document is held against the bucket's smallest one, on full sets. In buckets that still span several
-components, documents are held against the one that shares most, and at last against those documents of other components
-with which the place of the first shingle in common leaves room for a link; nothing is held against all of a bucket.
-Components are contracted by tables, never on the driver.
+table bucket a document is held against the bucket's smallest one, on full sets. Buckets that still span several components hold
+documents that have much in common without being linked, as texts from one template have. These are dealt once more, into
+narrower tables over the shingles that others share, whose keys are long enough to part what is not near: there a document
+is held against the one that shares most, then against those of other components. Components are contracted by tables,
+never on the driver.
 """
 
 from __future__ import annotations
@@ -23,11 +24,15 @@ from .common import documents, free_name, lean, materialise, mix, steps, word_co
 
 #: Sketches in each of the two collections; each is made of two minima.
 SIDE = 8
+#: Keys of the narrower tables, and the minima of each: pairs of similarity 0.8 meet with probability 0.9992, of 0.85 with 0.9999998, of 0.6 with 0.2, of 0.4 with 0.002.
+NARROW, DEEP = 100, 12
 #: A node of the graph: the smallest doc_id that has a set, and the hash of its text.
 NODE = "struct<doc_id:bigint,hash:bigint>"
 _M = np.uint64(0x9FB21C651E98DF25)
 _ODD = mix(np.arange(1, 4 * SIDE + 1, dtype=np.uint64)) | np.uint64(1)
 _ADD = mix(np.arange(101, 4 * SIDE + 101, dtype=np.uint64))
+_ODD_DEEP = mix(np.arange(1001, NARROW * DEEP + 1001, dtype=np.uint64)) | np.uint64(1)
+_ADD_DEEP = mix(np.arange(10001, NARROW * DEEP + 10001, dtype=np.uint64))
 
 
 def word_hashes(words: pa.Array) -> np.ndarray:
@@ -155,27 +160,31 @@ def _able(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return materialise(fit.join(shared, "node").filter(f"100 * size(shared) >= {percent} * n"))
 
 
-def _first_shared(able: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different components that can be linked, by the place of their first common shingle.
+def _narrow(able: DataFrame) -> DataFrame:
+    """k and node: the keys of the narrower tables, over the shingles that other documents share. Without what a set has alone two sets are no less similar."""
 
-    A node's shingles are in one order for all, rare ones first. If the first that two sets have in common is at place i of
-    n and at place j of m, they share min(n - i, m - j) at most; so links need a common shingle far enough in front. The
-    smaller set of a pair stands under its size class, the larger one asks the classes that its places leave room for:
-    sets that have many shingles of their own in front meet only sets that are smaller enough.
-    """
-    p = percent
-    d = able.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    d = d.withColumn("room", F.size("shared").cast("long")).withColumn("own", F.col("n") - F.col("room"))
-    d = d.withColumn("front", F.expr(f"slice(shared, 1, cast(greatest(0, n - own - cast(ceil({p} * n / 100) as long) + 1) as int))"))
-    each = d.select("node", "root", "n", "room", "own", F.posexplode("front").alias("at", "x")).select("node", "root", "n", "room", F.col("x.h").alias("h"), (F.col("n") - F.col("own") - F.col("at")).alias("rest"))
-    kind = lambda n: f"cast(floor(ln({n}) * 25) as int)"  # noqa: E731  classes are 4 % wide
-    small = each.filter(f"{100 + p} * rest >= {2 * p} * n").select("h", F.expr(kind("n")).alias("c"), *(F.col(x).alias(f"{x}_a") for x in ("node", "root", "n", "room", "rest")))
-    most = f"least(n, cast(floor(({100 + p} * rest - {p} * n) / {p}) as long))"
-    large = each.withColumn("least", F.expr(f"cast(ceil({p} * n / 100) as long)")).withColumn("most", F.expr(most)).filter("most >= least")
-    large = large.select("h", F.explode(F.expr(f"sequence({kind('least')}, {kind('most')})")).alias("c"), *(F.col(x).alias(f"{x}_b") for x in ("node", "root", "n", "room", "rest")))
-    fits = F.expr(f"root_a <> root_b and (n_a < n_b or (n_a = n_b and node_a < node_b)) and {100 + p} * least(rest_a, rest_b, room_a, room_b) >= {p} * (n_a + n_b)")
-    met = small.join(large, (small["h"] == large["h"]) & (small["c"] == large["c"]) & fits)
-    return met.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]):
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    lists = part.column(1)
+                    h = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+                    begin = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False)))[:-1]
+                    keys = np.empty((part.num_rows, NARROW), np.uint64)
+                    for t in range(NARROW):
+                        acc = np.full(part.num_rows, t, np.uint64)
+                        for i in range(t * DEEP, t * DEEP + DEEP):
+                            acc = mix(acc * _M + np.minimum.reduceat(h * _ODD_DEEP[i] + _ADD_DEEP[i], begin))
+                        keys[:, t] = acc
+                    yield pa.RecordBatch.from_arrays([part.column(0), pa.FixedSizeListArray.from_arrays(_signed(keys.ravel()), NARROW).cast(pa.list_(pa.int64()))], ["node", "keys"])
+
+    return able.select("node", F.expr("transform(shared, x -> x.h)").alias("h")).mapInArrow(lean(run), f"node {NODE}, keys array<long>").select(F.explode("keys").alias("k"), "node")
+
+
+def _room(other: str, percent: int) -> str:
+    """Whether the sets of a row and of the struct ``other`` (n: size, room: shingles that others share) can have a link."""
+    return f"{100 + percent} * least(room, {other}.room) >= {percent} * (n + {other}.n)"
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -248,15 +257,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     open_ = _open(bucket, roots)
     if not open_.isEmpty():
         able = _able(open_, sets, percent)
+        sizes = able.select("node", "n", F.size("shared").cast("long").alias("room"))
+        tight = _open(materialise(_narrow(able)), roots).join(sizes, "node")
         # Each bucket's centre is the document that shares most; where copies differ at random, it is linked to all that have any link.
-        live = open_.join(able.select("node", "n", F.size("shared").cast("long").alias("room")), "node")
-        centre = live.groupBy("k").agg(F.max(F.struct((F.col("room") / F.col("n")).alias("share"), "node", "root", "n", "room")).alias("c"))
-        met = live.join(centre, "k").filter(f"root <> c.root and {100 + percent} * least(room, c.room) >= {percent} * (n + c.n)")
-        more = met.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-        edges, roots, tested = _joined(edges, roots, tested, more, sets, percent)
-        # What still spans components: exact pairs by the first shingle that two sets share.
-        still = able.join(_open(bucket.join(able.select("node"), "node", "left_semi"), roots).select("node").distinct(), "node", "left_semi")
-        edges, roots, tested = _joined(edges, roots, tested, _first_shared(still, roots, percent), sets, percent)
+        centre = tight.groupBy("k").agg(F.max(F.struct((F.col("room") / F.col("n")).alias("share"), "node", "root", "n", "room")).alias("c"))
+        more = tight.join(centre, "k").filter(f"root <> c.root and {_room('c', percent)}")
+        edges, roots, tested = _joined(edges, roots, tested, more.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), sets, percent)
+        # What still spans components: the pairs between them.
+        tight = _open(tight.select("k", "node"), roots).join(sizes, "node")
+        pairs = tight.join(tight.select("k", F.struct("node", "root", "n", "room").alias("c")), "k").filter(f"node < c.node and root <> c.root and {_room('c', percent)}")
+        edges, roots, tested = _joined(edges, roots, tested, pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct(), sets, percent)
     # A copy's node, then the node's component; several nodes of one doc_id fall together.
     node = full.select("doc_id", *key).join(nodes.select("node", *key), key).select("doc_id", "node")
     placed = materialise(node.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node")["doc_id"].alias("root")).distinct())
