@@ -5,8 +5,8 @@ one sketch of either collection is a table key, so 32 minima give 64 tables. Doc
 table bucket a document is held against the bucket's smallest one, on full sets. Buckets that still span several components hold
 documents that have much in common without being linked, as texts from one template have. These are dealt once more, into
 narrower tables over the shingles that others share, whose keys are long enough to part what is not near: there a document
-is held against the one that shares most, then against those of other components. Components are contracted by tables,
-never on the driver.
+is held against the one that shares most, then against those of other components with which the place of the first shingle
+in common leaves room for a link. Components are contracted by tables, never on the driver.
 """
 
 from __future__ import annotations
@@ -187,6 +187,19 @@ def _room(other: str, percent: int) -> str:
     return f"{100 + percent} * least(room, {other}.room) >= {percent} * (n + {other}.n)"
 
 
+def _fronts(able: DataFrame, percent: int) -> DataFrame:
+    """node, smaller and larger: where the first shingle in common with a linked set must be, if the node's set is the smaller or the larger one.
+
+    Shingles are in one order for all, rare ones first. What follows the first one in common must hold all that are in common,
+    so it can't be further back than a set's size less the least overlap.
+    """
+
+    def front(overlap: str):
+        return F.expr(f"transform(slice(shared, 1, cast(greatest(0, size(shared) - cast(ceil({overlap}) as long) + 1) as int)), x -> x.h)")
+
+    return able.select("node", front(f"{2 * percent} * n / {100 + percent}").alias("smaller"), front(f"{percent} * n / 100").alias("larger"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (its component's smallest node) for all nodes of the edges (a, b).
 
@@ -263,10 +276,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         centre = tight.groupBy("k").agg(F.max(F.struct((F.col("room") / F.col("n")).alias("share"), "node", "root", "n", "room")).alias("c"))
         more = tight.join(centre, "k").filter(f"root <> c.root and {_room('c', percent)}")
         edges, roots, tested = _joined(edges, roots, tested, more.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), sets, percent)
-        # What still spans components: the pairs between them.
-        tight = _open(tight.select("k", "node"), roots).join(sizes, "node")
-        pairs = tight.join(tight.select("k", F.struct("node", "root", "n", "room").alias("c")), "k").filter(f"node < c.node and root <> c.root and {_room('c', percent)}")
-        edges, roots, tested = _joined(edges, roots, tested, pairs.select(F.col("node").alias("a"), F.col("c.node").alias("b")).distinct(), sets, percent)
+        # What still spans components: the pairs between them whose first common shingle is far enough in front.
+        tight = _open(tight.select("k", "node"), roots).join(sizes.join(_fronts(able, percent), "node"), "node")
+        pairs = tight.join(tight.select("k", F.struct("node", "root", "n", "room", "larger").alias("c")), "k")
+        pairs = pairs.filter(f"(n < c.n or (n = c.n and node < c.node)) and root <> c.root and {_room('c', percent)} and arrays_overlap(smaller, c.larger)")
+        edges, roots, tested = _joined(edges, roots, tested, pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct(), sets, percent)
     # A copy's node, then the node's component; several nodes of one doc_id fall together.
     node = full.select("doc_id", *key).join(nodes.select("node", *key), key).select("doc_id", "node")
     placed = materialise(node.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node")["doc_id"].alias("root")).distinct())
