@@ -172,23 +172,6 @@ def shingles(t, n):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else {tuple(w)} if w else set()
 
 
-def components_of(sets, percent):
-    """Each set's smallest id that links lead to, over all pairs."""
-    root = {i: i for i in sets}
-
-    def top(i):
-        return i if root[i] == i else top(root[i])
-
-    for a in sets:
-        for b in sets:
-            if a < b and sets[a] and sets[b]:
-                common = len(sets[a] & sets[b])
-                if 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
-                    x, y = top(a), top(b)
-                    root[max(x, y)] = min(x, y)
-    return {i: top(i) for i in sets}
-
-
 def test_near_duplicates_against_all_pairs(spark):
     r = random.Random(3)
     base = prose(100, 11).split()
@@ -200,27 +183,18 @@ def test_near_duplicates_against_all_pairs(spark):
         more.append((200 + i, " ".join(w), "en", "s", 1, 0.0, "w", 1))
     df = frame(spark, more)
     sets = {x.doc_id: shingles(x.text, 4) for x in df.collect()}
-    top = components_of(sets, 80)
-    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in neardup.near_duplicates(df, 4, 80).collect()}
-    assert got == {i: (len(s), top[i], top[i] == i) for i, s in sets.items()}
-
-
-def test_documents_of_shared_blocks(spark, monkeypatch):
-    """Ten blocks with two variants each: nearly every pair shares some and few are linked; those held against each other are a few for each document."""
-    n, held, real = 400, [], neardup.linked
-    r = random.Random(n)
+    root = {i: i for i in sets}
 
-    def counted(pairs, sets, percent):
-        held.append(pairs.count())
-        return real(pairs, sets, percent)
+    def top(i):
+        return i if root[i] == i else top(root[i])
 
-    monkeypatch.setattr(neardup, "linked", counted)
-    blocks = [[prose(40, 5000 + 2 * i + v) for v in (0, 1)] for i in range(10)]
-    texts = [(i, " ".join(r.choice(b) for b in blocks)) for i in range(n)]
-    sets = {i: shingles(t, 5) for i, t in texts}
-    got = {x.doc_id: x.component_id for x in neardup.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
-    assert got == components_of(sets, 80)
-    assert len(set(got.values())) > 1 and sum(held) <= 10 * n, held
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = top(a), top(b)
+                root[max(x, y)] = min(x, y)
+    got = {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in neardup.near_duplicates(df, 4, 80).collect()}
+    assert got == {i: (len(s), top(i), top(i) == i) for i, s in sets.items()}
 
 
 def test_near_duplicates_edge_cases(spark):
