@@ -1,6 +1,6 @@
 """Command line: ``python -m paperloom FORMAT IN OUT`` reads words or pages from Parquet and writes the rows of a format.
 
-IN is a folder with ``words`` (doc_id, page, ord, x0, y0, x1, y1, text) or ``pages`` (doc_id, page, text). FORMAT is a form, a
+IN is a folder with ``words`` (doc_id, page, ord, x0, y0, x1, y1, text) or ``pages`` (doc_id, page, text); for ``auto`` both, and ``nodes``, ``tables`` and ``sizes`` where there are any. FORMAT is a form, a
 composed extractor, or ``auto``, which routes each document by its text and writes rejects beside the rows.
 """
 
@@ -14,6 +14,11 @@ from .plans import changes, forms, remittance
 from .plans.registered import EXTRACTORS
 
 
+def _is_there(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def extract(spark: SparkSession, name: str, source: str) -> dict[str, DataFrame]:
     """The named outputs of a format."""
     read = lambda table: spark.read.parquet(f"{source}/{table}")
@@ -26,7 +31,8 @@ def extract(spark: SparkSession, name: str, source: str) -> dict[str, DataFrame]
     if name == "bucket11":
         found = changes.changes(read("words"))
         return {"rows": changes.log(found), "report": changes.report(read("words"), found)}
-    rows, rejects = forms.dispatched(read("pages"), read("words"), EXTRACTORS)
+    there = [t for t in forms.FURTHER if _is_there(spark, f"{source}/{t}")]
+    rows, rejects = forms.dispatched(read("pages"), read("words"), EXTRACTORS, further={t: read(t) for t in there})
     return {"rows": rows, "rejects": rejects}
 
 

@@ -315,7 +315,7 @@ def _batch(df):
     fails = lambda pages, _: pages.select("doc_id", F.when(F.length("text") > 0, F.raise_error(F.lit("planted"))).cast("string").alias("name"))
     rows, rejects = dispatched(df, SL.laid_out_words(df), {**EXTRACTORS, "creditor-list": fails})
     f = lambda *cs: F.coalesce(*[F.try_element_at("fields", F.lit(c)) for c in cs], F.lit(""))
-    name = F.coalesce(F.nullif(F.concat_ws(" ", F.nullif(f("first"), F.lit("")), F.nullif(f("last"), F.lit(""))), F.lit("")), f("name", "Employee Name", "header"))
+    name = F.coalesce(F.nullif(F.concat_ws(" ", F.nullif(f("first"), F.lit("")), F.nullif(f("last"), F.lit(""))), F.lit("")), f("name", "Employee Name"))
     planted = F.when(F.contains("why", F.lit("planted")), "planted").otherwise(F.col("why"))
     return rows.select("doc_id", "format", F.lit("").alias("why"), f("ssn", "SSN").alias("ssn"), name.alias("name")).unionByName(rejects.select("doc_id", "format", planted.alias("why"), F.lit("").alias("ssn"), F.lit("").alias("name")))
 
@@ -324,6 +324,45 @@ query("dsp_02_batch", BATCH, "SELECT doc_id, CASE doc_id % 9 " + " ".join(f"WHEN
     CASE WHEN doc_id % 9 IN (0, 1, 4) THEN {_SSN.replace('c_custkey', 'doc_id').replace('STRING', 'VARCHAR')} ELSE '' END AS ssn, CASE WHEN doc_id % 9 IN (1, 2, 3, 4) THEN 'Jane Roe' WHEN doc_id % 9 = 5 THEN 'ROE, Jane' WHEN doc_id % 9 = 8 THEN 'SECTION' ELSE '' END AS name FROM t""")(_batch)
 
 
+# What dispatch hands on beside pages and words: plan reports by form fields and by tables, generic documents with tables, drawn fields and page sizes.
+FURTHER_PAGES = f"""SELECT c_custkey AS doc_id, CAST(1 AS INT) AS page, {_K} AS k, {_SSN} AS ssn, CASE WHEN c_custkey % 4 < 2 THEN 'Your 401 (k) plan statement for the year' ELSE 'SECTION' || chr(10) || 'letter ' || {_K} || chr(10) || 'Name Total' || chr(10) || 'Ann ' || {_K} || chr(10) || chr(10) || 'First name:' END AS text FROM {{customer}}"""
+
+
+def _further(df: DataFrame) -> dict[str, DataFrame]:
+    """Nodes, table rows and page sizes of the documents, by what doc_id leaves of 4."""
+    node = lambda n, at, name, value, rest="null, null, null, null, null, null": f"struct(cast({n} as int) as node, cast({at} as int) as ord, '{name}' as T, {value} as V, {rest})"
+    drawn = lambda page, top, height: f"'/Tx', {page}, 100.0d, {height - top - 10}.0d, 200.0d, {height - top}.0d"
+    each = f"""case doc_id % 4 when 0 then array({node(1, 0, "Employee Name", "'Roe, Jane Ann Jr'")}, {node(2, 1, "ssn", "ssn")}, {node(3, 2, "Company Match", "k")})
+        when 2 then array({node(1, 0, "f1", "concat(' Jane', k)", drawn(1, 100, 800))}) when 3 then array({node(1, 0, "f1", "concat('Joe', k)", drawn(2, 100, 792))}) else array() end"""
+    filled = dict(zip(("FT", "page", "x0", "y0", "x1", "y1"), ("col1", "col2", "col3", "col4", "col5", "col6")))
+    raw = df.select("doc_id", F.expr(f"inline({each})"))
+    raw = raw.toDF("doc_id", "node", "ord", "T", "V", *filled)
+    kinds = {f.name: f.dataType for f in df.sparkSession.createDataFrame([], S.NODE).schema}
+    nodes = raw.select([(F.col(c) if c in raw.columns else F.lit(True) if c == "listed" else F.when(F.col("page").isNotNull(), "Person") if c == "TU" else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()])
+    row = lambda n, *cells: f"struct({n} as row, array({', '.join(cells)}) as cells)"
+    rows = f"""case doc_id % 4 when 1 then array({row(0, "'Name'", "'SSN'", "'Gross Wages'")}, {row(1, "'Smith, John'", "ssn", "concat(k, '.50')")}) when 2 then array({row(0, "'Name'", "'Total'")}, {row(1, "'Ann'", "k")}) when 3 then array({row(0, "k", "'b'")}) else array() end"""
+    box = {"x0": 0.0, "y0": 36.0, "x1": 600.0, "y1": 80.0}
+    tables = df.select("doc_id", "page", F.lit(1).alias("tbl"), F.expr(f"inline({rows})"), *[F.when(F.col("doc_id") % 4 > 1, v).alias(c) for c, v in box.items()])
+    return {"nodes": nodes, "tables": tables, "sizes": df.filter("doc_id % 4 = 2").select("doc_id", "page", F.lit(800.0).alias("height"))}
+
+
+def _with_further(df):
+    pages = df.select("doc_id", "page", "text")
+    rows, rejects = dispatched(pages, SL.laid_out_words(pages), EXTRACTORS, further=_further(df))
+    f = lambda c: F.coalesce(F.try_element_at("fields", F.lit(c)), F.lit(""))
+    found = rows.select("doc_id", "format", f("category").alias("category"), F.coalesce(F.nullif(f("name"), F.lit("")), F.concat_ws(" ", f("first"), f("last"))).alias("name"), F.concat(f("value"), f("ssn")).alias("value"), f("gross_salary").alias("gross"), f("er_match").alias("er_match"))
+    return found.unionByName(rejects.select("doc_id", "format", F.lit("reject").alias("category"), *[F.lit("").alias(c) for c in ("name", "value", "gross", "er_match")]))
+
+
+_PLAN, _OWN_ID = "SELECT doc_id, '401k' AS format, '' AS category, {0} AS name, " + _SSN.replace("c_custkey", "doc_id").replace("STRING", "VARCHAR") + " AS value, {1} AS gross, {2} AS er_match FROM t WHERE doc_id % 4 = {3}", "CAST(doc_id AS VARCHAR)"
+query("dsp_02_inputs", FURTHER_PAGES, " UNION ALL ".join([_PLAN.format("'Jane Roe'", "''", _OWN_ID, 0), _PLAN.format("'John Smith'", f"{_OWN_ID} || '.50'", "''", 1), *[
+    f"SELECT doc_id, 'generic', '{c}', {n}, {v}, '', '' FROM t WHERE doc_id % 4 {on}" for c, n, v, on in (
+        ("Section", "'SECTION'", f"'letter ' || {_OWN_ID}", "> 1"), ("Form Field", "'First name'", f"'Jane' || {_OWN_ID}", "= 2"), ("Form Field", "'Person'", f"'Joe' || {_OWN_ID}", "= 3"),
+        ("Table", "'Row 1 (Table 1)'", f"'Name: Ann | Total: ' || {_OWN_ID}", "= 2"), ("Table", "'Row 1 (Table 1)'", f"'Column_1: ' || {_OWN_ID} || ' | Column_2: b'", "= 3"), ("Section", "'First name'", "''", "= 3"),
+    )
+]]))(_with_further)
+
+
 # Layout by what pages show: captions, name rows, headings, offsets.
 _C = lambda page, y, x, cond: (page, y, x, [when(cond, "SSN")])
 GRID_WORDS = words_sql([_C(1, 30, 40, "c_custkey % 4 > 0"), _C(1, 30, 400, "c_custkey % 4 > 1"), _C(1, 500, 40, "c_custkey % 4 = 3"), (1, 100, 50, ["a"]), (1, 100, 450, ["b"]), (1, 600, 50, ["c"]), (1, 600, 450, ["d"])])

@@ -12,6 +12,7 @@ from ..functions import text as T
 from ..functions import values as V
 from ..operators.neighbourhood import label_value
 from ..sinks import files as W
+from ..sources import fields as S
 
 # Per form the fields, the spellings of their labels and the shape of their values.
 _TEXT = r"[A-Za-z0-9][A-Za-z0-9 ,.'&\-]*"
@@ -115,6 +116,22 @@ FORMATS = (
 )
 
 
+@dataclass(frozen=True)
+class Extractor:
+    """What reads the documents of a format: a function of their pages, words and the further tables (see ``FURTHER``) that it needs."""
+
+    run: Callable[..., DataFrame]
+    needs: tuple[str, ...] = ()
+
+
+#: Tables that documents may have beside pages and words: nodes of form fields, rows of tables with their table's box, and sizes of pages.
+FURTHER = {
+    "nodes": S.NODE,
+    "tables": "doc_id long, page int, tbl int, row int, cells array<string>, x0 double, y0 double, x1 double, y1 double",
+    "sizes": "doc_id long, page int, height double",
+}
+
+
 def route(samples: DataFrame, selected: list[str] | None = None) -> DataFrame:
     """Adds format: the first selected one that shows in the sample, or null. samples: doc_id, text (lower case), has_text.
 
@@ -130,9 +147,14 @@ def sample_pages(pages: DataFrame, most: int = 3, least: int = 40) -> DataFrame:
     return first.groupBy("doc_id").agg(F.lower(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "text"))), lambda x: x["text"]), "\n")).alias("text"), (F.sum(F.length(T.strip(F.col("text")))) >= least).alias("has_text"))
 
 
-def dispatched(pages: DataFrame, words: DataFrame, extractors: dict[str, Callable], selected: list[str] | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+def dispatched(
+    pages: DataFrame, words: DataFrame, extractors: dict[str, Callable | Extractor], selected: list[str] | None = None, folder: str | None = None, further: dict[str, DataFrame] | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The rows of all documents, each by the extractor of its format, and the rejects.
 
+    An extractor is a function of pages and words, or an ``Extractor`` that names what else it needs of ``further``, tables
+    as in ``FURTHER``; those that aren't given count as empty. Words may have size and font beside their boxes.
+
     Rows: doc_id, format, n and fields (a map of the filled columns). Rejects: doc_id, format and why: no format shows, the
     format has no extractor, its extractor failed, or it found nothing. Routed pages and words are written once, by format,
     to ``folder`` (by default a new one in the shared folder); each extractor reads its own part and writes its rows as a job
@@ -146,16 +168,21 @@ def dispatched(pages: DataFrame, words: DataFrame, extractors: dict[str, Callabl
         return spark.read.schema(df.schema).parquet(f"{at}/{name}")
 
     routed = kept(route(sample_pages(pages), selected).select("doc_id", "format"), "routed")
-    own_pages, own_words = kept(pages.join(routed, "doc_id"), "pages", "format"), kept(words.join(routed, "doc_id"), "words", "format")
     # At most one row for each format.
     shown = {r.format for r in routed.select("format").distinct().collect()}
+    id_type = pages.schema["doc_id"].dataType.simpleString()
+    needed = {n for k, e in extractors.items() if k in shown and isinstance(e, Extractor) for n in e.needs}
+    given = {"pages": pages, "words": words} | {n: df for n, df in (further or {}).items() if n in needed}
+    own = {n: kept(df.join(routed, "doc_id"), n, "format") for n, df in given.items()}
+    own |= {n: spark.createDataFrame([], FURTHER[n].replace("doc_id long", f"doc_id {id_type}")).withColumn("format", F.lit("")) for n in needed - set(own)}
     rows = routed.filter("false").select("doc_id", "format", F.create_map().cast("map<string,string>").alias("fields"))
     broken = []
     for key, extract in extractors.items():
         if key not in shown:
             continue
         try:
-            found = extract(*[d.filter(F.col("format") == key).drop("format") for d in (own_pages, own_words)])
+            reads = Extractor(extract) if not isinstance(extract, Extractor) else extract
+            found = reads.run(*[own[n].filter(F.col("format") == key).drop("format") for n in ("pages", "words", *reads.needs)])
             names = [c for c in found.columns if c != "doc_id"]
             filled = F.map_filter(F.create_map(*[x for c in names for x in (F.lit(c), F.col(f"`{c}`").cast("string"))]), lambda _, v: v.isNotNull() & (v != ""))
             rows = rows.unionByName(kept(found.select("doc_id", F.lit(key).alias("format"), filled.alias("fields")), f"rows/{key}"))

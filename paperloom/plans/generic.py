@@ -80,8 +80,8 @@ def form_fields(widgets: DataFrame, lines: DataFrame, heights: DataFrame) -> Dat
     return d.select("doc_id", "page", "field", "value").join(label, ["doc_id", "page", "field"]).select("doc_id", "page", F.col("field").alias("ord"), F.col("label").alias("name"), "value")
 
 
-def unified(found: DataFrame, tables: DataFrame, fields: DataFrame) -> DataFrame:
-    """All rows of a document in ``COLUMNS``, by page, fields before sections before tables; blank sections go on pages that have fields."""
+def document_rows(found: DataFrame, tables: DataFrame, fields: DataFrame) -> DataFrame:
+    """doc_id, ord, page, category, name and value of all rows, by page, fields before sections before tables; blank sections go on pages that have fields."""
     key = ["doc_id", "page"]
     f = fields.select(*key, F.lit(0).alias("p"), F.lit(0).alias("t"), F.col("ord").cast("string").alias("o"), F.lit("Form Field").alias("category"), F.col("name"), F.col("value"))
     s = found.filter("value <> ''").unionByName(found.filter("value = ''").join(fields.select(*key).distinct(), key, "left_anti"))
@@ -90,5 +90,10 @@ def unified(found: DataFrame, tables: DataFrame, fields: DataFrame) -> DataFrame
     t = tables.select(*key, F.lit(2).alias("p"), F.col("tbl").alias("t"), F.lpad(F.col("n").cast("string"), 9, "0").alias("o"), F.lit("Table").alias("category"), F.concat(F.lit("Row "), "n", F.lit(" (Table "), "tbl", F.lit(")")).alias("name"), pairs.alias("value"))
     every = f.unionByName(s).unionByName(t)
     order = Window.partitionBy("doc_id").orderBy("page", "p", "t", "o")
+    return every.select("doc_id", F.row_number().over(order).alias("ord"), "page", "category", "name", "value")
+
+
+def unified(found: DataFrame, tables: DataFrame, fields: DataFrame) -> DataFrame:
+    """The rows of documents in ``COLUMNS``; what a workbook would take for a formula is quoted."""
     safe = lambda c: T.formula_safe(F.col(c))
-    return every.select(F.row_number().over(order).alias("ord"), safe("doc_id").alias("Source File"), safe("page").alias("Page"), F.col("category").alias("Category"), safe("name").alias("Field Name"), safe("value").alias("Value"))
+    return document_rows(found, tables, fields).select("ord", safe("doc_id").alias("Source File"), safe("page").alias("Page"), F.col("category").alias("Category"), safe("name").alias("Field Name"), safe("value").alias("Value"))
