@@ -60,8 +60,10 @@ def merge_prefixes(df: DataFrame, blanks: bool = False) -> DataFrame:
     """
     own = T.strip(F.col("first")) != "" if blanks else (T.strip(F.col("first")) != "") & (F.trim("last") != "") & (F.trim("ssn") != "")
     rest = [c for c in df.columns if c != "ord"]
-    each = df.filter(own).select(F.lower(F.trim("last")).alias("_l"), F.trim("ssn").alias("_s"), F.col("doc_id").alias("_d"), F.struct("ord", T.strip(F.col("first")).alias("_f"), *rest).alias("_r"))
-    rows = each.groupBy("_d", "_s", "_l").agg(F.array_sort(F.collect_list("_r")).alias("rows"))
+    # A row that passes through is a group of its own, so that what is before this is worked out once.
+    alone = F.when(own, F.lit(None)).otherwise(F.col("ord"))
+    each = df.select(F.lower(F.trim("last")).alias("_l"), F.trim("ssn").alias("_s"), F.col("doc_id").alias("_d"), alone.alias("_a"), F.struct("ord", T.strip(F.col("first")).alias("_f"), *rest).alias("_r"))
+    rows = each.groupBy("_d", "_s", "_l", "_a").agg(F.array_sort(F.collect_list("_r")).alias("rows"))
     kind = rows.schema["rows"].dataType.elementType.simpleString()
 
     def merged(p: Column, r: Column) -> Column:
@@ -75,8 +77,9 @@ def merge_prefixes(df: DataFrame, blanks: bool = False) -> DataFrame:
         alike = F.array_position(F.transform(done, lambda p: begins(p["_f"], r["_f"]) | begins(r["_f"], p["_f"])), True)
         return T.let(alike, lambda at: F.when(at == 0, F.concat(done, F.array(r))).otherwise(F.transform(done, lambda p, i: F.when(i == at - 1, merged(p, r)).otherwise(p))))
 
-    folded = rows.select(F.explode(F.aggregate("rows", F.array().cast(f"array<{kind}>"), step)).alias("x")).select(*[F.col(f"x.{c}").alias(c) for c in df.columns])
-    return folded.unionByName(df.filter(~own))
+    # A record alone is done; so all but a few skip the fold.
+    folded = F.when(F.size("rows") == 1, F.col("rows")).otherwise(F.aggregate("rows", F.array().cast(f"array<{kind}>"), step))
+    return rows.select(F.explode(folded).alias("x")).select(*[F.col(f"x.{c}").alias(c) for c in df.columns])
 
 
 #: How many places of two texts of 0 and 1 agree: 60 places at a time as bits, which differ where one of them is set alone; what is longer agrees with nothing.

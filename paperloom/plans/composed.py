@@ -137,4 +137,4 @@ query("prj_02", _P, "SELECT doc_id AS \"DOCID\", " + ", ".join({
     "Government- Issued Identification": "'Social Security Number (SSN)'", "Social Security Number": _OSSN, "Work-Related Information": _FOUR.format("", "Salary or Compensation Information: 5000.00 | Employer Match: 12", "Salary or Compensation Information: 7", "Salary or Compensation Information: 9000.00"), "Employee Identification Number": "CASE WHEN doc_id % 4 = 3 THEN 'E' || doc_id ELSE '' END",
 }.get(c, "''") + ' AS "' + c + '"' for c in K.REVIEW[1:]) + f" FROM {_D}")(lambda df: K.template(_employees(df)).withColumn("DOCID", F.col("DOCID").cast("long")))
 query("set_03", _P, f"SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN 0 WHEN doc_id % 4 = 3 THEN 2 ELSE 1 END AS method FROM {_D}")(lambda df: _employees(df).select("doc_id", F.col("method").cast("long").alias("method")))
-query("win_13", _P, f"SELECT doc_id, 'Jane Roe' AS last FROM {_D} WHERE doc_id % 4 = 2")(lambda df: K.from_tables(df.filter("what = 'cells' and doc_id % 4 = 2").select("doc_id", "page", F.col("a").alias("tbl"), F.col("b").alias("row"), F.split("s", r"\|").alias("cells"))).select("doc_id", "last"))
+query("win_13", _P, f"SELECT doc_id, 'Jane Roe' AS last FROM {_D} WHERE doc_id % 4 = 2")(lambda df: K.parsed(K.in_tables(df.filter("what = 'cells' and doc_id % 4 = 2").select("doc_id", "page", F.col("a").alias("tbl"), F.col("b").alias("row"), F.split("s", r"\|").alias("cells")))).select("doc_id", "last"))

@@ -63,13 +63,21 @@ def _meaningful() -> Column:
     return F.expr("ssn <> '' or first <> '' or last <> '' or full <> ''")
 
 
-def _record(df: DataFrame, method: int, **at: Column) -> DataFrame:
+def _found(df: DataFrame, method: int, found: Column, ssn: Column | None = None, beside: Column | None = None, **at: Column) -> DataFrame:
+    """What a way of finding records gives of each: its place, the pairs, a number that is certain, and a name that stands near."""
     place = {"page": F.lit(1), "tbl": F.lit(0), "row": F.lit(0), "k": F.lit(0)} | at
-    return df.select("doc_id", F.lit(method).alias("method"), *[place[c].cast("int").alias(c) for c in AT[1:]], "ssn", *PARTS, *[r for r, _ in AMOUNTS], "ee_id", "full")
+    more = [(F.lit(None) if c is None else c).cast("string").alias(n) for n, c in (("given", ssn), ("beside", beside))]
+    return df.select("doc_id", F.lit(method).alias("method"), *[place[c].cast("int").alias(c) for c in AT[1:]], found.alias("found"), *more)
 
 
-def from_fields(fields: DataFrame) -> DataFrame:
-    """One record for each document with filled form fields. fields: doc_id, ord, name, value.
+def parsed(found: DataFrame) -> DataFrame:
+    """Records of what was found: the number that is certain, else the one among the pairs; the name that stands near where they have none."""
+    d = _name_if_none(with_parts(found, F.col("found")), F.col("beside")).withColumn("ssn", F.coalesce("given", "number"))
+    return d.select("doc_id", *AT, "ssn", *PARTS, *[r for r, _ in AMOUNTS], "ee_id", "full")
+
+
+def in_fields(fields: DataFrame) -> DataFrame:
+    """One record (see ``_found``) for each document with filled form fields. fields: doc_id, ord, name, value.
 
     Fields whose name tells no role may still show a number.
     """
@@ -77,15 +85,15 @@ def from_fields(fields: DataFrame) -> DataFrame:
     number = F.coalesce(F.nullif(F.regexp_extract("value", _SSN, 1), F.lit("")), F.regexp_extract("value", _PADDED, 1))
     each = fields.filter((T.clean(F.col("value")) != "") & ~F.col("value").isin("/Off", "Off")).select("doc_id", "ord", _pair(F.coalesce(role, F.lit("ssn")), F.when(role.isNull(), number).otherwise(F.col("value"))).alias("p"))
     whole = each.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "p"))), lambda x: x["p"]).alias("found"))
-    return _record(with_parts(whole, F.col("found")).withColumn("ssn", F.col("number")), 0)
+    return _found(whole, 0, F.col("found"))
 
 
 def _first_of(found: Column) -> Column:
     return F.try_element_at(F.filter(found, lambda x: x != ""), F.lit(1))
 
 
-def from_tables(rows: DataFrame) -> DataFrame:
-    """A record for each table row that shows a number. rows: doc_id, page, tbl, row, cells.
+def in_tables(rows: DataFrame) -> DataFrame:
+    """A record (see ``_found``) for each table row that shows a number. rows: doc_id, page, tbl, row, cells.
 
     The first row with two known headers names the columns. Without a name in these, one is looked for beside the number,
     in the row's other cells, and in the rows -1, -2, -3 and +1.
@@ -100,9 +108,9 @@ def from_tables(rows: DataFrame) -> DataFrame:
     d = d.withColumn("roles", F.coalesce(F.first("heads", True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), F.array().cast("array<string>")))
     near = [F.lag("any", n).over(order) for n in (1, 2, 3)] + [F.lead("any", 1).over(order)]
     d = d.withColumn("near", F.coalesce(*[F.nullif(x, F.lit("")) for x in near])).withColumn("at", F.expr("array_position(transform(n, x -> x <> ''), true)")).filter("at > 0")
-    d = d.withColumn("ssn", F.expr("n[at - 1]")).withColumn("found", F.coalesce(F.nullif(F.expr("beside[at - 1]"), F.lit("")), _first_of(F.expr("filter(seen, (x, i) -> i <> at - 1)")), F.col("near")))
+    d = d.withColumn("ssn", F.expr("n[at - 1]")).withColumn("name", F.coalesce(F.nullif(F.expr("beside[at - 1]"), F.lit("")), _first_of(F.expr("filter(seen, (x, i) -> i <> at - 1)")), F.col("near")))
     pairs = F.expr("transform(sequence(0, size(v) - 1), i -> struct(case when i <> at - 1 then get(roles, i) end as role, v[i] as v))")
-    return _record(_name_if_none(with_parts(d, pairs), F.col("found")), 1, page=F.col("page"), tbl=F.col("tbl"), row=F.col("row"))
+    return _found(d, 1, pairs, F.col("ssn"), F.col("name"), page=F.col("page"), tbl=F.col("tbl"), row=F.col("row"))
 
 
 def _name_if_none(d: DataFrame, found: Column) -> DataFrame:
@@ -112,8 +120,8 @@ def _name_if_none(d: DataFrame, found: Column) -> DataFrame:
     return d
 
 
-def from_lines(lines: DataFrame) -> DataFrame:
-    """A record for each number in the text, or one for a page without any. lines: doc_id, page, ord, text.
+def in_lines(lines: DataFrame) -> DataFrame:
+    """A record (see ``_found``) for each number in the text, or one for a page without any. lines: doc_id, page, ord, text.
 
     Values are looked for after their labels in the 20 lines before and the 19 after the number's own; a name beside the
     number comes first, one in the lines -1, +1, -2, ... +10 last.
@@ -136,19 +144,22 @@ def from_lines(lines: DataFrame) -> DataFrame:
         v = F.col(f"l_{role}")
         usable = ~v.rlike(_SSN) if role in dict(AMOUNTS) else ~v.rlike(_SSN) & ~v.rlike(rf"^(?:{V.AMOUNT})$")
         found.append(_pair(F.lit(role), F.when(usable, F.substring(v, 1, 80))))
-    hit = _record(_name_if_none(with_parts(hit, F.array(_pair(F.lit("name"), F.col("seen")), *found)), F.col("near")), 2, page=F.col("page"), row=F.col("line"), k=F.col("k"))
+    hit = _found(hit, 2, F.array(_pair(F.lit("name"), F.col("seen")), *found), F.col("ssn"), F.col("near"), page=F.col("page"), row=F.col("line"), k=F.col("k"))
     first = lambda label: F.try_element_at(F.filter(F.transform("lines", lambda x: F.regexp_extract(x, label, 1)), lambda x: x != ""), F.lit(1))
     none = d.filter("any = 0").groupBy("doc_id", "page").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]).alias("lines"))
-    none = with_parts(none, F.array(*[_pair(F.lit(role), first(label)) for role, label in LABELS])).withColumn("ssn", F.col("number"))
-    return hit.unionByName(_record(none, 2, page=F.col("page")))
+    return hit.unionByName(_found(none, 2, F.array(*[_pair(F.lit(role), first(label)) for role, label in LABELS]), page=F.col("page")))
 
 
 def employees(fields: DataFrame, rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """The records of all documents without repeats, in order: of a document with usable form fields these alone, else those of its tables and its text."""
-    filled_in = from_fields(fields).withColumn("_n", F.count("*").over(Window.partitionBy("doc_id"))).filter(_meaningful()).drop("_n")
-    read = from_tables(rows).unionByName(from_lines(lines)).join(filled_in.select("doc_id").distinct(), "doc_id", "left_anti")
-    # Filtered above a window: a filter below it would take the whole of the parsing into its condition.
-    every = filled_in.unionByName(read).withColumn("ord", F.row_number().over(Window.partitionBy("doc_id").orderBy(*AT))).filter(_meaningful())
+    """The records of all documents without repeats, in order: of a document with usable form fields these alone, else those of its tables and its text.
+
+    What all three ways find is parsed by one set of expressions, and a document's records are chosen where they meet.
+    """
+    every = parsed(in_fields(fields).unionByName(in_tables(rows)).unionByName(in_lines(lines)))
+    # Filtered above windows: a filter below them would take the whole of the parsing into its condition.
+    doc = Window.partitionBy("doc_id")
+    every = every.withColumn("_shows", _meaningful()).withColumn("_form", F.max(F.expr("method = 0 and _shows")).over(doc)).withColumn("_gone", F.expr("if(method = 0, not _shows, _form)"))
+    every = every.withColumn("ord", F.row_number().over(doc.orderBy("_gone", *AT))).filter("_shows and not _gone").drop("_shows", "_form", "_gone")
     every = R.drop_partial(every, "ssn", ["doc_id"])
     every = R.first_wins(every, [F.col("doc_id"), F.lower("first"), F.lower("last"), F.col("ssn")], ["ord"], F.expr("ssn = '' and (first = '' or last = '')"))
     return R.merge_prefixes(every)
