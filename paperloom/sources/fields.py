@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..sinks.files import work_folder
 
 NODE = (
     "doc_id long, node int, parent int, ord int, listed boolean, subtype string, page int, x0 double, y0 double, x1 double, y1 double, T string, TU string, FT string, V string, flags int,"
@@ -19,17 +20,42 @@ NODE = (
 # Kinds of fields, and the flag of a field that can't be changed.
 KINDS = {"/Tx": "Text", "/Ch": "Dropdown / List", "/Btn": "Checkbox / Radio", "/Sig": "Signature"}
 READ_ONLY = 1
-_WALK = """WITH RECURSIVE tree AS (
-  SELECT doc_id, node, lpad(CAST(ord AS STRING), 6, '0') AS path, T AS name, TU AS alt, FT AS kind, V AS raw, CAST(NULL AS BOOLEAN) AS up_signed, CAST(NULL AS INT) AS up FROM {nodes} WHERE parent IS NULL AND listed = {listed}
-  UNION ALL
-  SELECT n.doc_id, n.node, concat(t.path, '/', lpad(CAST(n.ord AS STRING), 6, '0')), coalesce(n.T, t.name), coalesce(n.TU, t.alt), coalesce(n.FT, t.kind), coalesce(n.V, t.raw), n.signed, t.node
-  FROM tree t JOIN {nodes} n ON n.doc_id = t.doc_id AND n.parent = t.node)
-SELECT doc_id, node, path, name, alt, kind, raw, up FROM tree"""
+#: Levels that a field tree may have; deeper ones are broken, since a node that is its own ancestor has no end.
+DEEPEST = 100
+
+
+def walked(nodes: DataFrame) -> DataFrame:
+    """doc_id, node, path (orders nodes as the tree is walked), name, alt, kind and raw, each the node's own or the nearest one above, up, and whether the top node is listed.
+
+    A level of all documents at a time: its nodes are joined to their children, which are the next level, until there are
+    none. Levels are written to the shared folder while the query is being built, so no level is worked out twice and a tree
+    of many documents or one of very many nodes is spread over the cluster. Nodes that hang on no top node give nothing.
+    """
+    spark, at = nodes.sparkSession, work_folder(nodes.sparkSession)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{at}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{at}/{name}")
+
+    place = F.lpad(F.col("ord").cast("string"), 6, "0").alias("place")
+    own = kept(nodes.select("doc_id", "node", "parent", place, F.col("T").alias("name"), F.col("TU").alias("alt"), F.col("FT").alias("kind"), F.col("V").alias("raw"), "listed"), "nodes")
+    given = ("name", "alt", "kind", "raw")
+    level = kept(own.filter("parent is null").select("doc_id", "node", F.col("place").alias("path"), *given, F.lit(None).cast("int").alias("up"), "listed"), "level0")
+    below = own.filter("parent is not null").select("doc_id", F.col("node").alias("child"), F.col("parent").alias("node"), "place", *[F.col(c).alias(f"own_{c}") for c in given])
+    every, n = level, 0
+    while not level.isEmpty():
+        if n == DEEPEST:
+            raise ValueError(f"a field tree has more than {DEEPEST} levels")
+        n += 1
+        met = level.join(below, ["doc_id", "node"])
+        level = kept(met.select("doc_id", F.col("child").alias("node"), F.concat_ws("/", "path", "place").alias("path"), *[F.coalesce(f"own_{c}", c).alias(c) for c in given], F.col("node").alias("up"), "listed"), f"level{n}")
+        every = every.unionByName(level)
+    return every
 
 
 def walk(nodes: DataFrame, listed: bool = True) -> DataFrame:
-    """doc_id, node, path (orders nodes as the tree is walked), and name, alt, kind and raw, each the node's own or the nearest one above. ``listed``: from which top nodes."""
-    return nodes.sparkSession.sql(_WALK, nodes=nodes, listed=listed)
+    """The nodes of ``walked`` below top nodes that are listed, or below those that aren't."""
+    return walked(nodes).filter(F.col("listed") == listed).drop("listed")
 
 
 def leaf_values(nodes: DataFrame) -> DataFrame:
@@ -45,8 +71,10 @@ def widgets(nodes: DataFrame) -> DataFrame:
     A document whose listed fields are nowhere drawn gives its widget annotations instead.
     """
     drawn = nodes.filter("page is not null and x0 is not null")
-    seen = walk(nodes).join(drawn.drop("T", "TU", "FT", "V"), ["doc_id", "node"])
-    loose = walk(nodes, False).join(drawn.filter("subtype = '/Widget'").drop("T", "TU", "FT", "V"), ["doc_id", "node"]).join(seen.select("doc_id").distinct(), "doc_id", "left_anti")
+    every = walked(nodes)
+    drawn = drawn.drop("listed")
+    seen = every.filter("listed").drop("listed").join(drawn.drop("T", "TU", "FT", "V"), ["doc_id", "node"])
+    loose = every.filter("not listed").drop("listed").join(drawn.filter("subtype = '/Widget'").drop("T", "TU", "FT", "V"), ["doc_id", "node"]).join(seen.select("doc_id").distinct(), "doc_id", "left_anti")
     every = seen.unionByName(loose)
     above = nodes.select("doc_id", F.col("node").alias("up"), *[F.col(c).alias(f"up_{c}") for c in ("signed", "sig_name", "sig_date", "sig_reason", "sig_location", "sig_contact")])
     every = every.join(above, ["doc_id", "up"], "left")

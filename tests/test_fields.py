@@ -85,3 +85,14 @@ def test_generic_document(spark, nodes):
         ("1", "Table", "Row 1 (Table 1)", "Name: Ann | Date: 1/2 | Total: "), ("1", "Table", "Row 2 (Table 1)", "Name:  | Date: x | Total: "), ("2", "Section", "SECTION", "text"), ("2", "Section", "EMPTY", ""),
         ("2", "Table", "Row 1 (Table 1)", "Column_1: Only Heads"), ("2", "Table", "Row 1 (Table 2)", "Column_1: 12345 | Column_2: b"), ("2", "Table", "Row 2 (Table 2)", "Column_1: c | Column_2: "),
     ]
+
+
+def test_deep_trees_and_broken_ones(spark, monkeypatch):
+    """A chain of nodes hands its kind down; a node without its parent gives nothing; a node below itself is an error."""
+    chain = [node(1, 1, FT="/Tx", T="top"), *(node(1, n, n - 1, n) for n in range(2, 13)), node(2, 5, 4, T="lost")]
+    found = S.walk(spark.createDataFrame(chain, S.NODE))
+    assert sorted((r.doc_id, r.node, r.name, r.kind, r.up, r.path.count("/")) for r in found.collect()) == [(1, n, "top", "/Tx", n - 1 or None, n - 1) for n in range(1, 13)]
+    assert S.walk(spark.createDataFrame([], S.NODE)).collect() == []
+    monkeypatch.setattr(S, "DEEPEST", 3)
+    with pytest.raises(ValueError, match="levels"):
+        S.walk(spark.createDataFrame([node(1, 1), node(1, 2, 1), node(1, 1, 2)], S.NODE))
