@@ -1,7 +1,8 @@
 """Command line: ``python -m paperloom FORMAT IN OUT`` reads words or pages from Parquet and writes the rows of a format.
 
-IN is a folder with ``words`` (doc_id, page, ord, x0, y0, x1, y1, text) or ``pages`` (doc_id, page, text); for ``auto`` both, and ``nodes``, ``tables`` and ``sizes`` where there are any. FORMAT is a form, a
-composed extractor, or ``auto``, which routes each document by its text and writes rejects beside the rows.
+IN is a folder with ``words`` (doc_id, page, ord, x0, y0, x1, y1, text) or ``pages`` (doc_id, page, text); for ``auto`` both,
+and ``nodes``, ``tables`` and ``sizes`` where there are any. FORMAT is a form, a composed extractor, or ``auto``, which routes
+each document by its text and writes rejects beside the rows.
 """
 
 from __future__ import annotations
