@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators.spread import measured
 from ..sinks.files import work_folder
 
 NODE = (
@@ -32,6 +33,7 @@ def walked(nodes: DataFrame) -> DataFrame:
     of many documents or one of very many nodes is spread over the cluster. Nodes that hang on no top node give nothing.
     """
     spark, at = nodes.sparkSession, work_folder(nodes.sparkSession)
+    measured(spark)
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{at}/{name}")
