@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents, gather, steps, word_codes
+from .common import documents, gather, lean, steps, word_codes
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
@@ -135,7 +135,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0,
 
     schema = PIECES + (", ids binary" if with_ids else "")
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
-    return documents(docs, batch=STEP).mapInArrow(cut, schema)
+    return documents(docs, batch=STEP).mapInArrow(lean(cut), schema)
 
 
 class OpenBins:
@@ -194,7 +194,7 @@ def pack(found: DataFrame, length: int = 2048, room: int = 4096, shares: int | N
 
     schema = found.schema.add("sequence_id", "long").add("offset", "long")
     ordered = spread.repartition(shares, "_h").sortWithinPartitions("_h", "doc_id", "piece", "start", "ids_crc32")
-    return ordered.mapInArrow(fit, schema)
+    return ordered.mapInArrow(lean(fit), schema)
 
 
 def best_fit(docs: DataFrame, tokenizer: str, length: int = 2048, end_id: int = 0, room: int = 4096, with_ids: bool = False) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from .common import BATCH_BYTES, materialise, mix, small_batches, steps
+from .common import BATCH_BYTES, lean, lean_group, materialise, mix, small_batches, steps
 
 #: Bytes of text in a block, and bytes of text for each bucket of anchors.
 BLOCK_BYTES = 2_000_000
@@ -77,7 +77,7 @@ def blocks_of(docs: DataFrame, size: int = BLOCK_BYTES, rest: tuple[str, ...] =
             yield pa.RecordBatch.from_arrays(cols, ["block", "ids", "sizes", "body", "rest"])
             number += 1
 
-    return materialise(chosen.mapInArrow(run, "block long, ids binary, sizes binary, body binary, rest binary"), "none")
+    return materialise(chosen.mapInArrow(lean(run), "block long, ids binary, sizes binary, body binary, rest binary"), "none", True)
 
 
 def _opened(table: pa.Table | pa.RecordBatch, row: int = 0):
@@ -322,16 +322,16 @@ def find(docs: DataFrame, kind: Kind, block_bytes: int = BLOCK_BYTES, rest: tupl
         return pa.Table.from_batches(out)
 
     names = kind.names
-    told = materialise(blocks.mapInArrow(list_anchors, _ANCHORS).groupBy("bucket").applyInArrow(meet, _TOLD))
-    sent = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(send, _SENT)
-    answers = materialise(sent.groupBy("bucket").applyInArrow(answer, _TOLD))
+    told = materialise(blocks.mapInArrow(lean(list_anchors), _ANCHORS).groupBy("bucket").applyInArrow(lean_group(meet), _TOLD))
+    sent = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lean_group(send), _SENT)
+    answers = materialise(sent.groupBy("bucket").applyInArrow(lean_group(answer), _TOLD))
     both = told.unionByName(answers)
     schema = StructType().add("doc_id", "long")
     for c in rest:
         schema = schema.add(docs.schema[c])
     for f in T._parse_datatype_string(kind.schema).fields:
         schema = schema.add(f)
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(strike, schema)
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(lean_group(strike), schema)
 
 
 def spans(first: np.ndarray, removed: np.ndarray) -> pa.Array:
