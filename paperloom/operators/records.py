@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sinks.files import work_folder
+from . import spread
 
 
 def first_wins(df: DataFrame, key: list[Column], order: list[str], keyless: Column | None = None) -> DataFrame:
@@ -84,57 +87,102 @@ def merge_prefixes(df: DataFrame, blanks: bool = False) -> DataFrame:
 
 #: How many places of two texts of 0 and 1 agree: 60 places at a time as bits, which differ where one of them is set alone; what is longer agrees with nothing.
 _SAME = "aggregate(sequence(0, cast((least(length(ga), length(gb)) - 1) / 60 as int)), 0, (n, i) -> n + least(60, least(length(ga), length(gb)) - i * 60) - bit_count(conv(substr(substr(ga, 1, least(length(ga), length(gb))), i * 60 + 1, 60), 2, 10)::bigint ^ conv(substr(substr(gb, 1, least(length(ga), length(gb))), i * 60 + 1, 60), 2, 10)::bigint))"
+#: The bits of one text, and the same number from bits made before, where both texts are as long.
+_BITS = "transform(sequence(0, cast((greatest(length(grid), 1) - 1) / 60 as int)), i -> conv(substr(grid, i * 60 + 1, 60), 2, 10)::bigint)"
+_AGREE = f"case when length(ga) = length(gb) then length(ga) - aggregate(zip_with(ba, bb, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x) else {_SAME} end"
 
 
-def alike_pairs(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
-    """orientation, a and b: fingerprints of which b, later by file name, is alike a on layout or words. prints: orientation, file, grid, tokens, all different.
+def _layout_of(prints: DataFrame, n: str) -> DataFrame:
+    return prints.filter("grid <> ''").select("orientation", F.col("file").alias(n), F.col("grid").alias(f"g{n}"), F.expr(_BITS).alias(f"b{n}"))
 
-    Layouts that differ in less than a twelfth of their cells agree on twelve cells in a row at a multiple of twelve; word
-    sets that share so much of their union have one of their rarest words in common. Only such pairs are compared.
-    """
-    cells = prints.select("orientation", "file", F.expr("transform(sequence(0, cast(length(grid) / 12 as int)), i -> concat(i, ':', substr(grid, i * 12 + 1, 12)))").alias("k"))
-    cells = cells.select("orientation", "file", F.explode(F.filter("k", lambda x: F.length(F.substring_index(x, ":", -1)) == 12)).alias("k"))
-    each = prints.select("orientation", "file", F.size("tokens").alias("n"), F.explode(F.array_distinct("tokens")).alias("w"))
+
+def _alike_layouts(layout: float) -> str:
+    return f"{_AGREE} >= {layout} * length(ga)"
+
+
+def _rare_words(prints: DataFrame, text: float) -> DataFrame:
+    """orientation, file, n and k: the rarest of a set's n words; sets that share ``text`` of their union have one of these in common."""
+    each = prints.select("orientation", "file", F.size(F.array_distinct("tokens")).alias("n"), F.explode(F.array_distinct("tokens")).alias("w"))
     often = each.groupBy("w").agg(F.count("*").alias("m"))
     rare = each.join(often, "w").groupBy("orientation", "file", "n").agg(F.array_sort(F.collect_list(F.struct("m", "w"))).alias("ws"))
-    words = rare.select("orientation", "file", F.explode(F.expr(f"slice(ws, 1, size(ws) - cast(ceil({text} * size(ws)) as int) + 1)")).alias("x")).select("orientation", "file", F.concat(F.lit("w"), "x.w").alias("k"))
-    keys = cells.unionByName(words)
+    return rare.select("orientation", "file", "n", F.explode(F.expr(f"slice(ws, 1, size(ws) - cast(ceil({text} * size(ws)) as int) + 1)")).alias("x")).select("orientation", "file", "n", F.col("x.w").alias("k"))
+
+
+def _word_pairs(early: DataFrame, late: DataFrame, rare: DataFrame, text: float) -> DataFrame:
+    """orientation, a of ``early`` and b of ``late``, a before b by file name and alike on words; ``rare`` are the rare words of all."""
+    keys = lambda df, n: rare.join(df.select("orientation", "file"), ["orientation", "file"], "left_semi").select("orientation", "k", F.col("file").alias(n), F.col("n").alias(f"n{n}"))
+    met = keys(early, "a").join(keys(late, "b"), ["orientation", "k"]).filter(f"a < b and na >= {text} * nb and nb >= {text} * na").select("orientation", "a", "b").distinct()
+    own = lambda df, n: df.select("orientation", F.col("file").alias(n), F.array_distinct("tokens").alias(f"t{n}"))
+    both = met.join(own(early, "a"), ["orientation", "a"]).join(own(late, "b"), ["orientation", "b"])
+    return both.filter(f"size(array_intersect(ta, tb)) >= {text} * size(array_union(ta, tb))").select("orientation", "a", "b")
+
+
+def _layout_pairs(prints: DataFrame, layout: float) -> DataFrame:
+    """orientation, a and b, a before b by file name and alike on layout. Layouts that differ in less than a twelfth of their cells agree on twelve cells in a row at a multiple of twelve; only such pairs are compared."""
+    cells = prints.select("orientation", "file", F.expr("transform(sequence(0, cast(length(grid) / 12 as int)), i -> concat(i, ':', substr(grid, i * 12 + 1, 12)))").alias("k"))
+    keys = cells.select("orientation", "file", F.explode(F.filter("k", lambda x: F.length(F.substring_index(x, ":", -1)) == 12)).alias("k"))
     met = keys.withColumnRenamed("file", "a").join(keys.withColumnRenamed("file", "b"), ["orientation", "k"]).filter("a < b").select("orientation", "a", "b").distinct()
-    own = lambda n: prints.select("orientation", F.col("file").alias(n), F.col("grid").alias(f"g{n}"), F.array_distinct("tokens").alias(f"t{n}"))
-    both = met.join(own("a"), ["orientation", "a"]).join(own("b"), ["orientation", "b"])
-    alike = f"(ga <> '' and {_SAME} >= {layout} * length(ga)) or (size(ta) > 0 and size(tb) > 0 and size(array_intersect(ta, tb)) >= {text} * size(array_union(ta, tb)))"
-    return both.filter(alike).select("orientation", "a", "b")
+    return met.join(_layout_of(prints, "a"), ["orientation", "a"]).join(_layout_of(prints, "b"), ["orientation", "b"]).filter(_alike_layouts(layout)).select("orientation", "a", "b")
 
 
-def greedy_groups(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
-    """file, group: each fingerprint, by file name, joins the first group of its orientation whose founder is alike on layout or words.
+def alike_pairs(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
+    """orientation, a and b: fingerprints of which b, later by file name, is alike a on layout or words. prints: orientation, file, grid, tokens, all different."""
+    return _layout_pairs(prints, layout).unionByName(_word_pairs(prints, prints, _rare_words(prints, text), text)).distinct()
 
-    ``prints``: file, orientation, grid (text of 0 and 1), tokens (array). Equal fingerprints stand for one. A fingerprint
-    founds a group if no earlier founder is alike; so round by round those founders come out that no undecided one precedes.
-    """
-    spark = prints.sparkSession
 
-    def kept(df: DataFrame) -> DataFrame:
-        at = work_folder(spark)
-        df.write.parquet(at)
-        return spark.read.schema(df.schema).parquet(at)
+def _kept(df: DataFrame) -> DataFrame:
+    at = work_folder(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
 
-    # Blank fingerprints are like nothing, not even each other.
+
+def _once(prints: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Fingerprints with sorted distinct words, and the columns in which copies are equal. Blank fingerprints are like nothing, not even each other."""
     d = prints.withColumn("tokens", F.array_sort(F.array_distinct("tokens"))).withColumn("own", F.when((F.col("grid") == "") & (F.size("tokens") == 0), F.col("file")).otherwise(""))
-    same = ["orientation", "grid", "tokens", "own"]
-    one = kept(d.groupBy(*same).agg(F.min("file").alias("file")))
-    edges = kept(alike_pairs(one, layout, text))
-    key = ["orientation", "file"]
-    left, founders = one.select(*key), None
-    while not left.isEmpty():
-        early = edges.join(left.withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi")
-        new = kept(left.join(early.select("orientation", F.col("b").alias("file")).distinct(), key, "left_anti"))
-        joined = edges.join(new.withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi").select("orientation", F.col("b").alias("file")).distinct()
-        founders = new if founders is None else founders.unionByName(new)
-        left = kept(left.join(new, key, "left_anti").join(joined, key, "left_anti"))
-    if founders is None:
+    return d, ["orientation", "grid", "tokens", "own"]
+
+
+#: Fingerprints of an orientation that are settled first, and at most at a time.
+FIRST, BLOCK = 500, 4000
+
+
+def greedy_groups(prints: DataFrame, layout: float = 0.92, text: float = 0.60, first: int = FIRST, block: int = BLOCK) -> DataFrame:
+    """file, group: each fingerprint, by file name, joins the first group of its orientation whose founder is alike on layout or words.
+
+    ``prints``: file, orientation, grid (text of 0 and 1), tokens (array). Equal fingerprints stand for one. The first
+    undecided ones are compared with each other, round by round: those found a group that no undecided one alike precedes.
+    What is undecided after them is compared with these founders alone, and then the next ones' turn comes. So pairs are made
+    with founders and within a block, never among all; a broadcast holds a block at most.
+    """
+    spark, key = prints.sparkSession, ["orientation", "file"]
+    d, same = _once(prints)
+    one = _kept(d.groupBy(*same).agg(F.min("file").alias("file")))
+    rare = _kept(_rare_words(one, text))
+
+    def alike(early: DataFrame, late: DataFrame, rows: int) -> DataFrame:
+        """Pairs of a block's ``early`` with ``late``, of which there are so many."""
+        dealt = late.repartition(spread.parts(rows, spark.sparkContext.defaultParallelism), "file")
+        near = _layout_of(dealt, "b").join(F.broadcast(_layout_of(early, "a")), "orientation").filter(f"a < b and {_alike_layouts(layout)}").select("orientation", "a", "b")
+        return near.unionByName(_word_pairs(early, late, rare, text))
+
+    left, placed, n = one, [], first
+    while rows := left.count():
+        turn = F.row_number().over(Window.partitionBy("orientation").orderBy("file"))
+        head = _kept(left.withColumn("_n", turn).filter(F.col("_n") <= n).drop("_n"))
+        edges, open_, founders = _kept(alike(head, head, head.count())), head.select(*key), []
+        while not open_.isEmpty():
+            early = edges.join(open_.withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi")
+            founders.append(_kept(open_.join(early.select("orientation", F.col("b").alias("file")).distinct(), key, "left_anti")))
+            joined = edges.join(founders[-1].withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi").select("orientation", F.col("b").alias("file")).distinct()
+            open_ = _kept(open_.join(founders[-1], key, "left_anti").join(joined, key, "left_anti"))
+        new = head.join(functools.reduce(DataFrame.unionByName, founders), key, "left_semi")
+        own = new.select("orientation", "file", F.col("file").alias("founder"))
+        members = alike(_kept(new), left, rows).groupBy("orientation", F.col("b").alias("file")).agg(F.min("a").alias("founder"))
+        placed.append(_kept(own.unionByName(members)))
+        left, n = _kept(left.join(placed[-1], key, "left_anti")), min(4 * n, block)
+    if not placed:
         return prints.select("file", F.lit("").alias("group")).filter("false")
-    first = edges.join(founders.withColumnRenamed("file", "a"), ["orientation", "a"], "left_semi").groupBy("orientation", F.col("b").alias("file")).agg(F.min("a").alias("founder"))
-    named = founders.withColumn("n", F.row_number().over(Window.partitionBy("orientation").orderBy("file"))).select("orientation", F.col("file").alias("founder"), F.concat_ws("_", "orientation", "n").alias("group"))
-    placed = one.join(first, key, "left").withColumn("founder", F.coalesce("founder", "file")).join(named, ["orientation", "founder"])
-    return d.select("file", *same).join(placed.drop("file", "founder"), same).select("file", "group")
+    of = functools.reduce(DataFrame.unionByName, placed)
+    named = of.filter("file = founder").withColumn("n", F.row_number().over(Window.partitionBy("orientation").orderBy("file"))).select("orientation", "founder", F.concat_ws("_", "orientation", "n").alias("group"))
+    placed_one = one.join(of, key).join(named, ["orientation", "founder"])
+    return d.select("file", *same).join(placed_one.drop("file", "founder"), same).select("file", "group")

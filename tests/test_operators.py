@@ -129,3 +129,20 @@ def test_greedy_groups_against_one_pass(spark):
         want[name] = f"{side}_{n + 1}"
     got = {x.file: x.group for x in records.greedy_groups(spark.createDataFrame(rows, "file string, orientation string, grid string, tokens array<string>")).collect()}
     assert got == want and len(set(want.values())) > 20
+
+
+def test_greedy_groups_compare_with_founders_alone(spark, monkeypatch):
+    """Of 400 layouts that are all alike one founder, the blocks after the first make no pairs among themselves."""
+    made = []
+    kept = records._kept
+
+    def counted(df):
+        out = kept(df)
+        made.append((df.columns, out.count()))
+        return out
+
+    monkeypatch.setattr(records, "_kept", counted)
+    rows = [(f"f{i:03}", "p", "0" * (180 - i % 10) + "1" * (12 + i % 10), [f"w{i}"]) for i in range(400)] + [(f"g{i}", "p", "01" * 48 + f"{1 << i:096b}", [f"v{i}"]) for i in range(40)]
+    got = {x.file: x.group for x in records.greedy_groups(spark.createDataFrame(rows, "file string, orientation string, grid string, tokens array<string>"), first=20, block=20).collect()}
+    assert got == {f: "p_1" if f[0] == "f" else "p_2" for f, *_ in rows}
+    assert max(n for columns, n in made if columns == ["orientation", "a", "b"]) <= 20 * 19 // 2
