@@ -125,11 +125,6 @@ def _layout_pairs(prints: DataFrame, layout: float) -> DataFrame:
     return met.join(_layout_of(prints, "a"), ["orientation", "a"]).join(_layout_of(prints, "b"), ["orientation", "b"]).filter(_alike_layouts(layout)).select("orientation", "a", "b")
 
 
-def alike_pairs(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
-    """orientation, a and b: fingerprints of which b, later by file name, is alike a on layout or words. prints: orientation, file, grid, tokens, all different."""
-    return _layout_pairs(prints, layout).unionByName(_word_pairs(prints, prints, _rare_words(prints, text), text)).distinct()
-
-
 def _kept(df: DataFrame) -> DataFrame:
     at = work_folder(df.sparkSession)
     df.write.parquet(at)
@@ -142,6 +137,40 @@ def _once(prints: DataFrame) -> tuple[DataFrame, list[str]]:
     return d, ["orientation", "grid", "tokens", "own"]
 
 
+def alike_links(prints: DataFrame, layout: float = 0.92, text: float = 0.60) -> DataFrame:
+    """orientation, file, class and links: the first file whose fingerprint is equal, and how many other files are alike on layout or words.
+
+    ``prints``: orientation, file, grid, tokens; grids are of one length or blank. Pairs are made between different layouts
+    and between different word sets alone, and stand for the files behind them: links are those by layout and those by words
+    less those by both.
+    """
+    d, same = _once(prints)
+    one = _kept(d.groupBy(*same).agg(F.min("file").alias("class"), F.count("*").alias("n")))
+
+    def kinds(by: str, there: str) -> DataFrame:
+        return _kept(one.filter(there).groupBy("orientation", by).agg(F.min("class").alias("file"), F.sum("n").alias("n")))
+
+    def each_way(pairs: DataFrame, of: DataFrame) -> DataFrame:
+        back, self = pairs.select("orientation", F.col("b").alias("a"), F.col("a").alias("b")), of.select("orientation", F.col("file").alias("a"), F.col("file").alias("b"))
+        return _kept(pairs.unionByName(back).unionByName(self))
+
+    layouts, sets = kinds("grid", "grid <> ''"), kinds("tokens", "size(tokens) > 0")
+    near = each_way(_layout_pairs(layouts, layout), layouts)
+    shared = each_way(_word_pairs(sets, sets, _rare_words(sets, text), text), sets)
+    beside = lambda pairs, of, name: pairs.join(of.select("orientation", F.col("file").alias("b"), "n"), ["orientation", "b"]).groupBy("orientation", F.col("a").alias(name)).agg(F.sum("n").alias(f"by_{name}"))
+    named = one.join(layouts.select("orientation", "grid", F.col("file").alias("g")), ["orientation", "grid"], "left").join(sets.select("orientation", "tokens", F.col("file").alias("t")), ["orientation", "tokens"], "left")
+    named = _kept(named.select("orientation", "class", "n", "g", "t"))
+    # Files of alike words, by layout; of these the ones whose layout is alike too.
+    full = named.filter("g is not null and t is not null").select("orientation", "g", "t", "n")
+    around = full.join(shared.withColumnRenamed("b", "t"), ["orientation", "t"]).groupBy("orientation", F.col("a").alias("t"), F.col("g").alias("b")).agg(F.sum("n").alias("n"))
+    both = around.join(full.select("orientation", "g", "t"), ["orientation", "t"]).join(near.withColumnRenamed("a", "g"), ["orientation", "g", "b"], "left_semi").groupBy("orientation", "g", "t").agg(F.sum("n").alias("by_both"))
+    counted = named.join(beside(near, layouts, "g"), ["orientation", "g"], "left").join(beside(shared, sets, "t"), ["orientation", "t"], "left").join(both, ["orientation", "g", "t"], "left")
+    zero = F.lit(0).cast("long")
+    links = F.greatest(F.coalesce("by_g", zero) + F.coalesce("by_t", zero) - F.coalesce("by_both", zero) - 1, zero)
+    found = one.join(counted.select("orientation", "class", links.alias("links")), ["orientation", "class"])
+    return d.select("file", *same).join(found.drop("n"), same).select("orientation", "file", "class", "links")
+
+
 #: Fingerprints of an orientation that are settled first, and at most at a time.
 FIRST, BLOCK = 500, 4000
 

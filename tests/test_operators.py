@@ -146,3 +146,24 @@ def test_greedy_groups_compare_with_founders_alone(spark, monkeypatch):
     got = {x.file: x.group for x in records.greedy_groups(spark.createDataFrame(rows, "file string, orientation string, grid string, tokens array<string>"), first=20, block=20).collect()}
     assert got == {f: "p_1" if f[0] == "f" else "p_2" for f, *_ in rows}
     assert max(n for columns, n in made if columns == ["orientation", "a", "b"]) <= 20 * 19 // 2
+
+
+def test_alike_links_against_all_pairs(spark):
+    import random
+
+    r = random.Random(7)
+    base = ["".join(r.choice("01") for _ in range(192)) for _ in range(3)]
+    rows = []
+    for i in range(120):
+        grid = list(r.choice(base))
+        for _ in range(r.choice([0, 0, 8, 14, 22])):
+            grid[r.randrange(192)] = r.choice("01")
+        rows.append((f"f{i:03}", r.choice(["p", "l"]), "".join(grid) if i % 7 else "", r.sample([f"word{k}" for k in range(9)], r.randrange(0, 7)) if i % 5 else ["same", "words", "same"]))
+    rows += [(f"g{i}", *rows[i][1:3], rows[i][3][::-1]) for i in range(9)] + [("h", "p", "", []), ("i", "p", "", [])]
+    equal, want = {}, {}
+    for f, side, grid, words in rows:
+        first = equal.setdefault((side, grid, frozenset(words)) if grid or words else f, f)
+        alike = lambda g, w: grid and g and sum(a == b for a, b in zip(g, grid)) >= 0.92 * 192 or w and words and 10 * len(w & set(words)) >= 6 * len(w | set(words))  # noqa: B023, E731
+        want[f] = side, first, sum(bool(alike(g, set(w))) for e, o, g, w in rows if o == side and e != f)
+    got = records.alike_links(spark.createDataFrame(rows, "file string, orientation string, grid string, tokens array<string>")).collect()
+    assert {x.file: (x.orientation, x["class"], x.links) for x in got} == want and len(got) == len(rows)
