@@ -29,6 +29,8 @@ STEP = 24_000_000
 #: Times the weights are re-estimated.
 ROUNDS = 2
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a span's hash that are looked up before the sorted hashes are searched.
+_SIFT = 20
 _LOG10 = float(np.log(10))
 
 
@@ -41,6 +43,8 @@ class Vocabulary:
     weight: np.ndarray
     by_byte: np.ndarray  # entry of each byte value; the unknown entry where the vocabulary has no bytes
     longest: int
+    sizes: np.ndarray  # lengths of entries
+    sift: np.ndarray  # whether an entry's hash has these leading bits
 
     @property
     def end(self) -> float:
@@ -83,7 +87,16 @@ def load(path: str) -> Vocabulary:
         weight = scores.astype(float)
         weight[lib.unk_id()] = weight[plain].min() - 10
         weight = np.append(weight, weight[plain].max())
-    return Vocabulary(hashes[order], np.array(plain)[order], weight, by_byte, max(len(pieces[i]) for i in plain))
+    sizes = np.unique([1, *(len(pieces[i]) for i in plain)])
+    sift = np.zeros(1 << _SIFT, bool)
+    sift[_leading(hashes)] = True
+    return Vocabulary(hashes[order], np.array(plain)[order], weight, by_byte, int(sizes[-1]), sizes, sift)
+
+
+def _leading(hashes: np.ndarray) -> np.ndarray:
+    """Bits by which hashes are sifted; those of short strings lead with zeros, so they are multiplied once more."""
+    with np.errstate(over="ignore"):
+        return ((hashes * _BASE) >> np.uint64(64 - _SIFT)).view(np.int64)
 
 
 def _groups(words: list[str], room: int = 400_000):
@@ -102,23 +115,24 @@ def _groups(words: list[str], room: int = 400_000):
 def _edges(v: Vocabulary, codes: np.ndarray):
     """(from, to, rows, entries, weights) for all spans of the words that are entries; bytes stand in for letters that none holds."""
     rows, n = codes.shape
-    prefix = np.zeros((rows, n + 1), np.uint64)
+    prefix = np.zeros((n + 1, rows), np.uint64)
     for j in range(n):
-        prefix[:, j + 1] = prefix[:, j] * _BASE + codes[:, j] + np.uint64(1)
+        prefix[j + 1] = prefix[j] * _BASE + codes[:, j] + np.uint64(1)
     power = np.ones(v.longest + 1, np.uint64)
     for j in range(v.longest):
         power[j + 1] = power[j] * _BASE
     for to in range(1, n + 1):
-        for size in range(1, min(v.longest, to) + 1):
-            h = prefix[:, to] - prefix[:, to - size] * power[size]
-            at = np.minimum(np.searchsorted(v.keys, h), len(v.keys) - 1)
-            hit = v.keys[at] == h
-            own = np.flatnonzero(hit)
+        for size in v.sizes[v.sizes <= to].tolist():
+            h = prefix[to] - prefix[to - size] * power[size]
+            own = np.flatnonzero(v.sift[_leading(h)])
+            at = np.minimum(np.searchsorted(v.keys, h[own]), len(v.keys) - 1)
+            hit = v.keys[at] == h[own]
+            own, at = own[hit], at[hit]
             if len(own):
-                entry = v.entry[at[own]]
+                entry = v.entry[at]
                 yield to - size, to, own, entry, v.weight[entry]
             if size == 1 and len(own) < rows:
-                lost = np.flatnonzero(~hit)
+                lost = np.setdiff1d(np.arange(rows), own, True)
                 yield to - 1, to, lost, None, _spelt(v, codes[lost, to - 1])
 
 
@@ -172,16 +186,18 @@ def expected(v: Vocabulary, words: list[str], counts: np.ndarray) -> np.ndarray:
     return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """word, c: how often each lower-cased (A-Z) word occurs."""
+def word_counts(docs: DataFrame, training: Column) -> DataFrame:
+    """word, c, every: how often each lower-cased (A-Z) word occurs in the training documents and in all."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in steps(batches, limit=STEP):
-            words, codes, _ = word_codes(pc.ascii_lower(b.column(1)))
-            n = np.bincount(codes, minlength=len(words))
-            yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(n, pa.int64())], ["word", "c"])
+            words, codes, first = word_codes(pc.ascii_lower(b.column(1)))
+            chosen = np.repeat(b.column(2).to_numpy(zero_copy_only=False), np.diff(first))
+            own, every = (np.bincount(x, minlength=len(words)) for x in (codes[chosen], codes))
+            yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(own, pa.int64()), pa.array(every, pa.int64())], ["word", "c", "every"])
 
-    return documents(docs, batch=STEP).mapInArrow(lean(run), "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    marked = documents(docs, batch=STEP).withColumn("chosen", F.coalesce(training, F.lit(False)))
+    return marked.mapInArrow(lean(run), "word string, c long, every long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("every").alias("every"))
 
 
 def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = ROUNDS) -> Vocabulary:
@@ -210,67 +226,81 @@ def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = RO
     return v
 
 
+def word_scores(counts: DataFrame, given: Vocabulary, model: Vocabulary) -> DataFrame:
+    """``counts`` with log10 probabilities of each word: score by the vocabulary's weights, adapted by the model's."""
+    shared = counts.sparkSession.sparkContext.broadcast((given, model))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            found = marginals(shared.value[0], b.column(0).to_pylist(), shared.value[1]) / _LOG10
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found[0]), pa.array(found[1])], ["word", "c", "every", "score", "adapted"])
+
+    return counts.select("word", "c", "every").mapInArrow(lean(run), "word string, c long, every long, score double, adapted double")
+
+
 def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score and adapted_score of each document.
 
     score is by the vocabulary's own scores, adapted_score by weights that ``rounds`` of expected counts learn.
 
     ``training`` is over doc_id. Null and empty texts are the end alone. Rows with the same doc_id are scored apart,
-    as are rows without one; an empty table gives no rows. A word is worked on as a whole, in time in proportion to its length.
-    Training counts of words that are a ``head``-th of the tokens or more go to every task (``head`` words at most); other
-    words are joined by word.
+    as are rows without one; an empty table gives no rows. A word is worked on as a whole, in time in proportion to its length,
+    and once, however many documents have it. Words that are a ``head``-th of all tokens or more go to every task (``head``
+    words at most) with their scores; other words are joined by word.
     """
     every = documents(docs, batch=STEP)
-    chosen = every.filter(training)
-    counts = materialise(word_counts(chosen), "zstd")
-    ends = chosen.count()
-    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()[0]
+    counts = materialise(word_counts(docs, training), "zstd")
+    ends = every.filter(training).count()
+    known = F.col("c") > 0
+    total = counts.agg(F.sum("c").alias("n"), F.count_if(known).alias("v"), F.sum("every").alias("every")).collect()[0]
     n, v = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     given = load(vocabulary)
-    model = learn(counts, ends, given, rounds)
-    top = counts.filter(F.col("c") * head >= n).collect()  # at most ``head`` rows, as their counts add up to n
+    model = learn(counts.filter(known), ends, given, rounds)
+    scored = materialise(word_scores(counts, given, model), "zstd")
+    # At most ``head`` rows, as their counts add up to all words.
+    top = scored.filter(F.col("every") * head >= (total["every"] or 0)).select("word", "c", "score", "adapted").toArrow()
+    common = [top.column("word").combine_chunks(), *(np.append(top.column(c).to_numpy(), 0) for c in ("c", "score", "adapted"))]
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((given, model, {r["word"]: r["c"] for r in top}))
+    shared = sc.broadcast(common)
     floor = float(np.log10(n + 1 * (v + 1)))
+    parts = ("base", "score", "adapted")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        own, m, common = shared.value
+        names, *of_name = shared.value
         for b in steps(batches, limit=STEP):
             words, codes, first = word_codes(pc.ascii_lower(b.column(1)))
-            names = words.to_pylist()
-            c = np.fromiter((common.get(w, 0) for w in names), np.int64, len(names))
-            lattice = marginals(own, names, m) / _LOG10
-            known = (c > 0)[codes]
+            at = pc.fill_null(pc.index_in(words.cast(names.type), names), len(names)).to_numpy(zero_copy_only=False)
+            c, given, adapted = (x[at] for x in of_name)
 
             def summed(of_word: np.ndarray) -> np.ndarray:
                 """Sums of a number of each word, by document."""
                 return np.diff(np.append(0.0, np.cumsum(of_word[codes]))[first])
 
-            part = [summed(lattice[0]), summed(np.where(c > 0, np.log10(c + 1.0), 0.0)), summed((c > 0).astype(float)), summed(lattice[1])]
-            rows, size = b.num_rows, np.diff(first)
-            serial = b.column(2)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), serial, pa.array(size + 1, pa.int64()), pa.array(np.rint(part[2]).astype(np.int64)), pa.array(part[1]), pa.array(part[0] + own.end / _LOG10), pa.array(part[3] + m.end / _LOG10), pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], columns
-            )
-            tail = np.flatnonzero(~known)
+            rows, size, serial = b.num_rows, np.diff(first), b.column(2)
+            sums = [pa.array(summed(x)) for x in (np.where(c > 0, np.log10(c + 1.0), 0.0), given, adapted)]
+            yield pa.RecordBatch.from_arrays([b.column(0), serial, pa.array(size + 1, pa.int64()), pa.array(np.rint(summed(c > 0)).astype(np.int64)), *sums, pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], columns)
+            tail = np.flatnonzero((at == len(names))[codes])
             if len(tail):
                 doc = np.repeat(np.arange(rows), size)[tail]
-                key, times = np.unique(doc * len(names) + codes[tail], return_counts=True)
-                where = pa.array(key // len(names))
+                key, times = np.unique(doc * len(words) + codes[tail], return_counts=True)
+                where = pa.array(key // len(words))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(where), serial.take(where), *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())), words.take(pa.array(key % len(names))).cast(pa.string()), pa.array(times, pa.int64())], columns
+                    [b.column(0).take(where), serial.take(where), *(pa.nulls(len(key), t) for t in (pa.int64(), pa.int64(), *[pa.float64()] * len(sums))), words.take(pa.array(key % len(words))).cast(pa.string()), pa.array(times, pa.int64())], columns
                 )
 
-    schema = "doc_id long, serial long, n_tokens long, n_known long, base double, score double, adapted double, word string, times long"
+    schema = "doc_id long, serial long, n_tokens long, n_known long, " + ", ".join(f"{c} double" for c in parts) + ", word string, times long"
     columns = [x.split()[0] for x in schema.split(", ")]
     found = materialise(every.withColumn("serial", F.monotonically_increasing_id()).mapInArrow(lean(run), schema), "zstd")
-    whole = found.filter("word is null").select("doc_id", "serial", "n_tokens", "n_known", "base", "score", "adapted")
+    whole = found.filter("word is null").select("doc_id", "serial", "n_tokens", "n_known", *parts)
     # Words outside the head occur in few documents each, so no key is hot.
-    rest = found.filter("word is not null").select("doc_id", "serial", "word", "times").join(counts, "word")
-    rest = rest.select("doc_id", "serial", F.lit(None).cast("long").alias("n_tokens"), F.col("times").alias("n_known"), (F.col("times") * F.log10(F.col("c") + 1)).alias("base"), F.lit(None).cast("double").alias("score"), F.lit(None).cast("double").alias("adapted"))
-    both = whole.unionByName(rest).groupBy("serial").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base"), F.max("score").alias("score"), F.max("adapted").alias("adapted"))
+    rest = found.filter("word is not null").select("serial", "word", "times").join(scored.drop("every"), "word")
+    of = {"base": F.when(known, F.log10(F.col("c") + 1)).otherwise(0.0), "score": F.col("score"), "adapted": F.col("adapted")}
+    rest = rest.select(F.lit(None).cast("long").alias("doc_id"), "serial", F.lit(None).cast("long").alias("n_tokens"), F.when(known, F.col("times")).otherwise(0).alias("n_known"), *[(F.col("times") * of[c]).alias(c) for c in parts])
+    both = whole.unionByName(rest).groupBy("serial").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *[F.sum(c).alias(c) for c in ("n_known", *parts)])
     known_end = int(ends > 0)
+    end = {"base": float(np.log10(ends + 1)), "score": given.end / _LOG10, "adapted": model.end / _LOG10}
+    whole_text = {c: F.col(c) + F.lit(end[c]) for c in parts}
     return both.select(
         "doc_id", "n_tokens", (F.col("n_known") + known_end).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + F.lit(float(np.log10(ends + 1))) - F.col("n_tokens") * F.lit(floor)).alias("base_score"), "score", F.col("adapted").alias("adapted_score"),
+        (whole_text["base"] - F.col("n_tokens") * F.lit(floor)).alias("base_score"), whole_text["score"].alias("score"), whole_text["adapted"].alias("adapted_score"),
     )
