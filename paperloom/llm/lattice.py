@@ -4,7 +4,8 @@ The scores of a subword vocabulary's entries weight all segmentations of a word;
 word's lattice sums them to its marginal probability, and a text's is the product over its words and its end. Scores of
 unigram vocabularies are log-probabilities and are used as they are; merge-type vocabularies carry ranks, which stand for
 the probabilities of a power law. A second score has the weights re-estimated from the training documents by expected counts
-(forward and backward). No entry spans a word's first blank, so words are scored apart, many at a time.
+(forward and backward). A third adds an arc over each whole training word to these lattices, weighted by its discounted count,
+and gives what the discount leaves to the entries. No entry spans a word's first blank, so words are scored apart, many at a time.
 """
 
 from __future__ import annotations
@@ -226,6 +227,27 @@ def learn(counts: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = RO
     return v
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """Whole training words as arcs beside the entries: absolute discounting, by Ney's estimate with one more word of each count."""
+
+    tokens: int
+    types: int
+    once: int
+    twice: int
+
+    @property
+    def discount(self) -> float:
+        return (self.once + 1) / (self.once + 2 * self.twice + 2)
+
+    def score(self, c: Column, entries: Column) -> Column:
+        """log10 probability of a word of count ``c`` whose segmentations add up to ``entries`` (log10, which may be below a double's exponents)."""
+        if not self.tokens:
+            return entries
+        left = self.discount * self.types / self.tokens
+        return F.when(c > 0, F.log10((c - self.discount) / self.tokens + left * F.pow(F.lit(10.0), entries))).otherwise(entries + float(np.log10(left)))
+
+
 def word_scores(counts: DataFrame, given: Vocabulary, model: Vocabulary) -> DataFrame:
     """``counts`` with log10 probabilities of each word: score by the vocabulary's weights, adapted by the model's."""
     shared = counts.sparkSession.sparkContext.broadcast((given, model))
@@ -239,9 +261,10 @@ def word_scores(counts: DataFrame, given: Vocabulary, model: Vocabulary) -> Data
 
 
 def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUNDS, head: int = HEAD) -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score, score and adapted_score of each document.
+    """doc_id, n_tokens, n_known, train_tokens, base_score, score, adapted_score and lexicon_score of each document.
 
-    score is by the vocabulary's own scores, adapted_score by weights that ``rounds`` of expected counts learn.
+    score is by the vocabulary's own scores, adapted_score by weights that ``rounds`` of expected counts learn; for
+    lexicon_score each training word is an entry beside these (``Lexicon``).
 
     ``training`` is over doc_id. Null and empty texts are the end alone. Rows with the same doc_id are scored apart,
     as are rows without one; an empty table gives no rows. A word is worked on as a whole, in time in proportion to its length,
@@ -252,32 +275,33 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
     counts = materialise(word_counts(docs, training), "zstd")
     ends = every.filter(training).count()
     known = F.col("c") > 0
-    total = counts.agg(F.sum("c").alias("n"), F.count_if(known).alias("v"), F.sum("every").alias("every")).collect()[0]
+    total = counts.agg(F.sum("c").alias("n"), F.count_if(known).alias("v"), *[F.count_if(F.col("c") == i).alias(f"n{i}") for i in (1, 2)], F.sum("every").alias("every")).collect()[0]
     n, v = (total["n"] or 0) + ends, total["v"] + (ends > 0)
     given = load(vocabulary)
     model = learn(counts.filter(known), ends, given, rounds)
-    scored = materialise(word_scores(counts, given, model), "zstd")
+    lexicon = Lexicon(n, v, total["n1"], total["n2"])
+    scored = materialise(word_scores(counts, given, model), "zstd").withColumn("lexicon", lexicon.score(F.col("c"), F.col("adapted")))
     # At most ``head`` rows, as their counts add up to all words.
-    top = scored.filter(F.col("every") * head >= (total["every"] or 0)).select("word", "c", "score", "adapted").toArrow()
-    common = [top.column("word").combine_chunks(), *(np.append(top.column(c).to_numpy(), 0) for c in ("c", "score", "adapted"))]
+    parts = ("base", "score", "adapted", "lexicon")
+    top = scored.filter(F.col("every") * head >= (total["every"] or 0)).select("word", "c", *parts[1:]).toArrow()
+    common = [top.column("word").combine_chunks(), *(np.append(top.column(c).to_numpy(), 0) for c in ("c", *parts[1:]))]
     sc = docs.sparkSession.sparkContext
     shared = sc.broadcast(common)
     floor = float(np.log10(n + 1 * (v + 1)))
-    parts = ("base", "score", "adapted")
 
     def run(batches: Iterator[pa.RecordBatch]):
         names, *of_name = shared.value
         for b in steps(batches, limit=STEP):
             words, codes, first = word_codes(pc.ascii_lower(b.column(1)))
             at = pc.fill_null(pc.index_in(words.cast(names.type), names), len(names)).to_numpy(zero_copy_only=False)
-            c, given, adapted = (x[at] for x in of_name)
+            c, *logs = (x[at] for x in of_name)
 
             def summed(of_word: np.ndarray) -> np.ndarray:
                 """Sums of a number of each word, by document."""
                 return np.diff(np.append(0.0, np.cumsum(of_word[codes]))[first])
 
             rows, size, serial = b.num_rows, np.diff(first), b.column(2)
-            sums = [pa.array(summed(x)) for x in (np.where(c > 0, np.log10(c + 1.0), 0.0), given, adapted)]
+            sums = [pa.array(summed(x)) for x in (np.where(c > 0, np.log10(c + 1.0), 0.0), *logs)]
             yield pa.RecordBatch.from_arrays([b.column(0), serial, pa.array(size + 1, pa.int64()), pa.array(np.rint(summed(c > 0)).astype(np.int64)), *sums, pa.nulls(rows, pa.string()), pa.nulls(rows, pa.int64())], columns)
             tail = np.flatnonzero((at == len(names))[codes])
             if len(tail):
@@ -294,13 +318,13 @@ def score(docs: DataFrame, training: Column, vocabulary: str, rounds: int = ROUN
     whole = found.filter("word is null").select("doc_id", "serial", "n_tokens", "n_known", *parts)
     # Words outside the head occur in few documents each, so no key is hot.
     rest = found.filter("word is not null").select("serial", "word", "times").join(scored.drop("every"), "word")
-    of = {"base": F.when(known, F.log10(F.col("c") + 1)).otherwise(0.0), "score": F.col("score"), "adapted": F.col("adapted")}
+    of = {"base": F.when(known, F.log10(F.col("c") + 1)).otherwise(0.0), **{c: F.col(c) for c in parts[1:]}}
     rest = rest.select(F.lit(None).cast("long").alias("doc_id"), "serial", F.lit(None).cast("long").alias("n_tokens"), F.when(known, F.col("times")).otherwise(0).alias("n_known"), *[(F.col("times") * of[c]).alias(c) for c in parts])
     both = whole.unionByName(rest).groupBy("serial").agg(F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"), *[F.sum(c).alias(c) for c in ("n_known", *parts)])
     known_end = int(ends > 0)
     end = {"base": float(np.log10(ends + 1)), "score": given.end / _LOG10, "adapted": model.end / _LOG10}
-    whole_text = {c: F.col(c) + F.lit(end[c]) for c in parts}
+    whole_text = {c: F.col(c) + F.lit(end[c]) for c in end} | {"lexicon": F.col("lexicon") + lexicon.score(F.lit(ends), F.lit(end["adapted"]))}
     return both.select(
         "doc_id", "n_tokens", (F.col("n_known") + known_end).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (whole_text["base"] - F.col("n_tokens") * F.lit(floor)).alias("base_score"), whole_text["score"].alias("score"), whole_text["adapted"].alias("adapted_score"),
+        (whole_text["base"] - F.col("n_tokens") * F.lit(floor)).alias("base_score"), whole_text["score"].alias("score"), whole_text["adapted"].alias("adapted_score"), whole_text["lexicon"].alias("lexicon_score"),
     )
