@@ -163,19 +163,25 @@ def left_of(words: Column, limit: Column) -> Column:
 
 
 def header_starts(lines: DataFrame, default: tuple[float, float]) -> DataFrame:
-    """doc_id, c2, c3: where the second and the third column of a change table begin.
+    """doc_id, c2, c3: where the second and the third column of a change table begin; see ``with_starts``."""
+    return with_starts(lines, default).select("doc_id", "c2", "c3").distinct()
+
+
+def with_starts(lines: DataFrame, default: tuple[float, float]) -> DataFrame:
+    """``lines`` with c2 and c3: where the second and the third column of their document's change table begin.
 
     Only a document's first page counts; there the first line that has "changed", "from" and "to" and whose starts rise. A
     pair "changed from" (the last one) goes before a bare "from" (the first one), and so for "to".
     """
-    first = lines.withColumn("_p", F.min("page").over(Window.partitionBy("doc_id"))).filter("page = _p")
-    head = first.withColumn("_t", F.lower("text")).filter("contains(_t, 'changed') and contains(_t, 'from') and contains(_t, 'to')")
+    own, low = Window.partitionBy("doc_id"), F.lower("text")
+    head = (F.col("page") == F.col("_p")) & F.contains(low, F.lit("changed")) & F.contains(low, F.lit("from")) & F.contains(low, F.lit("to"))
     pair = lambda w: f"transform(filter(sequence(1, size(words)), i -> i > 1 and lower(words[i - 1].text) = '{w}' and lower(words[i - 2].text) = 'changed'), i -> words[i - 2].x0)"
     bare = lambda w: f"transform(filter(words, x -> lower(x.text) = '{w}'), x -> x.x0)"
     start = lambda w: F.coalesce(F.expr(f"try_element_at({pair(w)}, -1)"), F.expr(f"try_element_at({bare(w)}, 1)"))
-    found = head.select("doc_id", "line", start("from").alias("a"), start("to").alias("b")).filter("a <> 0 and b <> 0 and a < b")
-    best = found.groupBy("doc_id").agg(F.min_by(F.struct("a", "b"), "line").alias("s"))
-    return lines.select("doc_id").distinct().join(best, "doc_id", "left").select("doc_id", F.coalesce("s.a", F.lit(default[0])).alias("c2"), F.coalesce("s.b", F.lit(default[1])).alias("c3"))
+    d = lines.withColumn("_p", F.min("page").over(own)).withColumn("_s", F.when(head, F.struct(start("from").alias("a"), start("to").alias("b"))))
+    found = F.expr("_s.a <> 0 and _s.b <> 0 and _s.a < _s.b")
+    d = d.withColumn("_s", F.min_by("_s", F.when(found, F.col("line"))).over(own))
+    return d.withColumns({"c2": F.coalesce("_s.a", F.lit(default[0])), "c3": F.coalesce("_s.b", F.lit(default[1]))}).drop("_p", "_s")
 
 
 def upright(lines: DataFrame, mirrored: DataFrame, readable: Column, names: Column) -> DataFrame:

@@ -22,9 +22,8 @@ _NAME = r"[A-Za-z][A-Za-z'\-\.]*\s*,\s*[A-Za-z]"
 
 def kinds(words: DataFrame, width: float = 612.0) -> DataFrame:
     """doc_id, page, line, text, words, c2, c3 and kind (chrome, table, employee, name, data) of each line; names count in the first column alone."""
-    lines = L.lines_anchor(words, 3.0, True)
-    starts = L.header_starts(lines, (width * STARTS[0], width * STARTS[1]))
-    d = lines.join(starts, "doc_id").withColumn("first", L.left_of(F.col("words"), F.col("c2"))).withColumn("kind", P.line_kind(F.col("text")))
+    lines = L.with_starts(L.lines_anchor(words, 3.0, True), (width * STARTS[0], width * STARTS[1]))
+    d = lines.withColumn("first", L.left_of(F.col("words"), F.col("c2"))).withColumn("kind", P.line_kind(F.col("text")))
     return d.withColumn("kind", F.when(F.col("kind").isin("name", "data"), F.when(F.col("first").rlike(_NAME), "name").otherwise("data")).otherwise(F.col("kind")))
 
 
@@ -38,11 +37,11 @@ def changes(words: DataFrame, width: float = 612.0) -> DataFrame:
     d = kinds(words, width).filter("kind not in ('chrome', 'table')").withColumn("ord", F.row_number().over(order)).withColumn("head", F.col("kind") != "data")
     opens = F.col("head") & ((F.col("kind") == "name") | ~F.coalesce(F.lag("head").over(order), F.lit(False)) | (F.lag("page").over(order) != F.col("page")))
     d = d.withColumn("opens", opens).withColumn("segment", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda x: x["text"]), "  ")
-    heads = d.filter("head").groupBy("doc_id", "segment").agg(text.alias("text")).select("doc_id", "segment", N.header_fields(F.col("text")).alias("e"))
-    rows = d.filter("not head").select("doc_id", "page", "ord", "segment", *[F.array_join(F.transform(F.filter("words", cut), lambda w: w["text"]), " ").alias(c) for c, cut in (
+    heads = F.collect_list(F.when(F.col("head"), F.struct("ord", "text"))).over(Window.partitionBy("doc_id", "segment"))
+    d = d.withColumn("heads", heads).filter("not head and size(heads) > 0")
+    rows = d.select("doc_id", "page", "ord", F.array_join(F.transform(F.array_sort("heads"), lambda x: x["text"]), "  ").alias("heads"), *[F.array_join(F.transform(F.filter("words", cut), lambda w: w["text"]), " ").alias(c) for c, cut in (
         ("field", lambda w: w["x0"] < F.col("c2")), ("old", lambda w: (w["x0"] >= F.col("c2")) & (w["x0"] < F.col("c3"))), ("new", lambda w: (w["x0"] >= F.col("c2")) & (w["x0"] >= F.col("c3"))))])
-    return rows.join(heads, ["doc_id", "segment"]).filter("field <> ''").select("doc_id", "page", "ord", "e.*", "field", "old", "new")
+    return rows.filter("field <> ''").withColumn("e", N.header_fields(F.col("heads"))).select("doc_id", "page", "ord", "e.*", "field", "old", "new")
 
 
 def log(found: DataFrame) -> DataFrame:

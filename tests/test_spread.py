@@ -22,3 +22,9 @@ def test_rendered_documents_are_dealt_out_before_they_are_made(spark, monkeypatc
     monkeypatch.setattr(spread, "ROWS", 100)
     text = plan(catalog.queries()[name](spark, AT))
     assert text.index("REPARTITION_BY_NUM") > text.index("Generate inline"), "the rows are dealt out below what renders them"
+
+
+@pytest.mark.parametrize("name", ["x_chg", "obs_01", "win_15"])
+def test_change_logs_are_made_of_lines_once(spark, name):
+    text = plan(catalog.queries()[name](spark, AT))
+    assert text.count("Generate inline") == 1 and "Join" not in text
