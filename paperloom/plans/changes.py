@@ -37,11 +37,15 @@ def changes(words: DataFrame, width: float = 612.0) -> DataFrame:
     d = kinds(words, width).filter("kind not in ('chrome', 'table')").withColumn("ord", F.row_number().over(order)).withColumn("head", F.col("kind") != "data")
     opens = F.col("head") & ((F.col("kind") == "name") | ~F.coalesce(F.lag("head").over(order), F.lit(False)) | (F.lag("page").over(order) != F.col("page")))
     d = d.withColumn("opens", opens).withColumn("segment", F.sum(F.col("opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    heads = F.collect_list(F.when(F.col("head"), F.struct("ord", "text"))).over(Window.partitionBy("doc_id", "segment"))
+    own = Window.partitionBy("doc_id", "segment")
+    heads = F.collect_list(F.when(F.col("head"), F.struct("ord", "text"))).over(own)
     d = d.withColumn("heads", heads).filter("not head and size(heads) > 0")
-    rows = d.select("doc_id", "page", "ord", F.array_join(F.transform(F.array_sort("heads"), lambda x: x["text"]), "  ").alias("heads"), *[F.array_join(F.transform(F.filter("words", cut), lambda w: w["text"]), " ").alias(c) for c, cut in (
+    rows = d.select("doc_id", "page", "ord", "segment", F.array_join(F.transform(F.array_sort("heads"), lambda x: x["text"]), "  ").alias("heads"), *[F.array_join(F.transform(F.filter("words", cut), lambda w: w["text"]), " ").alias(c) for c, cut in (
         ("field", lambda w: w["x0"] < F.col("c2")), ("old", lambda w: (w["x0"] >= F.col("c2")) & (w["x0"] < F.col("c3"))), ("new", lambda w: (w["x0"] >= F.col("c2")) & (w["x0"] >= F.col("c3"))))])
-    return rows.filter("field <> ''").withColumn("e", N.header_fields(F.col("heads"))).select("doc_id", "page", "ord", "e.*", "field", "old", "new")
+    # An employee's first row alone has its headers taken apart.
+    first = F.when(F.row_number().over(own.orderBy("ord")) == 1, F.col("heads"))
+    rows = rows.filter("field <> ''").withColumn("first", first).withColumn("e", F.when(F.col("first").isNotNull(), N.header_fields(F.col("first"))))
+    return rows.withColumn("e", F.first("e", True).over(own)).select("doc_id", "page", "ord", "e.*", "field", "old", "new")
 
 
 def log(found: DataFrame) -> DataFrame:
