@@ -16,6 +16,13 @@ def count(body: bytes) -> int:
     return len(_parts(body))
 
 
+def cut(body: bytes, per: int):
+    """Bodies of ``per`` pages each, the last one of what is left."""
+    parts = _parts(body)
+    for i in range(0, len(parts), per):
+        yield "".join(p + "\f" for p in parts[i : i + per]).encode()
+
+
 def pages(body: bytes, first: int = 1, last: int | None = None):
     yield from _parts(body)[first - 1 : last]
 

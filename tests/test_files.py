@@ -86,6 +86,21 @@ def test_ranges_of_pages(spark, tmp_path):
     assert [(r.ord, r.x0, r.y0, r.text) for r in words] == [(0, 0.0, 0.0, "page"), (1, 40.0, 0.0, "51"), (2, 8.0, 20.0, "x")]
 
 
+def test_ranges_travel_with_their_own_pages(spark, tmp_path):
+    """Where the engine cuts, a range holds its pages alone, empty ones at its end included; else the whole file, read by the same places."""
+    texts = [f"page {n}" if n % 5 else "" for n in range(1, 61)]
+    (tmp_path / "long.txt").write_bytes("".join(t + "\f" for t in texts).encode())
+    for engines, begins in ((("paperloom.sources.engine_plain",), [1, 26, 51]), (("tests.whole_engine",), [1, 1, 1])):
+        ranges = S.page_ranges(spark, str(tmp_path), engines, "*.txt", per=25)
+        got = ranges.orderBy("first").collect()
+        assert [(r.first, r.last, r.begin) for r in got] == list(zip([1, 26, 51], [25, 50, 60], begins))
+    ranges = S.page_ranges(spark, str(tmp_path), ("paperloom.sources.engine_plain",), "*.txt", per=25)
+    assert b"".join(r.content for r in ranges.orderBy("first").collect()) == (tmp_path / "long.txt").read_bytes()
+    assert [(r.page, r.text) for r in S.range_texts(ranges, ("paperloom.sources.engine_plain",)).orderBy("page").collect()] == list(enumerate(texts, 1))
+    words = S.range_words(ranges, ("paperloom.sources.engine_plain",)).orderBy("page", "ord").collect()
+    assert [(r.page, r.ord, r.text) for r in words] == [(n, i, w) for n, t in enumerate(texts, 1) for i, w in enumerate(t.split())]
+
+
 def test_tables_written_in_parts_are_one_file_each(spark, tmp_path):
     spark.range(10).repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
     spark.range(10).write.parquet(f"{tmp_path}/old/part.parquet")
