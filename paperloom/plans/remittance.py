@@ -172,7 +172,16 @@ def oriented(words: DataFrame, width: float = 612.0) -> DataFrame:
 
 def claims(lines: DataFrame) -> DataFrame:
     """Claim records of all documents, merged and by page. lines: doc_id, idx, page, text, words, of all pages in a row, so records may cross pages."""
-    both = labelled(lines).select("doc_id", "idx", "page", *_FIELDS).withColumn("side", F.lit(0)).unionByName(tabular(lines).select("doc_id", "idx", "page", *_FIELDS).withColumn("side", F.lit(1)))
+    # Both kinds come from one pass: lines by runs, runs by documents, then a row for each plan id and for each closed run.
+    runs = _tabular(lines, DOC, F.collect_list(F.struct("idx", "page", "text", "words")).alias("own"))
+    closed = F.when(F.expr("idx is not null and acct <> '' and service_date <> ''"), F.struct("idx", "page", *_FIELDS))
+    docs = runs.groupBy(*DOC).agg(F.array_sort(F.flatten(F.collect_list("own"))).alias("all"), F.collect_list(closed).alias("closed"))
+    docs = docs.withColumn("at", F.filter(F.transform("all", lambda x: F.when(x["text"].rlike(PLAN), x["idx"])), lambda i: i.isNotNull()))
+    near = f"0 as side, i as idx, get(all, i - 1) as own, reverse(slice(all, greatest(i - {HEADER_LINES}, 1), i - greatest(i - {HEADER_LINES}, 1))) as above, slice(all, i + 1, {HEADER_LINES + DATA_LINES}) as below, get(closed, -1) as run"
+    alone = "1 as side, r.idx as idx, get(all, -1) as own, slice(all, 1, 0) as above, slice(all, 1, 0) as below, r as run"
+    rows = docs.select(*DOC, F.expr(f"inline(concat(transform(at, i -> struct({near})), transform(closed, r -> struct({alone}))))"))
+    found = _read(rows.withColumn("page", F.col("own.page")), *DOC, "side", "idx", "page", "run")
+    both = found.select(*DOC, "side", "idx", *[F.when(F.col("side") == 1, F.col(f"run.{c}")).otherwise(F.col(c)).alias(c) for c in ("page", *_FIELDS)])
     return merged(both.withColumn("ord", F.row_number().over(Window.partitionBy("doc_id").orderBy("side", "idx"))))
 
 

@@ -120,3 +120,10 @@ def test_plans_scan_their_input_a_few_times(spark, sf, name, most):
     from paperloom.plans import catalog
 
     assert _scans(catalog.queries()[name](spark, sf)) <= most
+
+
+def test_claims_are_made_in_one_pass(spark, sf):
+    """Labelled and tabular records of a document come from one reading and turning of its pages."""
+    from paperloom.plans import catalog
+
+    assert _scans(catalog.queries()["x_claim"](spark, sf)) == 1
